@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .ordered import with_next, with_ordinal
+from .partitioning import write_bucketed
 
 
 def edges_from_sequences(df: DataFrame, group: str, order_by: list[str], node: str,
@@ -108,9 +109,21 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     Start 1.0 on every source; sinks keep what they receive and pass
     nothing on (their mass leaves the system). After ≥ 1 round every
     endpoint has a rank; a vertex with no in-edges has exactly 1 - d.
+    The result is checkpointed, so it does not depend on the caches used
+    by the loop, which are released before returning.
     """
     if iterations <= 0:
         return initial_ranks(edges)
+    ranks, cached = pagerank_plan(edges, iterations, damping, checkpoint_every, num_partitions)
+    ranks = materialize(ranks)
+    for c in cached:
+        c.unpersist()
+    return ranks
+
+
+def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
+                  checkpoint_every: int = 3, num_partitions: int | None = None):
+    """The lazy PageRank plan and the frames it caches (for ``explain``)."""
     spark = edges.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -125,10 +138,14 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
 
     is_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
     not_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
-    normal = materialize(not_hub.repartition(n, "src"))
-    hub_edges = materialize(is_hub.repartition(n, "dst")) if has_hubs else None
-    verts = materialize(vertices(edges).repartition(n, "id"))
-    w.unpersist()
+    # Loop invariants are written once as bucketed tables in the shared
+    # checkpoint folder: they survive executor loss, and their scans report
+    # hash partitioning on the join key, so the per-round joins with ranks
+    # (hash partitioned on id, same count) need no exchange.
+    normal = write_bucketed(not_hub, n, "src", "pr_weights")
+    hub_edges = (materialize(is_hub.repartition(n, "dst")) if has_hubs else None)
+    verts = write_bucketed(vertices(edges), n, "id", "pr_vertices")
+    cached: list[DataFrame] = []
 
     ranks = verts.withColumn("rank", F.lit(1.0))
     for i in range(iterations):
@@ -144,7 +161,10 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
             "id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("_c"), F.lit(0.0)))
             .alias("rank"))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < iterations:
-            ranks = materialize(ranks)
+            # Cut the growing lineage; re-partition by id so the next round's
+            # join with the bucketed weights stays exchange-free.
+            ranks = materialize(ranks).repartition(n, "id")
+    return ranks, cached + [w]
     return ranks
 
 
