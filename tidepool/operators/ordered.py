@@ -135,3 +135,15 @@ def fill_forward(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     chosen = chosen.otherwise(
         F.when(F.col("_tp_carry.k") == F.col("_tp_key"), F.col("_tp_carry.v")))
     return out.withColumn(name, chosen).drop("_tp_blk", "_tp_key", "_tp_local", "_tp_carry")
+
+
+def with_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
+                    name: str = "rn") -> DataFrame:
+    """0-based position of each row within its key, in ``order_by`` order.
+
+    ``row_number() OVER (PARTITION BY keys ORDER BY order_by) - 1`` without
+    putting a key's rows in one task. Also keeps the global ordinal ``pos``.
+    """
+    o = with_ordinal(df, [*keys, *order_by], "pos")
+    s = with_group_start(o, keys, "pos", "_tp_start")
+    return s.withColumn(name, F.col("pos") - F.col("_tp_start")).drop("_tp_start")

@@ -72,3 +72,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (for written tables)."""
+    import uuid
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/tables/{label}-{uuid.uuid4().hex[:12]}"
