@@ -58,21 +58,35 @@ def scan_edges(spark: SparkSession, path: str, sep: str = "\t", comment: str | N
     return parse_edges(scan_text(spark, path, min_partitions), sep, comment, mode)
 
 
-def field_series(lines: DataFrame, token: str, fields: dict[str, int],
-                 value: str = "value", mode: str = "strict") -> DataFrame:
-    """Keep lines containing ``token``; split on runs of blanks; pick fields as doubles.
+def field_lines(lines: DataFrame, token: str, value: str = "value") -> DataFrame:
+    """Keep lines containing ``token``; add ``fields``: the line split on runs of blanks."""
+    v = F.col(value)
+    return lines.where(v.contains(token)).withColumn("fields", F.split(F.trim(v), r"\s+"))
+
+
+def field(idx: int, to: str | None = None, mode: str = "strict") -> Column:
+    """0-based field of ``fields``; ``strict`` raises on a short line or bad number."""
+    raw = F.col("fields").getItem(idx) if mode == "strict" else F.get(F.col("fields"), idx)
+    if to is None:
+        return raw
+    return raw.cast(to) if mode == "strict" else raw.try_cast(to)
 
-    ``fields`` maps an output name to a 0-based field index.
+
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text files as (file, line_no, value) with 0-based line numbers per file.
+
+    Line order comes from (file, split start, position in split); the global
+    ordinal makes it dense, so no file has to be read by a single task.
     """
-    v = F.col(value)
-    parts = F.split(F.trim(v), r"\s+")
-    kept = lines.where(v.contains(token))
-    out = []
-    for name, idx in fields.items():
-        raw = parts.getItem(idx) if mode == "strict" else F.get(parts, idx)
-        cast = raw.cast("double") if mode == "strict" else raw.try_cast("double")
-        out.append(cast.alias(name))
-    return kept.select(*out)
+    from ..operators.ordered import with_group_start, with_ordinal
+
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"), "value")
+    o = with_ordinal(raw, ["file", "_blk", "_mid"], "_pos")
+    s = with_group_start(o, ["file"], "_pos", "_start")
+    return s.select("file", (F.col("_pos") - F.col("_start")).alias("line_no"), "value")
 
 
 def hms_to_ms(c: Column) -> Column:
