@@ -18,3 +18,102 @@ def normalise_channels(arr: Column, mean=CHANNEL_MEAN_255, std=CHANNEL_STD_255)
     s = F.array(*[F.lit(v / 255.0) for v in std])
     return F.transform(arr, lambda x, i: (x - F.element_at(m, F.pmod(i, F.lit(k)) + 1))
                        / F.element_at(s, F.pmod(i, F.lit(k)) + 1))
+
+
+# Optimiser settings of the reference's training runs.
+LEARNING_RATE = 0.1
+MOMENTUM = 0.9
+WEIGHT_DECAY = 0.0001
+
+
+def shard_gradients(rows, weights, shard: str = "shard", label: str = "label",
+                    vec: str = "embedding"):
+    """Mean cross-entropy gradient of a linear softmax classifier, averaged over shards.
+
+    Each shard's gradient is the mean over its rows; the result is the mean
+    of those shard means (a short shard weighs as much as a full one), as
+    when every worker averages its own batch and the gradients are then
+    averaged across workers. Partial sums are computed per partition with
+    NumPy (``mapInPandas``), then reduced by Spark in two phases. Returns
+    (cls, dim, grad).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    w = np.asarray(weights, dtype=np.float64)
+    k, d = w.shape
+
+    def partial(batches):
+        acc: dict[int, list] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
+            y = pdf[label].to_numpy().astype(np.int64)
+            z = x @ w.T
+            z -= z.max(axis=1, keepdims=True)
+            p = np.exp(z)
+            p /= p.sum(axis=1, keepdims=True)
+            p[np.arange(len(y)), y] -= 1.0
+            shards = pdf[shard].to_numpy()
+            for s in np.unique(shards):
+                m = shards == s
+                g = p[m].T @ x[m]
+                if s in acc:
+                    acc[s][0] += g
+                    acc[s][1] += int(m.sum())
+                else:
+                    acc[s] = [g, int(m.sum())]
+        for s, (g, n) in acc.items():
+            yield pd.DataFrame({shard: np.full(k * d, s, dtype=np.int64),
+                                "cls": np.repeat(np.arange(k, dtype=np.int32), d),
+                                "dim": np.tile(np.arange(d, dtype=np.int32), k),
+                                "gsum": g.ravel(), "n": np.full(k * d, n, dtype=np.int64)})
+
+    schema = f"{shard} long, cls int, dim int, gsum double, n long"
+    parts = rows.select(shard, label, vec).mapInPandas(partial, schema)
+    per_shard = parts.groupBy(shard, "cls", "dim").agg(
+        (F.sum("gsum") / F.sum("n")).alias("g"))
+    return per_shard.groupBy("cls", "dim").agg(F.avg("g").alias("grad"))
+
+
+def collect_matrix(long_df, value: str, k: int, d: int):
+    """(cls, dim, value) rows → k×d array. Size is the model's, not the data's."""
+    import numpy as np
+
+    out = np.zeros((k, d))
+    for r in long_df.collect():
+        out[r["cls"], r["dim"]] = r[value]
+    return out
+
+
+def softmax_sgd(rows, steps: int, classes: int, dims: int, step_col: str = "step",
+                lr: float = LEARNING_RATE, momentum: float = MOMENTUM,
+                weight_decay: float = WEIGHT_DECAY, shard: str = "shard",
+                label: str = "label", vec: str = "embedding"):
+    """Synchronous data-parallel SGD with momentum and weight decay, one Spark job per step.
+
+    Step t uses rows with ``step_col == t``. Update (first step: buf = g):
+    g += wd·w; buf = momentum·buf + g; w -= lr·buf. Only the weights
+    (classes × dims) live on the driver. Returns the final weight matrix.
+    """
+    import numpy as np
+
+    w = np.zeros((classes, dims))
+    buf = None
+    for t in range(steps):
+        from pyspark.sql import functions as F
+
+        g = collect_matrix(shard_gradients(rows.where(F.col(step_col) == t), w, shard, label, vec),
+                           "grad", classes, dims)
+        g = g + weight_decay * w
+        buf = g if buf is None else momentum * buf + g
+        w = w - lr * buf
+    return w
+
+
+def matrix_frame(spark, m, value: str = "w"):
+    """k×d array → (cls, dim, value) frame."""
+    rows = [(int(c), int(j), float(m[c, j])) for c in range(m.shape[0]) for j in range(m.shape[1])]
+    return spark.createDataFrame(rows, f"cls int, dim int, {value} double")

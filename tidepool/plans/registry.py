@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import eval_plans, graph_plans, log_plans, run_plans, sample_plans
+from . import eval_plans, graph_plans, learn_plans, log_plans, run_plans, sample_plans
 
-_MODULES = [graph_plans, eval_plans, run_plans, log_plans, sample_plans]
+_MODULES = [graph_plans, eval_plans, run_plans, log_plans, sample_plans, learn_plans]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
