@@ -1,0 +1,6 @@
+"""Streaming operators: none.
+
+The reference has no stream source, sink, watermark, trigger, state or time
+window, so there is nothing to rebuild here. Every operator in this package
+is a batch DataFrame plan.
+"""
