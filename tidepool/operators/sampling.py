@@ -66,15 +66,30 @@ def zipf_cdf(alpha: float = 1.3, low: int = 20, high: int = 200) -> list[float]:
     return out
 
 
-def zipf_length(u: Column, alpha: float = 1.3, low: int = 20, high: int = 200) -> Column:
-    """Inverse CDF of the truncated Zipf law at uniform ``u``: low+1 + #{steps with cdf <= u}."""
-    cdf = F.array(*[F.lit(c) for c in zipf_cdf(alpha, low, high)])
-    return (F.lit(low + 1) + F.size(F.filter(cdf, lambda c: c <= u))).cast("int")
+def zipf_length(u: str, alpha: float = 1.3, low: int = 20, high: int = 200) -> Column:
+    """Inverse CDF of the truncated Zipf law at the uniform in column ``u``.
+
+    low+1 + (index of the first step whose cdf exceeds u), found by a
+    binary search written as nested CASE expressions: about log2(steps)
+    comparisons, all inside generated code (a higher-order ``filter`` over
+    the step table would be interpreted per element). The search is built
+    as one SQL expression, so building it is a single call.
+    """
+    cdf = zipf_cdf(alpha, low, high)
+    ref = f"`{u}`"
+
+    def search(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(low + 1 + lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {ref} < {cdf[mid]!r}D THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
+
+    return F.expr(f"CAST({search(0, len(cdf) - 1)} AS INT)")
 
 
 def words(text: str | Column) -> Column:
     """Split a whole text into words on runs of whitespace (empty text → no words)."""
-    t = F.regexp_replace(col(text), "^[ \t\n\r]+|[ \t\n\r]+$", "")
+    t = F.trim(col(text), F.lit(" \t\n\r"))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WORD_SEP))
 
 

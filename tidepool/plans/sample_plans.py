@@ -22,14 +22,15 @@ def shard_assign(spark, sf_dir, ranks: int = RANKS, seed: int = 0):
 
 def zipf_lengths(spark, sf_dir, seed: int = 1):
     """One request length per document, truncated Zipf(1.3) on 21..199."""
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return docs.select("doc_id", X.zipf_length(md5_unit(str(seed), "doc_id")).alias("n_words"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", md5_unit(str(seed), "doc_id").alias("_u"))
+    return docs.select("doc_id", X.zipf_length("_u").alias("n_words"))
 
 
 def request_windows(spark, sf_dir, seed_len: int = 1, seed_start: int = 2):
     """A request of Zipf length from each document long enough (length < words)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", X.words("text").alias("w"))
-    docs = docs.withColumn("n_words", X.zipf_length(md5_unit(str(seed_len), "doc_id")))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", X.words("text").alias("w"), md5_unit(str(seed_len), "doc_id").alias("_u"))
+    docs = docs.withColumn("n_words", X.zipf_length("_u"))
     ok = docs.where(F.col("n_words") < F.size("w"))
     start, text = X.word_window("w", "n_words", md5_unit(str(seed_start), "doc_id"))
     return ok.select("doc_id", "n_words", start.alias("start"), text.alias("request"))
