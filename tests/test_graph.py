@@ -107,8 +107,21 @@ def test_pagerank_one_exchange_per_round(spark):
     try:
         li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
         e = G.edges_from_sequences(li, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey")
-        ranks, cached = G.pagerank_plan(e, 3, checkpoint_every=0)
+        ranks, _, _ = G.pagerank_plan(e, 3, checkpoint_every=0)
         plan = ranks._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pagerank_checkpoint_keeps_partitioning(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+        e = G.edges_from_sequences(li, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey")
+        ranks, _, _ = G.pagerank_plan(e, 4, checkpoint_every=3)
+        plan = ranks._jdf.queryExecution().executedPlan().toString()
+        # round 4 reads round 3 from a bucketed table: its own aggregate is the only exchange
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

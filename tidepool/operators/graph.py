@@ -24,10 +24,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import materialize
 from .ordered import with_next, with_ordinal
-from .partitioning import write_bucketed
+from .partitioning import drop_table, write_bucketed
 
 
 def edges_from_sequences(df: DataFrame, group: str, order_by: list[str], node: str,
@@ -114,38 +115,46 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     """
     if iterations <= 0:
         return initial_ranks(edges)
-    ranks, cached = pagerank_plan(edges, iterations, damping, checkpoint_every, num_partitions)
+    ranks, cached, tables = pagerank_plan(edges, iterations, damping, checkpoint_every,
+                                          num_partitions)
     ranks = materialize(ranks)
     for c in cached:
         c.unpersist()
+    for t in tables:
+        drop_table(edges.sparkSession, t)
     return ranks
 
 
 def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
                   checkpoint_every: int = 3, num_partitions: int | None = None):
-    """The lazy PageRank plan and the frames it caches (for ``explain``)."""
+    """The lazy PageRank plan, the frames it caches and the tables it wrote (for ``explain``)."""
     spark = edges.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     w = edge_weights(edges).select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    n_pairs = w.count()
-    hub_threshold = max(1, -(-n_pairs // n))
     fan = w.groupBy("src").agg(F.count(F.lit(1)).alias("_fan"))
-    # At most n sources can each hold more than n_pairs / n distinct targets.
-    hubs = fan.where(F.col("_fan") > hub_threshold).select(F.col("src").alias("id"))
-    hubs = materialize(hubs.coalesce(1))
-    has_hubs = hubs.limit(1).count() > 0
-
-    is_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
-    not_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
+    n_pairs, max_fan = fan.agg(F.sum("_fan"), F.max("_fan")).first()
+    n_pairs, max_fan = n_pairs or 0, max_fan or 0
+    hub_threshold = max(1, -(-n_pairs // n))
+    has_hubs = max_fan > hub_threshold
+    if has_hubs:
+        # At most n sources can each hold more than n_pairs / n distinct
+        # targets, so this list is bounded by the partition count.
+        ids = [r[0] for r in fan.where(F.col("_fan") > hub_threshold).select("src").collect()]
+        hubs = spark.createDataFrame([(i,) for i in ids],
+                                     StructType([StructField("id", fan.schema["src"].dataType)]))
+        is_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
+        not_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
+    else:
+        hubs, is_hub, not_hub = None, None, w
     # Loop invariants are written once as bucketed tables in the shared
     # checkpoint folder: they survive executor loss, and their scans report
     # hash partitioning on the join key, so the per-round joins with ranks
     # (hash partitioned on id, same count) need no exchange.
-    normal = write_bucketed(not_hub, n, "src", "pr_weights")
+    normal, t_w = write_bucketed(not_hub, n, "src", "pr_weights")
     hub_edges = (materialize(is_hub.repartition(n, "dst")) if has_hubs else None)
-    verts = write_bucketed(vertices(edges), n, "id", "pr_vertices")
-    cached: list[DataFrame] = []
+    verts, t_v = write_bucketed(vertices(edges), n, "id", "pr_vertices")
+    tables = [t for t in (t_w, t_v) if t]
 
     ranks = verts.withColumn("rank", F.lit(1.0))
     for i in range(iterations):
@@ -161,11 +170,12 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
             "id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("_c"), F.lit(0.0)))
             .alias("rank"))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < iterations:
-            # Cut the growing lineage; re-partition by id so the next round's
-            # join with the bucketed weights stays exchange-free.
-            ranks = materialize(ranks).repartition(n, "id")
-    return ranks, cached + [w]
-    return ranks
+            # Cut the growing lineage with a written table in the shared
+            # folder; bucketed on id, so the next round's joins stay
+            # exchange-free.
+            ranks, t_r = write_bucketed(ranks, n, "id", "pr_ranks")
+            tables += [t_r] if t_r else []
+    return ranks, [w], tables
 
 
 def source_count(edges: DataFrame) -> int:

@@ -58,21 +58,34 @@ def num_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def write_bucketed(df: DataFrame, n: int, key: str, label: str) -> DataFrame:
+def write_bucketed(df: DataFrame, n: int, key: str, label: str) -> tuple[DataFrame, str | None]:
     """Write ``df`` as a table bucketed (and sorted) on ``key`` into ``n`` buckets.
 
     The files go under the shared checkpoint folder, so they survive the
     loss of any executor; reading them back reports hash partitioning on
     ``key`` with ``n`` partitions, so joins and aggregations on ``key`` with
     the same count need no exchange (Spark's bucket hash is the shuffle hash).
+
+    Returns the frame and the catalog name to drop when done. If the session
+    has no usable catalog, falls back to a reliable checkpoint of the
+    hash-partitioned frame (correct, but later joins exchange again).
     """
     import uuid
 
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, materialize
 
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"tidepool_{label}_{uuid.uuid4().hex[:12]}"
-    (df.write.format("parquet").bucketBy(n, key).sortBy(key)
-     .option("path", f"{root}/tables/{name}").saveAsTable(name))
-    return spark.table(name)
+    try:
+        (df.write.format("parquet").bucketBy(n, key).sortBy(key)
+         .option("path", f"{root}/tables/{name}").saveAsTable(name))
+        return spark.table(name), name
+    except Exception:  # noqa: BLE001 - no writable catalog: keep going without bucketing
+        return materialize(df.repartition(n, key)), None
+
+
+def drop_table(spark, name: str | None) -> None:
+    """Forget a table written by ``write_bucketed`` (its files stay with the checkpoints)."""
+    if name:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
