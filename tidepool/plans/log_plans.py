@@ -84,16 +84,19 @@ def field_log_lines(spark, sf_dir) -> DataFrame:
         F.col("value").cast("string"), F.get_json_object("props", "$.k")).alias("value"))
 
 
-def field_log_series(spark, sf_dir):
-    """Per interface: packets/s = field 3 + field 4 of each of its lines, in line order."""
+def field_log_series(spark, sf_dir, tokens: tuple[str, ...] = ("eth0", "eth1")):
+    """Per interface: packets/s = field 3 + field 4 of each of its lines, in line order.
+
+    One pass over the lines: a line goes to the first token it contains.
+    """
     lines = field_log_lines(spark, sf_dir)
-    out = []
-    for token in ("eth0", "eth1"):
-        kept = field_lines(lines, token)
-        out.append(kept.select(F.lit(token).alias("iface"), "ts", "event_id",
-                               field(0).alias("time"),
-                               (field(3, "double") + field(4, "double")).alias("pkts")))
-    series = out[0].unionByName(out[1])
+    v = F.col("value")
+    which = None
+    for t in tokens:
+        which = F.when(v.contains(t), t) if which is None else which.when(v.contains(t), t)
+    kept = field_lines(lines.withColumn("iface", which).where(F.col("iface").isNotNull()), "")
+    series = kept.select("iface", "ts", "event_id", field(0).alias("time"),
+                         (field(3, "double") + field(4, "double")).alias("pkts"))
     numbered = with_row_number(series, ["iface"], ["ts", "event_id"], "position")
     return numbered.select("iface", "position", "time", F.round("pkts", 6).alias("pkts"))
 
