@@ -3,8 +3,9 @@
 A log is a sequence of lines per source: stamp lines (containing ``node``,
 5th blank-separated field ``h:m:s``) and sample lines (containing ``root``,
 2nd character the GPU id, 2nd comma field ``N %``). Every operator here
-takes lines with a dense ordinal ``pos`` over (source, line order) and works
-through ``ordered`` helpers, so one long log is still spread over all tasks.
+takes lines with a unique, increasing position ``pos`` within each source
+(gaps allowed) and works through ``ordered`` helpers, so one long log is
+still spread over all tasks.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ BUMP_MS = 300
 
 
 def parse_util_lines(lines: DataFrame, source: str = "source", pos: str = "pos",
-                     value: str = "value") -> DataFrame:
+                     value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Classify lines and parse their fields.
 
     Adds ``kind`` ('stamp', 'sample' or NULL), ``raw_ms`` for stamps, ``gpu``
-    and ``util`` for samples. Casts follow ANSI mode: bad text raises.
+    and ``util`` for samples; ``keep`` names extra columns to pass through.
+    Casts follow ANSI mode: bad text raises.
     """
     v = F.trim(F.col(value))
     is_stamp = v.contains("node")
@@ -31,7 +33,7 @@ def parse_util_lines(lines: DataFrame, source: str = "source", pos: str = "pos",
     stamp_field = F.split(v, r"\s+").getItem(4)
     util_text = F.trim(F.split(F.split(v, ",").getItem(1), "%").getItem(0))
     return lines.select(
-        source, pos, value,
+        source, pos, value, *keep,
         F.when(is_stamp, "stamp").when(is_sample, "sample").alias("kind"),
         F.when(is_stamp, hms_to_ms(stamp_field)).alias("raw_ms"),
         F.when(is_sample & ~is_stamp, F.substring(v, 2, 1).cast("int")).alias("gpu"),
@@ -39,13 +41,15 @@ def parse_util_lines(lines: DataFrame, source: str = "source", pos: str = "pos",
 
 
 def bump_equal_stamps(stamps: DataFrame, source: str, raw: str, order: str,
-                      name: str = "adjusted_ms", step: int = BUMP_MS) -> DataFrame:
+                      name: str = "adjusted_ms", step: int = BUMP_MS,
+                      index: str | None = None) -> DataFrame:
     """A stamp equal to the *adjusted* previous stamp of its source gets ``+step``.
 
     In a run of equal raw stamps the 2nd, 4th, … move and the 3rd, 5th, …
     do not. The previous stamp starts at 0, so a first run of zeros starts
     moved. (Raw stamps are whole seconds and step < 1000 ms, so a raw stamp
-    never equals a moved one.)
+    never equals a moved one.) ``index`` names an optional output column with
+    the 0-based position of the stamp among its source's stamps.
     """
     k = with_ordinal(stamps, [source, order], "_k")
     k = with_prev(k, [source], "_k", [raw], suffix="_before")
@@ -56,25 +60,31 @@ def bump_equal_stamps(stamps: DataFrame, source: str, raw: str, order: str,
     k = with_group_start(k, [source], "_k", "_src_start")
     lead_zero = ((F.col("_run_start") == F.col("_src_start")) & (F.col(raw) == 0)).cast("long")
     parity = F.pmod(F.col("_k") - F.col("_run_start") + lead_zero, F.lit(2))
-    return (k.withColumn(name, F.col(raw) + parity * step)
-            .drop("_k", f"{raw}_before", "_start_mark", "_run_start", "_src_start"))
+    k = k.withColumn(name, F.col(raw) + parity * step)
+    if index:
+        k = k.withColumn(index, F.col("_k") - F.col("_src_start"))
+    return k.drop("_k", f"{raw}_before", "_start_mark", "_run_start", "_src_start")
 
 
 def carry_stamps(parsed: DataFrame, adjusted: DataFrame, source: str = "source",
                  pos: str = "pos") -> DataFrame:
     """Each sample line takes the newest (adjusted) stamp above it in its source.
 
-    Adds ``stamp_pos`` (the line of that stamp, i.e. the sampling round) and
-    ``stamp_ms``. Returns sample lines only.
+    Adds ``stamp_pos`` (the line of that stamp, i.e. the sampling round),
+    ``stamp_ms`` and, when ``adjusted`` has it, ``stamp_index``. Returns
+    sample lines only (with the other columns of ``parsed``).
     """
+    extra = [F.col("stamp_index").alias("i")] if "stamp_index" in adjusted.columns else []
     stamp = adjusted.select(source, pos, F.struct(F.col(pos).alias("p"),
-                                                  F.col("adjusted_ms").alias("ms")).alias("_st"))
+                                                  F.col("adjusted_ms").alias("ms"),
+                                                  *extra).alias("_st"))
     lines = parsed.join(stamp, [source, pos], "left")
     filled = fill_forward(lines, [source], pos, "_st", "_carried")
+    out = [F.col("_carried.p").alias("stamp_pos"), F.col("_carried.ms").alias("stamp_ms")]
+    if extra:
+        out.append(F.col("_carried.i").alias("stamp_index"))
     return (filled.where(F.col("kind") == "sample")
-            .select(source, pos, "gpu", "util",
-                    F.col("_carried.p").alias("stamp_pos"),
-                    F.col("_carried.ms").alias("stamp_ms")))
+            .drop("_st", "kind", "raw_ms").select("*", *out).drop("_carried"))
 
 
 def gap_fill(samples: DataFrame, source: str = "source", gpus: int = 4) -> DataFrame:

@@ -109,7 +109,8 @@ def fill_forward(df: DataFrame, keys: Sequence[str], pos: str, value: str,
 
     Same as ``last(value, true) OVER (PARTITION BY keys ORDER BY pos ROWS
     UNBOUNDED PRECEDING)``, computed in blocks of ``block_rows`` positions.
-    ``pos`` must be a dense ordinal over an order led by ``keys``.
+    ``pos`` must be unique and increase along an order led by ``keys`` (a
+    dense ordinal, or one with gaps: a block then just holds fewer rows).
     """
     key_struct = F.struct(*[F.col(k) for k in keys])
     blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long")

@@ -19,56 +19,60 @@ from ..sources.text import field, field_lines
 
 
 def util_log_lines(spark, sf_dir) -> DataFrame:
-    """(source, pos, line_no, value): the rendered log, numbered per source."""
+    """(source, pos, event_id, event_index, value): the rendered log.
+
+    ``pos`` = 2·(event ordinal) + (0 for a stamp line, 1 for a sample line):
+    unique and increasing in line order; ``event_index`` is the event's
+    0-based place within its source (used to number lines).
+    """
     ev = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"), "ts", "event_id",
         F.pmod(F.col("user_id"), F.lit(4)).alias("gpu"),
         F.floor("value").cast("long").alias("util"))
     o = with_ordinal(ev, ["source", "ts", "event_id"], "epos")
+    o = with_group_start(o, ["source"], "epos", "_start")
     o = with_prev(o, ["source"], "epos", ["gpu"], suffix="_before")
     new_round = F.col("gpu_before").isNull() | (F.col("gpu") <= F.col("gpu_before"))
     stamp = F.concat_ws(" ", F.lit("node1"), F.date_format("ts", "EEE MMM dd"),
                         F.date_format("ts", "HH:00:00"), F.date_format("ts", "yyyy"))
     sample = F.format_string("[%d] root, %d %%, x", "gpu", "util")
-    stamps = o.where(new_round).select("source", "ts", "event_id", F.lit(0).alias("sub"),
+    common = ["source", "event_id", (F.col("epos") - F.col("_start")).alias("event_index")]
+    stamps = o.where(new_round).select(*common, (F.col("epos") * 2).alias("pos"),
                                        stamp.alias("value"))
-    samples = o.select("source", "ts", "event_id", F.lit(1).alias("sub"), sample.alias("value"))
-    lines = with_ordinal(stamps.unionByName(samples), ["source", "ts", "event_id", "sub"], "pos")
-    lines = with_group_start(lines, ["source"], "pos", "_start")
-    return lines.select("source", "pos", (F.col("pos") - F.col("_start")).alias("line_no"),
-                        "value")
+    samples = o.select(*common, (F.col("epos") * 2 + 1).alias("pos"), sample.alias("value"))
+    return stamps.unionByName(samples)
 
 
 def _parsed(spark, sf_dir):
     lines = util_log_lines(spark, sf_dir)
-    parsed = L.parse_util_lines(lines.select("source", "pos", "value"))
-    return lines, parsed
+    return L.parse_util_lines(lines, keep=("event_index",))
 
 
 def _adjusted(parsed):
-    stamps = parsed.where(F.col("kind") == "stamp").select("source", "pos", "raw_ms")
-    return L.bump_equal_stamps(stamps, "source", "raw_ms", "pos")
+    stamps = parsed.where(F.col("kind") == "stamp").select("source", "pos", "raw_ms",
+                                                           "event_index")
+    return L.bump_equal_stamps(stamps, "source", "raw_ms", "pos", index="stamp_index")
 
 
 def stamp_bump(spark, sf_dir):
     """Stamp lines with their raw and de-duplicated times (ms since midnight)."""
-    lines, parsed = _parsed(spark, sf_dir)
-    adj = _adjusted(parsed)
-    return adj.join(lines.select("source", "pos", "line_no"), ["source", "pos"]).select(
-        "source", "line_no", "raw_ms", "adjusted_ms")
+    adj = _adjusted(_parsed(spark, sf_dir))
+    # Lines above a stamp: one sample per earlier event plus one per earlier stamp.
+    return adj.select("source", (F.col("event_index") + F.col("stamp_index")).alias("line_no"),
+                      "raw_ms", "adjusted_ms")
 
 
 def log_forward_fill(spark, sf_dir):
     """Sample lines with the newest stamp above them carried down."""
-    lines, parsed = _parsed(spark, sf_dir)
+    parsed = _parsed(spark, sf_dir)
     samples = L.carry_stamps(parsed, _adjusted(parsed))
-    return samples.join(lines.select("source", "pos", "line_no"), ["source", "pos"]).select(
-        "source", "line_no", "gpu", "util", "stamp_ms")
+    line_no = F.col("event_index") + F.col("stamp_index") + 1
+    return samples.select("source", line_no.alias("line_no"), "gpu", "util", "stamp_ms")
 
 
 def gpu_gap_fill(spark, sf_dir):
     """Per round: seconds since the first stamp and one utilisation column per GPU."""
-    _, parsed = _parsed(spark, sf_dir)
+    parsed = _parsed(spark, sf_dir)
     filled = L.gap_fill(L.carry_stamps(parsed, _adjusted(parsed)))
     return filled.select("source", F.round("t_s", 6).alias("t_s"),
                          "gpu0", "gpu1", "gpu2", "gpu3")
