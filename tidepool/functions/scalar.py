@@ -59,3 +59,8 @@ def md5_unit(seed: str, *parts: str | Column) -> Column:
     """
     text = F.concat_ws(":", F.lit(seed), *[col(p).cast("string") for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def zip_sum(a: str | Column, b: str | Column) -> Column:
+    """Element-wise sum of two equal-length lists (join by position)."""
+    return F.zip_with(col(a), col(b), lambda x, y: x + y)

@@ -114,3 +114,8 @@ def stats_wide(stats: DataFrame, key: str, stage: str, stages: Sequence[str]) ->
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def minutes_excluding(total_s: str | Column, part_s: str | Column) -> Column:
+    """(total - part) / 60: a run's time without its output phase, in minutes."""
+    return (col(total_s) - col(part_s)) / F.lit(60.0)

@@ -101,3 +101,12 @@ def word_window(word_arr: str | Column, length: str | Column, u: Column) -> tupl
     w, n = col(word_arr), col(length)
     start = F.floor(u * (F.size(w) - n + 1)).cast("int")
     return start, F.array_join(F.slice(w, start + 1, n), " ")
+
+
+def sample_rows(df: DataFrame, id_col: str, n: int, seed: int | str = 0) -> DataFrame:
+    """n rows without replacement: the first n in seeded ``md5(seed:id)`` order.
+
+    The limit is the operator (a sample); each task keeps its own first n,
+    so only n·tasks rows meet in the final merge.
+    """
+    return df.orderBy(seeded_order_key(seed, id_col), F.col(id_col)).limit(n)

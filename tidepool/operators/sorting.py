@@ -33,3 +33,8 @@ def top_k(df: DataFrame, k: int, keys: Sequence[Column]) -> DataFrame:
 def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """``head()``: the first n rows of a frame (in its current order)."""
     return df.limit(n)
+
+
+def ranks_by_id(ranks: DataFrame, id_col: str = "id", rank: str = "rank") -> DataFrame:
+    """(id, rank) sorted as printed tuples: by id as a string, then by rank."""
+    return ranks.orderBy(F.col(id_col).cast("string"), F.col(rank))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import runs as R
 from ..operators.ordered import with_ordinal
 from ..sources.tables import table
+from ..sources.text import parse_kernel_summary
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -102,18 +103,28 @@ def pipeline_load(spark, sf_dir):
 
 
 def kernel_lines(spark, sf_dir) -> DataFrame:
+    """Kernel-summary text rows rendered from events, one file per event type.
+
+    Each event is a row ``pct total instances avg med min max stddev name``;
+    the kernel name is a qualified template function built from the event's
+    ``k`` property. (ts, event_id) is the row's place in its file.
+    """
     ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("event_type").alias("run"), "ts", "event_id",
-        F.concat(F.lit("kernel_"), F.get_json_object("props", "$.k")).alias("name"),
-        F.col("value").alias("pct"),
-        F.round(F.col("value") * 1e6).cast("long").alias("time_ns"))
+    ns = F.round(F.col("value") * 1e6).cast("long")
+    name = F.concat(F.lit("void lib::kernels::kernel_"), F.get_json_object("props", "$.k"),
+                    F.lit("<__half, (int)2>(float *, unsigned long)"))
+    text = F.concat_ws("  ", F.col("value").cast("string"), ns.cast("string"), F.lit("1"),
+                       ns.cast("string"), ns.cast("string"), ns.cast("string"), ns.cast("string"),
+                       F.lit("0.0"), name)
+    return ev.select(F.concat(F.lit("/runs/"), F.col("event_type"), F.lit("_bs32_ite5.txt"))
+                     .alias("file"), "ts", "event_id", text.alias("value"))
 
 
 def kernel_rollup(spark, sf_dir):
     """Per run: total share, total time, kernel names in order of first appearance."""
-    k = R.kernel_rollup(kernel_lines(spark, sf_dir), "run", "name", ["ts", "event_id"],
-                        "pct", "time_ns")
+    rows = parse_kernel_summary(kernel_lines(spark, sf_dir))
+    rows = rows.withColumn("run", F.regexp_extract("file", r"([^/_]+)_[^/]*$", 1))
+    k = R.kernel_rollup(rows, "run", "kernel", ["ts", "event_id"], "pct", "total_ns")
     return k.select("run", r6("total_pct", "total_pct"), "total_ns", "kernels")
 
 

@@ -14,7 +14,11 @@ def read_csv_strings(spark: SparkSession, path: str, header: bool = True,
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str,
                    header: bool = True, mode: str = "strict", sep: str = ",") -> DataFrame:
-    """Header row, explicit schema. ``strict`` fails on bad text; ``drop`` skips the row."""
+    """Header row, explicit schema. ``strict`` fails on bad text; ``drop`` skips the row.
+
+    Both apply to rows as they are parsed; a bare ``count()`` may skip
+    parsing altogether (CSV column pruning) and so count a bad row.
+    """
     spark_mode = {"strict": "FAILFAST", "drop": "DROPMALFORMED"}[mode]
     return (spark.read.schema(schema).option("header", header).option("sep", sep)
             .option("mode", spark_mode).csv(path))

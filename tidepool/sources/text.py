@@ -16,22 +16,15 @@ def quote_regex(sep: str) -> str:
 def scan_text(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line, column ``value``.
 
-    ``min_partitions`` asks for at least that many input splits by capping
-    the split size at total size / min_partitions (never below 1 MiB).
+    ``min_partitions`` asks for at least that many partitions: when the
+    file splits (sized by ``spark.sql.files.maxPartitionBytes``) are fewer,
+    the lines are spread round-robin. Line order is not kept either way,
+    as with the reference's minimum-split read.
     """
-    reader = spark.read
-    if min_partitions:
-        total = _input_bytes(spark, path)
-        cap = max(1 << 20, total // max(1, min_partitions))
-        reader = reader.option("maxPartitionBytes", str(cap))
-    return reader.text(path)
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    df = spark.read.text(path)
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = df.repartition(min_partitions)
+    return df
 
 
 def parse_edges(lines: DataFrame, sep: str = "\t", comment: str | None = "#",
@@ -94,3 +87,41 @@ def hms_to_ms(c: Column) -> Column:
     p = F.split(c, ":")
     return ((p.getItem(0).cast("long") * 3600 + p.getItem(1).cast("long") * 60
              + p.getItem(2).cast("long")) * 1000)
+
+
+def scan_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files as one text each: (path, text). Each file is one row."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+# Layout of a kernel-summary row (profiler "kern_sum" text):
+# time %, total time (ns), instances, avg, median, min, max, stddev, name.
+KERNEL_FIELDS = ("pct", "total_ns", "instances", "avg_ns", "med_ns", "min_ns", "max_ns",
+                 "stddev_ns")
+_NUM = r"([0-9.]+)"
+KERNEL_ROW = r"^\s*" + r"\s+".join([_NUM] * 8) + r"\s+(.*?)\s*$"
+
+
+def parse_kernel_summary(lines: DataFrame, value: str = "value", file: str = "file") -> DataFrame:
+    """Kernel-summary text rows -> typed columns, short kernel name, run settings.
+
+    The name is everything after the eighth number (it holds blanks and
+    commas). ``kernel`` is the short name: the identifier after any
+    ``void`` and ``ns::`` qualifiers, before template or argument lists.
+    Run settings come from the file name (``bs32_tp2_pp2_ite40.txt``); a
+    setting that is absent is 0. Rows that do not match are dropped.
+    """
+    v = F.col(value)
+    ok = lines.where(v.rlike(KERNEL_ROW))
+    cols = []
+    for i, name in enumerate(KERNEL_FIELDS, start=1):
+        raw = F.regexp_extract(v, KERNEL_ROW, i)
+        to = "double" if name in ("pct", "avg_ns", "med_ns", "stddev_ns") else "long"
+        cols.append(raw.cast(to).alias(name))
+    full = F.regexp_extract(v, KERNEL_ROW, 9)
+    short = F.regexp_extract(full, r"^(?:void\s+)?(?:\w+::)*(\w+)", 1)
+    base = F.regexp_extract(F.col(file), r"([^/]*)$", 1)
+    settings = [F.coalesce(F.regexp_extract(base, rf"(?:^|_){k}(\d+)", 1).try_cast("int"),
+                           F.lit(0)).alias(k) for k in ("bs", "tp", "pp", "ite")]
+    return ok.select("*", *cols, full.alias("name"), short.alias("kernel"), *settings)
