@@ -9,10 +9,11 @@ PageRank plan, per round (see ``pagerank``):
     contrib = weights ⋈ ranks (src = id)  -> partial sum by dst -> exchange -> sum
     ranks   = vertices ⟕ contrib (id = dst) -> (1-d) + d * coalesce(contrib, 0)
 
-``weights`` (one row per distinct (src, dst) with share m/deg) is hash
-partitioned by src and ``vertices`` by id, both with the same partition
-count and materialised once, so the join with ranks needs no exchange and
-the left join with the aggregate needs none either: one exchange per round.
+``weights`` (one row per distinct (src, dst) with share m/deg) and
+``vertices`` are written once as tables bucketed by src and id with the same
+partition count, so the join with ranks needs no exchange and the left join
+with the aggregate needs none either: one exchange per round (plus one of
+the vertex-sized ranks after each lineage cut).
 Sources with more distinct targets than an average partition holds
 ("hubs", at most one per partition by construction) are kept apart: their
 edges stay spread out and meet their ranks through a broadcast of at most
@@ -170,11 +171,11 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
             "id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("_c"), F.lit(0.0)))
             .alias("rank"))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < iterations:
-            # Cut the growing lineage with a written table in the shared
-            # folder; bucketed on id, so the next round's joins stay
-            # exchange-free.
-            ranks, t_r = write_bucketed(ranks, n, "id", "pr_ranks")
-            tables += [t_r] if t_r else []
+            # Cut the growing lineage (reliable checkpoint in the shared
+            # folder). The checkpoint forgets its partitioning, so the ranks
+            # (one row per vertex, far fewer than edges) are hashed by id
+            # once more; the edge side never moves.
+            ranks = materialize(ranks).repartition(n, "id")
     return ranks, [w], tables
 
 
