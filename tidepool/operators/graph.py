@@ -130,12 +130,15 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
                   checkpoint_every: int = 3, num_partitions: int | None = None):
     """The lazy PageRank plan, the frames it caches and the tables it wrote (for ``explain``)."""
     spark = edges.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     w = edge_weights(edges).select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     fan = w.groupBy("src").agg(F.count(F.lit(1)).alias("_fan"))
     n_pairs, max_fan = fan.agg(F.sum("_fan"), F.max("_fan")).first()
     n_pairs, max_fan = n_pairs or 0, max_fan or 0
+    # The per-round aggregate exchanges into spark.sql.shuffle.partitions
+    # partitions; the bucketed tables use the same count so that the joins
+    # with it stay co-partitioned (a different count would make Spark move
+    # the edge side every round).
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hub_threshold = max(1, -(-n_pairs // n))
     has_hubs = max_fan > hub_threshold
     if has_hubs:

@@ -45,10 +45,11 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "p
     ``order_by`` should be a unique key; ties get an arbitrary but fixed order
     (the sorted frame is checkpointed, so every later read sees the same one).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(order_by)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE may merge adjacent ranges (order kept);
+    # spark_partition_id below is read after that, on the final layout.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     tagged = materialize(ranged.withColumn(_PID, F.spark_partition_id())
                          .withColumn(_MID, F.monotonically_increasing_id()))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_tp_n"))
@@ -120,15 +121,12 @@ def fill_forward(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     in_block = Window.partitionBy("_tp_blk").orderBy(pos).rowsBetween(
         Window.unboundedPreceding, 0)
     tagged = tagged.withColumn("_tp_local", F.last(carrier, ignorenulls=True).over(in_block))
-    # One row per block: its last carrier.
-    tails = (tagged.where(F.col(value).isNotNull())
-             .groupBy("_tp_blk")
-             .agg(F.max_by(carrier, F.col(pos)).alias("_tp_tail")))
+    # One row per block: the carrier in force at its last row, then the
+    # carrier in force before each block (a window over blocks only).
+    tails = tagged.groupBy("_tp_blk").agg(F.max_by("_tp_local", F.col(pos)).alias("_tp_tail"))
     earlier = Window.orderBy("_tp_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (tagged.select("_tp_blk").distinct()
-              .join(tails, "_tp_blk", "left")
-              .select("_tp_blk", F.last("_tp_tail", ignorenulls=True).over(earlier)
-                      .alias("_tp_carry")))
+    blocks = tails.select("_tp_blk", F.last("_tp_tail", ignorenulls=True).over(earlier)
+                          .alias("_tp_carry"))
     out = tagged.join(blocks, "_tp_blk", "left")
     local_ok = F.col("_tp_local").isNotNull()
     chosen = F.when(local_ok,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import logs as L
 from ..operators.ordered import with_group_start, with_ordinal, with_prev, with_row_number
+from ..session import materialize
 from ..sources.tables import table
 from ..sources.text import field, field_lines
 
@@ -43,15 +44,21 @@ def util_log_lines(spark, sf_dir) -> DataFrame:
     return stamps.unionByName(samples)
 
 
+# The parsed lines and the adjusted stamps are each read by more than one
+# later step; they are checkpointed so every reader sees one computed copy
+# and the plans of later steps stay small.
+
+
 def _parsed(spark, sf_dir):
     lines = util_log_lines(spark, sf_dir)
-    return L.parse_util_lines(lines, keep=("event_index",))
+    return materialize(L.parse_util_lines(lines, keep=("event_index",)))
 
 
 def _adjusted(parsed):
     stamps = parsed.where(F.col("kind") == "stamp").select("source", "pos", "raw_ms",
                                                            "event_index")
-    return L.bump_equal_stamps(stamps, "source", "raw_ms", "pos", index="stamp_index")
+    return materialize(L.bump_equal_stamps(stamps, "source", "raw_ms", "pos",
+                                           index="stamp_index"))
 
 
 def stamp_bump(spark, sf_dir):
@@ -73,7 +80,7 @@ def log_forward_fill(spark, sf_dir):
 def gpu_gap_fill(spark, sf_dir):
     """Per round: seconds since the first stamp and one utilisation column per GPU."""
     parsed = _parsed(spark, sf_dir)
-    filled = L.gap_fill(L.carry_stamps(parsed, _adjusted(parsed)))
+    filled = L.gap_fill(materialize(L.carry_stamps(parsed, _adjusted(parsed))))
     return filled.select("source", F.round("t_s", 6).alias("t_s"),
                          "gpu0", "gpu1", "gpu2", "gpu3")
 
