@@ -114,25 +114,35 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     The result is checkpointed, so it does not depend on the caches used
     by the loop, which are released before returning.
     """
+    return pagerank_with_sources(edges, iterations, damping, checkpoint_every,
+                                 num_partitions)[0]
+
+
+def pagerank_with_sources(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
+                          checkpoint_every: int = 3, num_partitions: int | None = None):
+    """``pagerank`` plus the number of source vertices (the normaliser), which
+    falls out of the same aggregate that sizes the hubs."""
     if iterations <= 0:
-        return initial_ranks(edges)
-    ranks, cached, tables = pagerank_plan(edges, iterations, damping, checkpoint_every,
-                                          num_partitions)
+        return initial_ranks(edges), source_count(edges)
+    ranks, cached, tables, n_sources = pagerank_plan(edges, iterations, damping,
+                                                     checkpoint_every, num_partitions,
+                                                     with_sources=True)
     ranks = materialize(ranks)
     for c in cached:
         c.unpersist()
     for t in tables:
         drop_table(edges.sparkSession, t)
-    return ranks
+    return ranks, n_sources
 
 
 def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
-                  checkpoint_every: int = 3, num_partitions: int | None = None):
+                  checkpoint_every: int = 3, num_partitions: int | None = None,
+                  with_sources: bool = False):
     """The lazy PageRank plan, the frames it caches and the tables it wrote (for ``explain``)."""
     spark = edges.sparkSession
     w = edge_weights(edges).select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     fan = w.groupBy("src").agg(F.count(F.lit(1)).alias("_fan"))
-    n_pairs, max_fan = fan.agg(F.sum("_fan"), F.max("_fan")).first()
+    n_pairs, max_fan, n_sources = fan.agg(F.sum("_fan"), F.max("_fan"), F.count(F.lit(1))).first()
     n_pairs, max_fan = n_pairs or 0, max_fan or 0
     # The per-round aggregate exchanges into spark.sql.shuffle.partitions
     # partitions; the bucketed tables use the same count so that the joins
@@ -179,6 +189,8 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
             # (one row per vertex, far fewer than edges) are hashed by id
             # once more; the edge side never moves.
             ranks = materialize(ranks).repartition(n, "id")
+    if with_sources:
+        return ranks, [w], tables, n_sources
     return ranks, [w], tables
 
 

@@ -81,8 +81,8 @@ def pagerank_dangling(spark, sf_dir):
 
 
 def _normalised(spark, sf_dir):
-    e = lineitem_graph(spark, sf_dir)
-    return G.normalise(G.pagerank(e, iterations=10), G.source_count(e))
+    ranks, n_sources = G.pagerank_with_sources(lineitem_graph(spark, sf_dir), iterations=10)
+    return G.normalise(ranks, n_sources)
 
 
 def pagerank_normalised(spark, sf_dir):
