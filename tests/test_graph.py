@@ -126,3 +126,13 @@ def test_pagerank_checkpoint_keeps_partitioning(spark):
         assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partition_reuse_for_bucket_aggregate(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["partition_balance"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("REPARTITION_BY_NUM")[0]
+    # the per-bucket aggregate (with its distinct count) sits on the one key exchange
+    assert "Exchange" in above and above.count("Exchange") == 1
