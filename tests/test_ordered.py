@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from tidepool.operators.ordered import fill_forward, with_next, with_ordinal, with_row_number
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Per-channel mean and std of the image data, on the 0-255
@@ -26,8 +28,8 @@ MOMENTUM = 0.9
 WEIGHT_DECAY = 0.0001
 
 
-def shard_gradients(rows, weights, shard: str = "shard", label: str = "label",
-                    vec: str = "embedding"):
+def shard_gradients(rows: DataFrame, weights, shard: str = "shard", label: str = "label",
+                    vec: str = "embedding") -> DataFrame:
     """Mean cross-entropy gradient of a linear softmax classifier, averaged over shards.
 
     Each shard's gradient is the mean over its rows; the result is the mean
@@ -37,10 +39,6 @@ def shard_gradients(rows, weights, shard: str = "shard", label: str = "label",
     NumPy (``mapInPandas``), then reduced by Spark in two phases. Returns
     (cls, dim, grad).
     """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     w = np.asarray(weights, dtype=np.float64)
     k, d = w.shape
 
@@ -78,17 +76,15 @@ def shard_gradients(rows, weights, shard: str = "shard", label: str = "label",
     return per_shard.groupBy("cls", "dim").agg(F.avg("g").alias("grad"))
 
 
-def collect_matrix(long_df, value: str, k: int, d: int):
+def collect_matrix(long_df: DataFrame, value: str, k: int, d: int) -> np.ndarray:
     """(cls, dim, value) rows → k×d array. Size is the model's, not the data's."""
-    import numpy as np
-
     out = np.zeros((k, d))
     for r in long_df.collect():
         out[r["cls"], r["dim"]] = r[value]
     return out
 
 
-def softmax_sgd(rows, steps: int, classes: int, dims: int, step_col: str = "step",
+def softmax_sgd(rows: DataFrame, steps: int, classes: int, dims: int, step_col: str = "step",
                 lr: float = LEARNING_RATE, momentum: float = MOMENTUM,
                 weight_decay: float = WEIGHT_DECAY, shard: str = "shard",
                 label: str = "label", vec: str = "embedding"):
@@ -98,13 +94,9 @@ def softmax_sgd(rows, steps: int, classes: int, dims: int, step_col: str = "step
     g += wd·w; buf = momentum·buf + g; w -= lr·buf. Only the weights
     (classes × dims) live on the driver. Returns the final weight matrix.
     """
-    import numpy as np
-
     w = np.zeros((classes, dims))
     buf = None
     for t in range(steps):
-        from pyspark.sql import functions as F
-
         g = collect_matrix(shard_gradients(rows.where(F.col(step_col) == t), w, shard, label, vec),
                            "grad", classes, dims)
         g = g + weight_decay * w
@@ -113,7 +105,7 @@ def softmax_sgd(rows, steps: int, classes: int, dims: int, step_col: str = "step
     return w
 
 
-def matrix_frame(spark, m, value: str = "w"):
+def matrix_frame(spark: SparkSession, m: np.ndarray, value: str = "w") -> DataFrame:
     """k×d array → (cls, dim, value) frame."""
     rows = [(int(c), int(j), float(m[c, j])) for c in range(m.shape[0]) for j in range(m.shape[1])]
     return spark.createDataFrame(rows, f"cls int, dim int, {value} double")

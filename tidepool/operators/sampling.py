@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col, md5_unit
+from ..functions.scalar import col
 from .ordered import with_ordinal
 
 # Whitespace that separates words: space, tab, newline, carriage return.
