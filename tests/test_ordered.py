@@ -39,3 +39,19 @@ def test_fill_forward_small_blocks(spark):
             last[k] = v
         want[t] = last.get(k)
     assert got == want
+
+
+def test_group_start_small_blocks(spark):
+    rnd = random.Random(11)
+    keys = ["hot"] * 120 + [f"k{i // 5}" for i in range(60)] + ["tail"] * 20
+    rows = [(k, i, rnd.random()) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, t int, x double")
+    from tidepool.operators.ordered import with_group_start
+    o = with_ordinal(df, ["k", "t"], "pos", num_partitions=6)
+    for block in (1, 4, 7, 1000):
+        got = {r.t: r.pos - r.gs for r in with_group_start(o, ["k"], "pos", "gs", block_rows=block).collect()}
+        want, seen = {}, {}
+        for k, t, _ in sorted(rows):
+            seen[k] = seen.get(k, -1) + 1
+            want[t] = seen[k]
+        assert got == want, block

@@ -10,8 +10,9 @@ data. The helpers here avoid that:
   offsets table is bounded by the partition count and safe to broadcast).
 * ``with_next`` pairs each row with the row one position later (same key):
   an equi-join on the unique position, so no key can skew it.
-* ``with_group_start`` gives the position of the first row of each key; an
-  aggregate (two-phase, map-side combined) joined back on the key.
+* ``with_group_start`` gives the position of the first row of each key from
+  windows over fixed-size blocks of positions plus a one-row-per-block
+  table, so a hot key never meets a join on its own key.
 * ``fill_forward`` carries the last non-null value down within a key. It
   works on fixed-size blocks of positions (``block_rows`` each), so window
   partitions are bounded no matter how rows fall on keys; the carry between
@@ -94,14 +95,35 @@ def with_prev(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
 
 
 def with_group_start(df: DataFrame, keys: Sequence[str], pos: str,
-                     name: str = "group_start") -> DataFrame:
+                     name: str = "group_start",
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Add the position of the first row of each key (``row_number = pos - start + 1``).
 
-    The min is a two-phase aggregate; the join back is an equi-join where
-    AQE's skew-join split applies to the large side.
+    ``pos`` must be unique and increase along an order led by ``keys``.
+    Balanced by construction: rows are cut into blocks of ``block_rows``
+    positions; a window inside each block finds where keys change, so a key
+    that starts inside a block gets its start there. Only the first key of a
+    block can have started earlier; its start comes from a two-phase
+    ``min(pos)`` per key, joined to the one-row-per-block table.
     """
-    starts = df.groupBy(*keys).agg(F.min(pos).alias(name))
-    return df.join(starts, list(keys))
+    key = F.struct(*[F.col(k) for k in keys])
+    blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long")
+    in_block = Window.partitionBy("_tp_gblk").orderBy(pos)
+    t = df.withColumn("_tp_gblk", blk).withColumn("_tp_gkey", key)
+    prev_key = F.lag("_tp_gkey").over(in_block)
+    t = t.withColumn("_tp_gmark", F.when(prev_key.isNull() | (prev_key != F.col("_tp_gkey")),
+                                         F.col(pos)))
+    t = t.withColumn("_tp_glocal", F.last("_tp_gmark", ignorenulls=True).over(
+        in_block.rowsBetween(Window.unboundedPreceding, 0)))
+    starts = df.groupBy(key.alias("_tp_gkey")).agg(F.min(pos).alias("_tp_gstart"))
+    firsts = (t.groupBy("_tp_gblk").agg(F.min_by("_tp_gkey", F.col(pos)).alias("_tp_gkey"))
+              .join(starts, "_tp_gkey")
+              .select("_tp_gblk", F.col("_tp_gkey").alias("_tp_gfirst"), "_tp_gstart"))
+    out = t.join(firsts, "_tp_gblk")
+    start = F.when(F.col("_tp_gkey") == F.col("_tp_gfirst"), F.col("_tp_gstart")).otherwise(
+        F.col("_tp_glocal"))
+    return out.withColumn(name, start).drop("_tp_gblk", "_tp_gkey", "_tp_gmark", "_tp_glocal",
+                                            "_tp_gfirst", "_tp_gstart")
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], pos: str, value: str,
