@@ -101,28 +101,30 @@ KERNEL_FIELDS = ("pct", "total_ns", "instances", "avg_ns", "med_ns", "min_ns", "
                  "stddev_ns")
 
 
+_NUM = r"[0-9]+(?:\.[0-9]+)?"
+KERNEL_ROW = r"^\s*" + r"\s+".join([_NUM] * 8) + r"\s+\S"
+
+
 def parse_kernel_summary(lines: DataFrame, value: str = "value", file: str = "file") -> DataFrame:
     """Kernel-summary text rows -> typed columns, short kernel name, run settings.
 
-    One split on blanks with a limit of nine fields: the ninth is the name,
-    kept whole (it holds blanks and commas). ``kernel`` is the short name:
-    the identifier after any ``void`` and ``ns::`` qualifiers, before
-    template or argument lists. Run settings come from the file name
-    (``bs32_tp2_pp2_ite40.txt``); a setting that is absent is 0. Rows whose
-    first eight fields are not all numbers are dropped.
+    A row is kept when it starts with eight numbers and a name (one regex
+    test on the raw line, so the filter never re-evaluates the parse). The
+    fields come from one split on blanks with a limit of nine: the ninth is
+    the name, kept whole (it holds blanks and commas). ``kernel`` is the
+    short name: the identifier after any ``void`` and ``ns::`` qualifiers,
+    before template or argument lists. Run settings come from the file name
+    (``bs32_tp2_pp2_ite40.txt``); a setting that is absent is 0.
     """
+    kept = lines.where(F.col(value).rlike(KERNEL_ROW))
     parts = F.split(F.trim(F.col(value), F.lit(" \t")), r"\s+", 9)
     cols = []
     for i, name in enumerate(KERNEL_FIELDS):
         to = "double" if name in ("pct", "avg_ns", "med_ns", "stddev_ns") else "long"
-        cols.append(F.get(parts, i).try_cast(to).alias(name))
-    full = F.get(parts, 8)
+        cols.append(parts.getItem(i).cast(to).alias(name))
+    full = parts.getItem(8)
     short = F.regexp_extract(full, r"^(?:void\s+)?(?:\w+::)*(\w+)", 1)
     base = F.regexp_extract(F.col(file), r"([^/]*)$", 1)
     settings = [F.coalesce(F.regexp_extract(base, rf"(?:^|_){k}(\d+)", 1).try_cast("int"),
                            F.lit(0)).alias(k) for k in ("bs", "tp", "pp", "ite")]
-    out = lines.select("*", *cols, full.alias("name"), short.alias("kernel"), *settings)
-    ok = F.col("name").isNotNull()
-    for c in KERNEL_FIELDS:
-        ok = ok & F.col(c).isNotNull()
-    return out.where(ok)
+    return kept.select("*", *cols, full.alias("name"), short.alias("kernel"), *settings)
