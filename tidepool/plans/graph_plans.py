@@ -17,13 +17,17 @@ from ..sources.tables import table
 from ..sources.text import parse_edges
 
 
-def lineitem_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The edge table, checkpointed once: every query reads it more than once
-    (weights, vertices, sources), and a checkpoint turns each read into a
-    scan of two narrow columns instead of a rerun of the ordinal join."""
+def lineitem_graph(spark: SparkSession, sf_dir: str, reused: bool = True) -> DataFrame:
+    """The part-to-next-part edge table.
+
+    ``reused``: the caller reads the edges more than once (weights, vertices,
+    sources), so they are checkpointed and each read is a scan of two narrow
+    columns instead of a rerun of the ordinal join. Single-read queries skip
+    the extra write.
+    """
     li = table(spark, sf_dir, "lineitem")
-    return materialize(
-        G.edges_from_sequences(li, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey"))
+    edges = G.edges_from_sequences(li, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey")
+    return materialize(edges) if reused else edges
 
 
 def r6(c: str):
@@ -41,15 +45,15 @@ def edge_parse(spark, sf_dir):
 
 
 def graph_vertices(spark, sf_dir):
-    return G.vertices(lineitem_graph(spark, sf_dir))
+    return G.vertices(lineitem_graph(spark, sf_dir, reused=False))
 
 
 def graph_out_degree(spark, sf_dir):
-    return G.out_degree(lineitem_graph(spark, sf_dir))
+    return G.out_degree(lineitem_graph(spark, sf_dir, reused=False))
 
 
 def graph_adjacency(spark, sf_dir):
-    return G.adjacency(lineitem_graph(spark, sf_dir))
+    return G.adjacency(lineitem_graph(spark, sf_dir, reused=False))
 
 
 def graph_contributions(spark, sf_dir):
@@ -104,7 +108,7 @@ def partition_balance(spark, sf_dir, n: int = 105):
 
     The per-bucket aggregate reuses that partitioning (no second exchange).
     """
-    e = lineitem_graph(spark, sf_dir).withColumn("bucket", bucket_of("src", n))
+    e = lineitem_graph(spark, sf_dir, reused=False).withColumn("bucket", bucket_of("src", n))
     parted = partition_by_key(e, n, "bucket")
     return parted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_edges"),
                                         F.count_distinct("src").alias("n_sources"))
