@@ -55,3 +55,14 @@ def test_group_start_small_blocks(spark):
             seen[k] = seen.get(k, -1) + 1
             want[t] = seen[k]
         assert got == want, block
+
+
+def test_attach_by_key_small_blocks(spark):
+    from tidepool.operators.ordered import attach_by_key
+
+    keys = ["hot"] * 50 + ["a"] * 3 + ["b"] * 9
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, p long")
+    vals = spark.createDataFrame([("hot", 1.0), ("a", 2.0), ("b", 3.0)], "k string, v double")
+    for block in (1, 4, 1000):
+        got = sorted((r.p, r.v) for r in attach_by_key(rows, ["k"], "p", vals, block).collect())
+        assert got == [(i, {"hot": 1.0, "a": 2.0, "b": 3.0}[k]) for i, k in enumerate(keys)]

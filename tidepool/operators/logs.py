@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.text import hms_to_ms
-from .ordered import fill_forward, with_group_start, with_ordinal, with_prev
+from .ordered import attach_by_key, fill_forward, with_group_start, with_ordinal, with_prev
 
 BUMP_MS = 300
 
@@ -96,12 +96,14 @@ def gap_fill(samples: DataFrame, source: str = "source", gpus: int = 4) -> DataF
     ids = list(range(gpus))
     rounds = (samples.groupBy(source, "stamp_pos", "stamp_ms")
               .pivot("gpu", ids).agg(F.max_by("util", "pos")))
-    rounds = rounds.select(source, "stamp_ms",
+    rounds = rounds.select(source, "stamp_pos", "stamp_ms",
                            *[F.coalesce(F.col(str(g)), F.lit(0).cast("long")).alias(f"gpu{g}")
                              for g in ids])
     bounds = rounds.groupBy(source).agg(F.min("stamp_ms").alias("_lo"),
                                         F.max("stamp_ms").alias("_hi"))
-    points = rounds.join(bounds, source).select(
+    # Rounds are contiguous per source in stamp_pos order: attach the bounds
+    # by (block, source) so a long log's rounds are spread over tasks.
+    points = attach_by_key(rounds, [source], "stamp_pos", bounds).select(
         source, ((F.col("stamp_ms") - F.col("_lo")) / 1000.0).alias("t_s"),
         *[f"gpu{g}" for g in ids])
     closing = bounds.select(

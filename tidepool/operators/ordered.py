@@ -168,3 +168,20 @@ def with_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     o = with_ordinal(df, [*keys, *order_by], "pos")
     s = with_group_start(o, keys, "pos", "_tp_start")
     return s.withColumn(name, F.col("pos") - F.col("_tp_start")).drop("_tp_start")
+
+
+def attach_by_key(rows: DataFrame, keys: Sequence[str], pos: str, values: DataFrame,
+                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Join one-row-per-key ``values`` onto ``rows`` without a join on the key alone.
+
+    ``pos`` must be unique and increase along an order led by ``keys`` (each
+    key's rows contiguous). Rows are cut into blocks of ``block_rows``
+    positions; the (block, key) pairs present (at most blocks + keys of them,
+    since keys are contiguous) pick up their values, and rows join the pairs
+    on (block, key): every join group holds at most ``block_rows`` rows, so
+    a hot key is spread over its blocks.
+    """
+    blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long").alias("_tp_ablk")
+    tagged = rows.withColumn("_tp_ablk", blk)
+    pairs = tagged.select("_tp_ablk", *keys).distinct().join(values, list(keys))
+    return tagged.join(pairs, ["_tp_ablk", *keys]).drop("_tp_ablk")
