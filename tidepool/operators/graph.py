@@ -71,13 +71,57 @@ def adjacency_lists(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.collect_list("dst").alias("targets"))
 
 
-def edge_weights(edges: DataFrame) -> DataFrame:
-    """(src, dst, weight = multiplicity / out_degree, multiplicity)."""
+def source_stats(pairs: DataFrame) -> DataFrame:
+    """Per source: out-degree (multi-edges counted) and number of distinct targets."""
+    return pairs.groupBy("src").agg(F.sum("multiplicity").alias("_deg"),
+                                    F.count(F.lit(1)).alias("_fan"))
+
+
+def hub_sources(stats: DataFrame, n: int):
+    """Sources with more distinct targets than an average partition holds.
+
+    At most ``n`` sources can each hold more than (pairs / n) targets, so
+    the returned frame (column ``id``) is bounded by the partition count.
+    Returns (hubs or None, number of pairs, number of sources).
+    """
+    n_pairs, max_fan, n_sources = stats.agg(F.sum("_fan"), F.max("_fan"),
+                                            F.count(F.lit(1))).first()
+    n_pairs, max_fan = n_pairs or 0, max_fan or 0
+    threshold = max(1, -(-n_pairs // n))
+    if max_fan <= threshold:
+        return None, n_pairs, n_sources or 0
+    ids = [r[0] for r in stats.where(F.col("_fan") > threshold).select("src").collect()]
+    schema = StructType([StructField("id", stats.schema["src"].dataType)])
+    return stats.sparkSession.createDataFrame([(i,) for i in ids], schema), n_pairs, n_sources
+
+
+def weights_from(pairs: DataFrame, stats: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """(src, dst, multiplicity, weight = multiplicity / out-degree).
+
+    Hub pairs meet their degree through a broadcast of the hubs' stats (at
+    most one row per partition); every other source holds at most an
+    average partition's worth of pairs, so the plain join is balanced.
+    """
+    if hubs is None:
+        joined = pairs.join(stats, "src")
+    else:
+        hub_stats = stats.join(F.broadcast(hubs), stats.src == hubs.id, "left_semi")
+        on_hub = (pairs.join(F.broadcast(hubs), pairs.src == hubs.id, "left_semi")
+                  .join(F.broadcast(hub_stats), "src"))
+        rest = (pairs.join(F.broadcast(hubs), pairs.src == hubs.id, "left_anti")
+                .join(stats, "src"))
+        joined = on_hub.unionByName(rest)
+    return joined.select("src", "dst", "multiplicity",
+                         (F.col("multiplicity") / F.col("_deg")).alias("weight"))
+
+
+def edge_weights(edges: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """(src, dst, multiplicity, weight = multiplicity / out_degree)."""
+    n = num_partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = adjacency(edges)
-    deg = pairs.groupBy("src").agg(F.sum("multiplicity").alias("_deg"))
-    return (pairs.join(deg, "src")
-            .select("src", "dst", "multiplicity",
-                    (F.col("multiplicity") / F.col("_deg")).alias("weight")))
+    stats = source_stats(pairs)
+    hubs, _, _ = hub_sources(stats, n)
+    return weights_from(pairs, stats, hubs)
 
 
 def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -140,27 +184,22 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
                   with_sources: bool = False):
     """The lazy PageRank plan, the frames it caches and the tables it wrote (for ``explain``)."""
     spark = edges.sparkSession
-    w = edge_weights(edges).select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    fan = w.groupBy("src").agg(F.count(F.lit(1)).alias("_fan"))
-    n_pairs, max_fan, n_sources = fan.agg(F.sum("_fan"), F.max("_fan"), F.count(F.lit(1))).first()
-    n_pairs, max_fan = n_pairs or 0, max_fan or 0
     # The per-round aggregate exchanges into spark.sql.shuffle.partitions
     # partitions; the bucketed tables use the same count so that the joins
     # with it stay co-partitioned (a different count would make Spark move
     # the edge side every round).
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hub_threshold = max(1, -(-n_pairs // n))
-    has_hubs = max_fan > hub_threshold
+    keep = StorageLevel.MEMORY_AND_DISK
+    pairs = adjacency(edges).persist(keep)
+    stats = source_stats(pairs).persist(keep)
+    hubs, n_pairs, n_sources = hub_sources(stats, n)
+    w = weights_from(pairs, stats, hubs).select("src", "dst", "weight")
+    has_hubs = hubs is not None
     if has_hubs:
-        # At most n sources can each hold more than n_pairs / n distinct
-        # targets, so this list is bounded by the partition count.
-        ids = [r[0] for r in fan.where(F.col("_fan") > hub_threshold).select("src").collect()]
-        hubs = spark.createDataFrame([(i,) for i in ids],
-                                     StructType([StructField("id", fan.schema["src"].dataType)]))
         is_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
         not_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
     else:
-        hubs, is_hub, not_hub = None, None, w
+        is_hub, not_hub = None, w
     # Loop invariants are written once as bucketed tables in the shared
     # checkpoint folder: they survive executor loss, and their scans report
     # hash partitioning on the join key, so the per-round joins with ranks
@@ -190,8 +229,8 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
             # once more; the edge side never moves.
             ranks = materialize(ranks).repartition(n, "id")
     if with_sources:
-        return ranks, [w], tables, n_sources
-    return ranks, [w], tables
+        return ranks, [pairs, stats], tables, n_sources
+    return ranks, [pairs, stats], tables
 
 
 def source_count(edges: DataFrame) -> int:
