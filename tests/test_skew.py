@@ -58,3 +58,18 @@ def test_pagerank_with_a_hub_matches_row_rule(spark):
     want = brute_pagerank(edges, 5)
     assert set(got) == set(want)
     assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_contributions_with_a_hub(spark):
+    edges = [("h", f"t{i}") for i in range(300)] + [("h", "t0"), ("t1", "h"), ("t2", "t3")]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    got = {(r.src, r.dst): r.contribution
+           for r in G.contributions(df, G.initial_ranks(df), num_partitions=8).collect()}
+    deg = defaultdict(int)
+    mult = defaultdict(int)
+    for s, t in edges:
+        deg[s] += 1
+        mult[(s, t)] += 1
+    want = {k: m / deg[k[0]] for k, m in mult.items()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-12

@@ -124,14 +124,28 @@ def edge_weights(edges: DataFrame, num_partitions: int | None = None) -> DataFra
     return weights_from(pairs, stats, hubs)
 
 
-def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
+def contributions(edges: DataFrame, ranks: DataFrame,
+                  num_partitions: int | None = None) -> DataFrame:
     """One row per distinct edge: contribution = multiplicity * rank(src) / deg(src).
 
     Inner join on the source: vertices without out-edges contribute nothing.
+    Hub sources (at most one per partition) meet their ranks through a
+    bounded broadcast; the rest join normally.
     """
-    w = edge_weights(edges)
-    return (w.join(ranks, w.src == ranks.id)
-            .select("src", "dst", (F.col("weight") * F.col("rank")).alias("contribution")))
+    n = num_partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = adjacency(edges)
+    stats = source_stats(pairs)
+    hubs, _, _ = hub_sources(stats, n)
+    w = weights_from(pairs, stats, hubs)
+    if hubs is None:
+        joined = w.join(ranks, w.src == ranks.id)
+    else:
+        hub_ranks = ranks.join(F.broadcast(hubs), "id", "left_semi")
+        joined = (w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
+                  .join(F.broadcast(hub_ranks), F.col("src") == hub_ranks.id)
+                  .unionByName(w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
+                               .join(ranks, F.col("src") == ranks.id)))
+    return joined.select("src", "dst", (F.col("weight") * F.col("rank")).alias("contribution"))
 
 
 def contribution_totals(edges: DataFrame, ranks: DataFrame) -> DataFrame:
