@@ -7,8 +7,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults for a local run. On a cluster the submitter's own settings win:
-# `get_session` only fills keys that are still unset.
+# Defaults for sessions built by `get_session` (tests, bench, tools). Library
+# functions never change session settings: on a cluster the caller's own
+# session and its spark.checkpoint.dir are used as they are.
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
