@@ -37,3 +37,24 @@ def test_util_log_gap_fill(spark, tmp_path):
     samples = L.carry_stamps(parsed, adj)
     got = sorted((r.t_s, r.gpu0, r.gpu1, r.gpu2, r.gpu3) for r in L.gap_fill(samples).collect())
     assert got == [(0.0, 10, 20, 0, 0), (0.3, 30, 0, 0, 5), (1.0, 0, 0, 7, 0), (2.0, 0, 0, 0, 0)]
+
+
+def test_scan_lines_many_splits_and_files(spark, tmp_path):
+    # small split size: each file is read by several tasks
+    for name, n in (("a.log", 30000), ("b.log", 17000)):
+        (tmp_path / name).write_text("".join(f"{name}:{i:06d}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 2
+        rows = scan_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.file.rsplit("/", 1)[-1], []).append((r.line_no, r.value))
+    for name, n in (("a.log", 30000), ("b.log", 17000)):
+        got = sorted(by_file[name])
+        assert [ln for ln, _ in got] == list(range(n))
+        assert [v for _, v in got] == [f"{name}:{i:06d}" for i in range(n)]
