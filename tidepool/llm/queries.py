@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import LOWER, UPPER, ascii_lower, table
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.warc import read_archives, write_archives
 
 
 def tokenizer_path(name: str) -> str:
@@ -29,6 +30,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, and what the archives give back."""
+    files = write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
+    rows = read_archives(files, with_data=False).where("last")
+    return rows.select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes",
+        F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of all documents, with the SHA-256 of the normalised text."""
     docs = table(spark, sf_dir, "documents")
@@ -37,9 +48,30 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op7_warc_chunks, op9_exact_dedup)}
+
+def base32(h: str) -> str:
+    """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
+    letter = ("substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+              "1 + ((('0x' || substr({h}, {at}, 5))::int >> {shift}) & 31), 1)")
+    return " || ".join(letter.format(h=h, at=i // 4 * 5 + 1, shift=15 - i % 4 * 5) for i in range(32))
+
 
 ORACLES = {
+    "op7_warc_chunks": f"""
+with p as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes,
+         sha1(coalesce(html, '')) as h
+  from pages),
+d as (
+  select page_id, payload_bytes,
+         {base32('h')} as payload_digest,
+         max(page_id) over (partition by h) as best
+  from p)
+select page_id, payload_bytes, payload_digest,
+       case when page_id = best then 'response' else 'revisit' end as record_type,
+       case when page_id <> best then best end as refers_to
+from d""",
     "op9_exact_dedup": f"""
 with d as (
   select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as t from documents)
