@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 
 # Pieces of one length that a window sorts together; longer runs are split.
-RANK_BLOCK = 1 << 18
+RANK_BLOCK = 1 << 14
 
 # Distinct words whose ids a Python worker remembers.
 CACHE_WORDS = 400_000

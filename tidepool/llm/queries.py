@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import LOWER, UPPER, ascii_lower, table
+from tidepool.llm.common import LOWER, UPPER, ascii_lower, crc32_mod, table
+from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.toxicity import fit_toxicity, score_toxicity
 from tidepool.llm.warc import read_archives, write_archives
 
 
@@ -24,12 +26,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items that documents hold, with their place and alignment score."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of 4096."""
     packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; learnt from labels whose crc32(doc_id) mod 4 is not 2."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = fit_toxicity(docs, labels.where(crc32_mod(F.col("doc_id"), 4) != 2))
+    return score_toxicity(docs, field, spans=True).select(
+        "doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted", "spans")
+
+
 def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, and what the archives give back."""
     files = write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
@@ -48,7 +63,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op7_warc_chunks, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op6_toxicity_crf, op7_warc_chunks, op9_exact_dedup)}
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
