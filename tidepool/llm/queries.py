@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import LOWER, UPPER, ascii_lower, crc32_mod, table
+from tidepool.llm.context_tree import score_texts
 from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.packing import pack_documents
@@ -37,6 +38,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those whose crc32(doc_id) mod 10 is not 0."""
+    held_out = crc32_mod(F.col("doc_id"), 10) == 0
+    return score_texts(table(spark, sf_dir, "documents"), held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op6_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; learnt from labels whose crc32(doc_id) mod 4 is not 2."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -63,7 +71,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op6_toxicity_crf, op7_warc_chunks, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op6_toxicity_crf, op7_warc_chunks, op9_exact_dedup)}
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
