@@ -14,6 +14,7 @@ from tidepool.llm.context_tree import score_texts
 from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.token_counts import count_tokens
 from tidepool.llm.toxicity import fit_toxicity, score_toxicity
 from tidepool.llm.warc import read_archives, write_archives
 
@@ -63,6 +64,11 @@ def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents by the unigram model over the piece vocabulary."""
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of all documents, with the SHA-256 of the normalised text."""
     docs = table(spark, sf_dir, "documents")
@@ -71,7 +77,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op6_toxicity_crf, op7_warc_chunks, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup)}
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
