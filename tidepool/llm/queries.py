@@ -13,6 +13,7 @@ from tidepool.llm.common import LOWER, UPPER, ascii_lower, crc32_mod, table
 from tidepool.llm.context_tree import score_texts
 from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
+from tidepool.llm.jaccard_join import jaccard_components
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.token_counts import count_tokens
 from tidepool.llm.toxicity import fit_toxicity, score_toxicity
@@ -46,6 +47,11 @@ def op3_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 4-word shingle sets have a Jaccard similarity of 0.85."""
+    return jaccard_components(table(spark, sf_dir, "documents"), n=4, threshold=85)
+
+
 def op6_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; learnt from labels whose crc32(doc_id) mod 4 is not 2."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -77,7 +83,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup)}
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
