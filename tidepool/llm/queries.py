@@ -15,6 +15,7 @@ from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.jaccard_join import jaccard_components
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.suffix_dedup import remove_repeats
 from tidepool.llm.token_counts import count_tokens
 from tidepool.llm.toxicity import fit_toxicity, score_toxicity
 from tidepool.llm.warc import read_archives, write_archives
@@ -83,7 +84,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that repeat 50 bytes or more of an earlier one."""
+    docs = table(spark, sf_dir, "documents")
+    cut = remove_repeats(docs, size=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup, op10_suffix_dedup)}
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
