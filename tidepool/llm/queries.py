@@ -14,6 +14,7 @@ from tidepool.llm.context_tree import score_texts
 from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.jaccard_join import jaccard_components
+from tidepool.llm.license_scan import licence_scan
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.suffix_dedup import remove_repeats
 from tidepool.llm.token_counts import count_tokens
@@ -53,6 +54,14 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, threshold=85)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; a document's path is source, language and id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
+                       F.coalesce(F.col("doc_id").cast("string"), F.lit("unknown")))
+    return licence_scan(docs.select("doc_id", path.alias("path"), "text"), "doc_id", "path", "text")
+
+
 def op6_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; learnt from labels whose crc32(doc_id) mod 4 is not 2."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -94,7 +103,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op5_license_scan,
+    op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup, op10_suffix_dedup)}
+
 
 def base32(h: str) -> str:
     """DuckDB SQL for the base32 form of a SHA-1 in hex: each 5 hex digits are 4 letters."""
