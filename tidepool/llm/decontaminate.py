@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.common import in_batches
 from tidepool.llm.words import WordHasher, ngram_hashes, plain_words
-from tidepool.session import materialize
 
 NGRAM = 3
 BLOCK_WORDS = 1 << 20
@@ -123,6 +122,34 @@ def _seed_counts(docs: DataFrame, text_col: str, index: SeedIndex, n: int) -> di
     return {r.seed & (2**64 - 1): r.docs for r in rows}
 
 
+def _blocks(docs: DataFrame, items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, n: int,
+            max_share: float) -> Iterator[tuple[SeedIndex, list, list[np.ndarray]]]:
+    """Seed index, ids and words of each block of items."""
+    size = items.agg(F.sum(F.length(item_text_col)), F.count("*")).first()
+    blocks = 1 + int(size[0] or 0) // 4 // BLOCK_WORDS
+    rare = max_share * docs.count()
+    for block in range(blocks):
+        entries = [(k, w) for k, w in _item_words(items, item_id_col, item_text_col, blocks, block) if len(w) >= n]
+        if entries:
+            yield _seeds(docs, text_col, [w for _, w in entries], n, rare), *map(list, zip(*entries, strict=True))
+
+
+def _seeds(docs: DataFrame, text_col: str, words_of: list[np.ndarray], n: int, rare: float) -> SeedIndex:
+    """The rarest half of each item's n-grams, and all that at most ``rare`` documents hold."""
+    grams = [ngram_hashes(words, n) for words in words_of]
+    sizes = [len(g) for g in grams]
+    owner = np.repeat(np.arange(len(grams)), sizes)
+    place = np.concatenate([np.arange(s) for s in sizes])
+    every = np.concatenate(grams)
+    counts = _seed_counts(docs, text_col, SeedIndex(every, owner, place), n)
+    held = np.array([counts.get(int(g), 0) for g in every])
+    order = np.lexsort((every, held, owner))
+    rank = np.empty(len(every), np.int64)
+    rank[order] = np.arange(len(every)) - np.cumsum([0, *sizes])[owner[order]]
+    seeds = (held <= rare) | (rank < np.array([(s + 1) // 2 for s in sizes])[owner])
+    return SeedIndex(every[seeds], owner[seeds], place[seeds])
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id_col: str = "item_id", item_text_col: str = "text", n: int = NGRAM,
                max_share: float = MAX_SHARE, min_score: float = MIN_SCORE) -> DataFrame:
@@ -135,57 +162,50 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     null id stays null; repeated rows give a row each; repeated items count
     once; empty tables give an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema[item_id_col].dataType.simpleString()
     schema = f"_id {id_type}, _item {item_type}, score double, start_word bigint, end_word bigint"
-    size = items.agg(F.sum(F.length(item_text_col)), F.count("*")).first()
-    blocks = 1 + int(size[0] or 0) // 4 // BLOCK_WORDS
-    rare = max_share * docs.count()
-    found = spark.createDataFrame([], schema)
-    for block in range(blocks):
-        entries = [(k, w) for k, w in _item_words(items, item_id_col, item_text_col, blocks, block)
-                   if len(w) >= n]
-        if entries:
-            leaks = _block_leaks(docs, entries, id_col, text_col, n, rare, min_score, schema)
-            found = found.unionAll(materialize(leaks) if blocks > 1 else leaks)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string"))
+    found = docs.sparkSession.createDataFrame([], schema)
+    for index, keys, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
+
+        def run(batches: Iterator[pa.RecordBatch], index=index, keys=keys, words_of=words_of) -> Iterator[pa.RecordBatch]:
+            hasher, out = WordHasher(), None
+
+            def rows(batch):
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if text:
+                        for item, score, start, end in _leaks_of(
+                                hasher.of(plain_words(text)), index, words_of, n, min_score):
+                            yield key, keys[item], score, start, end
+
+            for batch in batches:
+                out = out or pa.schema([("_id", batch.schema.field(0).type), ("_item", pa.array(keys).type),
+                                        ("score", pa.float64()), ("start_word", pa.int64()),
+                                        ("end_word", pa.int64())])
+                yield from in_batches(rows(batch), out)
+
+        found = found.unionAll(texts.mapInArrow(run, schema))
     return found.withColumnRenamed("_id", id_col).withColumnRenamed("_item", item_id_col)
 
 
-def _block_leaks(docs: DataFrame, entries: list, id_col: str, text_col: str, n: int, rare: float,
-                 min_score: float, schema: str) -> DataFrame:
-    grams = [ngram_hashes(words, n) for _, words in entries]
-    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams])
-    every = np.concatenate(grams)
-    counts = _seed_counts(docs, text_col, SeedIndex(every, owner, place), n)
-    held = np.array([counts.get(int(g), 0) for g in every])
-    # Rarest half of each item's n-grams, and all that are rare in the corpus.
-    order = np.lexsort((every, held, owner))
-    firsts = np.cumsum([0, *[len(g) for g in grams]])
-    rank = np.empty(len(every), np.int64)
-    rank[order] = np.arange(len(every)) - firsts[owner[order]]
-    seeds = (held <= rare) | (rank < np.array([(len(g) + 1) // 2 for g in grams])[owner])
-    index = SeedIndex(every[seeds], owner[seeds], place[seeds])
-    keys, words_of = [k for k, _ in entries], [w for _, w in entries]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, out = WordHasher(), None
-
-        def rows(batch):
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text:
-                    for item, score, start, end in _leaks_of(
-                            hasher.of(plain_words(text)), index, words_of, n, min_score):
-                        yield key, keys[item], score, start, end
+def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+               item_text_col: str = "text", n: int = NGRAM, max_share: float = MAX_SHARE,
+               min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` that hold no test item by ``find_leaks``, with all their columns, in one pass."""
+    at = docs.columns.index(text_col)
+    kept = docs
+    for index, _, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
 
-        for batch in batches:
-            out = out or pa.schema([("_id", batch.schema.field(0).type), ("_item", pa.array(keys).type),
-                                    ("score", pa.float64()), ("start_word", pa.int64()),
-                                    ("end_word", pa.int64())])
-            yield from in_batches(rows(batch), out)
+        def run(batches: Iterator[pa.RecordBatch], index=index, words_of=words_of) -> Iterator[pa.RecordBatch]:
+            hasher = WordHasher()
+            for batch in batches:
+                clean = [not text or next(_leaks_of(hasher.of(plain_words(text)), index, words_of, n, min_score), None)
+                         is None for text in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string")).mapInArrow(run, schema)
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
 
 
 def _leaks_of(words: np.ndarray, index: SeedIndex, words_of: list, n: int, min_score: float):
