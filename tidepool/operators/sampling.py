@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.scalar import col
 from .ordered import with_ordinal
 
-# Whitespace that separates words: space, tab, newline, carriage return.
-WORD_SEP = "[ \t\n\r]+"
+# Characters that separate words: ASCII white space, the separators 0x1C to
+# 0x1F and the blanks of Unicode.
+WORD_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+WORD_SEP = f"[{WORD_SPACE}]+"
 
 
 def seeded_order_key(seed: int | str, id_col: str) -> Column:
@@ -31,15 +34,17 @@ def assign_shards(df: DataFrame, id_col: str, ranks: int, seed: int | str = 0,
                   shuffle: bool = True) -> DataFrame:
     """Distributed-sampler sharding: rank r takes positions r, r+n, r+2n, …
 
-    The list is first padded by wrapping around to a multiple of ``ranks``
-    (the first ``pad`` rows appear twice), so every rank gets the same count.
-    Adds ``rank`` and ``pos_in_shard``.
+    The list is first padded to a multiple of ``ranks`` by starting over, as
+    often as needed, so every rank gets the same count. Adds ``rank`` and
+    ``pos_in_shard``.
     """
     pos = (shuffle_positions(df, id_col, seed, "_p") if shuffle
            else with_ordinal(df, [id_col], "_p"))
     n = pos.count()
-    pad = (ranks - n % ranks) % ranks
-    padded = pos.unionByName(pos.where(F.col("_p") < pad).withColumn("_p", F.col("_p") + n))
+    total = -(-n // ranks) * ranks
+    # A row at p comes again at p + n, p + 2n, ... below the padded length.
+    again = F.sequence(F.col("_p"), F.lit(max(total - 1, 0)).cast("long"), F.lit(max(n, 1)).cast("long"))
+    padded = pos.withColumn("_p", F.explode(again))
     return (padded.withColumn("rank", F.pmod(F.col("_p"), F.lit(ranks)))
             .withColumn("pos_in_shard", F.expr(f"_p div {ranks}"))
             .drop("_p"))
@@ -89,7 +94,7 @@ def zipf_length(u: str, alpha: float = 1.3, low: int = 20, high: int = 200) -> C
 
 def words(text: str | Column) -> Column:
     """Split a whole text into words on runs of whitespace (empty text → no words)."""
-    t = F.trim(col(text), F.lit(" \t\n\r"))
+    t = F.trim(col(text), F.lit(WORD_SPACE))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WORD_SEP))
 
 

@@ -62,9 +62,14 @@ def classifier_summary(df: DataFrame, scores: str, label: str, batch: str) -> Da
     s = F.col(scores)
     scored = df.select(F.col(batch), (argmax(s) == F.col(label)).cast("long").alias("_ok"),
                        cross_entropy(s, F.col(label)).alias("_loss"))
-    per_batch = scored.groupBy(batch).agg(F.sum("_ok").alias("_ok"),
+    return summarise_batches(scored, "_ok", "_loss", batch)
+
+
+def summarise_batches(scored: DataFrame, hit: str, loss: str, batch: str) -> DataFrame:
+    """Accuracy over all rows and mean of per-batch mean losses, one row."""
+    per_batch = scored.groupBy(batch).agg(F.sum(hit).alias("_ok"),
                                           F.count(F.lit(1)).alias("_n"),
-                                          F.avg("_loss").alias("_loss"))
+                                          F.avg(loss).alias("_loss"))
     return per_batch.agg(F.sum("_ok").alias("correct"), F.sum("_n").alias("total"),
                          F.avg("_loss").alias("avg_loss")).select(
         "correct", "total",

@@ -20,25 +20,25 @@ CLASSES = 10
 def training_rows(spark, sf_dir, steps: int, ranks: int = RANKS):
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     s = assign_shards(emb, "vec_id", ranks, seed=0)
-    shard_len = s.agg(F.max("pos_in_shard")).first()[0] + 1
-    per_step = -(-shard_len // steps)
-    dims = len(emb.select("embedding").first()[0])
+    shard_len = -(-emb.count() // ranks)
+    per_step = max(1, -(-shard_len // steps))
+    dims = len((emb.select("embedding").first() or ([],))[0])
     rows = s.select(F.col("rank").alias("shard"), "label", "embedding",
                     F.expr(f"pos_in_shard div {per_step}").alias("step"))
     return rows, dims
 
 
-def gradient_mean(spark, sf_dir, steps: int = 3):
-    """Averaged gradient of the first step, at zero weights: mean of shard means."""
-    rows, dims = training_rows(spark, sf_dir, steps)
-    g = T.shard_gradients(rows.where(F.col("step") == 0), [[0.0] * dims] * CLASSES)
+def gradient_mean(spark, sf_dir):
+    """Averaged gradient of all rows, at zero weights: mean of shard means."""
+    rows, dims = training_rows(spark, sf_dir, steps=1)
+    g = T.shard_gradients(rows, [[0.0] * dims] * CLASSES)
     return g.select("cls", "dim", F.round("grad", 9).alias("grad"))
 
 
 def softmax_sgd_3(spark, sf_dir, steps: int = 3):
     """Weights of a linear softmax classifier after 3 synchronous SGD steps."""
     rows, dims = training_rows(spark, sf_dir, steps)
-    w = T.softmax_sgd(rows, steps, CLASSES, dims)
+    w = T.softmax_sgd(T.by_step(rows), steps, CLASSES, dims)
     return T.matrix_frame(spark, w).select("cls", "dim", F.round("w", 9).alias("w"))
 
 
@@ -90,7 +90,7 @@ def _sgd_sql(steps: int, final: str, only_gradient: bool = False) -> str:
 
 
 SQL = {
-    "gradient_mean": _sgd_sql(3, "SELECT CAST(cls AS INTEGER) AS cls, CAST(dim AS INTEGER) AS dim, "
+    "gradient_mean": _sgd_sql(1, "SELECT CAST(cls AS INTEGER) AS cls, CAST(dim AS INTEGER) AS dim, "
                                  "round(g, 9) AS grad FROM g0", only_gradient=True),
     "softmax_sgd_3": _sgd_sql(3, "SELECT CAST(cls AS INTEGER) AS cls, CAST(dim AS INTEGER) AS dim, "
                                  "round(w, 9) AS w FROM w3"),

@@ -152,7 +152,9 @@ def _stage_rows(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     tax, disc = F.col("l_tax"), F.col("l_discount")
     part = F.when(tax < 0.03, "qkv").when(tax < 0.06, "mha").otherwise("ffn")
-    kind = F.when(disc < 0.05, "compute").otherwise("comm")
+    # Configurations of one tensor shard compute only: all their rows are compute stages.
+    alone = (F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"))
+    kind = F.when(alone | (disc < 0.05), "compute").otherwise("comm")
     return li.select("l_returnflag", "l_linestatus",
                      F.concat(part, F.lit("_"), kind).alias("stage"),
                      F.col("l_linenumber").alias("layer"),
@@ -168,12 +170,9 @@ def stage_stats(spark, sf_dir):
     """
     rows = _stage_rows(spark, sf_dir)
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    compute = F.col("stage").endswith("_compute")
-    config = (F.when((flag == "A") & compute, "(1, 4)")
-              .when(flag == "R", "(2, 2)")
-              .when((flag == "N") & (status == "O"), "(4, 1)")
-              .when((flag == "N") & (status == "F") & compute, "(1, 1)"))
-    tagged = rows.withColumn("TP_PP", config).where(F.col("TP_PP").isNotNull())
+    config = (F.when(flag == "A", "(1, 4)").when(flag == "R", "(2, 2)")
+              .when(status == "O", "(4, 1)").otherwise("(1, 1)"))
+    tagged = rows.withColumn("TP_PP", config)
     st = R.layer_stats(tagged, ["TP_PP", "stage"], "layer", "us")
     wide = R.stats_wide(st, "TP_PP", "stage", STAGES)
     out = [F.col("TP_PP"), R.class_by_label("TP_PP").alias("parallelism_type")]
@@ -224,15 +223,13 @@ m AS (
 STAGE_SQL = """rows AS (
   SELECT l_returnflag, l_linestatus,
          CASE WHEN l_tax < 0.03 THEN 'qkv' WHEN l_tax < 0.06 THEN 'mha' ELSE 'ffn' END || '_' ||
-         CASE WHEN l_discount < 0.05 THEN 'compute' ELSE 'comm' END AS stage,
+         CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linestatus = 'F') OR l_discount < 0.05
+              THEN 'compute' ELSE 'comm' END AS stage,
          l_linenumber AS layer, l_extendedprice / 1000.0 AS us
   FROM lineitem),
 u AS (
-  SELECT '(1, 4)' AS TP_PP, * FROM rows WHERE l_returnflag = 'A' AND stage LIKE '%_compute'
-  UNION ALL SELECT '(2, 2)', * FROM rows WHERE l_returnflag = 'R'
-  UNION ALL SELECT '(4, 1)', * FROM rows WHERE l_returnflag = 'N' AND l_linestatus = 'O'
-  UNION ALL SELECT '(1, 1)', * FROM rows WHERE l_returnflag = 'N' AND l_linestatus = 'F'
-    AND stage LIKE '%_compute'),
+  SELECT CASE l_returnflag WHEN 'A' THEN '(1, 4)' WHEN 'R' THEN '(2, 2)'
+         ELSE CASE l_linestatus WHEN 'O' THEN '(4, 1)' ELSE '(1, 1)' END END AS TP_PP, * FROM rows),
 pl AS (SELECT TP_PP, stage, layer, sum(us) AS v FROM u GROUP BY 1, 2, 3),
 st AS (SELECT TP_PP, stage, avg(v) AS m, stddev_pop(v) AS s FROM pl GROUP BY 1, 2)"""
 

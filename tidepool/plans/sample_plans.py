@@ -43,6 +43,10 @@ QUERIES = {
 }
 
 
+def _space_sql() -> str:
+    return "(" + " || ".join(f"chr({ord(c)})" for c in X.WORD_SPACE) + ")"
+
+
 def _cdf_sql() -> str:
     return "[" + ", ".join(repr(c) for c in X.zipf_cdf()) + "]"
 
@@ -67,7 +71,7 @@ q AS (SELECT doc_id, p AS q FROM p
 SELECT doc_id, q % 4 AS rank, q // 4 AS pos_in_shard, (q // 4) // 64 AS batch FROM q""",
     "zipf_lengths": f"SELECT doc_id, {_len_sql('1', 'doc_id')} AS n_words FROM documents",
     "request_windows": f"""
-WITH d AS (SELECT doc_id, regexp_split_to_array(text, '[ \\t\\n\\r]+') AS w,
+WITH d AS (SELECT doc_id, regexp_split_to_array(trim(text, {_space_sql()}), '[' || {_space_sql()} || ']+') AS w,
                   {_len_sql('1', 'doc_id')} AS n_words, {_unit_sql('2', 'doc_id')} AS u
            FROM documents),
 s AS (SELECT doc_id, w, n_words, CAST(floor(u * (len(w) - n_words + 1)) AS INTEGER) AS start
