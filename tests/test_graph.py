@@ -1,11 +1,13 @@
+import pathlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators import graph as G
-from tidepool.operators.partitioning import (num_partitions, partition_by_key, partition_sizes,
-                                             persist_at, storage_level)
+from tidepool.operators.partitioning import (bucket_of, drop_table, num_partitions, partition_by_key,
+                                             partition_sizes, persist_at, place_in_buckets, storage_level,
+                                             table_path, write_bucketed)
 from tidepool.sources.sinks import tuple_lines
 from tidepool.sources.text import parse_edges, scan_edges, scan_text
 
@@ -128,11 +130,80 @@ def test_pagerank_checkpoint_keeps_partitioning(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_partition_reuse_for_bucket_aggregate(spark):
-    import __spark_entry__ as entry
+def hub_edges(spark, targets=400):
+    rows = [("hub", f"v{i}") for i in range(targets)] + [(f"v{i}", "hub") for i in range(0, targets, 3)]
+    rows += [(f"v{i}", f"v{(i * 7) % targets}") for i in range(targets)]
+    return spark.createDataFrame(rows, "src string, dst string")
 
-    df = entry.queries()["partition_balance"](spark, "/root/testdata/sf0.001")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    above = plan.split("REPARTITION_BY_NUM")[0]
-    # the per-bucket aggregate (with its distinct count) sits on the one key exchange
-    assert "Exchange" in above and above.count("Exchange") == 1
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_hub_plans_do_not_grow_with_rounds(spark, rounds):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        e = hub_edges(spark)
+        assert G.hub_sources(G.source_stats(G.adjacency(e)), 4)[0] is not None
+        ranks, _, tables = G.pagerank_plan(e, rounds)
+        plan = ranks._jdf.queryExecution().executedPlan().toString()
+        # a round: the contributions by target, and the ranks once after a checkpoint
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2
+        assert plan.count("BroadcastExchange") <= 3
+        for t in tables:
+            drop_table(spark, t)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hub_ranks_equal_the_plain_rule(spark):
+    e = hub_edges(spark)
+    pairs = [tuple(r) for r in e.collect()]
+    ids = {x for p in pairs for x in p}
+    degree = {s: sum(1 for a, _ in pairs if a == s) for s in {a for a, _ in pairs}}
+    want = dict.fromkeys(ids, 1.0)
+    for _ in range(3):
+        new = dict.fromkeys(ids, 0.15)
+        for a, b in pairs:
+            new[b] += 0.85 * want[a] / degree[a]
+        want = new
+    got = {r["id"]: r["rank"] for r in G.pagerank(e, 3, num_partitions=8).collect()}
+    assert got == pytest.approx(want)
+
+
+def data_files(spark, name):
+    return list(pathlib.Path(table_path(spark, name).removeprefix("file:")).glob("part-*.parquet"))
+
+
+def test_bucketed_tables_have_a_file_a_bucket_and_go(spark):
+    df = spark.range(5000).repartition(13).withColumn("k", F.col("id") % 97)
+    frame, name = write_bucketed(df, 4, "k", "test")
+    assert frame.count() == 5000 and len(data_files(spark, name)) == 4
+    drop_table(spark, name)
+    assert data_files(spark, name) == [] and not pathlib.Path(table_path(spark, name)[5:]).exists()
+    with pytest.raises(Exception):
+        write_bucketed(df, 4, "no_such_column", "test")
+
+
+def test_pagerank_leaves_only_its_checkpoint(spark):
+    folder = pathlib.Path(table_path(spark, "x").removeprefix("file:")).parent
+    before = set(folder.glob("*")) if folder.exists() else set()
+    G.pagerank(toy_edges(spark), 2).count()
+    assert set(folder.glob("*")) == before
+
+
+def test_own_partition_function(spark):
+    ints = spark.createDataFrame([(7,), (-1,), (None,)], "k long")
+    assert [r.b for r in ints.select(bucket_of(ints, "k", 5).alias("b")).collect()] == [2, 4, 0]
+    text = spark.createDataFrame([(f"n{i}",) for i in range(200)] + [(None,)], "k string")
+    placed = place_in_buckets(text.withColumn("b", bucket_of(text, "k", 6)), "b", 6)
+    rows = placed.withColumn("p", F.spark_partition_id()).collect()
+    assert all(r.b == r.p for r in rows) and {r.b for r in rows} == set(range(6))
+
+
+def test_prepartitioned_join_moves_nothing(spark):
+    from tidepool.plans.graph_plans import prepartitioned_join
+    pairs = G.adjacency(toy_edges(spark))
+    joined, tables = prepartitioned_join(spark, pairs)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert {(r.src, r.dst): r.multiplicity / r.degree for r in joined.collect()}[("a", "b")] == 2 / 3
+    for t in tables:
+        drop_table(spark, t)

@@ -37,15 +37,6 @@ def argmax(arr: str | Column) -> Column:
     return F.array_position(a, F.array_max(a)) - 1
 
 
-def strict_or_try_cast(c: Column, to: str, mode: str = "strict") -> Column:
-    """``cast`` raises on bad text under ANSI mode; ``drop`` mode yields NULL instead."""
-    if mode == "strict":
-        return c.cast(to)
-    if mode == "drop":
-        return c.try_cast(to)
-    raise ValueError(f"mode must be 'strict' or 'drop', not {mode!r}")
-
-
 def trunc_int(c: Column) -> Column:
     """Python ``int()`` on a float: truncation towards zero."""
     return c.cast("long")

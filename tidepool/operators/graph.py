@@ -12,8 +12,8 @@ PageRank plan, per round (see ``pagerank``):
 ``weights`` (one row per distinct (src, dst) with share m/deg) and
 ``vertices`` are written once as tables bucketed by src and id with the same
 partition count, so the join with ranks needs no exchange and the left join
-with the aggregate needs none either: one exchange per round (plus one of
-the vertex-sized ranks after each lineage cut).
+with the aggregate needs none either: one exchange per round, plus one of
+the vertex-sized ranks after each lineage cut (every round with hubs).
 Sources with more distinct targets than an average partition holds
 ("hubs", at most one per partition by construction) are kept apart: their
 edges stay spread out and meet their ranks through a broadcast of at most
@@ -66,11 +66,6 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("multiplicity"))
 
 
-def adjacency_lists(edges: DataFrame) -> DataFrame:
-    """Array form ``(src, targets)`` for display of small graphs only."""
-    return edges.groupBy("src").agg(F.collect_list("dst").alias("targets"))
-
-
 def source_stats(pairs: DataFrame) -> DataFrame:
     """Per source: out-degree (multi-edges counted) and number of distinct targets."""
     return pairs.groupBy("src").agg(F.sum("multiplicity").alias("_deg"),
@@ -95,33 +90,24 @@ def hub_sources(stats: DataFrame, n: int):
     return stats.sparkSession.createDataFrame([(i,) for i in ids], schema), n_pairs, n_sources
 
 
-def weights_from(pairs: DataFrame, stats: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    """(src, dst, multiplicity, weight = multiplicity / out-degree).
+def split_weights(pairs: DataFrame, stats: DataFrame,
+                  hubs: DataFrame | None) -> tuple[DataFrame | None, DataFrame]:
+    """(src, dst, multiplicity, weight = multiplicity / out-degree) of hub pairs and of all others.
 
     Hub pairs meet their degree through a broadcast of the hubs' stats (at
     most one row per partition); every other source holds at most an
     average partition's worth of pairs, so the plain join is balanced.
     """
+    def shares(joined: DataFrame) -> DataFrame:
+        return joined.select("src", "dst", "multiplicity",
+                             (F.col("multiplicity") / F.col("_deg")).alias("weight"))
+
     if hubs is None:
-        joined = pairs.join(stats, "src")
-    else:
-        hub_stats = stats.join(F.broadcast(hubs), stats.src == hubs.id, "left_semi")
-        on_hub = (pairs.join(F.broadcast(hubs), pairs.src == hubs.id, "left_semi")
-                  .join(F.broadcast(hub_stats), "src"))
-        rest = (pairs.join(F.broadcast(hubs), pairs.src == hubs.id, "left_anti")
-                .join(stats, "src"))
-        joined = on_hub.unionByName(rest)
-    return joined.select("src", "dst", "multiplicity",
-                         (F.col("multiplicity") / F.col("_deg")).alias("weight"))
-
-
-def edge_weights(edges: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """(src, dst, multiplicity, weight = multiplicity / out_degree)."""
-    n = num_partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = adjacency(edges)
-    stats = source_stats(pairs)
-    hubs, _, _ = hub_sources(stats, n)
-    return weights_from(pairs, stats, hubs)
+        return None, shares(pairs.join(stats, "src"))
+    hub_stats = stats.join(F.broadcast(hubs), stats.src == hubs.id, "left_semi")
+    on_hub = pairs.join(F.broadcast(hub_stats), "src")
+    rest = pairs.join(F.broadcast(hubs), pairs.src == hubs.id, "left_anti").join(stats, "src")
+    return shares(on_hub), shares(rest)
 
 
 def contributions(edges: DataFrame, ranks: DataFrame,
@@ -130,21 +116,18 @@ def contributions(edges: DataFrame, ranks: DataFrame,
 
     Inner join on the source: vertices without out-edges contribute nothing.
     Hub sources (at most one per partition) meet their ranks through a
-    bounded broadcast; the rest join normally.
+    bounded broadcast; the rest join normally. The pairs are checkpointed, as
+    the choice of hubs reads them too.
     """
     n = num_partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = adjacency(edges)
-    stats = source_stats(pairs)
+    pairs = materialize(adjacency(edges))
+    stats = materialize(source_stats(pairs))
     hubs, _, _ = hub_sources(stats, n)
-    w = weights_from(pairs, stats, hubs)
-    if hubs is None:
-        joined = w.join(ranks, w.src == ranks.id)
-    else:
+    on_hub, rest = split_weights(pairs, stats, hubs)
+    joined = rest.join(ranks, rest.src == ranks.id)
+    if hubs is not None:
         hub_ranks = ranks.join(F.broadcast(hubs), "id", "left_semi")
-        joined = (w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
-                  .join(F.broadcast(hub_ranks), F.col("src") == hub_ranks.id)
-                  .unionByName(w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
-                               .join(ranks, F.col("src") == ranks.id)))
+        joined = joined.unionByName(on_hub.join(F.broadcast(hub_ranks), on_hub.src == hub_ranks.id))
     return joined.select("src", "dst", (F.col("weight") * F.col("rank")).alias("contribution"))
 
 
@@ -207,28 +190,23 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
     pairs = adjacency(edges).persist(keep)
     stats = source_stats(pairs).persist(keep)
     hubs, n_pairs, n_sources = hub_sources(stats, n)
-    w = weights_from(pairs, stats, hubs).select("src", "dst", "weight")
-    has_hubs = hubs is not None
-    if has_hubs:
-        is_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_semi")
-        not_hub = w.join(F.broadcast(hubs), w.src == hubs.id, "left_anti")
-    else:
-        is_hub, not_hub = None, w
+    on_hub, rest = split_weights(pairs, stats, hubs)
     # Loop invariants are written once as bucketed tables in the shared
     # checkpoint folder: they survive executor loss, and their scans report
     # hash partitioning on the join key, so the per-round joins with ranks
     # (hash partitioned on id, same count) need no exchange.
-    normal, t_w = write_bucketed(not_hub, n, "src", "pr_weights")
-    hub_edges = (materialize(is_hub.repartition(n, "dst")) if has_hubs else None)
+    normal, t_w = write_bucketed(rest.select("src", "dst", "weight"), n, "src", "pr_weights")
+    hub_edges = None if on_hub is None else materialize(
+        on_hub.select("src", "dst", "weight").repartition(n, "dst"))
     verts, t_v = write_bucketed(vertices(edges), n, "id", "pr_vertices")
-    tables = [t for t in (t_w, t_v) if t]
+    tables = [t_w, t_v]
 
-    ranks = verts.withColumn("rank", F.lit(1.0))
+    ranks = stored = verts.withColumn("rank", F.lit(1.0))
     for i in range(iterations):
         parts = normal.join(ranks, normal.src == ranks.id).select(
             "dst", (F.col("weight") * F.col("rank")).alias("c"))
         if hub_edges is not None:
-            hub_ranks = ranks.join(F.broadcast(hubs), "id", "left_semi")
+            hub_ranks = stored.join(F.broadcast(hubs), "id", "left_semi")
             parts = parts.unionByName(
                 hub_edges.join(F.broadcast(hub_ranks), hub_edges.src == hub_ranks.id)
                 .select("dst", (F.col("weight") * F.col("rank")).alias("c")))
@@ -236,12 +214,16 @@ def pagerank_plan(edges: DataFrame, iterations: int, damping: float = 0.85,
         ranks = verts.join(contrib, verts.id == contrib.dst, "left").select(
             "id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("_c"), F.lit(0.0)))
             .alias("rank"))
-        if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < iterations:
-            # Cut the growing lineage (reliable checkpoint in the shared
-            # folder). The checkpoint forgets its partitioning, so the ranks
-            # (one row per vertex, far fewer than edges) are hashed by id
-            # once more; the edge side never moves.
-            ranks = materialize(ranks).repartition(n, "id")
+        # Cut the growing lineage (reliable checkpoint in the shared folder).
+        # With hubs a round reads the ranks twice, so they are stored every
+        # round and the plan of a round begins at a leaf. The checkpoint
+        # forgets its partitioning, so the ranks (one row per vertex, far
+        # fewer than edges) are hashed by id once more; the edge side never
+        # moves.
+        every = 1 if hub_edges is not None else checkpoint_every
+        if every and (i + 1) % every == 0 and i + 1 < iterations:
+            stored = materialize(ranks)
+            ranks = stored.repartition(n, "id")
     if with_sources:
         return ranks, [pairs, stats], tables, n_sources
     return ranks, [pairs, stats], tables

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from ..session import ensure_checkpoint_dir, remove_path
 
 LEVELS = {
     "memory": StorageLevel.MEMORY_ONLY,
@@ -13,18 +18,22 @@ LEVELS = {
 }
 
 
-def bucket_of(key: str | Column, n: int) -> Column:
-    """The reference's own partition function, ``key mod n`` (non-negative).
+def bucket_of(df: DataFrame, key: str, n: int) -> Column:
+    """The own partition function: ``key mod n`` (non-negative) as an int.
 
-    Integer keys use ``pmod`` directly; any other key is hashed first.
+    Integer keys are used as they are, any other key by the first 8 hex
+    digits of the MD5 of its text. A null key goes to bucket 0.
     """
-    c = F.col(key) if isinstance(key, str) else key
-    return F.pmod(c, F.lit(n))
+    if isinstance(df.schema[key].dataType, IntegralType):
+        number = F.col(key).cast("long")
+    else:
+        number = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("int")
 
 
-def hash_bucket(key: str | Column, n: int) -> Column:
-    c = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(c), F.lit(n))
+def place_in_buckets(df: DataFrame, bucket: str, n: int) -> DataFrame:
+    """Rows of bucket i in partition i, of ``n`` partitions."""
+    return df.repartitionById(n, F.col(bucket))
 
 
 def partition_by_key(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
@@ -36,10 +45,6 @@ def partition_by_key(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def partition_by_range(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
-    return df.repartitionByRange(n, *keys)
-
-
 def persist_at(df: DataFrame, level: str = "memory_and_disk") -> DataFrame:
     return df.persist(LEVELS[level])
 
@@ -58,34 +63,29 @@ def num_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def write_bucketed(df: DataFrame, n: int, key: str, label: str) -> tuple[DataFrame, str | None]:
-    """Write ``df`` as a table bucketed (and sorted) on ``key`` into ``n`` buckets.
+def write_bucketed(df: DataFrame, n: int, key: str, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a table bucketed (and sorted) on ``key`` into ``n`` files.
 
     The files go under the shared checkpoint folder, so they survive the
     loss of any executor; reading them back reports hash partitioning on
     ``key`` with ``n`` partitions, so joins and aggregations on ``key`` with
     the same count need no exchange (Spark's bucket hash is the shuffle hash).
+    The rows are dealt by the same hash first: each task writes one bucket.
 
-    Returns the frame and the catalog name to drop when done. If the session
-    has no usable catalog, falls back to a reliable checkpoint of the
-    hash-partitioned frame (correct, but later joins exchange again).
+    Returns the frame and the name to give to ``drop_table`` when done.
     """
-    import uuid
-
-    from ..session import ensure_checkpoint_dir, materialize
-
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"tidepool_{label}_{uuid.uuid4().hex[:12]}"
-    try:
-        (df.write.format("parquet").bucketBy(n, key).sortBy(key)
-         .option("path", f"{root}/tables/{name}").saveAsTable(name))
-        return spark.table(name), name
-    except Exception:  # noqa: BLE001 - no writable catalog: keep going without bucketing
-        return materialize(df.repartition(n, key)), None
-
-
-def drop_table(spark, name: str | None) -> None:
-    """Forget a table written by ``write_bucketed`` (its files stay with the checkpoints)."""
-    if name:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
+     .option("path", table_path(spark, name)).saveAsTable(name))
+    return spark.table(name), name
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a table written by ``write_bucketed`` and its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove_path(spark, table_path(spark, name))

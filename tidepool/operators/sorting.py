@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from .ordered import with_ordinal
 
 
-def sort_by(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Global sort (range exchange + per-partition sort); ascending, nulls first."""
-    return df.orderBy(*keys)
-
-
 def sort_with_position(df: DataFrame, keys: Sequence[str | Column],
                        name: str = "position") -> DataFrame:
     """Global sort that also numbers the rows 0, 1, 2, ... in sort order.
@@ -25,11 +20,6 @@ def sort_with_position(df: DataFrame, keys: Sequence[str | Column],
     return with_ordinal(df, keys, name)
 
 
-def top_k(df: DataFrame, k: int, keys: Sequence[Column]) -> DataFrame:
-    """First k rows in ``keys`` order: each task keeps its own top k, then one merge of k·tasks rows."""
-    return df.orderBy(*keys).limit(k)
-
-
 def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """``head()``: the first n rows of a frame (in its current order)."""
     return df.limit(n)

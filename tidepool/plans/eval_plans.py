@@ -9,7 +9,7 @@ from ..operators import stats as S
 from ..operators.learn import evaluate, normalise_channels
 from ..operators.ordered import with_next, with_row_number
 from ..operators.sorting import sort_with_position
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 from ..sources.csv import read_csv_strings
 from ..sources.sinks import write_csv
 from ..sources.tables import table
@@ -27,7 +27,9 @@ def csv_two_key_sort(spark, sf_dir):
     path = scratch_path(spark, "events_csv")
     write_csv(table(spark, sf_dir, "events"), path, header=True)
     rows = read_csv_strings(spark, path)
-    return sort_with_position(rows, ["event_type", "ts", "event_id"])
+    out = sort_with_position(rows, ["event_type", "ts", "event_id"])  # checkpointed
+    remove_path(spark, path)
+    return out
 
 
 def _user_batches(spark, sf_dir):

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
-from ..operators.partitioning import bucket_of, partition_by_key
+from ..operators.partitioning import bucket_of, drop_table, place_in_buckets, write_bucketed
+from ..operators.sorting import sort_with_position
 from ..session import materialize
 from ..sources.tables import table
 from ..sources.text import parse_edges
@@ -35,13 +36,14 @@ def r6(c: str):
 
 
 def edge_parse(spark, sf_dir):
-    """Edge lines rendered from lineitem (TAB fields plus one '#' line per order), parsed back."""
+    """Edge lines rendered from lineitem (TAB fields, '#' lines between them), parsed back."""
     li = table(spark, sf_dir, "lineitem")
-    lines = li.select(F.concat_ws("\t", "l_partkey", "l_suppkey", "l_orderkey").alias("value"))
-    comments = (li.select("l_orderkey").distinct()
-                .select(F.concat(F.lit("# order\t"), F.col("l_orderkey").cast("string"))
-                        .alias("value")))
-    return parse_edges(lines.unionByName(comments))
+    # The first line of each order comes with a comment line, from the same scan.
+    edge = F.concat_ws("\t", "l_partkey", "l_suppkey", "l_orderkey")
+    comment = F.concat(F.lit("# order\t"), F.col("l_orderkey").cast("string"))
+    lines = li.select(F.explode(F.when(F.col("l_linenumber") == 1, F.array(comment, edge))
+                                .otherwise(F.array(edge))).alias("value"))
+    return parse_edges(lines)
 
 
 def graph_vertices(spark, sf_dir):
@@ -104,14 +106,67 @@ def pagerank_topk(spark, sf_dir, k: int = 20):
 
 
 def partition_balance(spark, sf_dir, n: int = 105):
-    """Edges partitioned by the reference's own function ``src mod 105``.
+    """Sources placed by the own partition function ``src mod 105``: bucket i is partition i.
 
-    The per-bucket aggregate reuses that partitioning (no second exchange).
+    Edges are counted by source before they are dealt, so a hub is one row.
     """
-    e = lineitem_graph(spark, sf_dir, reused=False).withColumn("bucket", bucket_of("src", n))
-    parted = partition_by_key(e, n, "bucket")
-    return parted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_edges"),
-                                        F.count_distinct("src").alias("n_sources"))
+    e = lineitem_graph(spark, sf_dir, reused=False)
+    return _bucket_sizes(G.out_degree(e), n)
+
+
+def _bucket_sizes(degrees: DataFrame, n: int) -> DataFrame:
+    placed = place_in_buckets(degrees.withColumn("bucket", bucket_of(degrees, "src", n)), "bucket", n)
+    return (placed.groupBy("bucket", F.spark_partition_id().alias("partition"))
+            .agg(F.sum("out_degree").alias("n_edges"), F.count(F.lit(1)).alias("n_sources")))
+
+
+def flag_graph(spark, sf_dir):
+    """Return flag -> part and part -> return flag, string ids: the flags are hubs."""
+    li = table(spark, sf_dir, "lineitem")
+    flag = F.concat(F.lit("f"), F.col("l_returnflag"))
+    part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    ends = F.array(F.struct(flag.alias("src"), part.alias("dst")), F.struct(part.alias("src"), flag.alias("dst")))
+    return li.select(F.explode(ends).alias("e")).select("e.src", "e.dst")
+
+
+def partition_balance_text(spark, sf_dir, n: int = 105):
+    """The own partition function on string ids, which it hashes first."""
+    return _bucket_sizes(G.out_degree(flag_graph(spark, sf_dir)), n)
+
+
+def pagerank_hub(spark, sf_dir):
+    """Three rounds over a graph whose hubs touch nearly every vertex."""
+    edges = materialize(flag_graph(spark, sf_dir))
+    return G.pagerank(edges, iterations=3).select("id", r6("rank"))
+
+
+def prepartitioned_shares(spark, sf_dir):
+    """Edge pairs and out-degrees stored by source alike, joined without moving either.
+
+    String ids; the share of a source's edges that each of its targets gets.
+    """
+    pairs = G.adjacency(lineitem_graph(spark, sf_dir, reused=False))
+    named = pairs.select(F.concat(F.lit("p"), F.col("src").cast("string")).alias("src"),
+                         F.concat(F.lit("p"), F.col("dst").cast("string")).alias("dst"), "multiplicity")
+    joined, tables = prepartitioned_join(spark, named)
+    out = materialize(joined.select("src", "dst", F.round(F.col("multiplicity") / F.col("degree"), 9).alias("share")))
+    for t in tables:
+        drop_table(spark, t)
+    return out
+
+
+def prepartitioned_join(spark, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, t_left = write_bucketed(pairs, n, "src", "pairs")
+    degrees = left.groupBy("src").agg(F.sum("multiplicity").alias("degree"))
+    right, t_right = write_bucketed(degrees, n, "src", "degrees")
+    return left.join(right.hint("merge"), "src"), [t_left, t_right]
+
+
+def ranks_by_id(spark, sf_dir):
+    """Normalised ranks in the order of their ids as text, as printed tuples are."""
+    ranks = _normalised(spark, sf_dir).select(F.col("id").cast("string").alias("id"), r6("rank"))
+    return sort_with_position(ranks, ["id"])
 
 
 QUERIES = {
@@ -127,6 +182,10 @@ QUERIES = {
     "pagerank_normalised": pagerank_normalised,
     "pagerank_topk": pagerank_topk,
     "partition_balance": partition_balance,
+    "partition_balance_text": partition_balance_text,
+    "pagerank_hub": pagerank_hub,
+    "prepartitioned_shares": prepartitioned_shares,
+    "ranks_by_id": ranks_by_id,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -144,6 +203,11 @@ DANGLING_SQL = """e AS MATERIALIZED (
   SELECT 'n' || CAST(n_nationkey AS VARCHAR), 'r' || CAST(n_regionkey AS VARCHAR) FROM nation)"""
 
 
+FLAG_SQL = """e AS MATERIALIZED (
+  SELECT 'f' || l_returnflag AS src, 'p' || l_partkey AS dst FROM lineitem
+  UNION ALL SELECT 'p' || l_partkey, 'f' || l_returnflag FROM lineitem)"""
+
+
 def pagerank_sql(edges_cte: str, rounds: int, final: str) -> str:
     """Unrolled PageRank: one materialised CTE per round."""
     parts = [edges_cte,
@@ -192,6 +256,19 @@ SELECT v.id, round(coalesce(c.s, 0.0), 6) AS contribution FROM v LEFT JOIN c ON
 FROM (SELECT id, rank / (SELECT count(DISTINCT src) FROM e) AS rank FROM {r}) t
 ORDER BY rank DESC, id LIMIT 20"""),
     "partition_balance": f"""WITH {EDGES_SQL}
-SELECT CAST(src % 105 AS BIGINT) AS bucket, count(*) AS n_edges, count(DISTINCT src) AS n_sources
+SELECT CAST(src % 105 AS INTEGER) AS bucket, CAST(src % 105 AS INTEGER) AS partition, count(*) AS n_edges,
+       count(DISTINCT src) AS n_sources
 FROM e GROUP BY 1""",
+    "partition_balance_text": f"""WITH {FLAG_SQL},
+b AS (SELECT src, CAST(('0x' || substr(md5(src), 1, 8))::BIGINT % 105 AS INTEGER) AS bucket FROM e)
+SELECT bucket, bucket AS partition, count(*) AS n_edges, count(DISTINCT src) AS n_sources FROM b GROUP BY 1""",
+    "pagerank_hub": pagerank_sql(FLAG_SQL, 3, "SELECT id, round(rank, 6) AS rank FROM {r}"),
+    "prepartitioned_shares": f"""WITH {EDGES_SQL}
+SELECT 'p' || src AS src, 'p' || dst AS dst,
+       round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY src), 9) AS share
+FROM e GROUP BY src, dst""",
+    "ranks_by_id": pagerank_sql(
+        EDGES_SQL, 10,
+        """SELECT row_number() OVER (ORDER BY CAST(id AS VARCHAR)) - 1 AS position, CAST(id AS VARCHAR) AS id,
+       round(rank / (SELECT count(DISTINCT src) FROM e), 6) AS rank FROM {r}"""),
 }

@@ -18,6 +18,8 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints go when no frame needs them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -75,6 +77,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote below the checkpoint folder."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not below {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared checkpoint folder (for written tables)."""
     import uuid
