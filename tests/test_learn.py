@@ -52,3 +52,30 @@ def test_normalise_channels(spark):
     got = df.select(T.normalise_channels(F.col("v")).alias("n")).first()["n"]
     assert [round(v, 9) for v in got[:3]] == [0.0, 0.0, 0.0]
     assert abs(got[3] - (1.0 - 125.3 / 255) / (63.0 / 255)) < 1e-12
+
+
+def test_channel_major_layout(spark):
+    v = [125.3 / 255] * 4 + [123.0 / 255] * 4 + [113.9 / 255] * 4
+    got = spark.createDataFrame([(v,)], "v array<double>").select(
+        T.normalise_channels(F.col("v"), plane=4).alias("n")).first()["n"]
+    assert [round(x, 9) for x in got] == [0.0] * 12
+
+
+def test_evaluate_scores_whole_vectors(spark):
+    rng = np.random.default_rng(4)
+    x, y, w = rng.normal(size=(53, 7)), rng.integers(0, 3, 53), rng.normal(size=(3, 7))
+    df = spark.createDataFrame([(i, int(y[i]), x[i].tolist()) for i in range(53)],
+                               "i long, label int, embedding array<double>").repartition(3)
+    r = T.evaluate(df, w, "i", batch_size=10).first()
+    z = x @ w.T
+    loss = np.log(np.exp(z).sum(1)) - z[np.arange(53), y]
+    assert (r.correct, r.total) == (int((z.argmax(1) == y).sum()), 53)
+    assert np.isclose(r.avg_loss, np.mean([loss[k:k + 10].mean() for k in range(0, 53, 10)]))
+
+
+def test_steps_are_stored_apart(spark):
+    df, _, _ = _data(spark)
+    stored = T.by_step(df)
+    plan = stored.where("step = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(step" in plan
+    assert stored.count() == 37 and len({f.split("step=")[1][0] for f in stored.inputFiles()}) == 2

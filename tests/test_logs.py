@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators import logs as L
 from tidepool.operators.ordered import with_ordinal
-from tidepool.sources.text import scan_lines
+from tidepool.sources.text import field, field_lines, lines_by_token, scan_lines
 
 UTIL_LOG = """node1 Thu Apr 18 10:00:01 2024
 [0] root, 10 %, x
@@ -58,3 +59,64 @@ def test_scan_lines_many_splits_and_files(spark, tmp_path):
         got = sorted(by_file[name])
         assert [ln for ln, _ in got] == list(range(n))
         assert [v for _, v in got] == [f"{name}:{i:06d}" for i in range(n)]
+
+
+def parsed_log(spark, rows):
+    o = with_ordinal(spark.createDataFrame(rows, "source string, n int, value string"), ["source", "n"], "pos")
+    return L.parse_util_lines(o)
+
+
+def carried(parsed):
+    stamps = L.stamp_lines(parsed).select("source", "pos", "raw_ms")
+    return L.carry_stamps(parsed, L.bump_equal_stamps(stamps, "source", "raw_ms", "pos"))
+
+
+def test_null_source_keeps_stamps_and_rounds(spark):
+    rows = [(s, i, v) for s in (None, "a") for i, v in enumerate(
+        ["node1 Thu Apr 18 10:00:01 2024", "[0] root, 10 %, x", "node1 Thu Apr 18 10:00:05 2024", "[1] root, 7 %, x"])]
+    samples = carried(parsed_log(spark, rows))
+    assert all(r.stamp_ms is not None for r in samples.collect())
+    got = sorted((r.source or "", r.t_s, r.gpu0, r.gpu1) for r in L.gap_fill(samples).collect())
+    assert got == [(s, *x) for s in ("", "a") for x in [(0.0, 10, 0), (4.0, 0, 7), (5.0, 0, 0)]]
+
+
+def test_line_with_both_tokens_is_a_stamp_and_a_sample(spark):
+    rows = [("a", 0, "[2] node1 root 18 10:00:01, 44 %, x")]
+    r = parsed_log(spark, rows).first()
+    assert (r.kind, r.raw_ms, r.gpu, r.util) == ("both", 36001000, 2, 44)
+    assert [(x.stamp_ms, x.util) for x in carried(parsed_log(spark, rows)).collect()] == [(36001000, 44)]
+
+
+def test_sample_above_the_first_stamp_raises(spark):
+    rows = [("a", 0, "[0] root, 10 %, x"), ("a", 1, "node1 Thu Apr 18 10:00:01 2024")]
+    with pytest.raises(Exception, match="no stamp above"):
+        carried(parsed_log(spark, rows)).collect()
+
+
+def test_all_white_space_is_stripped(spark):
+    lines = spark.createDataFrame([("\t10:00 eth0 7 1.5\u00a02.5\n",)], "value string")
+    r = field_lines(lines, "eth0").select(field(0).alias("a"), field(3, "double").alias("b"),
+                                          field(4, "double").alias("c")).first()
+    assert (r.a, r.b, r.c) == ("10:00", 1.5, 2.5)
+
+
+def test_line_with_two_interfaces_counts_for_both(spark):
+    lines = spark.createDataFrame([("t eth0 eth1 1 2",), ("t eth1 x 3 4",), ("t lo x 5 6",)], "value string")
+    got = sorted((r.iface, r.fields[3]) for r in lines_by_token(lines, ("eth0", "eth1"), "iface").collect())
+    assert got == [("eth0", "1"), ("eth1", "1"), ("eth1", "3")]
+
+
+def test_strict_mode_does_not_rest_on_ansi(spark):
+    from tidepool.sources.text import parse_edges
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        short = spark.createDataFrame([("lonely",)], "value string")
+        with pytest.raises(Exception, match="fewer than two"):
+            parse_edges(short).collect()
+        with pytest.raises(Exception, match="no field 4"):
+            field_lines(short, "lon").select(field(4)).collect()
+        with pytest.raises(Exception, match="not a double"):
+            field_lines(short, "lon").select(field(0, "double")).collect()
+        assert field_lines(short, "lon").select(field(0, "double", mode="drop").alias("x")).first().x is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

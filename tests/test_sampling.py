@@ -43,3 +43,18 @@ def test_word_window(spark):
     assert starts == {0, 1}
     empty = spark.createDataFrame([("",), ("\n x  y\t",)], "t string").select(X.words("t").alias("w"))
     assert [r.w for r in empty.collect()] == [[], ["x", "y"]]
+
+
+def test_short_list_is_repeated_for_many_ranks(spark):
+    df = spark.range(1).withColumnRenamed("id", "i")
+    got = sorted((r["rank"], r["pos_in_shard"], r["i"]) for r in X.assign_shards(df, "i", 4).collect())
+    assert got == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0)]
+    three = spark.range(3).withColumnRenamed("id", "i")
+    got = sorted((r["rank"], r["pos_in_shard"], r["i"]) for r in X.assign_shards(three, "i", 7, shuffle=False).collect())
+    assert got == [(k, 0, k % 3) for k in range(7)]
+    assert X.assign_shards(three.limit(0), "i", 4).collect() == []
+
+
+def test_words_part_at_every_blank(spark):
+    df = spark.createDataFrame([("a\u00a0b\x0cc d\x0b",)], "t string").select(X.words("t").alias("w"))
+    assert df.first().w == ["a", "b", "c", "d"]

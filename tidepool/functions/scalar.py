@@ -5,12 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters that separate words: ASCII white space, the separators 0x1C to
+# 0x1F and the blanks of Unicode.
+WORD_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+WORD_SEP = f"[{WORD_SPACE}]+"
 
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: str | Column) -> Column:
+    """Text without the white space at its ends."""
+    return F.trim(col(c), F.lit(WORD_SPACE))
+
+
+def strict_cast(raw: Column, to: str) -> Column:
+    """``cast`` that raises on text that is no ``to``, whatever the session's ANSI setting."""
+    value = raw.try_cast(to)
+    bad = F.raise_error(F.concat(F.lit(f"not a {to}: "), raw)).cast(to)
+    return F.when(raw.isNull() | value.isNotNull(), value).otherwise(bad)
+
+
 def epoch_micros(c: str | Column) -> Column:
     """Microseconds since 1970-01-01 for a ``timestamp_ntz`` (wall-clock) column.
 

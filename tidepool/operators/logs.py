@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import WORD_SEP, strict_cast, strip
 from ..sources.text import hms_to_ms
-from .ordered import attach_by_key, fill_forward, with_group_start, with_ordinal, with_prev
+from .ordered import attach_by_key, fill_forward, join_null_safe, with_group_start, with_ordinal, with_prev
 
 BUMP_MS = 300
 
@@ -23,21 +24,26 @@ def parse_util_lines(lines: DataFrame, source: str = "source", pos: str = "pos",
                      value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Classify lines and parse their fields.
 
-    Adds ``kind`` ('stamp', 'sample' or NULL), ``raw_ms`` for stamps, ``gpu``
-    and ``util`` for samples; ``keep`` names extra columns to pass through.
-    Casts follow ANSI mode: bad text raises.
+    Adds ``kind`` ('stamp', 'sample', 'both' or NULL), ``raw_ms`` for stamps,
+    ``gpu`` and ``util`` for samples; ``keep`` names extra columns to pass
+    through. A line with both tokens is a stamp and a sample under it. Bad
+    text raises.
     """
-    v = F.trim(F.col(value))
+    v = strip(value)
     is_stamp = v.contains("node")
     is_sample = v.contains("root")
-    stamp_field = F.split(v, r"\s+").getItem(4)
-    util_text = F.trim(F.split(F.split(v, ",").getItem(1), "%").getItem(0))
+    stamp_field = F.get(F.split(v, WORD_SEP), 4)
+    util_text = strip(F.get(F.split(F.get(F.split(v, ","), 1), "%"), 0))
     return lines.select(
         source, pos, value, *keep,
-        F.when(is_stamp, "stamp").when(is_sample, "sample").alias("kind"),
+        F.when(is_stamp & is_sample, "both").when(is_stamp, "stamp").when(is_sample, "sample").alias("kind"),
         F.when(is_stamp, hms_to_ms(stamp_field)).alias("raw_ms"),
-        F.when(is_sample & ~is_stamp, F.substring(v, 2, 1).cast("int")).alias("gpu"),
-        F.when(is_sample & ~is_stamp, util_text.cast("long")).alias("util"))
+        F.when(is_sample, strict_cast(F.substring(v, 2, 1), "int")).alias("gpu"),
+        F.when(is_sample, strict_cast(util_text, "long")).alias("util"))
+
+
+def stamp_lines(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("kind").isin("stamp", "both"))
 
 
 def bump_equal_stamps(stamps: DataFrame, source: str, raw: str, order: str,
@@ -72,18 +78,20 @@ def carry_stamps(parsed: DataFrame, adjusted: DataFrame, source: str = "source",
 
     Adds ``stamp_pos`` (the line of that stamp, i.e. the sampling round),
     ``stamp_ms`` and, when ``adjusted`` has it, ``stamp_index``. Returns
-    sample lines only (with the other columns of ``parsed``).
+    sample lines only (with the other columns of ``parsed``). A sample with
+    no stamp above it raises.
     """
     extra = [F.col("stamp_index").alias("i")] if "stamp_index" in adjusted.columns else []
     stamp = adjusted.select(source, pos, F.struct(F.col(pos).alias("p"),
                                                   F.col("adjusted_ms").alias("ms"),
                                                   *extra).alias("_st"))
-    lines = parsed.join(stamp, [source, pos], "left")
+    lines = join_null_safe(parsed, stamp, [source, pos], "left")
     filled = fill_forward(lines, [source], pos, "_st", "_carried")
-    out = [F.col("_carried.p").alias("stamp_pos"), F.col("_carried.ms").alias("stamp_ms")]
+    above = F.coalesce(F.col("_carried.p"), F.raise_error(F.lit("a sample has no stamp above it")))
+    out = [above.alias("stamp_pos"), F.col("_carried.ms").alias("stamp_ms")]
     if extra:
         out.append(F.col("_carried.i").alias("stamp_index"))
-    return (filled.where(F.col("kind") == "sample")
+    return (filled.where(F.col("kind").isin("sample", "both"))
             .drop("_st", "kind", "raw_ms").select("*", *out).drop("_carried"))
 
 

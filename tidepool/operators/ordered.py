@@ -32,7 +32,7 @@ _PID = "_tp_pid"
 _MID = "_tp_mid"
 _OFF = "_tp_off"
 
-DEFAULT_BLOCK_ROWS = 1 << 20
+DEFAULT_BLOCK_ROWS = 1 << 16
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -64,6 +64,16 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "p
             .drop(_PID, _MID, _OFF))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; keeps the left key columns."""
+    named = right.select(*[F.col(k).alias(f"_tp_r_{k}") for k in keys],
+                         *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_tp_r_{k}"))
+    return left.join(named, cond, how).drop(*[f"_tp_r_{k}" for k in keys])
+
+
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
               suffix: str = "_next", how: str = "left") -> DataFrame:
     """Attach ``cols`` of the row at ``pos + 1`` when it has the same ``keys``.
@@ -183,5 +193,5 @@ def attach_by_key(rows: DataFrame, keys: Sequence[str], pos: str, values: DataFr
     """
     blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long").alias("_tp_ablk")
     tagged = rows.withColumn("_tp_ablk", blk)
-    pairs = tagged.select("_tp_ablk", *keys).distinct().join(values, list(keys))
-    return tagged.join(pairs, ["_tp_ablk", *keys]).drop("_tp_ablk")
+    pairs = join_null_safe(tagged.select("_tp_ablk", *keys).distinct(), values, list(keys))
+    return join_null_safe(tagged, pairs, ["_tp_ablk", *keys]).drop("_tp_ablk")

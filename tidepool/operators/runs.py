@@ -16,6 +16,7 @@ def parallelism_label(tp: str | Column, pp: str | Column) -> Column:
     return F.format_string("(%d, %d)", col(tp), col(pp))
 
 
+# The class labels TP, PP, Baseline and ``TP + PP``.
 def parallelism_class(tp: str | Column, pp: str | Column) -> Column:
     """In order: tp > pp → TP; pp > tp → PP; both 1 → Baseline; else ``TP + PP``."""
     t, p = col(tp), col(pp)
@@ -113,6 +114,7 @@ def stats_wide(stats: DataFrame, key: str, stage: str, stages: Sequence[str]) ->
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all frames, columns matched by name."""
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

@@ -9,16 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import WORD_SEP, col, strip
 from .ordered import with_ordinal
 
-# Characters that separate words: ASCII white space, the separators 0x1C to
-# 0x1F and the blanks of Unicode.
-WORD_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
-WORD_SEP = f"[{WORD_SPACE}]+"
-
-
 def seeded_order_key(seed: int | str, id_col: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
@@ -94,7 +87,7 @@ def zipf_length(u: str, alpha: float = 1.3, low: int = 20, high: int = 200) -> C
 
 def words(text: str | Column) -> Column:
     """Split a whole text into words on runs of whitespace (empty text → no words)."""
-    t = F.trim(col(text), F.lit(WORD_SPACE))
+    t = strip(text)
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WORD_SEP))
 
 

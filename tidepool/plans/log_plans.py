@@ -16,7 +16,7 @@ from ..operators import logs as L
 from ..operators.ordered import with_group_start, with_ordinal, with_prev, with_row_number
 from ..session import materialize
 from ..sources.tables import table
-from ..sources.text import field, field_lines
+from ..sources.text import field, field_lines, lines_by_token
 
 
 def util_log_lines(spark, sf_dir) -> DataFrame:
@@ -55,7 +55,7 @@ def _parsed(spark, sf_dir):
 
 
 def _adjusted(parsed):
-    stamps = parsed.where(F.col("kind") == "stamp").select("source", "pos", "raw_ms",
+    stamps = L.stamp_lines(parsed).select("source", "pos", "raw_ms",
                                                            "event_index")
     return materialize(L.bump_equal_stamps(stamps, "source", "raw_ms", "pos",
                                            index="stamp_index"))
@@ -98,21 +98,29 @@ def field_log_lines(spark, sf_dir) -> DataFrame:
 def field_log_series(spark, sf_dir, tokens: tuple[str, ...] = ("eth0", "eth1")):
     """Per interface: packets/s = field 3 + field 4 of each of its lines, in line order.
 
-    One pass over the lines: a line goes to the first token it contains.
+    One pass over the lines: a line counts for every token it contains.
     """
-    lines = field_log_lines(spark, sf_dir)
-    v = F.col("value")
-    which = None
-    for t in tokens:
-        which = F.when(v.contains(t), t) if which is None else which.when(v.contains(t), t)
-    kept = field_lines(lines.withColumn("iface", which).where(F.col("iface").isNotNull()), "")
+    kept = lines_by_token(field_log_lines(spark, sf_dir), tokens, "iface")
     series = kept.select("iface", "ts", "event_id", field(0).alias("time"),
                          (field(3, "double") + field(4, "double")).alias("pkts"))
     numbered = with_row_number(series, ["iface"], ["ts", "event_id"], "position")
     return numbered.select("iface", "position", "time", F.round("pkts", 6).alias("pkts"))
 
 
+def cpu_series(spark, sf_dir):
+    """User share (field 3) of the lines for all CPUs, in line order."""
+    ev = table(spark, sf_dir, "events")
+    cpu = F.when(F.col("event_type") == "purchase", "0").otherwise("all")
+    lines = ev.select("ts", "event_id", F.concat_ws(
+        "  ", F.concat(F.lit("\t"), F.date_format("ts", "HH:mm:ss")), F.lit("PM"), cpu,
+        F.col("value").cast("string"), F.lit("0.00")).alias("value"))
+    kept = field_lines(lines, "all").select("ts", "event_id", field(3, "double").alias("user_pct"))
+    return with_ordinal(kept, ["ts", "event_id"], "position").select(
+        "position", F.round("user_pct", 6).alias("user_pct"))
+
+
 QUERIES = {
+    "cpu_series": cpu_series,
     "stamp_bump": stamp_bump,
     "log_forward_fill": log_forward_fill,
     "gpu_gap_fill": gpu_gap_fill,
@@ -146,6 +154,9 @@ f AS (SELECT l.source, l.first_line + l.nr AS line_no, l.gpu, l.util,
       WINDOW w AS (PARTITION BY l.source ORDER BY l.ts, l.event_id ROWS UNBOUNDED PRECEDING))"""
 
 SQL = {
+    "cpu_series": """
+SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS position, round(value, 6) AS user_pct
+FROM events WHERE event_type IS NULL OR event_type <> 'purchase'""",
     "stamp_bump": f"WITH {LOG_SQL}\nSELECT source, line_no, raw_ms, adjusted_ms FROM a",
     "log_forward_fill": f"WITH {LOG_SQL}\nSELECT source, line_no, gpu, util, stamp_ms FROM f",
     "gpu_gap_fill": f"""WITH {LOG_SQL},

@@ -8,11 +8,15 @@ table takes part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import runs as R
 from ..operators.ordered import with_ordinal
+from ..operators.sorting import sort_with_position
+from ..session import materialize, remove_path, scratch_path
+from ..sources.csv import read_csv_typed
+from ..sources.sinks import write_csv
 from ..sources.tables import table
 from ..sources.text import parse_kernel_summary
 
@@ -24,9 +28,10 @@ def r6(c, name: str | None = None):
     return F.round(c, 6).alias(name) if name else F.round(c, 6)
 
 
-def run_records(spark, sf_dir) -> DataFrame:
-    """One serving-run record per lineitem row."""
+def run_records(spark, sf_dir, failed=None) -> DataFrame:
+    """One serving-run record per lineitem row; rows that are ``failed`` have null measures."""
     li = table(spark, sf_dir, "lineitem")
+    measured = ~failed if failed is not None else F.lit(True)
     q, d, n = F.col("l_quantity"), F.col("l_discount"), F.col("l_linenumber")
     return li.select(
         F.col("l_returnflag").alias("model_name"),
@@ -34,8 +39,8 @@ def run_records(spark, sf_dir) -> DataFrame:
         F.when(d < 0.04, 1).when(d < 0.07, 2).otherwise(4).alias("pp_size"),
         F.when(q <= 12, 1).when(q <= 25, 16).when(q <= 38, 32).otherwise(64).alias("batch_size"),
         F.when(F.col("l_linestatus") == "O", 128).otherwise(2048).alias("input_length"),
-        (F.col("l_extendedprice") / 100.0).alias("total_latency_s"),
-        (q.cast("long") * 1000).alias("total_output_tokens"),
+        F.when(measured, F.col("l_extendedprice") / 100.0).alias("total_latency_s"),
+        F.when(measured, q.cast("long") * 1000).alias("total_output_tokens"),
     ).withColumn("token_per_second", F.col("total_output_tokens") / F.col("total_latency_s"))
 
 
@@ -48,17 +53,46 @@ def run_summary(spark, sf_dir, model: str = "N", input_length: int = 2048):
          # The per-token ratio comes from the unadjusted latency.
          .withColumn("average_latency_per_token_ms",
                      R.ms_per_token("total_latency_s", "total_output_tokens"))
-         .drop("tp_size", "pp_size", "output_length"))
+         .drop("tp_size", "pp_size"))
     d = d.where((F.col("model_name") == model) & (F.col("input_length") == input_length))
-    d = d.where(F.col("num_GPU") != 2).dropna("any")
+    d = d.where(F.col("num_GPU") != 2)
     d = d.withColumn("total_latency_s", R.batch_adjusted_latency("total_latency_s", "batch_size"))
     g = d.groupBy("batch_size", "parallelism_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("total_latency_s").alias("latency_s"),
         F.avg("average_latency_per_token_ms").alias("ms_per_token"),
         F.avg("token_per_second").alias("tokens_per_s"))
-    return g.select("batch_size", "parallelism_type", "n", r6("latency_s", "latency_s"),
-                    r6("ms_per_token", "ms_per_token"), r6("tokens_per_s", "tokens_per_s"))
+    g = g.select("batch_size", "parallelism_type", "n", r6("latency_s", "latency_s"),
+                 r6("ms_per_token", "ms_per_token"), r6("tokens_per_s", "tokens_per_s"))
+    return sort_with_position(g, ["batch_size", "parallelism_type"])
+
+
+def throughput_bars(spark, sf_dir, batch_size: int = 32, input_length: int = 2048):
+    """Throughput by configuration and model for one batch size and input length.
+
+    Runs without a throughput (a return flag R with a tax of zero stands for
+    a failed run) have null measures and are dropped.
+    """
+    failed = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
+    d = run_records(spark, sf_dir, failed)
+    d = (d.withColumn("TP_PP", R.parallelism_label("tp_size", "pp_size"))
+         .drop("tp_size", "pp_size", "total_output_tokens", "total_latency_s"))
+    d = d.where((F.col("input_length") == input_length) & (F.col("batch_size") == batch_size)).dropna("any")
+    g = d.groupBy("TP_PP", "model_name").agg(F.avg("token_per_second").alias("t"), F.count(F.lit(1)).alias("n"))
+    return sort_with_position(g.select("TP_PP", "model_name", "n", r6("t", "tokens_per_s")),
+                              ["TP_PP", "model_name"])
+
+
+def latency_vs_throughput(spark, sf_dir, model: str = "N", input_length: int = 2048):
+    """Mean adjusted latency at each throughput, a curve for each parallelism class."""
+    d = run_records(spark, sf_dir)
+    d = d.withColumn("parallelism_type", R.parallelism_class("tp_size", "pp_size"))
+    d = d.where((F.col("model_name") == model) & (F.col("input_length") == input_length)
+                & (F.col("tp_size") * F.col("pp_size") != 2))
+    d = d.withColumn("total_latency_s", R.batch_adjusted_latency("total_latency_s", "batch_size"))
+    g = d.groupBy("parallelism_type", F.round("token_per_second", 0).alias("tokens_per_s")).agg(
+        F.avg("total_latency_s").alias("l"))
+    return g.select("parallelism_type", "tokens_per_s", r6("l", "latency_s"))
 
 
 def kernel_records(spark, sf_dir) -> DataFrame:
@@ -75,12 +109,23 @@ def kernel_records(spark, sf_dir) -> DataFrame:
         F.round(F.col("l_extendedprice") * 100000).cast("long").alias("CommKernelTime"))
 
 
+def stored_kernel_records(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The kernel summary written as CSV and read back with its types, and its folder."""
+    records = kernel_records(spark, sf_dir)
+    path = scratch_path(spark, "kernel_csv")
+    write_csv(records, path, header=True)
+    return read_csv_typed(spark, path, records.schema), path
+
+
 def _kernel_mix(spark, sf_dir, batch: int = 32) -> DataFrame:
-    k = kernel_records(spark, sf_dir).where(F.col("BS") == batch)  # P5 before P20
+    records, path = stored_kernel_records(spark, sf_dir)
+    k = records.where(F.col("BS") == batch)  # P5 before P20
     comm_ns, total_ns = R.kernel_totals("CommKernelTime", "Iterations", "CommKernelPct")
     k = k.select(*LINE_ORDER, F.format_string("(TP=%d,PP=%d)", "TP", "PP").alias("label"),
                  comm_ns.alias("comm_ns"), total_ns.alias("total_ns"))
-    return R.keep_last(k, ["label"], LINE_ORDER, ["comm_ns", "total_ns"])
+    last = materialize(R.keep_last(k, ["label"], LINE_ORDER, ["comm_ns", "total_ns"]))
+    remove_path(spark, path)
+    return last
 
 
 def kernel_mix(spark, sf_dir):
@@ -178,10 +223,30 @@ def stage_stats(spark, sf_dir):
     out = [F.col("TP_PP"), R.class_by_label("TP_PP").alias("parallelism_type")]
     for s in STAGES:
         out += [r6(s, s), r6(f"{s}_std", f"{s}_std")]
-    return wide.select(*out)
+    return sort_with_position(wide.select(*out), ["TP_PP"])
+
+
+def stage_share_union(spark, sf_dir):
+    """One frame of stage shares for each line status and return flag, united and sorted."""
+    rows = _stage_rows(spark, sf_dir)
+    frames = [_shares(rows.where(where), name) for name, where in (
+        ("(1, 4)", F.col("l_returnflag") == "A"), ("(2, 2)", F.col("l_returnflag") == "R"),
+        ("(4, 1)", (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")),
+        ("(1, 1)", (F.col("l_returnflag") == "N") & (F.col("l_linestatus") != "O")))]
+    return sort_with_position(R.union_all(frames), ["TP_PP", "stage"])
+
+
+def _shares(rows: DataFrame, name: str) -> DataFrame:
+    """Share of each stage in the time of one configuration; at most one row a stage."""
+    per_stage = rows.groupBy("stage").agg(F.sum("us").alias("us")).withColumn("TP_PP", F.lit(name))
+    whole = F.sum("us").over(Window.partitionBy("TP_PP"))
+    return per_stage.select("TP_PP", "stage", r6(F.col("us") / whole, "share"))
 
 
 QUERIES = {
+    "throughput_bars": throughput_bars,
+    "latency_vs_throughput": latency_vs_throughput,
+    "stage_share_union": stage_share_union,
     "run_summary": run_summary,
     "kernel_mix": kernel_mix,
     "pipeline_load": pipeline_load,
@@ -199,7 +264,7 @@ RUNS_SQL = """runs AS (
               ELSE 64 END AS batch_size,
          CASE WHEN l_linestatus = 'O' THEN 128 ELSE 2048 END AS input_length,
          l_extendedprice / 100.0 AS total_latency_s,
-         CAST(l_quantity AS BIGINT) * 1000 AS total_output_tokens
+         CAST(l_quantity AS BIGINT) * 1000 AS total_output_tokens, l_tax AS tax
   FROM lineitem)"""
 
 KERNEL_SQL = """k AS (
@@ -254,9 +319,27 @@ d AS (
               WHEN 32 THEN total_latency_s / 2.0 ELSE total_latency_s END AS lat
   FROM runs
   WHERE model_name = 'N' AND input_length = 2048 AND tp_size * pp_size <> 2)
-SELECT batch_size, parallelism_type, count(*) AS n, round(avg(lat), 6) AS latency_s,
-       round(avg(ms), 6) AS ms_per_token, round(avg(tps), 6) AS tokens_per_s
-FROM d GROUP BY 1, 2""",
+SELECT row_number() OVER (ORDER BY batch_size, parallelism_type) - 1 AS position, *
+FROM (SELECT batch_size, parallelism_type, count(*) AS n, round(avg(lat), 6) AS latency_s,
+             round(avg(ms), 6) AS ms_per_token, round(avg(tps), 6) AS tokens_per_s
+      FROM d GROUP BY 1, 2) t""",
+    "throughput_bars": f"""WITH {RUNS_SQL},
+d AS (SELECT printf('(%d, %d)', tp_size, pp_size) AS TP_PP, model_name, total_output_tokens / total_latency_s AS t
+      FROM runs WHERE batch_size = 32 AND input_length = 2048 AND NOT (model_name = 'R' AND tax = 0))
+SELECT row_number() OVER (ORDER BY TP_PP, model_name) - 1 AS position, *
+FROM (SELECT TP_PP, model_name, count(*) AS n, round(avg(t), 6) AS tokens_per_s FROM d GROUP BY 1, 2) x""",
+    "latency_vs_throughput": f"""WITH {RUNS_SQL},
+d AS (SELECT CASE WHEN tp_size > pp_size THEN 'TP' WHEN pp_size > tp_size THEN 'PP'
+                  WHEN tp_size = 1 AND pp_size = 1 THEN 'Baseline' ELSE 'TP + PP' END AS parallelism_type,
+             round(total_output_tokens / total_latency_s, 0) AS tokens_per_s,
+             CASE batch_size WHEN 1 THEN total_latency_s / 64.0 WHEN 16 THEN total_latency_s / 4.0
+                  WHEN 32 THEN total_latency_s / 2.0 ELSE total_latency_s END AS lat
+      FROM runs WHERE model_name = 'N' AND input_length = 2048 AND tp_size * pp_size <> 2)
+SELECT parallelism_type, tokens_per_s, round(avg(lat), 6) AS latency_s FROM d GROUP BY 1, 2""",
+    "stage_share_union": f"""WITH {STAGE_SQL},
+g AS (SELECT TP_PP, stage, sum(us) AS us FROM u GROUP BY 1, 2)
+SELECT row_number() OVER (ORDER BY TP_PP, stage) - 1 AS position, TP_PP, stage,
+       round(us / sum(us) OVER (PARTITION BY TP_PP), 6) AS share FROM g""",
     "kernel_mix": f"""WITH {KERNEL_SQL}
 SELECT label, comm_ns, total_ns, round(comm_ns / 1e9, 6) AS comm_s,
        round((total_ns - comm_ns) / 1e9, 6) AS other_s
@@ -285,7 +368,7 @@ SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, o_totalprice AS
        CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS batch
 FROM orders""",
     "stage_stats": f"""WITH {STAGE_SQL}
-SELECT TP_PP,
+SELECT row_number() OVER (ORDER BY TP_PP) - 1 AS position, TP_PP,
        CASE TP_PP WHEN '(1, 4)' THEN 'PP' WHEN '(4, 1)' THEN 'TP' WHEN '(1, 1)' THEN 'Baseline'
             ELSE 'TP + PP' END AS parallelism_type,
        {_stage_select()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import md5_unit
+from ..functions.scalar import WORD_SPACE, md5_unit
 from ..operators import sampling as X
 from ..sources.tables import table
 
@@ -44,7 +44,7 @@ QUERIES = {
 
 
 def _space_sql() -> str:
-    return "(" + " || ".join(f"chr({ord(c)})" for c in X.WORD_SPACE) + ")"
+    return "(" + " || ".join(f"chr({ord(c)})" for c in WORD_SPACE) + ")"
 
 
 def _cdf_sql() -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -11,3 +12,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Schema of serving-run records that are given in line; measures of runs that
+# failed are null (not-a-number values become null).
+RUN_RECORD = ("model_name string, num_layers int, num_heads int, tp_size int, pp_size int, batch_size int, "
+              "input_length int, output_length int, total_latency_s double, token_per_second double, "
+              "total_output_tokens double")
+
+
+def records(spark: SparkSession, rows: list[dict], schema: str = RUN_RECORD) -> DataFrame:
+    """A frame of in-line records; absent fields and not-a-number values are null."""
+    frame = spark.createDataFrame(rows, schema)
+    numbers = [c for c, t in frame.dtypes if t in ("double", "float")]
+    return frame.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import WORD_SEP, strict_cast, strip
+from ..session import materialize
+
 
 def quote_regex(sep: str) -> str:
     """Literal separator for ``split``, which takes a Java regular expression."""
@@ -39,11 +42,15 @@ def parse_edges(lines: DataFrame, sep: str = "\t", comment: str | None = "#",
     v = F.col(value)
     kept = lines.where(~v.startswith(comment)) if comment else lines
     parts = F.split(v, quote_regex(sep))
+    src, dst = F.get(parts, 0), F.get(parts, 1)
     if mode == "drop":
         kept = kept.where(F.size(parts) >= 2)
-    elif mode != "strict":
+    elif mode == "strict":
+        dst = F.when(v.isNull() | (F.size(parts) >= 2), dst).otherwise(
+            F.raise_error(F.concat(F.lit("fewer than two fields: "), v)))
+    else:
         raise ValueError(f"mode must be 'strict' or 'drop', not {mode!r}")
-    return kept.select(parts.getItem(0).alias("src"), parts.getItem(1).alias("dst"))
+    return kept.select(src.alias("src"), dst.alias("dst"))
 
 
 def scan_edges(spark: SparkSession, path: str, sep: str = "\t", comment: str | None = "#",
@@ -52,41 +59,52 @@ def scan_edges(spark: SparkSession, path: str, sep: str = "\t", comment: str | N
 
 
 def field_lines(lines: DataFrame, token: str, value: str = "value") -> DataFrame:
-    """Keep lines containing ``token``; add ``fields``: the line split on runs of blanks."""
+    """Keep lines containing ``token``; add ``fields``: the line split on runs of white space."""
     v = F.col(value)
-    return lines.where(v.contains(token)).withColumn("fields", F.split(F.trim(v), r"\s+"))
+    return lines.where(v.contains(token)).withColumn("fields", F.split(strip(v), WORD_SEP))
+
+
+def lines_by_token(lines: DataFrame, tokens: tuple[str, ...], name: str = "token",
+                   value: str = "value") -> DataFrame:
+    """A row for each line and each of the ``tokens`` it contains, with ``fields`` as above."""
+    v = F.col(value)
+    held = F.array_compact(F.array(*[F.when(v.contains(t), F.lit(t)) for t in tokens]))
+    return (lines.withColumn(name, F.explode(held))
+            .withColumn("fields", F.split(strip(v), WORD_SEP)))
 
 
 def field(idx: int, to: str | None = None, mode: str = "strict") -> Column:
     """0-based field of ``fields``; ``strict`` raises on a short line or bad number."""
-    raw = F.col("fields").getItem(idx) if mode == "strict" else F.get(F.col("fields"), idx)
-    if to is None:
-        return raw
-    return raw.cast(to) if mode == "strict" else raw.try_cast(to)
+    raw = F.get(F.col("fields"), idx)
+    if mode == "strict":
+        raw = F.when(F.size("fields") > idx, raw).otherwise(F.raise_error(F.lit(f"a line has no field {idx}")))
+        return raw if to is None else strict_cast(raw, to)
+    return raw if to is None else raw.try_cast(to)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text files as (file, line_no, value) with 0-based line numbers per file.
 
-    Line order comes from (file, split start, position in split); the global
-    ordinal makes it dense, so no file has to be read by a single task.
+    Lines stay where they are read: a task numbers the lines of its splits,
+    and the counts of the splits (one row each) give every split its first
+    number. The numbered lines are checkpointed, as the counts read them too.
     """
-    from ..operators.ordered import with_group_start, with_ordinal
-
-    raw = spark.read.text(path).select(
+    raw = materialize(spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"), "value")
-    o = with_ordinal(raw, ["file", "_blk", "_mid"], "_pos")
-    s = with_group_start(o, ["file"], "_pos", "_start")
-    return s.select("file", (F.col("_pos") - F.col("_start")).alias("line_no"), "value")
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_mid"), "value"))
+    splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file", "_split", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return raw.join(F.broadcast(offsets), ["file", "_split"]).select(
+        "file", (F.col("_before") + F.col("_mid") - F.col("_first")).alias("line_no"), "value")
 
 
 def hms_to_ms(c: Column) -> Column:
     """``h:m:s`` text -> milliseconds since midnight (no date: no wrap at midnight)."""
     p = F.split(c, ":")
-    return ((p.getItem(0).cast("long") * 3600 + p.getItem(1).cast("long") * 60
-             + p.getItem(2).cast("long")) * 1000)
+    h, m, s = (strict_cast(F.get(p, i), "long") for i in range(3))
+    return (h * 3600 + m * 60 + s) * 1000
 
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
