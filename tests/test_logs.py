@@ -81,7 +81,7 @@ def test_null_source_keeps_stamps_and_rounds(spark):
 
 
 def test_line_with_both_tokens_is_a_stamp_and_a_sample(spark):
-    rows = [("a", 0, "[2] node1 root 18 10:00:01, 44 %, x")]
+    rows = [("a", 0, "[2] node1 root 18 10:00:01 2024, 44 %, x")]
     r = parsed_log(spark, rows).first()
     assert (r.kind, r.raw_ms, r.gpu, r.util) == ("both", 36001000, 2, 44)
     assert [(x.stamp_ms, x.util) for x in carried(parsed_log(spark, rows)).collect()] == [(36001000, 44)]

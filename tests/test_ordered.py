@@ -66,3 +66,18 @@ def test_attach_by_key_small_blocks(spark):
     for block in (1, 4, 1000):
         got = sorted((r.p, r.v) for r in attach_by_key(rows, ["k"], "p", vals, block).collect())
         assert got == [(i, {"hot": 1.0, "a": 2.0, "b": 3.0}[k]) for i, k in enumerate(keys)]
+
+
+def test_neighbours_across_blocks_and_null_keys(spark):
+    from tidepool.operators.ordered import with_next, with_prev
+    keys = [None] * 5 + ["a"] * 7 + ["b"] + ["c"] * 9
+    rows = [(i, k, i * 10) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "pos long, k string, v long").repartition(3)
+    for block in (1, 3, 4, 100):
+        nxt = {r.pos: r.v_next for r in with_next(df, ["k"], "pos", ["v"], block_rows=block).collect()}
+        prv = {r.pos: r.v_prev for r in with_prev(df, ["k"], "pos", ["v"], block_rows=block).collect()}
+        for i, k in enumerate(keys):
+            assert nxt[i] == ((i + 1) * 10 if i + 1 < len(keys) and keys[i + 1] == k else None)
+            assert prv[i] == ((i - 1) * 10 if i and keys[i - 1] == k else None)
+        inner = with_next(df, ["k"], "pos", ["v"], how="inner", block_rows=block).count()
+        assert inner == sum(a == b for a, b in zip(keys, keys[1:], strict=False))

@@ -8,8 +8,8 @@ data. The helpers here avoid that:
   sort. A range exchange spreads a hot key over many partitions; the
   position comes from per-partition counts (one row per partition, so the
   offsets table is bounded by the partition count and safe to broadcast).
-* ``with_next`` pairs each row with the row one position later (same key):
-  an equi-join on the unique position, so no key can skew it.
+* ``with_next`` and ``with_prev`` pair each row with its neighbour of the same
+  key through windows over blocks of positions and a one-row-per-block table.
 * ``with_group_start`` gives the position of the first row of each key from
   windows over fixed-size blocks of positions plus a one-row-per-block
   table, so a hot key never meets a join on its own key.
@@ -74,34 +74,46 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(named, cond, how).drop(*[f"_tp_r_{k}" for k in keys])
 
 
+def _with_neighbour(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
+                    suffix: str, step: int, block_rows: int) -> DataFrame:
+    """Attach ``cols`` of the row at ``pos + step`` (step 1 or -1) when it has the same ``keys``.
+
+    Windows over blocks of positions find the neighbour inside a block; the
+    row at a block's edge takes it from a table with one row per block. The
+    rows are exchanged once, by block.
+    """
+    row = F.struct(F.col(pos).alias("p"), F.struct(*[F.col(k) for k in keys]).alias("k"),
+                   *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long")
+    in_block = Window.partitionBy("_tp_nblk").orderBy(pos)
+    near = F.lead(row) if step > 0 else F.lag(row)
+    edge = F.min_by(row, F.col(pos)) if step > 0 else F.max_by(row, F.col(pos))
+    edges = df.groupBy((blk - step).alias("_tp_nblk")).agg(edge.alias("_tp_edge"))
+    t = df.withColumn("_tp_nblk", blk).withColumn("_tp_near", near.over(in_block))
+    t = t.join(edges, "_tp_nblk", "left").withColumn("_tp_near", F.coalesce("_tp_near", "_tp_edge"))
+    same = F.struct(*[F.col(k) for k in keys])
+    fits = (F.col("_tp_near.p") == F.col(pos) + step) & (F.col("_tp_near.k") == same)
+    return t.select(*df.columns, *[F.when(fits, F.col(f"_tp_near.c{i}")).alias(c + suffix)
+                                   for i, c in enumerate(cols)], F.coalesce(fits, F.lit(False)).alias("_tp_fits"))
+
+
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
-              suffix: str = "_next", how: str = "left") -> DataFrame:
+              suffix: str = "_next", how: str = "left",
+              block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Attach ``cols`` of the row at ``pos + 1`` when it has the same ``keys``.
 
     ``df`` must carry a dense ordinal ``pos`` over an order whose leading
-    columns are ``keys`` (so each key's rows are contiguous).
+    columns are ``keys`` (so each key's rows are contiguous). ``how="inner"``
+    leaves out rows without a next one. Null keys equal each other.
     """
-    nxt = df.select((F.col(pos) - 1).alias("_tp_prev_pos"),
-                    *[F.col(k).alias(f"_tp_k_{k}") for k in keys],
-                    *[F.col(c).alias(c + suffix) for c in cols])
-    cond = F.col(pos) == F.col("_tp_prev_pos")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_tp_k_{k}"))
-    out = df.join(nxt, cond, how)
-    return out.drop("_tp_prev_pos", *[f"_tp_k_{k}" for k in keys])
+    out = _with_neighbour(df, keys, pos, cols, suffix, 1, block_rows)
+    return (out.where("_tp_fits") if how == "inner" else out).drop("_tp_fits")
 
 
 def with_prev(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
-              suffix: str = "_prev") -> DataFrame:
+              suffix: str = "_prev", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Attach ``cols`` of the row at ``pos - 1`` when it has the same ``keys``."""
-    prv = df.select((F.col(pos) + 1).alias("_tp_next_pos"),
-                    *[F.col(k).alias(f"_tp_k_{k}") for k in keys],
-                    *[F.col(c).alias(c + suffix) for c in cols])
-    cond = F.col(pos) == F.col("_tp_next_pos")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_tp_k_{k}"))
-    out = df.join(prv, cond, "left")
-    return out.drop("_tp_next_pos", *[f"_tp_k_{k}" for k in keys])
+    return _with_neighbour(df, keys, pos, cols, suffix, -1, block_rows).drop("_tp_fits")
 
 
 def with_group_start(df: DataFrame, keys: Sequence[str], pos: str,
