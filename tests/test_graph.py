@@ -91,6 +91,8 @@ def test_scan_edges_file(spark, tmp_path):
 def test_tuple_lines(spark):
     df = spark.createDataFrame([("a", 1.425)], "id string, rank double")
     assert tuple_lines(df).first()["value"] == "('a', 1.425)"
+    odd = spark.createDataFrame([("it's", 1e7), ("b", 1e-9)], "id string, rank double")
+    assert sorted(r["value"] for r in tuple_lines(odd).collect()) == ['("it\'s", 10000000.0)', "('b', 1e-09)"]
 
 
 def test_partitioning_and_persistence(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +20,15 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error
 
 
 def tuple_lines(df: DataFrame, key: str = "id", value: str = "rank") -> DataFrame:
-    """``('key', value)`` text, the printed form of a Python (str, float) pair."""
-    return df.select(F.format_string("('%s', %s)", F.col(key).cast("string"),
-                                     F.col(value).cast("string")).alias("value"))
+    """``('key', value)`` text, the printed form of a Python (str, float) pair.
+
+    Python's own notation of numbers and quoting of text, in Arrow batches.
+    """
+    @F.pandas_udf("string")
+    def printed(keys: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([repr(p) for p in zip(keys.tolist(), values.tolist(), strict=True)], dtype=object)
+
+    return df.select(printed(F.col(key).cast("string"), F.col(value).cast("double")).alias("value"))
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value",
