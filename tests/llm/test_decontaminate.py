@@ -1,10 +1,11 @@
 import random
+import re
 
 import numpy as np
 import pytest
 
 from tidepool.llm.decontaminate import GAP, MATCH, MISMATCH, align, find_leaks, smith_waterman
-from tidepool.llm.words import WordHasher, ngram_hashes, plain_words
+from tidepool.llm.words import ANY_WORD, PLAIN_WORD, WordHasher, ngram_hashes, plain_text
 
 
 def table_score(a, b):
@@ -60,10 +61,10 @@ def test_planted_copies_and_nothing_else(spark):
     got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
                      spark.createDataFrame(items, "item_id long, text string"), max_share=0.01).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
-    hasher = WordHasher()
+    hasher = WordHasher(PLAIN_WORD)
     for r in got:
-        text = hasher.of(plain_words(docs[r.doc_id][1]))
-        item = hasher.of(plain_words(items[r.item_id][1]))
+        text = hasher.of(plain_text(docs[r.doc_id][1]))
+        item = hasher.of(plain_text(items[r.item_id][1]))
         full = smith_waterman(item, text)[0] / (MATCH * len(item))
         assert r.score == pytest.approx(full)
         assert 0 <= r.start_word < r.end_word <= len(text)
@@ -100,6 +101,26 @@ def test_edge_cases(spark):
 
 
 def test_ngram_hashes_follow_order():
-    h = WordHasher().of([b"a", b"b", b"c", b"a", b"b", b"c", b"b", b"a"])
+    h = WordHasher(ANY_WORD).of(b"a b c a b c b a")
     g = ngram_hashes(h, 3)
     assert g[0] == g[3] and len(set(g.tolist())) == 5 and len(ngram_hashes(h[:2], 3)) == 0
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_word_hashes_depend_on_words_alone(seed):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice(["a", "B", "é", "9", " ", "\t", "\n", ",", "-", "\x0b"]) for _ in range(rng.randint(0, 60)))
+             for _ in range(20)] + ["", " ", "x" * 5000]
+    for letters, split in ((ANY_WORD, lambda t: t.encode().lower().split()),
+                           (PLAIN_WORD, lambda t: re.findall(rb"[a-z0-9\x80-\xff]+", t.lower().encode()))):
+        hashes, bounds = WordHasher(letters).group([plain_text(t) if letters is PLAIN_WORD else t.encode() for t in texts])
+        names = {}
+        assert len(bounds) == len(texts) + 1
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+            words = split(text)
+            assert len(words) == b - a
+            for w, h in zip(words, hashes[a:b].tolist(), strict=True):
+                assert names.setdefault(w, h) == h
+        assert len(set(names.values())) == len(names)
+        alone = WordHasher(letters)
+        assert all(alone.of(w).tolist() == [h] for w, h in names.items())

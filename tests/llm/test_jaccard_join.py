@@ -6,9 +6,9 @@ import pytest
 
 from tidepool.llm import jaccard_join
 from tidepool.llm.components import components
-from tidepool.llm.jaccard_join import Signer, choose_boundary, jaccard_components, need, shingle_set
+from tidepool.llm.jaccard_join import Signer, choose_boundary, jaccard_components, need, shingle_sets
 from tidepool.llm.repeats import Bitmap, bits_for, place_rows, repeated
-from tidepool.llm.words import WordHasher, ascii_words
+from tidepool.llm.words import ANY_WORD, WordHasher
 
 
 def brute(rows, n, threshold):
@@ -84,10 +84,9 @@ def test_linked_sets_share_a_signature():
 
 
 def test_sets_and_need():
-    h = WordHasher()
-    assert len(shingle_set(h.of(ascii_words(b"")), 4)) == 0
-    assert len(shingle_set(h.of(ascii_words(b"a b")), 4)) == 1
-    assert shingle_set(h.of([b"a", b"b"]), 4) != shingle_set(h.of([b"b", b"a"]), 4)
+    sets = list(shingle_sets([b"", b"a b", b"b a", b"A\tB", b"a b c d e a b c d"], WordHasher(ANY_WORD), 4))
+    assert [len(s) for s in sets] == [0, 1, 1, 1, 5]
+    assert sets[1] != sets[2] and sets[1] == sets[3]
     assert need(20, 85) == 17 and need(7, 85) == 6
     assert choose_boundary(np.zeros(401, np.int64), 1.0, 85) == 0
     assert 10 < choose_boundary(np.full(401, 5), 1.5, 85) < 200

@@ -3,8 +3,7 @@ from collections import Counter
 
 import pytest
 
-from tidepool.llm.license_scan import TEMPLATES, licence_scan, scan_files, term
-from tidepool.llm.words import LETTERS
+from tidepool.llm.license_scan import LETTERS, TEMPLATES, licence_scan, scan_files, term
 
 FILES = [
     (1, "LICENSE", "Copyright someone\nReleased under the MIT License.\n"),

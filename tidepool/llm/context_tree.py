@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import in_batches, partitions, utf8_values
-from tidepool.llm.words import WordHasher, ascii_words, mixed
+from tidepool.llm.words import ANY_WORD, WordHasher, mixed, word_hash
 from tidepool.session import materialize
 
 DEPTH = 6
@@ -44,6 +44,7 @@ BATCH_TEXT = 32 << 20
 BLOCK_TEXT = 1 << 20
 MERGE_KEYS = 4 << 20
 GRAMS, WORDS = 0, 1
+END_HASH = np.uint64(word_hash(b""))
 
 
 # ---- the tree ---------------------------------------------------------------
@@ -177,8 +178,9 @@ def log10_bytes(grams: np.ndarray, depth: int, levels: dict[tuple[int, int], Lev
 
 # ---- texts as grams ---------------------------------------------------------
 
-def spelled(words: list[bytes]) -> bytes:
-    return b" ".join(words) + b"\xff"
+def spelled(text: bytes) -> bytes:
+    """The words with A-Z lower-cased, joined by single spaces, and the end."""
+    return b" ".join(text.lower().split()) + b"\xff"
 
 
 def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,7 +279,7 @@ def text_blocks(docs: DataFrame, id_col: str, text_col: str, held_out: Column) -
                                       utf8_values(batch.column(2)), strict=True):
                 ids.append(key)
                 held.append(out)
-                texts.append(spelled(ascii_words(bytes(text))))
+                texts.append(spelled(bytes(text)))
                 size += len(texts[-1])
                 if size >= BLOCK_TEXT:
                     yield block()
@@ -302,13 +304,8 @@ def block_texts(sizes: list[int], data: bytes) -> list[bytes]:
 
 def block_tokens(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of the texts, each followed by one end (the empty word), and each text's first."""
-    words: list[bytes] = []
-    starts = []
-    for text in texts:
-        starts.append(len(words))
-        words += text[:-1].split()
-        words.append(b"")
-    return hasher.of(words), np.array(starts, np.int64)
+    words, bounds = hasher.group([text[:-1] for text in texts])
+    return np.insert(words, bounds[1:], END_HASH), bounds[:-1] + np.arange(len(texts))
 
 
 def batch_keys(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
@@ -317,7 +314,7 @@ def batch_keys(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
                         ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher = WordHasher(ANY_WORD)
         number, found = None, None
 
         def flush():
@@ -472,7 +469,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     rows = asked.unionAll(texts).repartition(buckets, "batch").sortWithinPartitions("batch", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher = WordHasher(ANY_WORD)
         number, known = None, None
         for batch in batches:
             id_field = batch.schema.field("ids").type.value_type

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import in_batches
-from tidepool.llm.words import WordHasher, ngram_hashes, plain_words
+from tidepool.llm.words import PLAIN_WORD, WordHasher, grouped, ngram_hashes, plain_text
 
 NGRAM = 3
 BLOCK_WORDS = 1 << 20
@@ -98,8 +98,17 @@ def _item_words(items: DataFrame, id_col: str, text_col: str, blocks: int, block
     """Words of a block's items, from its rows; the block is bounded by BLOCK_WORDS."""
     rows = (items.where(F.pmod(F.xxhash64(text_col), F.lit(blocks)) == block)
             .select(id_col, text_col).distinct().collect())
-    hasher = WordHasher()
-    return [(r[0], hasher.of(plain_words(r[1] or ""))) for r in rows]
+    hasher = WordHasher(PLAIN_WORD)
+    return [(r[0], hasher.of(plain_text(r[1] or ""))) for r in rows]
+
+
+def _text_words(batch: pa.RecordBatch, column: int, hasher: WordHasher) -> Iterator[np.ndarray]:
+    """Word hashes of each text of a column; null texts have none."""
+    texts = (plain_text(t or "") for t in batch.column(column).to_pylist())
+    for group in grouped(((t,) for t in texts), lambda row: row[0]):
+        words, bounds = hasher.group([t for t, in group])
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            yield words[start:end]
 
 
 def _seed_counts(docs: DataFrame, text_col: str, index: SeedIndex, n: int) -> dict[int, int]:
@@ -107,12 +116,11 @@ def _seed_counts(docs: DataFrame, text_col: str, index: SeedIndex, n: int) -> di
     schema = pa.schema([("seed", pa.int64()), ("docs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = WordHasher(), np.zeros(len(index.seeds), np.int64)
+        hasher, counts = WordHasher(PLAIN_WORD), np.zeros(len(index.seeds), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    _, rows = index.hits(ngram_hashes(hasher.of(plain_words(text)), n))
-                    counts[np.unique(rows)] += 1
+            for words in _text_words(batch, 0, hasher):
+                _, rows = index.hits(ngram_hashes(words, n))
+                counts[np.unique(rows)] += 1
         seen = np.flatnonzero(counts)
         yield from in_batches(zip(index.seeds[seen].view(np.int64).tolist(), counts[seen].tolist(),
                                   strict=True), schema)
@@ -170,14 +178,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     for index, keys, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
 
         def run(batches: Iterator[pa.RecordBatch], index=index, keys=keys, words_of=words_of) -> Iterator[pa.RecordBatch]:
-            hasher, out = WordHasher(), None
+            hasher, out = WordHasher(PLAIN_WORD), None
 
             def rows(batch):
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if text:
-                        for item, score, start, end in _leaks_of(
-                                hasher.of(plain_words(text)), index, words_of, n, min_score):
-                            yield key, keys[item], score, start, end
+                for key, words in zip(batch.column(0).to_pylist(), _text_words(batch, 1, hasher), strict=True):
+                    for item, score, start, end in _leaks_of(words, index, words_of, n, min_score):
+                        yield key, keys[item], score, start, end
 
             for batch in batches:
                 out = out or pa.schema([("_id", batch.schema.field(0).type), ("_item", pa.array(keys).type),
@@ -198,10 +204,10 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     for index, _, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
 
         def run(batches: Iterator[pa.RecordBatch], index=index, words_of=words_of) -> Iterator[pa.RecordBatch]:
-            hasher = WordHasher()
+            hasher = WordHasher(PLAIN_WORD)
             for batch in batches:
-                clean = [not text or next(_leaks_of(hasher.of(plain_words(text)), index, words_of, n, min_score), None)
-                         is None for text in batch.column(at).to_pylist()]
+                clean = [next(_leaks_of(words, index, words_of, n, min_score), None) is None
+                         for words in _text_words(batch, at, hasher)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         kept = kept.mapInArrow(run, docs.schema)

@@ -37,7 +37,7 @@ from tidepool.llm.common import in_batches, utf8_values
 from tidepool.llm.components import components
 from tidepool.llm.repeats import (
     KEYED, KEYED_DDL, Bitmap, bits_for, folded, pack, place_rows, repeated, unpack)
-from tidepool.llm.words import WordHasher, ascii_words, mixed, ngram_hashes
+from tidepool.llm.words import ANY_WORD, WordHasher, distinct, grouped, mixed, ngram_hashes
 from tidepool.session import materialize
 
 # Buckets of the frequency sketch (one byte each when it is sent to tasks).
@@ -57,11 +57,15 @@ def need(n: int, threshold: int) -> int:
     return -(-threshold * n // 100)
 
 
-def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct n-gram hashes; fewer words than ``n`` are one n-gram, none are no set."""
-    if 0 < len(words) < n:
-        return ngram_hashes(words, len(words)) ^ np.uint64(len(words))
-    return np.unique(ngram_hashes(words, n))
+def shingle_sets(texts: list[bytes], hasher: WordHasher, n: int) -> Iterator[np.ndarray]:
+    """Sorted distinct n-gram hashes of each text; fewer words than ``n`` are one n-gram, none are no set."""
+    words, bounds = hasher.group(texts)
+    grams = ngram_hashes(words, n)
+    for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+        if 0 < end - start < n:
+            yield ngram_hashes(words[start:end], int(end - start)) ^ np.uint64(end - start)
+        else:
+            yield distinct(grams[start:max(start, end - n + 1)])
 
 
 def class_key(elements: np.ndarray) -> int:
@@ -106,10 +110,12 @@ def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[object, np.ndarray]]:
     """(id, set) of each row of (id, text) batches."""
-    hasher = WordHasher()
+    hasher = WordHasher(ANY_WORD)
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), utf8_values(batch.column(1)), strict=True):
-            yield key, shingle_set(hasher.of(ascii_words(bytes(text))), n)
+        rows = zip(batch.column(0).to_pylist(), utf8_values(batch.column(1)), strict=True)
+        for group in grouped(rows, lambda row: row[1]):
+            sets = shingle_sets([bytes(text) for _, text in group], hasher, n)
+            yield from zip([key for key, _ in group], sets, strict=True)
 
 
 # ---- statistics of all sets -------------------------------------------------
@@ -330,8 +336,8 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     if total:
         ranks = frequency_ranks(found[SKETCH])
         least = unpack(found[SMALLEST][0][1], np.uint64)
-        distinct = len(least) if len(least) < SMALLEST_HASHES else (len(least) - 1) * 2.0**64 / float(least[-1])
-        boundary = choose_boundary(unpack(found[SIZES][0][1], np.int64), total / distinct, threshold)
+        kinds = len(least) if len(least) < SMALLEST_HASHES else (len(least) - 1) * 2.0**64 / float(least[-1])
+        boundary = choose_boundary(unpack(found[SIZES][0][1], np.int64), total / kinds, threshold)
     signer = spark.sparkContext.broadcast(Signer(ranks, boundary, threshold))
     bits = bits_for(total // 5)
 
