@@ -1,4 +1,4 @@
-"""Connected components of a link table by alternating large and small stars."""
+"""Connected components of a link table by least labels and pointer jumps."""
 
 from __future__ import annotations
 
@@ -8,43 +8,26 @@ from pyspark.sql import functions as F
 from tidepool.session import materialize
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
-    """One step: each node's larger (or smaller) neighbours are hung on its least one.
-
-    A small step's edges point from the larger node to the smaller already;
-    a large step looks at both directions.
-    """
-    if small:
-        pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    else:
-        pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = materialize(pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-    hung = pairs.join(least, "u")
-    if small:
-        out = hung.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(
-            least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    else:
-        out = hung.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return out.where("a <> b").distinct()
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of the links ``a, b``: root is its component's least node.
 
-    Rounds end when an even round changes no edge. The links are spread by
-    their ends, a node of many links is split by Spark's skew join, and each
-    round is checkpointed, so no task or driver holds a component.
+    Every round a node takes the least label of itself and its neighbours and
+    then that label's own label, so labels travel in doubling steps; rounds
+    end when nothing changes. Links are spread by their ends, a node of many
+    links is split by Spark's skew join, and each round is checkpointed, so
+    no task or driver holds a component.
     """
-    edges = materialize(links.select("a", "b").where("a <> b").distinct())
-    before = None
+    ends = links.select("a", "b").where("a <> b")
+    edges = materialize(ends.unionAll(ends.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    roots = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+                        .withColumn("root", F.least("node", "root")))
     while True:
-        edges = materialize(_stars(edges, small=False))
-        edges = materialize(_stars(edges, small=True))
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
-            break
-        before = now
-    roots = edges.select(F.col("b").alias("node")).distinct()
-    return materialize(edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-                       .unionAll(roots.select("node", F.col("node").alias("root"))))
+        near = (edges.join(roots, edges.b == roots.node).groupBy("a")
+                .agg(F.min("root").alias("near")))
+        nearer = roots.join(near, roots.node == near.a).select(
+            "node", F.col("root").alias("old"), F.least("root", "near").alias("step"))
+        above = roots.select(F.col("node").alias("step"), F.col("root").alias("jump"))
+        moved = materialize(nearer.join(above, "step").select("node", "old", F.least("step", "jump").alias("root")))
+        roots = moved.select("node", "root")
+        if not moved.where("old <> root").limit(1).collect():
+            return roots

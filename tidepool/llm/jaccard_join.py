@@ -13,12 +13,13 @@ n - ceil(threshold n) + k of each, therefore
   by the inverted lists of their prefixes (k = 1).
 
 ``x`` is where the rows that both ways cost, from the sizes of all sets and
-the mean list length, are fewest. Signatures that only one set holds are not
-sent (a bitmap of fixed size tells). Candidates are not all pairs of a list:
-each member meets the list's least class first, linked classes become
-components, and only members of different components meet again. A list of
-near copies thus costs its length. Candidates whose shared prefixes rule the
-threshold out are dropped; all others are compared whole.
+the mean list length, are fewest. Elements that one class holds alone come
+first in the order (a bitmap of fixed size tells) and are never sent: a set
+with enough of them cannot link at all. Candidates are not all pairs of a
+list: each member meets the list's most connected class first, linked classes
+become components, and only members of different components meet again. A
+list of near copies thus costs its length. Candidates whose shared prefixes
+rule the threshold out are dropped; all others are compared whole.
 """
 
 from __future__ import annotations
@@ -80,27 +81,35 @@ def copy_key(ck: int, key) -> int:
 
 
 class Signer:
-    """Signatures of sets, given the sketch of frequencies and the boundary."""
+    """Signatures of sets, given the repeated elements, their frequencies and the boundary."""
 
-    def __init__(self, ranks: np.ndarray, boundary: int, threshold: int):
-        self.ranks, self.boundary, self.threshold = ranks, boundary, threshold
-
-    def ordered(self, elements: np.ndarray) -> np.ndarray:
-        """Elements as 63-bit numbers whose order is from rare to frequent."""
-        rank = self.ranks[(elements >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-        return np.sort((rank.astype(np.uint64) << np.uint64(56)) | (elements >> np.uint64(8)))
+    def __init__(self, repeated: Bitmap, ranks: np.ndarray, boundary: int, threshold: int):
+        self.repeated, self.ranks = repeated, ranks
+        self.boundary, self.threshold = boundary, threshold
 
     def of(self, elements: np.ndarray) -> tuple[np.ndarray, int]:
-        """Signatures (subsets have the top bit set) and the last element of the list prefix."""
+        """Signatures (subsets have the top bit set) and the last element of the list prefix.
+
+        Elements become 63-bit numbers whose order is from rare to frequent:
+        those of one class alone first, the others by the sketch. Signatures
+        with an element of the first kind meet nothing and are left out.
+        """
         n = len(elements)
         spare = n - need(n, self.threshold)
-        order = self.ordered(elements)
-        lists = order[:spare + 1] if 100 * n >= self.threshold * (self.boundary + 1) else order[:0]
+        shared = self.repeated.has(elements)
+        alone = n - int(shared.sum())
+        if alone > spare + 1:
+            return elements[:0], 0
+        held = elements[shared]
+        rank = self.ranks[(held >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+        order = np.sort(((rank + np.uint64(1)) << np.uint64(56)) | (held >> np.uint64(8)))
+        last = int(order[spare - alone]) if alone <= spare else 0
         if n > self.boundary or n < 2:
-            return lists, int(order[spare])
-        first, second = _pairs(min(spare + 2, n))
+            return order[:max(0, spare + 1 - alone)], last
+        lists = order[:max(0, spare + 1 - alone)] if 100 * n >= self.threshold * (self.boundary + 1) else order[:0]
+        first, second = _pairs(min(spare + 2, n) - alone)
         subsets = mixed(order[first] * np.uint64(0x9E3779B97F4A7C15) + order[second]) | np.uint64(1 << 63)
-        return np.concatenate([lists, subsets]), int(order[spare])
+        return np.concatenate([lists, subsets]), last
 
 
 @functools.lru_cache(maxsize=1024)
@@ -118,40 +127,81 @@ def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[object,
             yield from zip([key for key, _ in group], sets, strict=True)
 
 
-# ---- statistics of all sets -------------------------------------------------
+# ---- scans ------------------------------------------------------------------
+
+def documents_and_places(texts: DataFrame, n: int, bits: int) -> DataFrame:
+    """``id, n, ck`` of every document, and ``key, data`` places of the elements of classes."""
+    id_type = texts.schema[0].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = None
+
+        def watched():
+            nonlocal schema
+            for batch in batches:
+                schema = schema or pa.schema([*KEYED, ("id", batch.schema.field(0).type), ("n", pa.int64()),
+                                              ("ck", pa.int64())])
+                yield batch
+
+        def places(parts):
+            for k, data in place_rows(np.concatenate(parts), bits):
+                yield k, data, None, None, None
 
-def set_statistics(texts: DataFrame, n: int) -> dict[int, list[tuple[int, bytes]]]:
-    """Sketch slices, size histogram, smallest hashes and total of all sets, by kind."""
+        def rows():
+            seen, loose, held = set(), [], 0
+            for key, elements in sets_of(watched(), n):
+                ck = class_key(elements) if len(elements) else None
+                yield None, None, key, len(elements), ck
+                if ck is not None and ck not in seen:
+                    seen.add(ck)
+                    loose.append(elements)
+                    held += len(elements)
+                    if held > LOOSE:
+                        yield from places(loose)
+                        loose, held = [], 0
+            if loose:
+                yield from places(loose)
+
+        found = rows()
+        first = next(found, None)
+        if first is not None:
+            yield from in_batches(itertools.chain([first], found), schema, weight=lambda r: len(r[1] or b""))
+
+    return texts.mapInArrow(run, f"{KEYED_DDL}, id {id_type}, n bigint, ck bigint")
+
+
+def set_statistics(texts: DataFrame, n: int, repeated_elements) -> dict[int, list[tuple[int, bytes]]]:
+    """Sketch slices of the repeated elements, size histogram, smallest hashes and total, by kind."""
     width = (1 << SKETCH_BITS) // SKETCH_SLICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         sizes = np.zeros(MOST_LIGHT + 1, np.int64)
-        least, loose, total = np.zeros(0, np.uint64), [], 0
+        least, loose, held, total = np.zeros(0, np.uint64), [], 0, 0
 
         def keep():
-            nonlocal least, loose
+            nonlocal least, loose, held
             whole = np.concatenate(loose)
+            whole = whole[repeated_elements.value.has(whole)]
             counts[:] += np.bincount((whole >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
                                      minlength=len(counts))
-            least = np.unique(np.concatenate([least, whole[whole < (2**64 - 1) // 64], whole[:SMALLEST_HASHES]]))
-            least = least[:SMALLEST_HASHES]
-            loose = []
+            small = np.partition(whole, SMALLEST_HASHES * 64)[:SMALLEST_HASHES * 64] if (
+                len(whole) > SMALLEST_HASHES * 64) else whole
+            least = distinct(np.concatenate([least, small]))[:SMALLEST_HASHES]
+            held, loose = 0, []
+            return len(whole)
 
-        held = 0
         for _, elements in sets_of(batches, n):
             if len(elements):
                 loose.append(elements)
                 held += len(elements)
-                total += len(elements)
                 if len(elements) <= MOST_LIGHT:
                     sizes[len(elements)] += 1
                 if held > LOOSE:
-                    keep()
-                    held = 0
+                    total += keep()
         if loose:
-            keep()
-        if total:
+            total += keep()
+        if sizes.any() or total:
             rows = [(SKETCH << 32 | k, pack(counts[k * width:(k + 1) * width])) for k in range(SKETCH_SLICES)]
             rows += [(SIZES << 32, pack(sizes)), (SMALLEST << 32, pack(least)),
                      (TOTAL << 32, pack(np.array([total])))]
@@ -161,7 +211,7 @@ def set_statistics(texts: DataFrame, n: int) -> dict[int, list[tuple[int, bytes]
         kind, value = state
         if kind == SMALLEST:
             new = unpack(data, np.uint64)
-            return kind, new if value is None else np.unique(np.concatenate([value, new]))[:SMALLEST_HASHES]
+            return kind, new if value is None else distinct(np.concatenate([value, new]))[:SMALLEST_HASHES]
         new = unpack(data, np.int64)
         return kind, new if value is None else value + new
 
@@ -173,12 +223,12 @@ def set_statistics(texts: DataFrame, n: int) -> dict[int, list[tuple[int, bytes]
 
 
 def frequency_ranks(slices: list[tuple[int, bytes]]) -> np.ndarray:
-    """Rank of each bucket, 0 to 127: steps of a quarter octave of its count."""
+    """Rank of each bucket, 0 to 126: steps of a quarter octave of its count."""
     ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
     width = len(ranks) // SKETCH_SLICES
     for k, data in slices:
         counts = unpack(data, np.int64)
-        ranks[k * width:(k + 1) * width] = np.minimum(127, 4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        ranks[k * width:(k + 1) * width] = np.minimum(126, 4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
     return ranks
 
 
@@ -197,50 +247,7 @@ def choose_boundary(sizes: np.ndarray, list_length: float, threshold: int) -> in
     return best
 
 
-# ---- scans ------------------------------------------------------------------
-
-def documents_and_places(texts: DataFrame, n: int, signer, bits: int) -> DataFrame:
-    """``id, n, ck`` of every document, and ``key, data`` places of the classes' signatures."""
-    id_type = texts.schema[0].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-
-        def watched():
-            nonlocal schema
-            for batch in batches:
-                schema = schema or pa.schema([*KEYED, ("id", batch.schema.field(0).type), ("n", pa.int64()),
-                                              ("ck", pa.int64())])
-                yield batch
-
-        def places(parts):
-            for k, data in place_rows(np.concatenate(parts), bits):
-                yield k, data, None, None, None
-
-        def rows():
-            seen, loose, held = set(), [], 0
-            for key, elements in sets_of(watched(), n):
-                ck = class_key(elements) if len(elements) else None
-                yield None, None, key, len(elements), ck
-                if len(elements) > 1 and ck not in seen:
-                    seen.add(ck)
-                    loose.append(mixed(signer.value.of(elements)[0]))
-                    held += len(loose[-1])
-                    if held > LOOSE:
-                        yield from places(loose)
-                        loose, held = [], 0
-            if loose:
-                yield from places(loose)
-
-        found = rows()
-        first = next(found, None)
-        if first is not None:
-            yield from in_batches(itertools.chain([first], found), schema, weight=lambda r: len(r[1] or b""))
-
-    return texts.mapInArrow(run, f"{KEYED_DDL}, id {id_type}, n bigint, ck bigint")
-
-
-def signatures(texts: DataFrame, n: int, signer, bitmap) -> DataFrame:
+def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
     """``sig, ck, n, last`` of the signatures that may repeat; equal sets of a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +269,6 @@ def signatures(texts: DataFrame, n: int, signer, bitmap) -> DataFrame:
                 continue
             seen.add(ck)
             sigs, last = signer.value.of(elements)
-            sigs = sigs[bitmap.value.has(mixed(sigs))]
             if len(sigs):
                 kept.append((sigs, ck, len(elements), last))
                 held += len(sigs)
@@ -330,7 +336,15 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     """Documents ``id, n, ck``, their classes ``ck, id`` (least id) and links ``a, b`` that connect
     all classes that are connected by pairs at the threshold."""
     spark = texts.sparkSession
-    found = set_statistics(texts, n)
+    # About a word in six bytes, and as many n-grams as words.
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = bits_for(size // 6)
+    rows = materialize(documents_and_places(texts, n, bits))
+    docs = rows.where("data is null").select("id", "n", "ck")
+    classes = materialize(docs.where("ck is not null").groupBy("ck").agg(F.min("id").alias("id")))
+    shared = spark.sparkContext.broadcast(repeated(rows.where("data is not null"), bits))
+
+    found = set_statistics(texts, n, shared)
     total = sum(int(unpack(d, np.int64)[0]) for _, d in found[TOTAL])
     boundary, ranks = 0, np.zeros(1 << SKETCH_BITS, np.uint8)
     if total:
@@ -338,24 +352,25 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
         least = unpack(found[SMALLEST][0][1], np.uint64)
         kinds = len(least) if len(least) < SMALLEST_HASHES else (len(least) - 1) * 2.0**64 / float(least[-1])
         boundary = choose_boundary(unpack(found[SIZES][0][1], np.int64), total / kinds, threshold)
-    signer = spark.sparkContext.broadcast(Signer(ranks, boundary, threshold))
-    bits = bits_for(total // 5)
-
-    rows = materialize(documents_and_places(texts, n, signer, bits))
-    docs = rows.where("data is null").select("id", "n", "ck")
-    bitmap = spark.sparkContext.broadcast(repeated(rows.where("data is not null"), bits))
-    classes = materialize(docs.where("ck is not null").groupBy("ck").agg(F.min("id").alias("id")))
-
-    signed = materialize(signatures(texts, n, signer, bitmap))
-    lists = materialize(signed.groupBy("sig").agg(F.min(F.struct("ck", "n")).alias("least"), F.max("ck").alias("top"))
-                        .where("least.ck < top").select("sig", "least"))
-    members = materialize(signed.join(lists, "sig").select(
-        "sig", "ck", "n", "last", F.col("least.ck").alias("first"), F.col("least.n").alias("first_n")))
-
-    # Each class against the least class of its lists that it shares most with.
+    signer = spark.sparkContext.broadcast(Signer(shared.value, ranks, boundary, threshold))
+
+    signed = materialize(signatures(texts, n, signer))
+    lists = materialize(signed.groupBy("sig").agg(F.min("ck").alias("lo"), F.max("ck").alias("hi"),
+                                                  F.count("*").alias("entries"))
+                        .where("lo < hi").select("sig", "entries"))
+    listed = materialize(signed.join(lists, "sig").dropDuplicates(["sig", "ck"]))
+    # The centre of a list is the member that has most neighbours over all its lists:
+    # of edited copies of one text, the one that the others share most with.
+    weight = listed.groupBy("ck").agg(F.sum("entries").alias("weight"))
+    weighed = materialize(listed.join(materialize(weight), "ck").select("sig", "ck", "n", "last", "weight"))
+    centres = weighed.groupBy("sig").agg(F.max(F.struct("weight", "ck", "n")).alias("top"))
+    members = materialize(weighed.join(materialize(centres), "sig").select(
+        "sig", "ck", "n", "last", F.col("top.ck").alias("first"), F.col("top.n").alias("first_n"),
+        F.col("top.weight").alias("first_weight")))
+
+    # Each class against the centre of its lists that weighs most.
     stars = (members.where("ck <> first").where(_sizes_fit("n", "first_n", threshold))
-             .groupBy("ck", "first").agg(F.count("*").alias("shared"))
-             .groupBy("ck").agg(F.max(F.struct("shared", "first")).alias("best"))
+             .groupBy("ck").agg(F.max(F.struct("first_weight", "first")).alias("best"))
              .select(F.col("best.first").alias("a"), F.col("ck").alias("b")))
     links = verified(texts, materialize(stars), classes, n, threshold)
 
