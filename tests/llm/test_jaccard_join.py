@@ -159,4 +159,4 @@ def test_repeated_bitmap(spark):
     bitmap = repeated(df, 20)
     assert isinstance(bitmap, Bitmap) and bitmap.has(keys[:50]).all() and bitmap.has(keys[100:150]).all()
     assert bitmap.has(keys[200:]).mean() < 0.02
-    assert bits_for(0) == 16 and bits_for(10**12) == 29
+    assert bits_for(0) == 16 and bits_for(10**12) == 28

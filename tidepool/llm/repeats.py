@@ -3,7 +3,7 @@
 Tasks send the distinct places of their 64-bit keys (the top ``bits`` bits),
 sorted and compressed, to a fixed number of slices; a slice marks the places
 that two tasks, or one task twice, have sent. The bitmap has 2^bits bits, at
-most ``MAX_BITS`` (64 MB), whatever the input: it may say yes for a key that
+most ``MAX_BITS`` (32 MB), whatever the input: it may say yes for a key that
 occurs once, never no for one that repeats.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from tidepool.llm.common import in_batches, partitions
 
 SLICE_BITS = 6
-MIN_BITS, MAX_BITS = 16, 29
+MIN_BITS, MAX_BITS = 16, 28
 
 KEYED = pa.schema([("key", pa.int64()), ("data", pa.binary())])
 KEYED_DDL = "key bigint, data binary"

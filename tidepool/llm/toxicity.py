@@ -33,7 +33,7 @@ from tidepool.llm.common import in_batches, utf8_values
 from tidepool.session import materialize
 
 SAMPLE_ROWS = 16_000
-WINDOWS = 24_000
+WINDOWS = 6_000
 WINDOW = 40
 DIMS = 1 << 18
 MARKERS = 4_000
@@ -273,8 +273,8 @@ def train_field(windows: list[tuple[list[bytes], list[int]]], epochs: int = 8, b
             near = [neighbour(words[i - 1], b"<")] if i else []
             near += [neighbour(words[i + 1], b">")] if i + 1 < len(words) else []
             rows.append((own, near))
-        flat = np.array([f for own, near in rows for f in (*own, *near)], np.int64)
-        encoded.append((flat, np.array([len(o) + len(n) for o, n in rows]), np.array(labels)))
+        flat = np.array([f for own, near in rows for f in (*own, *near)], np.int32)
+        encoded.append((flat, np.array([len(o) + len(n) for o, n in rows], np.int32), np.array(labels, np.int8)))
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         order = rng.permutation(len(encoded))
@@ -282,7 +282,7 @@ def train_field(windows: list[tuple[list[bytes], list[int]]], epochs: int = 8, b
             part = [encoded[i] for i in order[k:k + batch]]
             flat = np.concatenate([p[0] for p in part])
             owner = np.repeat(np.arange(sum(len(p[1]) for p in part)), np.concatenate([p[1] for p in part]))
-            gold = np.concatenate([p[2] for p in part])
+            gold = np.concatenate([p[2] for p in part]).astype(np.int64)
             lengths = np.array([len(p[2]) for p in part])
             emit = np.bincount(owner, weights[flat], len(gold))
             ahead, back, odds = messages(emit, moves, lengths)
