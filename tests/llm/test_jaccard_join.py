@@ -8,7 +8,7 @@ from tidepool.llm import jaccard_join
 from tidepool.llm.components import components
 from tidepool.llm.jaccard_join import Signer, choose_boundary, jaccard_components, need, shingle_sets
 from tidepool.llm.repeats import Bitmap, bits_for, place_rows, repeated
-from tidepool.llm.words import ANY_WORD, WordHasher
+from tidepool.llm.words import ANY_WORD, WordHasher, mixed
 
 
 def brute(rows, n, threshold):
@@ -72,18 +72,21 @@ def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(0)
     ranks = rng.integers(0, 100, 1 << jaccard_join.SKETCH_BITS).astype(np.uint8)
     every = Bitmap(16)
-    every.data[:] = 255
+    every.data[:] = 255  # says yes for all
     for trial in range(400):
         boundary = int(rng.integers(0, 60))
-        some = Bitmap(40 - 12)  # says yes for the shared elements and some others
+        some = Bitmap(20)  # says yes for the shared elements and some others
         signer = Signer(every if trial % 2 else some, ranks, boundary, 85)
         a = np.unique(rng.integers(0, 2**63, int(rng.integers(2, 90)), dtype=np.uint64))
         keep = a[rng.random(len(a)) > 0.1]
         extra = rng.integers(0, 2**63, int(rng.integers(0, 6)), dtype=np.uint64)
         b = np.unique(np.concatenate([keep, extra]))
         both = len(np.intersect1d(a, b))
-        place = np.intersect1d(a, b) >> np.uint64(64 - some.bits)
-        some.data[(place >> np.uint64(3)).astype(np.int64)] |= np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
+        half = len(some.data) // 2
+        for at, keys in ((0, np.intersect1d(a, b)), (half, mixed(np.intersect1d(a, b)))):
+            place = keys >> np.uint64(64 - some.bits)
+            np.bitwise_or.at(some.data, at + (place >> np.uint64(3)).astype(np.int64),
+                             np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
         if len(b) > 1 and 100 * both >= 85 * (len(a) + len(b) - both) and both < max(len(a), len(b)):
             assert len(np.intersect1d(signer.of(a)[0], signer.of(b)[0])), trial
 

@@ -338,7 +338,7 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     spark = texts.sparkSession
     # About a word in six bytes, and as many n-grams as words.
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = bits_for(size // 6)
+    bits = bits_for(size // 6, most=27)
     rows = materialize(documents_and_places(texts, n, bits))
     docs = rows.where("data is null").select("id", "n", "ck")
     classes = materialize(docs.where("ck is not null").groupBy("ck").agg(F.min("id").alias("id")))

@@ -1,10 +1,10 @@
 """Keys that occur at least twice in a whole table, as a bitmap of fixed size.
 
-Tasks send the distinct places of their 64-bit keys (the top ``bits`` bits),
-sorted and compressed, to a fixed number of slices; a slice marks the places
-that two tasks, or one task twice, have sent. The bitmap has 2^bits bits, at
-most ``MAX_BITS`` (32 MB), whatever the input: it may say yes for a key that
-occurs once, never no for one that repeats.
+Tasks send the distinct places of their 64-bit keys (the top ``bits`` bits of
+two hashes), sorted and compressed, to a fixed number of slices; a slice marks
+the places that two tasks, or one task twice, have sent. The bitmap has twice
+2^bits bits, 2^MAX_BITS at most (64 MB in all), whatever the input: it may say
+yes for a key that occurs once, never no for one that repeats.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from tidepool.llm.common import in_batches, partitions
+from tidepool.llm.words import mixed
 
 SLICE_BITS = 6
 MIN_BITS, MAX_BITS = 16, 28
@@ -25,9 +26,9 @@ KEYED = pa.schema([("key", pa.int64()), ("data", pa.binary())])
 KEYED_DDL = "key bigint, data binary"
 
 
-def bits_for(expected: int) -> int:
+def bits_for(expected: int, most: int = MAX_BITS) -> int:
     """Bits for about four places to a key, within the bounds."""
-    return min(MAX_BITS, max(MIN_BITS, int(max(1, 4 * expected)).bit_length()))
+    return min(most, max(MIN_BITS, int(max(1, 4 * expected)).bit_length()))
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -52,15 +53,16 @@ def unpack_sorted(data: bytes, dtype) -> np.ndarray:
 
 def place_rows(keys: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
     """(slice, places) rows of a task's keys; a key given twice counts twice."""
-    places, n = np.unique((keys >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
     width = bits - SLICE_BITS
-    cuts = np.searchsorted(places, np.arange(1, 1 << SLICE_BITS, dtype=np.int64) << width)
     inner = np.uint32((1 << width) - 1)
-    for k, (own, count) in enumerate(zip(np.split(places, cuts), np.split(n, cuts), strict=True)):
-        for often in (False, True):
-            part = own[(count > 1) == often] & inner
-            if len(part):
-                yield k, bytes([often]) + pack_sorted(part)
+    for which, own_keys in enumerate((keys, mixed(keys))):
+        places, n = np.unique((own_keys >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
+        cuts = np.searchsorted(places, np.arange(1, 1 << SLICE_BITS, dtype=np.int64) << width)
+        for k, (own, count) in enumerate(zip(np.split(places, cuts), np.split(n, cuts), strict=True)):
+            for often in (False, True):
+                part = own[(count > 1) == often] & inner
+                if len(part):
+                    yield which << SLICE_BITS | k, bytes([often]) + pack_sorted(part)
 
 
 def folded(rows: DataFrame, start: Callable, add: Callable, done: Callable) -> DataFrame:
@@ -88,16 +90,23 @@ def folded(rows: DataFrame, start: Callable, add: Callable, done: Callable) -> D
 class Bitmap:
     def __init__(self, bits: int):
         self.bits = bits
-        self.data = np.zeros(1 << (bits - 3), np.uint8)
+        self.data = np.zeros(1 << (bits - 2), np.uint8)  # one half for each hash
 
     def has(self, keys: np.ndarray) -> np.ndarray:
+        half = len(self.data) // 2
+        out = self._bit(keys, self.data[:half])
+        some = np.flatnonzero(out)
+        out[some] = self._bit(mixed(keys[some]), self.data[half:])
+        return out
+
+    def _bit(self, keys: np.ndarray, data: np.ndarray) -> np.ndarray:
         place = keys >> np.uint64(64 - self.bits)
-        byte = self.data[(place >> np.uint64(3)).astype(np.int64)]
+        byte = data[(place >> np.uint64(3)).astype(np.int64)]
         return (byte >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
 def repeated(rows: DataFrame, bits: int) -> Bitmap:
-    """The bitmap of the places that ``place_rows`` rows name twice; 2^bits bits come to the driver."""
+    """The bitmap of the places that ``place_rows`` rows name twice; twice 2^bits bits come to the driver."""
     width = bits - SLICE_BITS
 
     def add(seen: np.ndarray, data: bytes) -> np.ndarray:

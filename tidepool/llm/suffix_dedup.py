@@ -3,23 +3,15 @@
 Every ``size``-byte window of a text has one anchor: the least of its k-gram
 hashes. Consecutive windows with one anchor are a segment, and equal windows
 have equal anchors wherever they are, so all copies of a window meet in the
-bucket of their anchor's hash.
-
-1. Runs of segments, cut where an anchor's hash says so, are chunks of a few
-   hundred bytes. Of equal chunks (by 128-bit hash) only the one of the least
-   document goes on; in the others every window repeats an earlier document.
-   Tasks settle their own copies first, so a chunk in a third of all documents
-   costs a row for each task.
-2. Of what is left, segments whose anchor occurs once stay at home (a bitmap
-   of fixed size tells), and of equal segments in one task only that of the
-   least document travels.
-3. A bucket joins its segments to one text and sorts its suffixes in two
-   stages: those smaller than their successors are sorted directly, all others
-   are induced from them by scans of the byte buckets in order. Common
-   prefixes of neighbours then tell the classes of equal windows; a window
-   goes where the least document of its class is less than its own.
-
-Texts travel twice, compressed, to meet what is known of them by document.
+bucket of their anchor's hash. Segments whose anchor occurs once in the corpus
+stay at home (a bitmap of fixed size tells). Of equal segments in one task
+only the one of the least document travels; the others are known to go.
+
+A bucket joins its segments to one text and sorts its suffixes in two stages:
+those smaller than their successors are sorted directly, all others are
+induced from them by scans of the byte buckets in order. Common prefixes of
+neighbours then tell the classes of equal windows; a window goes where the
+least document of its class is less than its own.
 """
 
 from __future__ import annotations
@@ -28,22 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import in_batches, partitions, utf8_values
 from tidepool.llm.repeats import KEYED_DDL, bits_for, place_rows, repeated
 from tidepool.llm.words import mixed
-from tidepool.session import materialize
 
 GRAM = 16
 CHUNK_BYTES = 4 << 20
 TASK_BYTES = 32 << 20
-
-# A chunk begins at one anchor in so many.
-CHUNK_ANCHORS = 16
 NO_ID = (1 << 63) - 1
 
 
@@ -221,34 +207,23 @@ def segments_of(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     return number[start], start - base, stop - base, grams[anchor[start]]
 
 
-def runs_of_texts(rows: Iterator[tuple], limit: int) -> Iterator[tuple[list, list[bytes]]]:
-    """Runs of rows (head, text) with at most about ``limit`` bytes of text; a longer text is one of its own."""
-    heads, texts, size = [], [], 0
-    for head, text in rows:
-        if texts and size + len(text) > limit:
-            yield heads, texts
-            heads, texts, size = [], [], 0
-        heads.append(head)
-        texts.append(text)
-        size += len(text)
-    if texts:
-        yield heads, texts
-
-
-def plain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bytes]]:
-    """((id, hash), text) of ``id, h, text`` batches; a null id is the largest."""
-    for batch in batches:
-        for key, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                utf8_values(batch.column(2)), strict=True):
-            yield (NO_ID if key is None else key, h), bytes(text)
-
+def text_chunks(batches: Iterator[pa.RecordBatch], text_column: int, limit: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Runs of rows (all columns before the text) with at most about ``limit`` bytes of text.
 
-def stored_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, list], bytes]]:
-    """((id, hash, spans that go already), text) of ``k, h, z, spans`` batches."""
-    unpack = zstandard.ZstdDecompressor().decompress
+    A longer text is a run of its own.
+    """
+    rows, texts, size = [], [], 0
     for batch in batches:
-        for key, h, data, spans in zip(*[c.to_pylist() for c in batch.columns[:4]], strict=True):
-            yield (key, h, merged_spans(spans or [])), unpack(data)
+        heads = list(zip(*[c.to_pylist() for c in batch.columns[:text_column]], strict=True))
+        for head, text in zip(heads, utf8_values(batch.column(text_column)), strict=True):
+            if texts and size + len(text) > limit:
+                yield rows, texts
+                rows, texts, size = [], [], 0
+            rows.append(head)
+            texts.append(bytes(text))
+            size += len(text)
+    if texts:
+        yield rows, texts
 
 
 def chunk_segments(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
@@ -263,107 +238,16 @@ def chunk_segments(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def chunks_of(number: np.ndarray, start: np.ndarray, stop: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Text number, first and one past the last window of each chunk of segments."""
-    first = np.ones(len(number), bool)
-    first[1:] = (number[1:] != number[:-1]) | (mixed(anchor[1:]) % np.uint64(CHUNK_ANCHORS) == 0)
-    at = np.flatnonzero(first)
-    last = np.append(at[1:], len(number)) - 1
-    return number[at], start[at], stop[last] if len(at) else stop[:0]
-
-
-def left_segments(heads: list, texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
-    """Segments of stored rows that lie in none of the spans that go already."""
-    number, start, stop, anchor = chunk_segments(texts, size)
-    keep = np.ones(len(number), bool)
-    bounds = np.searchsorted(number, np.arange(len(texts) + 1))
-    for i, (_, _, spans) in enumerate(heads):
-        part = slice(bounds[i], bounds[i + 1])
-        if spans and part.stop > part.start:
-            begin, end = np.array(spans).T
-            at = np.searchsorted(begin, start[part], side="right") - 1
-            keep[part] = (at < 0) | (stop[part] + size - 1 > end[at])
-    return number[keep], start[keep], stop[keep], anchor[keep]
-
-
 # ---- Spark jobs -------------------------------------------------------------
 
-def chunk_rows(texts: DataFrame, size: int) -> DataFrame:
-    """``hash, id, h, spans``: each chunk of a task's least document, and without hash what goes for sure."""
-    schema = pa.schema([("hash", pa.binary()), ("id", pa.int64()), ("h", pa.int64()), ("spans", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(held, least):
-            for key, h, parts in held:
-                gone: list[int] = []
-                for name, start, end in parts:
-                    if least[name] == key:
-                        yield name, key, h, [start, end]
-                    elif gone and gone[-1] >= start:
-                        gone[-1] = end
-                    else:
-                        gone += [start, end]
-                if gone:
-                    yield None, key, h, gone
-
-        def rows():
-            held, least, load = [], {}, 0
-            for heads, group in runs_of_texts(plain_rows(batches), CHUNK_BYTES):
-                number, start, stop = chunks_of(*chunk_segments(group, size))
-                bounds = np.searchsorted(number, np.arange(len(group) + 1))
-                ends = (stop + size - 1).tolist()
-                starts = start.tolist()
-                for i, ((key, h), text) in enumerate(zip(heads, group, strict=True)):
-                    parts = []
-                    for k in range(bounds[i], bounds[i + 1]):
-                        name = xxhash.xxh3_128_digest(text[starts[k]:ends[k]])
-                        parts.append((name, starts[k], ends[k]))
-                        if least.get(name, NO_ID + 1) > key:
-                            least[name] = key
-                    held.append((key, h, parts))
-                    load += len(text)
-                if load > TASK_BYTES:
-                    yield from settle(held, least)
-                    held, least, load = [], {}, 0
-            yield from settle(held, least)
-
-        yield from in_batches(rows(), schema)
-
-    return texts.select("id", "h", "text").mapInArrow(run, "hash binary, id bigint, h bigint, spans array<bigint>")
-
-
-def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """``id, h, spans`` of the chunks that an earlier document holds as well."""
-    least = materialize(chunks.where("hash is not null").groupBy("hash")
-                        .agg(F.min("id").alias("least"), F.max("id").alias("most"))
-                        .where("least < most").select("hash", "least"))
-    later = chunks.join(least, "hash").where("id > least").select("id", "h", "spans")
-    return chunks.where("hash is null").select("id", "h", "spans").unionAll(later)
-
-
-def stored_texts(texts: DataFrame, gone: DataFrame) -> DataFrame:
-    """``k, h, z, spans, id``: compressed texts with the spans that go already. Checkpointed."""
-    spans = gone.groupBy(F.col("id").alias("k"), "h").agg(F.collect_list("spans").alias("spans"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            data = pa.array([compress(t) for t in utf8_values(batch.column(2))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], names=["id", "h", "z"])
-
-    packed = texts.select("id", "h", "text").mapInArrow(pack, "id bigint, h bigint, z binary")
-    return materialize(packed.withColumn("k", F.coalesce("id", F.lit(NO_ID))).join(spans, ["k", "h"], "left")
-                       .select("k", "h", "z", "spans", "id"))
-
-
-def anchor_places(stored: DataFrame, size: int, bits: int) -> DataFrame:
-    """Places of the hashes of the anchors that are left, each once a document."""
+def anchor_places(texts: DataFrame, size: int, bits: int) -> DataFrame:
+    """Places of the anchors' hashes, each once a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             loose, held = [], 0
-            for heads, group in runs_of_texts(stored_rows(batches), CHUNK_BYTES):
-                number, _, _, anchor = left_segments(heads, group, size)
+            for _, chunk in text_chunks(batches, 1, CHUNK_BYTES):
+                number, _, _, anchor = chunk_segments(chunk, size)
                 order = np.lexsort((number, anchor))
                 number, anchor = number[order], anchor[order]
                 keep = np.ones(len(anchor), bool)
@@ -378,17 +262,17 @@ def anchor_places(stored: DataFrame, size: int, bits: int) -> DataFrame:
 
         yield from in_batches(rows(), pa.schema([("key", pa.int64()), ("data", pa.binary())]))
 
-    return stored.select("k", "h", "z", "spans").mapInArrow(run, KEYED_DDL)
+    return texts.select("h", "text").mapInArrow(run, KEYED_DDL)
 
 
 ROWS = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("data", pa.binary()),
                   ("spans", pa.list_(pa.int64()))])
 
 
-def local_rows(stored: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
-    """Rows for the buckets, and, without a bucket, the spans that a task knows to go.
+def local_rows(texts: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
+    """Rows for the buckets, and, without data, the spans that a task knows to go.
 
-    A bucket row packs the segments of one text: ``data`` their bytes and
+    A row with data packs the segments of one text: ``data`` their bytes and
     ``spans`` their places and lengths, ``(start, length, ...)``.
     """
 
@@ -412,23 +296,23 @@ def local_rows(stored: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
                     else:
                         sent.setdefault(bucket, []).append((start, stop + size - 1))
                 if gone:
-                    yield None, key, h, None, gone
+                    yield h % buckets, key, h, None, gone
                 for bucket, spans in sent.items():
                     yield (bucket, key, h, b"".join(text[a:b] for a, b in spans),
                            [x for a, b in spans for x in (a, b - a)])
 
         def rows():
             held, load = [], 0
-            for heads, group in runs_of_texts(stored_rows(batches), CHUNK_BYTES):
-                number, start, stop, anchor = left_segments(heads, group, size)
+            for heads, chunk in text_chunks(batches, 2, CHUNK_BYTES):
+                number, start, stop, anchor = chunk_segments(chunk, size)
                 chosen = np.flatnonzero(bitmap.value.has(anchor))
                 bucket = ((mixed(anchor[chosen]) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-                cuts = np.searchsorted(number[chosen], np.arange(len(group) + 1))
-                for i, ((key, h, _), text) in enumerate(zip(heads, group, strict=True)):
+                cuts = np.searchsorted(number[chosen], np.arange(len(chunk) + 1))
+                for i, (head, text) in enumerate(zip(heads, chunk, strict=True)):
                     part = slice(cuts[i], cuts[i + 1])
                     if part.stop > part.start:
                         own = chosen[part]
-                        held.append(((key, h), text,
+                        held.append(((NO_ID if head[0] is None else head[0], head[1]), text,
                                      list(zip(start[own].tolist(), stop[own].tolist(), bucket[part].tolist(),
                                               strict=True))))
                         load += len(text)
@@ -439,12 +323,11 @@ def local_rows(stored: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
 
         yield from in_batches(rows(), ROWS, weight=lambda r: len(r[3] or b"") + 8 * len(r[4]))
 
-    return stored.select("k", "h", "z", "spans").mapInArrow(
-        run, "bucket bigint, id bigint, h bigint, data binary, spans array<bigint>")
+    return texts.mapInArrow(run, "bucket bigint, id bigint, h bigint, data binary, spans array<bigint>")
 
 
 def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Spans ``id, h, spans`` that the suffix arrays of the buckets tell to go."""
+    """Spans ``id, h, spans`` that tasks know or the suffix arrays of the buckets tell to go."""
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("spans", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,6 +366,9 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
             now, held = None, []
             for batch in batches:
                 for bucket, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if row[2] is None:
+                        yield row[0], row[1], row[3]
+                        continue
                     if bucket != now:
                         if held:
                             yield from finish(held)
@@ -493,7 +379,7 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
 
         yield from in_batches(found(), schema, weight=lambda r: 8 * len(r[2]))
 
-    dealt = rows.where("bucket is not null").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "id bigint, h bigint, spans array<bigint>")
 
 
@@ -527,34 +413,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("h"), body.alias("text"))
-    chunks = materialize(chunk_rows(texts, size))
-    stored = stored_texts(texts, repeated_chunks(chunks))
     expected = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = bits_for(expected // 18)
     buckets = 2 * partitions(spark)
-    bitmap = spark.sparkContext.broadcast(repeated(anchor_places(stored, size, bits), bits))
-    rows = materialize(local_rows(stored, size, bitmap, buckets))
-    gone = rows.where("bucket is null").select("id", "h", "spans").unionAll(bucket_spans(rows, size, buckets))
-    gone = gone.groupBy(F.col("id").alias("k"), "h").agg(F.collect_list("spans").alias("more"))
+    bitmap = spark.sparkContext.broadcast(repeated(anchor_places(texts, size, bits), bits))
+    gone = bucket_spans(local_rows(texts, size, bitmap, buckets), size, buckets)
+    gone = gone.groupBy("id", "h").agg(F.collect_list("spans").alias("all"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("id", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                             ("kept", pa.binary())])
 
-        unpack = zstandard.ZstdDecompressor().decompress
-
         def out():
             for batch in batches:
-                for key, data, spans, more in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    text = unpack(data)
-                    runs = merged_spans([*(spans or []), *(more or [])])
+                for key, text, spans in zip(batch.column(0).to_pylist(), utf8_values(batch.column(1)),
+                                            batch.column(2).to_pylist(), strict=True):
+                    runs = merged_spans(spans or [])
                     edges = [0, *[x for r in runs for x in r], len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                     yield key, [{"start": a, "end": b} for a, b in runs], kept
 
         yield from in_batches(out(), schema, weight=lambda r: len(r[2]) + 48 * len(r[1]))
 
-    joined = stored.join(gone, ["k", "h"], "left").select("id", "z", "spans", "more")
+    keyed = texts.withColumn("k", F.coalesce("id", F.lit(NO_ID)))
+    named = gone.select(F.col("id").alias("k"), F.col("h"), "all")
+    joined = keyed.join(named, ["k", "h"], "left").select("id", "text", "all")
     return joined.mapInArrow(cut, "id bigint, spans array<struct<start: bigint, end: bigint>>, kept binary").select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "spans", "kept")
 
