@@ -31,8 +31,8 @@ END_ID = 1
 # Pieces of one length that a window sorts together; longer runs are split.
 RANK_BLOCK = 1 << 14
 
-# Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+# Distinct words whose ids a task remembers.
+CACHE_WORDS = 250_000
 
 
 # ---- tokens -----------------------------------------------------------------
@@ -115,7 +115,7 @@ def _pack(ids: list[int]) -> bytes:
 
 @functools.lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer, with its memory, for the life of a Python worker."""
+    """One tokenizer for the life of a Python worker; tasks clear its memory of words."""
     return WordTokenizer(path)
 
 
@@ -152,6 +152,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                         yield (*row, np.frombuffer(cut, "<u4").astype(np.int32)) if with_ids else row
 
             yield from in_batches(rows(), schema, weight=(lambda r: 4 * r[3]) if with_ids else None)
+        tokenizer.words.clear()
+        tokenizer.parts.clear()
 
     pieces = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
         run, f"_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint{out_ids}")

@@ -44,8 +44,8 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 MARKING = (4, 5, 6, 7)
 
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
-CACHE_WORDS = 400_000
-BLOCK_WORDS = 1 << 20
+CACHE_WORDS = 200_000
+BLOCK_WORDS = 1 << 19
 LIMIT = 30.0
 
 
