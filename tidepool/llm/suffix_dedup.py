@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import in_batches, partitions, utf8_values
-from tidepool.llm.repeats import KEYED_DDL, bits_for, place_rows, repeated
+from tidepool.llm.repeats import KEYED_DDL, bits_for, pack, place_rows, repeated, unpack
 from tidepool.llm.words import mixed
 
 GRAM = 16
@@ -265,65 +266,79 @@ def anchor_places(texts: DataFrame, size: int, bits: int) -> DataFrame:
     return texts.select("h", "text").mapInArrow(run, KEYED_DDL)
 
 
-ROWS = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("data", pa.binary()),
-                  ("spans", pa.list_(pa.int64()))])
+# Parts of a bucket that are sorted one after another.
+PARTS = 16
+
+PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("ids", "hs", "starts", "lengths", "parts", "data")]])
+
+
+def packed_row(bucket: int, ids: list, hs: list, starts: list, lengths: list, parts: list, data: bytes | None) -> tuple:
+    return (bucket, *[pack(np.array(x, np.int64)) for x in (ids, hs, starts, lengths)], pack(np.array(parts, np.uint8)),
+            data if data is None else zstandard.ZstdCompressor(level=3).compress(data))
 
 
 def local_rows(texts: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
-    """Rows for the buckets, and, without data, the spans that a task knows to go.
+    """Packed rows of a task for each bucket, and, without data, the spans that the task knows to go.
 
-    A row with data packs the segments of one text: ``data`` their bytes and
-    ``spans`` their places and lengths, ``(start, length, ...)``.
+    A row holds segments of many texts, in the order of their bytes, which
+    lie one after another in ``data``; the arrays tell whose they are, where
+    they start, how long they are and which part of the bucket sorts them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def resolve(held):
             """Least document of each segment here; its copies in other documents go."""
             least: dict[bytes, int] = {}
-            for (key, _), text, parts in held:
-                for start, stop, _ in parts:
+            for (key, _), text, segments in held:
+                for start, stop, _, _ in segments:
                     own = text[start:stop + size - 1]
                     if least.get(own, NO_ID + 1) > key:
                         least[own] = key
-            for (key, h), text, parts in held:
-                gone, sent = [], {}
-                for start, stop, bucket in parts:
-                    if least[text[start:stop + size - 1]] < key:
-                        if gone and gone[-1] >= start:
-                            gone[-1] = stop + size - 1
-                        else:
-                            gone += [start, stop + size - 1]
+            sent: dict[int, list] = {}
+            gone: list[tuple] = []
+            for (key, h), text, segments in held:
+                for start, stop, bucket, part in segments:
+                    own = text[start:stop + size - 1]
+                    if least[own] == key:
+                        sent.setdefault(bucket, []).append((own, key, h, start, part))
+                    elif gone and gone[-1][:2] == (key, h) and gone[-1][2] + gone[-1][3] >= start:
+                        gone[-1] = (key, h, gone[-1][2], stop + size - 1 - gone[-1][2])
                     else:
-                        sent.setdefault(bucket, []).append((start, stop + size - 1))
-                if gone:
-                    yield h % buckets, key, h, None, gone
-                for bucket, spans in sent.items():
-                    yield (bucket, key, h, b"".join(text[a:b] for a, b in spans),
-                           [x for a, b in spans for x in (a, b - a)])
+                        gone.append((key, h, start, len(own)))
+            for bucket in list(sent):
+                rows = sorted(sent.pop(bucket))
+                data, ids, hs, starts, parts = zip(*rows, strict=True)
+                yield packed_row(bucket, ids, hs, starts, [len(x) for x in data], parts, b"".join(data))
+            if gone:
+                ids, hs, starts, lengths = zip(*gone, strict=True)
+                yield packed_row(hs[0] % buckets, ids, hs, starts, lengths, [0], None)
 
         def rows():
             held, load = [], 0
             for heads, chunk in text_chunks(batches, 2, CHUNK_BYTES):
                 number, start, stop, anchor = chunk_segments(chunk, size)
                 chosen = np.flatnonzero(bitmap.value.has(anchor))
-                bucket = ((mixed(anchor[chosen]) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+                place = mixed(anchor[chosen]) >> np.uint64(20)
+                bucket = (place % np.uint64(buckets)).astype(np.int64)
+                part = (place // np.uint64(buckets) % np.uint64(PARTS)).astype(np.int64)
                 cuts = np.searchsorted(number[chosen], np.arange(len(chunk) + 1))
                 for i, (head, text) in enumerate(zip(heads, chunk, strict=True)):
-                    part = slice(cuts[i], cuts[i + 1])
-                    if part.stop > part.start:
-                        own = chosen[part]
+                    own = slice(cuts[i], cuts[i + 1])
+                    if own.stop > own.start:
+                        at = chosen[own]
                         held.append(((NO_ID if head[0] is None else head[0], head[1]), text,
-                                     list(zip(start[own].tolist(), stop[own].tolist(), bucket[part].tolist(),
-                                              strict=True))))
+                                     list(zip(start[at].tolist(), stop[at].tolist(), bucket[own].tolist(),
+                                              part[own].tolist(), strict=True))))
                         load += len(text)
                 if load > TASK_BYTES:
                     yield from resolve(held)
                     held, load = [], 0
             yield from resolve(held)
 
-        yield from in_batches(rows(), ROWS, weight=lambda r: len(r[3] or b"") + 8 * len(r[4]))
+        yield from in_batches(rows(), PACKED, weight=lambda r: sum(len(x) for x in r[1:] if x))
 
-    return texts.mapInArrow(run, "bucket bigint, id bigint, h bigint, data binary, spans array<bigint>")
+    return texts.mapInArrow(run, "bucket bigint, ids binary, hs binary, starts binary, lengths binary, "
+                                 "parts binary, data binary")
 
 
 def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -331,21 +346,18 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("spans", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finish(held):
+        def settle(segments):
+            """Spans that go of one part of a bucket: (content, id, h, start) of each segment."""
             known: dict[bytes, int] = {}
             least: list[int] = []
             uses = []
-            for key, h, data, spans in held:
-                at = 0
-                for start, length in zip(spans[::2], spans[1::2], strict=True):
-                    own = data[at:at + length]
-                    at += length
-                    k = known.setdefault(own, len(known))
-                    if k == len(least):
-                        least.append(key)
-                    else:
-                        least[k] = min(least[k], key)
-                    uses.append((key, h, start, k))
+            for own, key, h, start in segments:
+                k = known.setdefault(own, len(known))
+                if k == len(least):
+                    least.append(key)
+                else:
+                    least[k] = min(least[k], key)
+                uses.append((key, h, start, k))
             owners = least_owners(list(known), np.array(least, np.int64), size)
             # Runs of windows that go, for the owner of a segment; all others lose it whole.
             runs = []
@@ -362,12 +374,29 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
             for (key, h), spans in out.items():
                 yield key, h, spans
 
+        def finish(held):
+            by_part: list[list] = [[] for _ in range(PARTS)]
+            for ids, hs, starts, lengths, parts, data in held:
+                text = zstandard.ZstdDecompressor().decompress(data)
+                lengths = unpack(lengths, np.int64)
+                ends = np.cumsum(lengths)
+                for part, key, h, start, a, b in zip(
+                        unpack(parts, np.uint8).tolist(), unpack(ids, np.int64).tolist(), unpack(hs, np.int64).tolist(),
+                        unpack(starts, np.int64).tolist(), (ends - lengths).tolist(), ends.tolist(), strict=True):
+                    by_part[part].append((text[a:b], key, h, start))
+            for k, segments in enumerate(by_part):
+                if segments:
+                    yield from settle(segments)
+                by_part[k] = []
+
         def found():
             now, held = None, []
             for batch in batches:
                 for bucket, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    if row[2] is None:
-                        yield row[0], row[1], row[3]
+                    if row[-1] is None:
+                        ids, hs, starts, lengths = (unpack(x, np.int64).tolist() for x in row[:4])
+                        for key, h, start, length in zip(ids, hs, starts, lengths, strict=True):
+                            yield key, h, [start, start + length]
                         continue
                     if bucket != now:
                         if held:
