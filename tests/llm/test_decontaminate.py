@@ -79,6 +79,31 @@ def test_a_passage_in_most_documents_is_still_found(spark):
     assert {r.doc_id for r in got} == {d for d in range(60) if d % 10}
 
 
+@pytest.mark.parametrize("every", [4, 5, 6])
+@pytest.mark.parametrize("copies", [1, 25])
+@pytest.mark.parametrize("others", [50, 12_000])
+def test_edited_copies_are_found_in_tables_of_any_size(spark, every, copies, others):
+    rng = random.Random(every)
+    items = [words(rng, 30) for _ in range(8)]
+    edited = [[f"new{every}" if k % every == every - 1 else w for k, w in enumerate(t)] for t in items]
+    docs = [(d, " ".join(words(rng, 10, 10**6) + (edited[d % 8] if d < 8 * copies else words(rng, 20, 10**6))))
+            for d in range(8 * copies + others)]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                     spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                                           "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, d % 8) for d in range(8 * copies)}
+    assert all(r.score >= 0.5 for r in got)
+
+
+def test_a_copy_with_words_put_in_is_found_from_one_seed(spark):
+    rng = random.Random(3)
+    item = [f"v{k}" for k in range(24)]
+    copy = [w for k, w in enumerate(item) for w in ([w, "new"] if k % 2 and k < 21 else [w])]
+    docs = spark.createDataFrame([(1, " ".join(words(rng, 40) + copy + words(rng, 40)))], "doc_id long, text string")
+    r, = find_leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert (r.score, r.start_word, r.end_word) == ((2 * 24 - 10) / 48, 40, 40 + len(copy))
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     from tidepool.llm import decontaminate
     docs, items, want = planted(random.Random(5))

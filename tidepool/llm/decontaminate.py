@@ -1,19 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. The n-grams of the test items are counted over all documents (document
-   frequency). An item's seeds are those that at most ``max_share`` of the
-   documents hold, and the rarest half of its n-grams in any case, so that a
-   passage that leaked into a third of the corpus still has seeds.
-2. Seeds join documents to items. Each hit places the item on the document;
+1. Every n-gram of a test item is a seed, however many documents hold it: an
+   edited copy may keep the frequent ones alone.
+2. Seeds join documents to items. Each hit places the item on the document,
+   with room for all gaps that an alignment of the least score can have;
    places that overlap are one window.
 3. The words of the item are aligned to those of the window by
    Smith-Waterman with linear gaps; the score is the share of the best
-   possible one. A window with too few of the item's words to reach the
-   threshold is skipped, which loses nothing.
+   possible one. A window is skipped if the item's words that it lacks keep
+   every alignment under the threshold, which loses nothing.
 
 The test items are a stated query set: they go to the tasks in blocks of at
 most ``BLOCK_WORDS`` words (seeds included some 30 MB), one scan of the
-documents for each block and step. Documents never move.
+documents for each block. Documents never move.
 """
 
 from __future__ import annotations
@@ -85,7 +84,9 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int]:
 def align(item: np.ndarray, words: np.ndarray, min_score: float) -> tuple[float, int, int] | None:
     """Score (0 to 1) and the aligned range of ``words``, or None below ``min_score``."""
     most = MATCH * len(item)
-    if MATCH * np.isin(item, words).sum() < min_score * most:
+    # Each word of the aligned part of the item that ``words`` lacks is a mismatch or a gap.
+    sums = np.concatenate([[0], np.cumsum(np.where(np.isin(item, words), MATCH, max(MISMATCH, GAP)))])
+    if (sums - np.minimum.accumulate(sums)).max() < min_score * most:
         return None
     score, i, j = smith_waterman(item, words)
     if score < min_score * most:
@@ -111,51 +112,23 @@ def _text_words(batch: pa.RecordBatch, column: int, hasher: WordHasher) -> Itera
             yield words[start:end]
 
 
-def _seed_counts(docs: DataFrame, text_col: str, index: SeedIndex, n: int) -> dict[int, int]:
-    """Document frequency of each seed of the block."""
-    schema = pa.schema([("seed", pa.int64()), ("docs", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = WordHasher(PLAIN_WORD), np.zeros(len(index.seeds), np.int64)
-        for batch in batches:
-            for words in _text_words(batch, 0, hasher):
-                _, rows = index.hits(ngram_hashes(words, n))
-                counts[np.unique(rows)] += 1
-        seen = np.flatnonzero(counts)
-        yield from in_batches(zip(index.seeds[seen].view(np.int64).tolist(), counts[seen].tolist(),
-                                  strict=True), schema)
-
-    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "seed bigint, docs bigint")
-    rows = counted.groupBy("seed").agg(F.sum("docs").alias("docs")).collect()  # the block's seeds at most
-    return {r.seed & (2**64 - 1): r.docs for r in rows}
-
-
-def _blocks(docs: DataFrame, items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, n: int,
-            max_share: float) -> Iterator[tuple[SeedIndex, list, list[np.ndarray]]]:
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str,
+            n: int) -> Iterator[tuple[SeedIndex, list, list[np.ndarray]]]:
     """Seed index, ids and words of each block of items."""
     size = items.agg(F.sum(F.length(item_text_col)), F.count("*")).first()
     blocks = 1 + int(size[0] or 0) // 4 // BLOCK_WORDS
-    rare = max_share * docs.count()
     for block in range(blocks):
         entries = [(k, w) for k, w in _item_words(items, item_id_col, item_text_col, blocks, block) if len(w) >= n]
         if entries:
-            yield _seeds(docs, text_col, [w for _, w in entries], n, rare), *map(list, zip(*entries, strict=True))
+            yield _seeds([w for _, w in entries], n), *map(list, zip(*entries, strict=True))
 
 
-def _seeds(docs: DataFrame, text_col: str, words_of: list[np.ndarray], n: int, rare: float) -> SeedIndex:
-    """The rarest half of each item's n-grams, and all that at most ``rare`` documents hold."""
+def _seeds(words_of: list[np.ndarray], n: int) -> SeedIndex:
+    """All n-grams of the items; those that no document holds cost nothing."""
     grams = [ngram_hashes(words, n) for words in words_of]
     sizes = [len(g) for g in grams]
-    owner = np.repeat(np.arange(len(grams)), sizes)
-    place = np.concatenate([np.arange(s) for s in sizes])
-    every = np.concatenate(grams)
-    counts = _seed_counts(docs, text_col, SeedIndex(every, owner, place), n)
-    held = np.array([counts.get(int(g), 0) for g in every])
-    order = np.lexsort((every, held, owner))
-    rank = np.empty(len(every), np.int64)
-    rank[order] = np.arange(len(every)) - np.cumsum([0, *sizes])[owner[order]]
-    seeds = (held <= rare) | (rank < np.array([(s + 1) // 2 for s in sizes])[owner])
-    return SeedIndex(every[seeds], owner[seeds], place[seeds])
+    return SeedIndex(np.concatenate(grams), np.repeat(np.arange(len(grams)), sizes),
+                     np.concatenate([np.arange(s) for s in sizes]))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -165,7 +138,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
     ``score`` is the best alignment of the item to the document, 1 for an
     unchanged copy; words are lower-cased runs of letters and digits, and
-    [start_word, end_word) counts them in the document. Defined cases: null
+    [start_word, end_word) counts them in the document. A copy is found if one
+    run of ``n`` words of the item is unchanged; ``max_share`` is accepted and
+    has no effect, as frequent n-grams are seeds too. Defined cases: null
     and empty texts match nothing, nor do items of fewer than ``n`` words; a
     null id stays null; repeated rows give a row each; repeated items count
     once; empty tables give an empty result; other columns are ignored.
@@ -175,7 +150,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     schema = f"_id {id_type}, _item {item_type}, score double, start_word bigint, end_word bigint"
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for index, keys, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
+    for index, keys, words_of in _blocks(items, item_id_col, item_text_col, n):
 
         def run(batches: Iterator[pa.RecordBatch], index=index, keys=keys, words_of=words_of) -> Iterator[pa.RecordBatch]:
             hasher, out = WordHasher(PLAIN_WORD), None
@@ -201,7 +176,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     """The rows of ``docs`` that hold no test item by ``find_leaks``, with all their columns, in one pass."""
     at = docs.columns.index(text_col)
     kept = docs
-    for index, _, words_of in _blocks(docs, items, text_col, item_id_col, item_text_col, n, max_share):
+    for index, _, words_of in _blocks(items, item_id_col, item_text_col, n):
 
         def run(batches: Iterator[pa.RecordBatch], index=index, words_of=words_of) -> Iterator[pa.RecordBatch]:
             hasher = WordHasher(PLAIN_WORD)
@@ -223,7 +198,7 @@ def _leaks_of(words: np.ndarray, index: SeedIndex, words_of: list, n: int, min_s
             starts[int(index.items[r])].add(k - int(index.places[r]))
     for item, places in starts.items():
         target = words_of[item]
-        pad = max(2, len(target) // 4)
+        pad = max(2, int((1 - min_score) * MATCH * len(target)) // -GAP)
         best, begin, end = None, None, None
         for s in [*sorted(places), None]:
             lo = None if s is None else max(0, s - pad)
