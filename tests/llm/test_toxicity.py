@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tidepool.llm.toxicity import (
-    DIMS, Field, Tagger, fit_toxicity, log_ratios, messages, score_toxicity, text_words, train_field)
+    DIMS, Field, Tagger, fit_toxicity, log_ratios, messages, score_toxicity, text_words, train_field, training_windows)
 
 
 def brute_marginals(emit, moves):
@@ -78,6 +78,41 @@ def test_held_out_accuracy_and_spans(spark):
     assert spans and all(w == b"grook" or w.startswith(b"snarv") for w in spans)
 
 
+def ordered_sample(spark, n):
+    """Texts of 100 words, every other toxic; the second half of the table has its own words."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        half = "ab"[2 * i // n]
+        words = [f"{half}plain{rng.randint(0, 50)}" for _ in range(100)]
+        if i % 2:
+            words[70] = half + "grook"
+        rows.append((" ".join(words), i % 2))
+    return spark.createDataFrame(rows, "_text string, _label int").coalesce(8)
+
+
+def test_windows_come_from_the_whole_sample(spark):
+    sample, markers = ordered_sample(spark, 16_000), {b"agrook$", b"bgrook$"}
+    windows = training_windows(sample, markers, 40)
+    hot = [w for words, labels in windows for w, y in zip(words, labels, strict=True) if y]
+    assert len(windows) == 24_000
+    assert min(hot.count(b"agrook"), hot.count(b"bgrook")) >= 4_000
+    few = training_windows(sample, markers, 40, 1_000)
+    late = sum(words[0].startswith(b"b") for words, _ in few)
+    assert len(few) == 1_000 and 400 < late < 600
+    assert few == training_windows(sample.repartition(3), markers, 40, 1_000)
+
+
+def test_toxic_words_of_the_last_rows_are_learnt(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tidepool.llm import toxicity
+    monkeypatch.setattr(toxicity, "WINDOWS", 300)
+    docs = ordered_sample(spark, 2_000).withColumn("doc_id", F.monotonically_increasing_id())
+    field = fit_toxicity(docs, docs.select("doc_id", F.col("_label").alias("toxic")), text_col="_text")
+    _, marginals = Tagger(field).tag([[b"bplain1", w, b"bplain2"] for w in (b"agrook", b"bgrook", b"bplain3")])
+    assert marginals[0][1] > 0.5 and marginals[1][1] > 0.5 > marginals[2][1]
+
+
 def test_labels_of_other_rows_do_not_matter_and_edges(spark):
     rows, labels = corpus(random.Random(7), 300)
     docs = spark.createDataFrame([*rows, (None, None), (None, ""), (5000, "tora " * 30_000), (1, "tora")],

@@ -33,7 +33,7 @@ from tidepool.llm.common import in_batches, utf8_values
 from tidepool.session import materialize
 
 SAMPLE_ROWS = 16_000
-WINDOWS = 6_000
+WINDOWS = 24_000
 WINDOW = 40
 DIMS = 1 << 18
 MARKERS = 4_000
@@ -232,11 +232,15 @@ def toxic_markers(sample: DataFrame) -> set[bytes]:
     return {bytes(r.mark) for r in marked.select("mark").collect()}
 
 
-def training_windows(sample: DataFrame, markers: set[bytes], size: int) -> list[tuple[list[bytes], list[int]]]:
-    """At most WINDOWS windows of words with their labels: around toxic words, and spread ones."""
+def training_windows(sample: DataFrame, markers: set[bytes], size: int,
+                     most: int = 2 * SAMPLE_ROWS) -> list[tuple[list[bytes], list[int]]]:
+    """At most ``most`` windows of words with their labels: around toxic words, and spread ones.
+
+    If a sample makes more, those of the least hashes stay, from wherever in the table.
+    """
     rows = max(1, sample.count())
-    each = max(1, WINDOWS // (2 * rows))
-    schema = pa.schema([("words", pa.list_(pa.binary())), ("labels", pa.list_(pa.int32()))])
+    each = max(1, min(WINDOWS, most) // (2 * rows))
+    schema = pa.schema([("words", pa.binary()), ("labels", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut():
@@ -249,12 +253,14 @@ def training_windows(sample: DataFrame, markers: set[bytes], size: int) -> list[
                     centres += [(2 * k + 1) * len(words) // (2 * each) for k in range(each)]
                     for at in dict.fromkeys(max(0, i - size // 2) for i in centres):
                         if words[at:at + size]:
-                            yield words[at:at + size], hot[at:at + size]
+                            yield b" ".join(words[at:at + size]), bytes(hot[at:at + size])
 
         yield from in_batches(cut(), schema, 2000)
 
-    found = sample.mapInArrow(run, "words array<binary>, labels array<int>")
-    return [([bytes(w) for w in r.words], list(r.labels)) for r in found.limit(2 * WINDOWS).collect()]
+    found = sample.mapInArrow(run, "words binary, labels binary")
+    chosen = found.orderBy(F.xxhash64("words", "labels"), "words", "labels").limit(most).collect()
+    known: dict[bytes, bytes] = {}  # equal words are one object
+    return [([known.setdefault(w, w) for w in bytes(r.words).split(b" ")], list(bytes(r.labels))) for r in chosen]
 
 
 def train_field(windows: list[tuple[list[bytes], list[int]]], epochs: int = 8, batch: int = 512,
@@ -323,9 +329,12 @@ def fit_curve(summary: np.ndarray, y: np.ndarray, base_odds: float, ridge: float
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Field:
+                 label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, windows: int | None = None) -> Field:
     """The field and curve learnt from ``labels`` (one 0/1 label per id; larger of several).
 
+    ``windows`` bounds the training windows; without it there is room for
+    WINDOWS, and for two of every sample row in any case.
+
     Ids or labels that are null are left out. Without labels of both kinds
     the scores of all texts are the base rate of the labels there are, or 0.5.
     """
@@ -334,7 +343,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     markers = toxic_markers(sample)
     if not markers:
         return Field(np.zeros(DIMS), np.zeros((2, 2)), np.array([np.log(base), 0, 0, 0]))
-    weights, moves = train_field(training_windows(sample, markers, WINDOW))
+    most = max(WINDOWS, 2 * sample_rows) if windows is None else windows
+    weights, moves = train_field(training_windows(sample, markers, WINDOW, most))
     field = Field(weights.astype(np.float32), moves, np.zeros(4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
