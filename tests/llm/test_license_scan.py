@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -78,5 +79,27 @@ def test_all_notices_of_the_small_table(spark):
     assert seen > 10
 
 
+def test_notices_within_lines_and_across_lines(spark):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rng = random.Random(4)
+    rows, want = [], {}
+    for name, texts in TEMPLATES.items():
+        for k, text in enumerate(texts):
+            for before, after, wrapped in ((0, 15, False), (30, 0, False), (100, 100, False), (40, 40, True)):
+                key = -1 - len(rows)
+                notice = text.replace(" ", "\n * ") if wrapped else text
+                fill = [" ".join(rng.choice(["tor", "lines", "mares", "selo"]) for _ in range(n)) for n in (before, after)]
+                rows.append((key, f"{fill[0]} {notice} {fill[1]}"))
+                want[key] = name
+    rows.append((-1000, "Plain\n" + FILES[9][2]))
+    want[-1000] = "CC-BY-NC-4.0"
+    files = docs.unionAll(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("path", F.lit("a/b"))
+    got = {r.id: r for r in scan_files(files, "doc_id", "path", "text").where("id < 0").collect()}
+    assert {k: got[k].licence for k in want} == want
+    assert all(got[k].score > 0.99 for k in want)
+    assert got[-1000].line == 1
+
+
 def test_empty_table(spark):
     assert licence_scan(frame(spark).limit(0), "doc_id", "path", "text").collect() == []

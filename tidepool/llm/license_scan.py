@@ -3,9 +3,11 @@
 1. Document frequencies of hashed terms over all files (a table of fixed
    size, as in feature hashing) give the weights.
 2. Every line of every file (long ones in overlapping windows) is compared to
-   the templates by cosine, and so is every file as a whole. Vectors are
-   sparse: a line without one of a template's heaviest terms cannot reach the
-   threshold and is not weighed at all.
+   the templates by cosine, and so are every file as a whole and every run of
+   words as long as a template, across line ends. Vectors are sparse: a text
+   without one of a template's heaviest terms cannot reach the threshold and
+   is not weighed at all. Sums over all runs bound their cosines from above;
+   only runs that may be the best so far are weighed exactly.
 3. A file that is mostly a licence, by its whole-file cosine or by its name,
    speaks for its directory. A file without a licence of its own inherits that
    of the nearest directory above it that has one. The nearest ancestor is
@@ -19,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -102,14 +105,17 @@ class Templates:
     weights: np.ndarray
     vectors: list[tuple[str, dict[int, float]]]
     anchors: re.Pattern
+    lengths: list[int]
+    threshold: float
 
     @classmethod
     def build(cls, templates: dict[str, list[str]], counts: np.ndarray, number: int, threshold: float) -> Templates:
         weights = np.log((1 + number) / (1 + counts)).astype(np.float32) + 1
-        vectors, anchors = [], set()
+        vectors, anchors, lengths = [], set(), []
         for name, texts in templates.items():
             for text in texts:
                 words = LETTERS.findall(text.lower().encode())
+                lengths.append(len(words))
                 tf = Counter(words)
                 heavy = sorted(tf, key=lambda w: -tf[w] * weights[term(w)])
                 size = {w: float(tf[w] * weights[term(w)]) for w in heavy}
@@ -126,7 +132,7 @@ class Templates:
                 norm = sum(v * v for v in vector.values()) ** 0.5
                 vectors.append((name, {t: v / norm for t, v in vector.items()}))
         pattern = rb"(?<![a-z0-9\x80-\xff])(?:" + b"|".join(sorted(map(re.escape, anchors))) + rb")(?![a-z0-9\x80-\xff])"
-        return cls(weights, vectors, re.compile(pattern if anchors else rb"(?!)"))
+        return cls(weights, vectors, re.compile(pattern if anchors else rb"(?!)"), lengths, threshold)
 
     def best(self, words: list[bytes]) -> tuple[float, str | None]:
         """Highest cosine of a run of words to a template; equal ones go to the first."""
@@ -142,8 +148,40 @@ class Templates:
                 found = (cosine, name)
         return found
 
+    def best_run(self, words: list[bytes], least: float) -> tuple[float, str | None, int]:
+        """Highest cosine over ``least`` of a run of a template's length to it, and the run's first word."""
+        names: dict[bytes, int] = {}
+        at = np.array([names.setdefault(w, len(names)) for w in words], np.int64)
+        terms = np.array([term(w) for w in names], np.int64)
+        weights = self.weights[terms].astype(np.float64)
+        squares = np.concatenate([[0.0], np.cumsum(weights[at] ** 2)])
+        found = (least, None, 0)
+        for (name, template), length in zip(self.vectors, self.lengths, strict=True):
+            size = min(length, len(words))
+            if not size:
+                continue
+            gains = np.array([template.get(t, 0.0) for t in terms.tolist()]) * weights
+            if not gains.any():
+                continue
+            dots = np.concatenate([[0.0], np.cumsum(gains[at])])
+            dots = dots[size:] - dots[:-size]
+            # A word that a run repeats counts more in its norm than in these sums.
+            bounds = dots / np.sqrt(squares[size:] - squares[:-size])
+            likely = np.flatnonzero(bounds > max(self.threshold, found[0]) - 1e-6)
+            for i in likely[np.argsort(-bounds[likely], kind="stable")].tolist():
+                if bounds[i] <= found[0] + 1e-9:
+                    break
+                run, counts = np.unique(at[i:i + size], return_counts=True)
+                merged: dict[int, float] = {}
+                for t, v in zip(terms[run].tolist(), (counts * weights[run]).tolist(), strict=True):
+                    merged[t] = merged.get(t, 0.0) + v
+                cosine = float(dots[i]) / sum(v * v for v in merged.values()) ** 0.5
+                if cosine > found[0] + 1e-9 and cosine >= self.threshold - 1e-9:
+                    found = (cosine, name, i)
+        return found
+
     def scan(self, text: bytes) -> tuple[float, str | None, int | None, float, str | None]:
-        """Best line (score, licence, number) and best match of the whole text."""
+        """Best line or run (score, licence, number of its first line) and best match of the whole text."""
         low = text.lower()
         if not self.anchors.search(low):
             return 0.0, None, None, 0.0, None
@@ -155,7 +193,12 @@ class Templates:
                     score, name = self.best(words[at:at + WINDOW])
                     if score > line[0] + 1e-9:
                         line = (score, name, i)
-        return *line, *self.best(LETTERS.findall(low))
+        words = LETTERS.findall(low)
+        score, name, first = self.best_run(words, line[0])
+        if name is not None:
+            start = next(islice(LETTERS.finditer(low), first, None)).start()
+            line = (score, name, low.count(b"\n", 0, start))
+        return *line, *self.best(words)
 
 
 def scan_files(files: DataFrame, id_col: str, path_col: str, text_col: str,
@@ -222,8 +265,8 @@ def licence_scan(files: DataFrame, id_col: str, path_col: str, text_col: str,
     """Per file its own licence, the one it inherits, and the one that holds.
 
     Returns ``id_col, path, licence, score, line, inherited, inherited_from,
-    effective``: the best line's template where its cosine reaches
-    ``threshold``, its number from 0; the licence of the nearest licensed
+    effective``: the template of the best line or run of words where its
+    cosine reaches ``threshold``, its (first) line's number from 0; the licence of the nearest licensed
     folder and that folder; and the file's own or else the inherited one.
     Where several files speak for a folder, the highest cosine decides, then
     the name. Defined cases: null and empty texts have no licence of their
