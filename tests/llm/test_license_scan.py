@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from tidepool.llm.license_scan import LETTERS, TEMPLATES, licence_scan, scan_files, term
+from tidepool.llm.license_scan import LETTERS, TEMPLATES, licence_scan, scan_files, template_table, term
 
 FILES = [
     (1, "LICENSE", "Copyright someone\nReleased under the MIT License.\n"),
@@ -101,5 +101,21 @@ def test_notices_within_lines_and_across_lines(spark):
     assert got[-1000].line == 1
 
 
+def test_licence_files_headers_and_near_neighbours(spark):
+    table = [(name, text) for name, text, notice in template_table() if not notice]
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+            "AGPL-3.0", "MPL-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC0-1.0"} <= {name for name, _ in table}
+    cases = [(name, "Copyright (c) 2020 Some One. All rights reserved.\n\n" + text) for name, text in table]
+    cases += [("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+              ("Proprietary", "Copyright 2020. All rights reserved."),
+              (None, "Released under the Foo License."), (None, "a plain text about permission and a license")]
+    fill = [(1000 + k, f"x{k}/b", f"tor lines of the mares {k} and to selo") for k in range(300)]
+    rows = [(k, f"f{k}/LICENSE", text) for k, (_, text) in enumerate(cases)]
+    got = {r.id: r for r in scan_files(frame(spark, rows + fill), "doc_id", "path", "text").collect()}
+    assert [got[k].licence for k in range(len(cases))] == [name for name, _ in cases]
+    assert all(got[k].file_licence == name and got[k].file_score > 0.6 for k, (name, text) in enumerate(cases)
+               if len(text) > 700)
+
+
 def test_empty_table(spark):
     assert licence_scan(frame(spark).limit(0), "doc_id", "path", "text").collect() == []

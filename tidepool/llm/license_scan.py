@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -58,6 +59,73 @@ TEMPLATES = {
     "Proprietary": ["All rights reserved."],
 }
 
+# Headers of source files; the full texts are in the folder ``licences``.
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} "
+        "General Public License as published by the Free Software Foundation, either version {1} of the License, or "
+        "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU {0} General Public License for more details.")
+HEADERS = {
+    "GPL-3.0": [_GNU.format("", "3")],
+    "GPL-2.0": [_GNU.format("", "2")],
+    "LGPL-3.0": [_GNU.format("Lesser", "3"), "GNU Lesser General Public License, version 3"],
+    "LGPL-2.1": [_GNU.format("Lesser", "2.1"), "GNU Lesser General Public License, version 2.1"],
+    "AGPL-3.0": [_GNU.format("Affero", "3"), "This work is licensed under the GNU Affero General Public License, "
+                 "version 3.", "GNU Affero General Public License, version 3"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                   "in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                   "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                   "language governing permissions and limitations under the License."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International Public License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International Public License"],
+}
+
+# What the words of a match must hold, so that near templates are told apart.
+REQUIRED = {name: re.compile(pattern) for name, pattern in {
+    "MIT": rb"\bmit\b|permission is hereby granted free of charge",
+    "ISC": rb"\bisc\b|permission to use copy modify and (or )?distribute",
+    "Apache-2.0": rb"\bapache\b",
+    "GPL-3.0": rb"(?<!affero )(?<!lesser )general public license.{0,80}?\bv?3\b",
+    "GPL-2.0": rb"(?<!affero )(?<!lesser )general public license.{0,80}?\bv?2\b",
+    "LGPL-3.0": rb"lesser general public license.{0,80}?\bv?3\b",
+    "LGPL-2.1": rb"lesser general public license.{0,80}?\bv?2 1\b",
+    "AGPL-3.0": rb"affero general public license.{0,80}?\bv?3\b",
+    "BSD-3-Clause": rb"\bbsd 3|neither the names? of",
+    "BSD-2-Clause": rb"\bbsd 2|redistributions in binary form",
+    "MPL-2.0": rb"mozilla public license",
+    "CC-BY-4.0": rb"\bcc by (?!nc|sa|nd)|creative commons attribution (?!noncommercial|sharealike|noderivatives)",
+    "CC-BY-NC-4.0": rb"\bcc by nc (?!sa|nd)|creative commons attribution noncommercial (?!sharealike|noderivatives)",
+    "CC0-1.0": rb"\bcc0\b",
+}.items()}
+
+# Words without which no header or full text is there; these are looked for in every text.
+TEXT_ANCHORS = (b"permission", b"redistribution", b"redistributions", b"license", b"licence")
+
+# Said along with other licences: these count where no other reaches the threshold.
+GENERAL = {"Proprietary"}
+
+
+def template_table() -> list[tuple[str, str, bool]]:
+    """Rows of licence, text and whether it is a notice of a line (else a header or a full text)."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licences")
+    full = {}
+    for file in sorted(os.listdir(folder)):
+        with open(os.path.join(folder, file), encoding="utf-8") as f:
+            full[file.removesuffix(".txt")] = f.read()
+    # These two differ from their neighbours by a clause and by a name.
+    third = re.compile(r"\n3\. Neither.*?permission\.", re.S)
+    full["BSD-2-Clause"] = third.sub("", full["BSD-3-Clause"])
+    full["AGPL-3.0"] = full["GPL-3.0"].replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC").replace(
+        "GNU General Public", "GNU Affero General Public")
+    return ([(name, text, True) for name, texts in TEMPLATES.items() for text in texts]
+            + [(name, text, False) for name, texts in HEADERS.items() for text in texts]
+            + [(name, text, False) for name, text in full.items()])
+
+
 LICENCE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
 
 
@@ -106,60 +174,78 @@ class Templates:
     vectors: list[tuple[str, dict[int, float]]]
     anchors: re.Pattern
     lengths: list[int]
+    notices: int  # these come first
     threshold: float
 
     @classmethod
-    def build(cls, templates: dict[str, list[str]], counts: np.ndarray, number: int, threshold: float) -> Templates:
+    def build(cls, templates: list[tuple[str, str, bool]], counts: np.ndarray, number: int,
+              threshold: float) -> Templates:
         weights = np.log((1 + number) / (1 + counts)).astype(np.float32) + 1
         vectors, anchors, lengths = [], set(), []
-        for name, texts in templates.items():
-            for text in texts:
-                words = LETTERS.findall(text.lower().encode())
-                lengths.append(len(words))
-                tf = Counter(words)
-                heavy = sorted(tf, key=lambda w: -tf[w] * weights[term(w)])
-                size = {w: float(tf[w] * weights[term(w)]) for w in heavy}
-                whole = sum(v * v for v in size.values())
-                rest = whole
-                for w in heavy:  # what is left without these stays under the threshold
-                    if rest < (threshold * 0.999) ** 2 * whole:
-                        break
-                    anchors.add(w)
-                    rest -= size[w] ** 2
-                vector: dict[int, float] = {}
-                for w in heavy:
-                    vector[term(w)] = vector.get(term(w), 0.0) + size[w]
-                norm = sum(v * v for v in vector.values()) ** 0.5
-                vectors.append((name, {t: v / norm for t, v in vector.items()}))
+        notices = 0
+        for name, text, notice in sorted(templates, key=lambda t: (not t[2], t[0] in GENERAL)):
+            words = LETTERS.findall(text.lower().encode())
+            lengths.append(len(words))
+            tf = Counter(words)
+            heavy = sorted(tf, key=lambda w: -tf[w] * weights[term(w)])
+            size = {w: float(tf[w] * weights[term(w)]) for w in heavy}
+            whole = sum(v * v for v in size.values())
+            rest = whole
+            notices += notice
+            if not notice:
+                anchors.update(TEXT_ANCHORS)
+            for w in heavy if notice else ():  # what is left without these stays under the threshold
+                if rest < (threshold * 0.999) ** 2 * whole:
+                    break
+                anchors.add(w)
+                rest -= size[w] ** 2
+            vector: dict[int, float] = {}
+            for w in heavy:
+                vector[term(w)] = vector.get(term(w), 0.0) + size[w]
+            norm = sum(v * v for v in vector.values()) ** 0.5
+            vectors.append((name, {t: v / norm for t, v in vector.items()}))
         pattern = rb"(?<![a-z0-9\x80-\xff])(?:" + b"|".join(sorted(map(re.escape, anchors))) + rb")(?![a-z0-9\x80-\xff])"
-        return cls(weights, vectors, re.compile(pattern if anchors else rb"(?!)"), lengths, threshold)
+        return cls(weights, vectors, re.compile(pattern if anchors else rb"(?!)"), lengths, notices, threshold)
+
+    def rank(self, score: float, name: str | None) -> tuple[bool, float]:
+        """Order of matches: a licence that reaches the threshold is before a general notice."""
+        return score >= self.threshold and name not in GENERAL, score
+
+    def holds(self, name: str, words: list[bytes]) -> bool:
+        """Whether the words hold what tells the licence from its neighbours."""
+        return name not in REQUIRED or bool(REQUIRED[name].search(b" ".join(words)))
 
-    def best(self, words: list[bytes]) -> tuple[float, str | None]:
-        """Highest cosine of a run of words to a template; equal ones go to the first."""
+    def best(self, words: list[bytes], among: int | None = None) -> tuple[float, str | None]:
+        """Best cosine of a run of words to one of the first ``among`` templates; equal ones go to the first."""
         vector: dict[int, float] = {}
         for w, n in Counter(words).items():
             t = term(w)
             vector[t] = vector.get(t, 0.0) + n * float(self.weights[t])
         norm = sum(v * v for v in vector.values()) ** 0.5
         found = (0.0, None)
-        for name, template in self.vectors:
-            cosine = sum(v * vector.get(t, 0.0) for t, v in template.items()) / norm if norm else 0.0
-            if cosine > found[0] + 1e-9:
+        for name, template in self.vectors[:among]:
+            cosine = sum(v * template.get(t, 0.0) for t, v in vector.items()) / norm if norm else 0.0
+            if (self.rank(cosine, name) > self.rank(found[0] + 1e-9, found[1])
+                    and (cosine < self.threshold or self.holds(name, words))):
                 found = (cosine, name)
         return found
 
     def best_run(self, words: list[bytes], least: float) -> tuple[float, str | None, int]:
         """Highest cosine over ``least`` of a run of a template's length to it, and the run's first word."""
+        whole = b" ".join(words)
         names: dict[bytes, int] = {}
         at = np.array([names.setdefault(w, len(names)) for w in words], np.int64)
         terms = np.array([term(w) for w in names], np.int64)
         weights = self.weights[terms].astype(np.float64)
         squares = np.concatenate([[0.0], np.cumsum(weights[at] ** 2)])
         found = (least, None, 0)
-        for (name, template), length in zip(self.vectors, self.lengths, strict=True):
+        order = sorted(zip(self.vectors, self.lengths, strict=True), key=lambda v: v[0][0] in GENERAL)
+        for (name, template), length in order:
             size = min(length, len(words))
-            if not size:
+            if not size or (name in REQUIRED and not REQUIRED[name].search(whole)):
                 continue
+            if name in GENERAL and found[1] is not None:
+                break
             gains = np.array([template.get(t, 0.0) for t in terms.tolist()]) * weights
             if not gains.any():
                 continue
@@ -176,7 +262,8 @@ class Templates:
                 for t, v in zip(terms[run].tolist(), (counts * weights[run]).tolist(), strict=True):
                     merged[t] = merged.get(t, 0.0) + v
                 cosine = float(dots[i]) / sum(v * v for v in merged.values()) ** 0.5
-                if cosine > found[0] + 1e-9 and cosine >= self.threshold - 1e-9:
+                if (cosine > found[0] + 1e-9 and cosine >= self.threshold
+                        and self.holds(name, words[i:i + size])):
                     found = (cosine, name, i)
         return found
 
@@ -190,12 +277,12 @@ class Templates:
             if self.anchors.search(part):
                 words = LETTERS.findall(part)
                 for at in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2):
-                    score, name = self.best(words[at:at + WINDOW])
-                    if score > line[0] + 1e-9:
+                    score, name = self.best(words[at:at + WINDOW], self.notices)
+                    if self.rank(score, name) > self.rank(line[0] + 1e-9, line[1]):
                         line = (score, name, i)
         words = LETTERS.findall(low)
-        score, name, first = self.best_run(words, line[0])
-        if name is not None:
+        score, name, first = self.best_run(words, 0.0 if line[1] in GENERAL else line[0])
+        if name is not None and self.rank(score, name) > self.rank(line[0] + 1e-9, line[1]):
             start = next(islice(LETTERS.finditer(low), first, None)).start()
             line = (score, name, low.count(b"\n", 0, start))
         return *line, *self.best(words)
@@ -207,7 +294,8 @@ def scan_files(files: DataFrame, id_col: str, path_col: str, text_col: str,
     texts = files.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     counts, number = document_frequencies(texts)
     known = files.sparkSession.sparkContext.broadcast(
-        Templates.build(templates or TEMPLATES, counts, number, threshold))
+        Templates.build([(name, text, True) for name, texts in templates.items() for text in texts]
+                        if templates else template_table(), counts, number, threshold))
     id_type = files.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
