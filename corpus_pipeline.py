@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.llm.common import table
 from tidepool.llm.decontaminate import drop_leaks
@@ -57,9 +58,12 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id."""
     plain, back = _plain_names(docs)
-    found = jaccard_components(plain, n=NEAR_WORDS, threshold=NEAR_THRESHOLD)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return back(plain.join(gone, "doc_id", "left_anti"))
+    # An id may be on rows of different texts; each decides for itself.
+    plain = plain.withColumn("_hash", F.xxhash64("text"))
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_hash"))
+    found = jaccard_components(plain.select(row.alias("row"), "text"), "row", n=NEAR_WORDS, threshold=NEAR_THRESHOLD)
+    gone = found.where("row <> component_id").select("row.*").distinct()
+    return back(plain.join(gone, ["doc_id", "_hash"], "left_anti"))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,16 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert len(check_gapless(rows, 4096)) == len(best_fit_decreasing([r.length for r in rows], 4096))
 
 
+def test_rows_of_one_id_leave_by_their_own_text(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long), (2, long + " end"), (2, "a text of its own without any copy"),
+            (3, long + " more"), (3, other), (4, other + " end"), (None, other + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in corpus_pipeline.remove_near_copies(spark, docs, SF).collect()}
+    assert got == {rows[0], rows[2], rows[4], rows[6]}
+
+
 def test_odd_rows_and_clashing_columns(spark, tmp_path):
     rows = [(1, None, "a"), (2, "", "b"), (None, "one two three", "c"), (3, "x y z " * 30_000, "d"),
             (4, "same text here", "e"), (4, "same text here", "f"), (5, "Same Text Here", "g")]
