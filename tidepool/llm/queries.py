@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm.centroids import cluster_vectors
 from tidepool.llm.common import LOWER, UPPER, ascii_lower, crc32_mod, table
 from tidepool.llm.context_tree import score_texts
 from tidepool.llm.decontaminate import find_leaks
 from tidepool.llm.exact_dedup import exact_dedup
+from tidepool.llm.fill_middle import fill_in_middle, rebuild
 from tidepool.llm.jaccard_join import jaccard_components
 from tidepool.llm.license_scan import licence_scan
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.phrase_dedup import remove_phrases
 from tidepool.llm.suffix_dedup import remove_repeats
 from tidepool.llm.token_counts import count_tokens
 from tidepool.llm.toxicity import fit_toxicity, score_toxicity
@@ -103,9 +106,31 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole vectors of 64 components in 16 clusters after 3 rounds."""
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 20-word windows that also start earlier."""
+    return remove_phrases(table(spark, sf_dir, "documents"), size=20, with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged, and the texts rebuilt from the outputs."""
+    made = rebuild(fill_in_middle(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_best_fit_packing, op3_context_tree_lm, op4_ngram_jaccard_join, op5_license_scan,
-    op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup, op10_suffix_dedup)}
+    op6_toxicity_crf, op7_warc_chunks, op8_token_counts, op9_exact_dedup, op10_suffix_dedup,
+    op11_centroid_clustering, op12_phrase_dedup, op13_fill_in_middle)}
 
 
 def base32(h: str) -> str:
@@ -115,7 +140,73 @@ def base32(h: str) -> str:
     return " || ".join(letter.format(h=h, at=i // 4 * 5 + 1, shift=15 - i % 4 * 5) for i in range(32))
 
 
+def centroid_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """DuckDB SQL: all distances in every round, floors of means by exact division."""
+    away = (f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.xs[i] - c.xs[i]) * (v.xs[i] - c.xs[i])))::bigint")
+    parts = [f"""v as materialized (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as xs from embeddings
+  where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+             f"""c0 as materialized (
+  select row_number() over (order by sha256('1:' || vec_id), xs) - 1 as c, xs from v
+  qualify c < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} as materialized (
+  select vec_id, v.xs, c.c, {away} as d from v cross join c{r} c
+  qualify row_number() over (partition by vec_id order by d, c.c) = 1)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} as materialized (
+  select c.c, coalesce(m.xs, c.xs) as xs from c{r} c left join (
+    select c, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as xs from (
+      select c, i, sum(x)::bigint as s, count(*) as n from (
+        select c, generate_subscripts(xs, 1) as i, unnest(xs) as x from a{r}) group by c, i)
+    group by c) m on c.c = m.c)""")
+    return "with " + ",\n".join(parts) + f"""
+select a.vec_id, a.c::integer as cluster, a.d as distance,
+       (sum(d) over (partition by a.c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+       sha256(array_to_string(c.xs, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} c on a.c = c.c"""
+
+
 ORACLES = {
+    "op11_centroid_clustering": centroid_sql(),
+    "op12_phrase_dedup": r"""
+with d as materialized (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d),
+t as (select doc_id, i, row_number() over (partition by array_to_string(w[i:i + 19], ' ') order by doc_id, i) > 1 as again
+      from p),
+u as (select doc_id, generate_subscripts(w, 1) as i, unnest(w) as word from d),
+g as (select u.doc_id, u.i, word,
+             max(coalesce(again, false)::int) over (partition by u.doc_id order by u.i rows between 19 preceding and current row) as gone
+      from u left join t on u.doc_id = t.doc_id and u.i = t.i),
+k as (select doc_id, sum(gone) as n_removed, string_agg(word, ' ' order by i) filter (where gone = 0) as kept
+      from g group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from d left join k on d.doc_id = k.doc_id""",
+    "op13_fill_in_middle": r"""
+with d as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as t
+  from documents),
+c as (
+  select doc_id, text, t, len(t)::bigint as n,
+         ('0x' || h[1:8])::bigint % (len(t) + 1) as a, ('0x' || h[9:16])::bigint % (len(t) + 1) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                or ('0x' || h[17:24])::bigint % 100 >= 50 then 'plain'
+              when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form
+  from d),
+s as (
+  select doc_id, text, n, form, array_to_string(t[1:least(a, b)], '') as pre,
+         array_to_string(t[least(a, b) + 1:greatest(a, b)], '') as mid, array_to_string(t[greatest(a, b) + 1:n], '') as suf
+  from c)
+select doc_id, n, form,
+       case when form <> 'plain' then length(pre) end as prefix_chars,
+       case when form <> 'plain' then length(mid) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+              else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+       sha256(text) as restored_sha256
+from s""",
     "op7_warc_chunks": f"""
 with p as (
   select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes,
