@@ -1,6 +1,6 @@
-import pytest
-from pyspark.sql import functions as F
+import random
 
+import pytest
 from tidepool.operators import logs as L
 from tidepool.operators.ordered import with_ordinal
 from tidepool.sources.text import field, field_lines, lines_by_token, scan_lines
@@ -33,9 +33,7 @@ def test_util_log_gap_fill(spark, tmp_path):
     assert [r.line_no for r in lines.orderBy("line_no").collect()] == list(range(8))
     o = with_ordinal(lines.withColumnRenamed("file", "source"), ["source", "line_no"], "pos")
     parsed = L.parse_util_lines(o)
-    stamps = parsed.where(F.col("kind") == "stamp").select("source", "pos", "raw_ms")
-    adj = L.bump_equal_stamps(stamps, "source", "raw_ms", "pos")
-    samples = L.carry_stamps(parsed, adj)
+    samples = L.stamped_samples(parsed)
     got = sorted((r.t_s, r.gpu0, r.gpu1, r.gpu2, r.gpu3) for r in L.gap_fill(samples).collect())
     assert got == [(0.0, 10, 20, 0, 0), (0.3, 30, 0, 0, 5), (1.0, 0, 0, 7, 0), (2.0, 0, 0, 0, 0)]
 
@@ -67,8 +65,7 @@ def parsed_log(spark, rows):
 
 
 def carried(parsed):
-    stamps = L.stamp_lines(parsed).select("source", "pos", "raw_ms")
-    return L.carry_stamps(parsed, L.bump_equal_stamps(stamps, "source", "raw_ms", "pos"))
+    return L.stamped_samples(parsed)
 
 
 def test_null_source_keeps_stamps_and_rounds(spark):
@@ -120,3 +117,69 @@ def test_strict_mode_does_not_rest_on_ansi(spark):
         assert field_lines(short, "lon").select(field(0, "double", mode="drop").alias("x")).first().x is None
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("step", [0, 100, 300, 1000])
+def test_any_step_and_grain_equal_the_literal_loop(spark, step):
+    rng = random.Random(step)
+    rows = [(s, i, rng.randrange(5) * 100) for s in ("a", "b", None) for i in range(300)]
+    df = spark.createDataFrame(rows, "source string, pos long, raw_ms long").repartition(5)
+    got = {(r.source, r.pos): (r.adjusted_ms, r.k) for r in L.bump_equal_stamps(
+        df, "source", "raw_ms", "pos", step=step, index="k").collect()}
+    want, before = {}, {}
+    for s, i, raw in rows:
+        ts = raw + step if raw == before.get(s, 0) else raw
+        before[s] = ts
+        want[s, i] = (ts, i)
+    assert got == want
+
+
+def literal_cycle(samples, gpus=4):
+    """(times, one list per GPU) as a reader makes them who expects the GPUs in turn."""
+    times, lists, turn, at = [], [[] for _ in range(gpus)], 0, 0
+    while at < len(samples):
+        ms, gpu, util = samples[at]
+        if not times or times[-1] != ms:
+            times.append(ms)
+        lists[turn].append(util if gpu == turn else 0)
+        at += gpu == turn
+        turn = (turn + 1) % gpus
+    for g in range(turn, gpus) if turn else ():
+        lists[g].append(0)
+    low, high = min(times), max(times)
+    return [(t - low) / 1000 for t in times] + [(high - low) // 1000 + 1], [x + [0] for x in lists]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cycle_fill_equals_the_literal_loop(spark, seed):
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for source in ("a", "b", None):
+        ms, own = rng.randrange(5) * 1000, []
+        for i in range(rng.choice([1, 7, 200])):
+            if rng.random() < 0.4:
+                ms = rng.randrange(86400) * 1000
+            own.append((ms, rng.randrange(4), rng.randrange(1, 100)))
+            rows.append((source, 3 * i, *own[-1]))
+        want[source] = literal_cycle(own)
+    df = spark.createDataFrame(rows, "source string, pos long, stamp_ms long, gpu int, util long").repartition(4)
+    got = L.gpu_cycle_fill(df).collect()
+    for source, (times, lists) in want.items():
+        mine = sorted((r for r in got if r.source == source), key=lambda r: r.position)
+        assert [r.position for r in mine] == list(range(max(len(times), len(lists[0]))))
+        assert [r.t_s for r in mine if r.t_s is not None] == times
+        for g in range(4):
+            assert [r[f"gpu{g}"] for r in mine if r[f"gpu{g}"] is not None] == lists[g]
+
+
+def test_cycle_fill_of_no_such_gpu_raises(spark):
+    df = spark.createDataFrame([("a", 0, 0, 4, 1)], "source string, pos long, stamp_ms long, gpu int, util long")
+    with pytest.raises(Exception, match="no such GPU: 4"):
+        L.gpu_cycle_fill(df).collect()
+    assert L.gpu_cycle_fill(df.where("pos > 0")).count() == 0
+
+
+@pytest.mark.parametrize("line", ["node1 Thu Apr 18", "node1 Thu Apr 18 10:x:01 2024", "[x] root, 10 %, x", "[0] root", "[0] root, , x"])
+def test_bad_fields_raise(spark, line):
+    with pytest.raises(Exception, match="no (time|GPU|share)"):
+        parsed_log(spark, [("a", 0, line)]).collect()

@@ -13,10 +13,8 @@ data. The helpers here avoid that:
 * ``with_group_start`` gives the position of the first row of each key from
   windows over fixed-size blocks of positions plus a one-row-per-block
   table, so a hot key never meets a join on its own key.
-* ``fill_forward`` carries the last non-null value down within a key. It
-  works on fixed-size blocks of positions (``block_rows`` each), so window
-  partitions are bounded no matter how rows fall on keys; the carry between
-  blocks comes from a table with one row per block.
+* ``fill_forward`` carries the last non-null value down within a key; it is a
+  recurrence, which ``scan`` works out in levels of blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .scan import SIZES, Recurrence, scan
 
 _PID = "_tp_pid"
 _MID = "_tp_mid"
@@ -153,31 +152,10 @@ def fill_forward(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     """``name`` = last non-null ``value`` at or before ``pos`` within the same key.
 
     Same as ``last(value, true) OVER (PARTITION BY keys ORDER BY pos ROWS
-    UNBOUNDED PRECEDING)``, computed in blocks of ``block_rows`` positions.
-    ``pos`` must be unique and increase along an order led by ``keys`` (a
-    dense ordinal, or one with gaps: a block then just holds fewer rows).
+    UNBOUNDED PRECEDING)``, as a scan in levels. ``pos`` must be unique
+    within each key (gaps allowed).
     """
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    blk = F.floor(F.col(pos) / F.lit(block_rows)).cast("long")
-    tagged = df.withColumn("_tp_blk", blk).withColumn("_tp_key", key_struct)
-    carrier = F.when(F.col(value).isNotNull(), F.struct(F.col("_tp_key").alias("k"),
-                                                        F.col(value).alias("v")))
-    in_block = Window.partitionBy("_tp_blk").orderBy(pos).rowsBetween(
-        Window.unboundedPreceding, 0)
-    tagged = tagged.withColumn("_tp_local", F.last(carrier, ignorenulls=True).over(in_block))
-    # One row per block: the carrier in force at its last row, then the
-    # carrier in force before each block (a window over blocks only).
-    tails = tagged.groupBy("_tp_blk").agg(F.max_by("_tp_local", F.col(pos)).alias("_tp_tail"))
-    earlier = Window.orderBy("_tp_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = tails.select("_tp_blk", F.last("_tp_tail", ignorenulls=True).over(earlier)
-                          .alias("_tp_carry"))
-    out = tagged.join(blocks, "_tp_blk", "left")
-    local_ok = F.col("_tp_local").isNotNull()
-    chosen = F.when(local_ok,
-                    F.when(F.col("_tp_local.k") == F.col("_tp_key"), F.col("_tp_local.v")))
-    chosen = chosen.otherwise(
-        F.when(F.col("_tp_carry.k") == F.col("_tp_key"), F.col("_tp_carry.v")))
-    return out.withColumn(name, chosen).drop("_tp_blk", "_tp_key", "_tp_local", "_tp_carry")
+    return scan(df, keys, pos, {name: Recurrence(reset=F.col(value))}, (block_rows, SIZES[1]))
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],

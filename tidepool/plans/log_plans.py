@@ -9,18 +9,21 @@ stamps in a row are common and exercise the de-duplication rule.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import logs as L
-from ..operators.ordered import with_group_start, with_ordinal, with_prev, with_row_number
+from ..operators.ordered import with_ordinal, with_row_number
+from ..operators.scan import Recurrence, scan
 from ..session import materialize
 from ..sources.tables import table
 from ..sources.text import field, field_lines, lines_by_token
 
 
-def util_log_lines(spark, sf_dir) -> DataFrame:
-    """(source, pos, event_id, event_index, value): the rendered log.
+def _rendered(spark, sf_dir, opens: Callable) -> DataFrame:
+    """(source, pos, event_index, value): each event's sample line, under a stamp line where ``opens`` says.
 
     ``pos`` = 2·(event ordinal) + (0 for a stamp line, 1 for a sample line):
     unique and increasing in line order; ``event_index`` is the event's
@@ -31,60 +34,72 @@ def util_log_lines(spark, sf_dir) -> DataFrame:
         F.pmod(F.col("user_id"), F.lit(4)).alias("gpu"),
         F.floor("value").cast("long").alias("util"))
     o = with_ordinal(ev, ["source", "ts", "event_id"], "epos")
-    o = with_group_start(o, ["source"], "epos", "_start")
-    o = with_prev(o, ["source"], "epos", ["gpu"], suffix="_before")
-    new_round = F.col("gpu_before").isNull() | (F.col("gpu") <= F.col("gpu_before"))
-    stamp = F.concat_ws(" ", F.lit("node1"), F.date_format("ts", "EEE MMM dd"),
-                        F.date_format("ts", "HH:00:00"), F.date_format("ts", "yyyy"))
+    o = scan(o, ["source"], "epos", {
+        "above": Recurrence(reset=F.struct("gpu", "ts"), before=True),
+        "event_index": Recurrence(add=F.lit(1), before=True)})
+    stamp = F.concat(F.lit("node1 "), F.date_format("ts", "EEE MMM dd HH:00:00 yyyy"))
     sample = F.format_string("[%d] root, %d %%, x", "gpu", "util")
-    common = ["source", "event_id", (F.col("epos") - F.col("_start")).alias("event_index")]
-    stamps = o.where(new_round).select(*common, (F.col("epos") * 2).alias("pos"),
-                                       stamp.alias("value"))
-    samples = o.select(*common, (F.col("epos") * 2 + 1).alias("pos"), sample.alias("value"))
-    return stamps.unionByName(samples)
+    pos = F.col("epos") * 2
+    lines = F.array_compact(F.array(
+        F.when(F.col("above").isNull() | opens(F.col("above")), F.struct(pos.alias("pos"), stamp.alias("value"))),
+        F.struct((pos + 1).alias("pos"), sample.alias("value"))))
+    return o.select("source", "event_index", F.inline(lines))
 
 
-# The parsed lines and the adjusted stamps are each read by more than one
-# later step; they are checkpointed so every reader sees one computed copy
-# and the plans of later steps stay small.
+def util_log_lines(spark, sf_dir) -> DataFrame:
+    """A round opens whenever the GPU id does not rise."""
+    return _rendered(spark, sf_dir, lambda above: F.col("gpu") <= above["gpu"])
 
 
-def _parsed(spark, sf_dir):
-    lines = util_log_lines(spark, sf_dir)
-    return materialize(L.parse_util_lines(lines, keep=("event_index",)))
+def hourly_log_lines(spark, sf_dir) -> DataFrame:
+    """A stamp line at each new hour: GPU ids of a round come in any order."""
+    return _rendered(spark, sf_dir, lambda above: F.date_trunc("hour", "ts") != F.date_trunc("hour", above["ts"]))
 
 
-def _adjusted(parsed):
-    stamps = L.stamp_lines(parsed).select("source", "pos", "raw_ms",
-                                                           "event_index")
-    return materialize(L.bump_equal_stamps(stamps, "source", "raw_ms", "pos",
-                                           index="stamp_index"))
+def _parsed(lines):
+    """The typed columns of the lines, stored: each scan reads them."""
+    return materialize(L.parse_util_lines(lines, keep=("event_index",)).drop("value"))
 
 
 def stamp_bump(spark, sf_dir):
     """Stamp lines with their raw and de-duplicated times (ms since midnight)."""
-    adj = _adjusted(_parsed(spark, sf_dir))
+    adj = L.stamped_lines(_parsed(util_log_lines(spark, sf_dir))).where(F.col("kind") == "stamp")
     # Lines above a stamp: one sample per earlier event plus one per earlier stamp.
     return adj.select("source", (F.col("event_index") + F.col("stamp_index")).alias("line_no"),
-                      "raw_ms", "adjusted_ms")
+                      "raw_ms", F.col("stamp_ms").alias("adjusted_ms"))
+
+
+def stamp_bump_fine(spark, sf_dir):
+    """Stamps of 100 ms grain, a step of 300 ms: moved stamps meet later raw ones."""
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"), "ts", "event_id",
+        (F.hour("ts") * F.lit(3600000).cast("long") + F.pmod("user_id", F.lit(5)) * 100).alias("raw_ms"))
+    stamps = with_ordinal(ev, ["source", "ts", "event_id"], "epos")
+    return L.bump_equal_stamps(stamps, "source", "raw_ms", "epos", index="position").select(
+        "source", "position", "raw_ms", "adjusted_ms")
 
 
 def log_forward_fill(spark, sf_dir):
     """Sample lines with the newest stamp above them carried down."""
-    parsed = _parsed(spark, sf_dir)
-    samples = L.carry_stamps(parsed, _adjusted(parsed))
+    samples = L.stamped_samples(_parsed(util_log_lines(spark, sf_dir)))
     line_no = F.col("event_index") + F.col("stamp_index") + 1
     return samples.select("source", line_no.alias("line_no"), "gpu", "util", "stamp_ms")
 
 
 def gpu_gap_fill(spark, sf_dir):
     """Per round: seconds since the first stamp and one utilisation column per GPU."""
-    parsed = _parsed(spark, sf_dir)
-    filled = L.gap_fill(materialize(L.carry_stamps(parsed, _adjusted(parsed))))
+    filled = L.gap_fill(L.stamped_samples(_parsed(util_log_lines(spark, sf_dir))))
     return filled.select("source", F.round("t_s", 6).alias("t_s"),
                          "gpu0", "gpu1", "gpu2", "gpu3")
 
 
+def gpu_cycle_fill(spark, sf_dir):
+    """The literal cycle over GPUs 0 to 3 on a log whose GPU ids come in any order."""
+    filled = L.gpu_cycle_fill(L.stamped_samples(_parsed(hourly_log_lines(spark, sf_dir))))
+    return filled.select("source", "position", F.round("t_s", 6).alias("t_s"),
+                         "gpu0", "gpu1", "gpu2", "gpu3")
+
+
 def field_log_lines(spark, sf_dir) -> DataFrame:
     """Network-counter lines ``time iface id rx tx`` rendered from events."""
     ev = table(spark, sf_dir, "events")
@@ -122,8 +137,10 @@ def cpu_series(spark, sf_dir):
 QUERIES = {
     "cpu_series": cpu_series,
     "stamp_bump": stamp_bump,
+    "stamp_bump_fine": stamp_bump_fine,
     "log_forward_fill": log_forward_fill,
     "gpu_gap_fill": gpu_gap_fill,
+    "gpu_cycle_fill": gpu_cycle_fill,
     "field_log_series": field_log_series,
 }
 
@@ -153,7 +170,51 @@ f AS (SELECT l.source, l.first_line + l.nr AS line_no, l.gpu, l.util,
       FROM l LEFT JOIN a ON l.source = a.source AND l.ts = a.ts AND l.event_id = a.event_id
       WINDOW w AS (PARTITION BY l.source ORDER BY l.ts, l.event_id ROWS UNBOUNDED PRECEDING))"""
 
+# The adjusted stamps by the literal loop: one step of the recursion per line.
+def bump_sql(stamps: str, out: str, step: int) -> str:
+    return f"""{out} AS (
+  SELECT source, k, raw_ms, raw_ms + CASE WHEN raw_ms = 0 THEN {step} ELSE 0 END AS adjusted_ms FROM {stamps} WHERE k = 0
+  UNION ALL
+  SELECT s.source, s.k, s.raw_ms, s.raw_ms + CASE WHEN s.raw_ms = a.adjusted_ms THEN {step} ELSE 0 END
+  FROM {out} a JOIN {stamps} s ON s.source = a.source AND s.k = a.k + 1)"""
+
+
+HOURLY_SQL = f"""e AS MATERIALIZED (
+  SELECT event_type AS source, ts, event_id, CAST(user_id % 4 AS INTEGER) AS gpu, CAST(floor(value) AS BIGINT) AS util,
+         CAST(hour(ts) AS BIGINT) * 3600000 AS raw_ms, row_number() OVER w AS n,
+         lag(date_trunc('hour', ts)) OVER w IS DISTINCT FROM date_trunc('hour', ts) AS opens,
+         coalesce((lag(user_id % 4) OVER w + 1) % 4, 0) AS expected
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+st AS MATERIALIZED (SELECT source, n, raw_ms, row_number() OVER (PARTITION BY source ORDER BY n) - 1 AS k FROM e WHERE opens),
+{bump_sql('st', 'adj', 300)},
+f AS (SELECT e.source, e.n, e.gpu, e.util, e.expected,
+             last_value(adj.adjusted_ms IGNORE NULLS) OVER (PARTITION BY e.source ORDER BY e.n ROWS UNBOUNDED PRECEDING) AS stamp_ms
+      FROM e LEFT JOIN st ON e.source = st.source AND e.n = st.n
+             LEFT JOIN adj ON st.source = adj.source AND st.k = adj.k),
+g AS (SELECT *, (sum((gpu - expected + 4) % 4 + 1) OVER w - 1) // 4 AS cycle,
+             coalesce(lag(stamp_ms) OVER w <> stamp_ms, true) AS fresh
+      FROM f WINDOW w AS (PARTITION BY source ORDER BY n ROWS UNBOUNDED PRECEDING)),
+h AS MATERIALIZED (SELECT *, sum(fresh::int) OVER (PARTITION BY source ORDER BY n ROWS UNBOUNDED PRECEDING) - 1 AS t FROM g),
+b AS (SELECT source, min(stamp_ms) AS lo, max(stamp_ms) AS hi, max(cycle) + 1 AS cycles, max(t) + 1 AS times FROM h GROUP BY source),
+c AS (SELECT source, cycle AS position, """ + ", ".join(
+    f"coalesce(max(CASE WHEN gpu = {i} THEN util END), 0) AS gpu{i}" for i in range(4)) + """
+      FROM h GROUP BY source, cycle UNION ALL SELECT source, cycles, 0, 0, 0, 0 FROM b),
+x AS (SELECT h.source, t AS position, (stamp_ms - lo) / 1000.0 AS t_s FROM h JOIN b ON h.source = b.source WHERE fresh
+      UNION ALL SELECT source, times, CAST((hi - lo) // 1000 + 1 AS DOUBLE) FROM b)"""
+
 SQL = {
+    "stamp_bump_fine": f"""
+WITH RECURSIVE st AS MATERIALIZED (
+  SELECT event_type AS source, CAST(hour(ts) AS BIGINT) * 3600000 + user_id % 5 * 100 AS raw_ms,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS k
+  FROM events),
+{bump_sql('st', 'adj', 300)}
+SELECT source, k AS position, raw_ms, adjusted_ms FROM adj""",
+    "gpu_cycle_fill": f"""
+WITH RECURSIVE {HOURLY_SQL}
+SELECT coalesce(x.source, c.source) AS source, CAST(coalesce(x.position, c.position) AS BIGINT) AS position,
+       round(t_s, 6) AS t_s, gpu0, gpu1, gpu2, gpu3
+FROM x FULL JOIN c ON x.source = c.source AND x.position = c.position""",
     "cpu_series": """
 SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS position, round(value, 6) AS user_pct
 FROM events WHERE event_type IS NULL OR event_type <> 'purchase'""",

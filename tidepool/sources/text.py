@@ -101,9 +101,9 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hms_to_ms(c: Column) -> Column:
-    """``h:m:s`` text -> milliseconds since midnight (no date: no wrap at midnight)."""
+    """``h:m:s`` text -> milliseconds since midnight (no date: no wrap at midnight); null for any other text."""
     p = F.split(c, ":")
-    h, m, s = (strict_cast(F.get(p, i), "long") for i in range(3))
+    h, m, s = (F.get(p, i).try_cast("long") for i in range(3))
     return (h * 3600 + m * 60 + s) * 1000
 
 
