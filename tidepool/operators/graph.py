@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..session import materialize
-from .ordered import with_next, with_ordinal
+from .ordered import with_next, with_ordinal, with_row_number
 from .partitioning import drop_table, write_bucketed
 
 
@@ -66,6 +66,22 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("multiplicity"))
 
 
+# Targets of a source that one row holds.
+LIST_LENGTH = 64
+
+
+def adjacency_lists(edges: DataFrame, length: int = LIST_LENGTH) -> DataFrame:
+    """All targets per source, duplicates kept, as ``src, chunk, targets`` with at most ``length`` targets a row.
+
+    Targets are in order, over the chunks 0, 1, ... of a source too. A hub's
+    list is cut by positions in a global sort, so it is spread over tasks and
+    no array grows with the input.
+    """
+    numbered = with_row_number(edges, ["src"], ["dst"], "_rn")
+    chunk = F.expr(f"_rn div {length}").alias("chunk")
+    return numbered.groupBy("src", chunk).agg(F.array_sort(F.collect_list("dst")).alias("targets"))
+
+
 def source_stats(pairs: DataFrame) -> DataFrame:
     """Per source: out-degree (multi-edges counted) and number of distinct targets."""
     return pairs.groupBy("src").agg(F.sum("multiplicity").alias("_deg"),

@@ -108,7 +108,7 @@ def stamped_samples(parsed: DataFrame, source: str = "source", pos: str = "pos",
     return lines.withColumn("stamp_pos", above).drop("kind", "raw_ms")
 
 
-def gap_fill(samples: DataFrame, source: str = "source", gpus: int = 4) -> DataFrame:
+def gap_fill(samples: DataFrame, source: str = "source", gpus: int = 4, pos: str = "pos") -> DataFrame:
     """One row per sampling round with one column per GPU (missing GPU → 0).
 
     Time axis: seconds since the source's earliest stamp, plus a closing row
@@ -116,7 +116,7 @@ def gap_fill(samples: DataFrame, source: str = "source", gpus: int = 4) -> DataF
     """
     ids = list(range(gpus))
     rounds = (samples.groupBy(source, "stamp_pos", "stamp_ms")
-              .pivot("gpu", ids).agg(F.max_by("util", "pos")))
+              .pivot("gpu", ids).agg(F.max_by("util", pos)))
     rounds = rounds.select(source, "stamp_pos", "stamp_ms",
                            *[F.coalesce(F.col(str(g)), F.lit(0).cast("long")).alias(f"gpu{g}")
                              for g in ids])

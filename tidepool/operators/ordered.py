@@ -30,6 +30,7 @@ from .scan import SIZES, Recurrence, scan
 _PID = "_tp_pid"
 _MID = "_tp_mid"
 _OFF = "_tp_off"
+_TIE = "_tp_tie"
 
 DEFAULT_BLOCK_ROWS = 1 << 16
 
@@ -39,13 +40,17 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "pos",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, split_ties: bool = False) -> DataFrame:
     """Add ``name``: dense 0-based position of each row in ``ORDER BY order_by``.
 
     ``order_by`` should be a unique key; ties get an arbitrary but fixed order
     (the sorted frame is checkpointed, so every later read sees the same one).
+    ``split_ties`` orders equal keys by input split and place in it, so that
+    many rows of one key are spread over several ranges.
     """
     keys = _cols(order_by)
+    if split_ties:
+        df, keys = df.withColumn(_TIE, F.monotonically_increasing_id()), [*keys, F.col(_TIE)]
     # Without an explicit count AQE may merge adjacent ranges (order kept);
     # spark_partition_id below is read after that, on the final layout.
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
@@ -60,7 +65,7 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "p
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
     return (tagged.join(F.broadcast(offsets), _PID)
             .withColumn(name, F.col(_OFF) + local)
-            .drop(_PID, _MID, _OFF))
+            .drop(_PID, _MID, _OFF, _TIE))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -185,3 +190,18 @@ def attach_by_key(rows: DataFrame, keys: Sequence[str], pos: str, values: DataFr
     tagged = rows.withColumn("_tp_ablk", blk)
     pairs = join_null_safe(tagged.select("_tp_ablk", *keys).distinct(), values, list(keys))
     return join_null_safe(tagged, pairs, ["_tp_ablk", *keys]).drop("_tp_ablk")
+
+
+def zip_by_position(left: DataFrame, right: DataFrame, left_order: Sequence[str | Column],
+                    right_order: Sequence[str | Column], name: str = "position") -> DataFrame:
+    """Two frames side by side: row i of the one, in its order, with row i of the other.
+
+    Each frame is numbered by itself; positions are unique, so the join has
+    one row a position and no key to be hot. Frames of different lengths
+    raise. Columns must have different names.
+    """
+    a, b = with_ordinal(left, left_order, name), with_ordinal(right, right_order, name)
+    n, m = a.count(), b.count()  # of the stored frames
+    if n != m:
+        raise ValueError(f"cannot zip {n} rows with {m}")
+    return a.join(b, name)

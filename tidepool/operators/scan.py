@@ -84,7 +84,7 @@ def _states_before(rows: DataFrame, pos: str, states: list[Recurrence], sizes: S
         # A row a block, stored: rows above it are planned once for it and once for their result.
         blocks = materialize(_block_summary(here, by, pos, states))
         n, rest = blocks.count(), sizes[1:]
-        if n <= sizes[1]:
+        if not rest or n <= sizes[1]:
             rest = ()
         else:
             blocks = blocks.withColumn(f"{_BLK}{level + 1}", F.expr(f"`{blk}` div {sizes[1]}L"))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import seconds_between
+from ..functions.scalar import seconds_between, zip_sum
 from ..operators import stats as S
 from ..operators.learn import evaluate, normalise_channels
-from ..operators.ordered import with_next, with_row_number
-from ..operators.sorting import sort_with_position
+from ..operators.ordered import with_next, with_row_number, zip_by_position
+from ..operators.sorting import sort_with_position, sorted_parts
 from ..session import remove_path, scratch_path
 from ..sources.csv import read_csv_strings
 from ..sources.sinks import write_csv
 from ..sources.tables import table
+from ..sources.text import scan_lines
 
 
 def r6(c: str, name: str | None = None):
@@ -32,6 +33,27 @@ def csv_two_key_sort(spark, sf_dir):
     return out
 
 
+def csv_sorted_parts(spark, sf_dir):
+    """events sorted by type and day (many ties), written as CSV without a header, read back in part order."""
+    path = scratch_path(spark, "sorted_csv")
+    keyed = table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    write_csv(sorted_parts(keyed, ["event_type", "day"]), f"{path}/sink=1")
+    lines = scan_lines(spark, path, by=("sink",))  # checkpointed
+    remove_path(spark, path)
+    cells = F.split("value", ",")
+    return lines.select(F.col("line_no").alias("position"), F.get(cells, 0).alias("event_type"), F.get(cells, 1).alias("day"))
+
+
+def series_zip(spark, sf_dir):
+    """Event values in order of time beside event values in order of user: two series, joined by position."""
+    ev = table(spark, sf_dir, "events")
+    by_time = ev.select(F.col("event_id").alias("time_id"), F.col("value").alias("by_time"), F.col("ts").alias("time_ts"))
+    by_user = ev.select(F.col("event_id").alias("user_event"), F.col("value").alias("by_user"), "user_id", F.col("ts").alias("user_ts"))
+    both = zip_by_position(by_time, by_user, ["time_ts", "time_id"], ["user_id", "user_ts", "user_event"])
+    total = zip_sum(F.array("by_time"), F.array("by_user"))[0]
+    return both.select("position", "by_time", "by_user", F.round(total, 6).alias("total"))
+
+
 def _user_batches(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     return with_row_number(ev, ["user_id"], ["ts", "event_id"], "batch")
@@ -85,6 +107,8 @@ def vector_normalise(spark, sf_dir):
 
 QUERIES = {
     "csv_two_key_sort": csv_two_key_sort,
+    "csv_sorted_parts": csv_sorted_parts,
+    "series_zip": series_zip,
     "interval_loss": interval_loss,
     "step_timing": step_timing,
     "stage_time_sum": stage_time_sum,
@@ -100,6 +124,14 @@ WITH s AS (SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d
 SELECT row_number() OVER (ORDER BY event_type NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST) - 1 AS position,
        event_id, ts, user_id, event_type, value, props
 FROM s""",
+    "csv_sorted_parts": """
+SELECT row_number() OVER (ORDER BY event_type NULLS FIRST, strftime(ts, '%Y-%m-%d') NULLS FIRST) - 1 AS position,
+       event_type, strftime(ts, '%Y-%m-%d') AS day
+FROM events""",
+    "series_zip": """
+WITH a AS (SELECT value AS by_time, row_number() OVER (ORDER BY ts, event_id) - 1 AS position FROM events),
+b AS (SELECT value AS by_user, row_number() OVER (ORDER BY user_id, ts, event_id) - 1 AS position FROM events)
+SELECT a.position, by_time, by_user, round(by_time + by_user, 6) AS total FROM a JOIN b ON a.position = b.position""",
     "interval_loss": """
 WITH b AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS batch, value
            FROM events),

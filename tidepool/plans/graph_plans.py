@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from ..operators import graph as G
 from ..operators.partitioning import bucket_of, drop_table, place_in_buckets, write_bucketed
 from ..operators.sorting import sort_with_position
-from ..session import materialize
+from ..session import materialize, remove_path, scratch_path
+from ..sources.sinks import write_lines
 from ..sources.tables import table
-from ..sources.text import parse_edges
+from ..sources.text import parse_edges, scan_edges
 
 
 def lineitem_graph(spark: SparkSession, sf_dir: str, reused: bool = True) -> DataFrame:
@@ -35,15 +36,28 @@ def r6(c: str):
     return F.round(F.col(c), 6).alias(c)
 
 
-def edge_parse(spark, sf_dir):
-    """Edge lines rendered from lineitem (TAB fields, '#' lines between them), parsed back."""
+def _edge_lines(spark, sf_dir):
+    """Edge lines rendered from lineitem: TAB fields, '#' lines between them."""
     li = table(spark, sf_dir, "lineitem")
     # The first line of each order comes with a comment line, from the same scan.
     edge = F.concat_ws("\t", "l_partkey", "l_suppkey", "l_orderkey")
     comment = F.concat(F.lit("# order\t"), F.col("l_orderkey").cast("string"))
-    lines = li.select(F.explode(F.when(F.col("l_linenumber") == 1, F.array(comment, edge))
-                                .otherwise(F.array(edge))).alias("value"))
-    return parse_edges(lines)
+    return li.select(F.explode(F.when(F.col("l_linenumber") == 1, F.array(comment, edge))
+                               .otherwise(F.array(edge))).alias("value"))
+
+
+def edge_parse(spark, sf_dir):
+    """Edge lines rendered from lineitem, parsed back."""
+    return parse_edges(_edge_lines(spark, sf_dir))
+
+
+def edge_file_scan(spark, sf_dir, min_partitions: int = 10):
+    """The edge lines as a stored text file, read in at least 10 splits."""
+    path = scratch_path(spark, "edges")
+    write_lines(_edge_lines(spark, sf_dir), path)
+    out = materialize(scan_edges(spark, path, min_partitions=min_partitions))
+    remove_path(spark, path)
+    return out
 
 
 def graph_vertices(spark, sf_dir):
@@ -58,6 +72,11 @@ def graph_adjacency(spark, sf_dir):
     return G.adjacency(lineitem_graph(spark, sf_dir, reused=False))
 
 
+def graph_adjacency_lists(spark, sf_dir):
+    """All targets per part, duplicates kept, in lists of at most 64."""
+    return G.adjacency_lists(lineitem_graph(spark, sf_dir, reused=False))
+
+
 def graph_contributions(spark, sf_dir):
     e = lineitem_graph(spark, sf_dir)
     return G.contributions(e, G.initial_ranks(e)).select("src", "dst", r6("contribution"))
@@ -171,6 +190,8 @@ def ranks_by_id(spark, sf_dir):
 
 QUERIES = {
     "edge_parse": edge_parse,
+    "edge_file_scan": edge_file_scan,
+    "graph_adjacency_lists": graph_adjacency_lists,
     "graph_vertices": graph_vertices,
     "graph_out_degree": graph_out_degree,
     "graph_adjacency": graph_adjacency,
@@ -228,6 +249,11 @@ def pagerank_sql(edges_cte: str, rounds: int, final: str) -> str:
 SQL = {
     "edge_parse": """
 SELECT CAST(l_partkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem""",
+    "edge_file_scan": """
+SELECT CAST(l_partkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem""",
+    "graph_adjacency_lists": f"""WITH {EDGES_SQL},
+n AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 64 AS chunk FROM e)
+SELECT src, chunk, list(dst ORDER BY dst) AS targets FROM n GROUP BY src, chunk""",
     "graph_vertices": f"""WITH {EDGES_SQL}
 SELECT DISTINCT id FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) t""",
     "graph_out_degree": f"""WITH {EDGES_SQL}

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ..operators import logs as L
 from ..operators.ordered import with_ordinal, with_row_number
 from ..operators.scan import Recurrence, scan
-from ..session import materialize
+from ..session import materialize, remove_path, scratch_path
 from ..sources.tables import table
-from ..sources.text import field, field_lines, lines_by_token
+from ..sources.text import field, field_lines, lines_by_token, scan_lines
 
 
 def _rendered(spark, sf_dir, opens: Callable) -> DataFrame:
@@ -100,6 +100,18 @@ def gpu_cycle_fill(spark, sf_dir):
                          "gpu0", "gpu1", "gpu2", "gpu3")
 
 
+def util_log_file(spark, sf_dir):
+    """The log of ``gpu_gap_fill`` as stored files: a folder a source, line numbers from the files' splits."""
+    path = scratch_path(spark, "util_log")
+    lines = util_log_lines(spark, sf_dir).select("source", "pos", "value")
+    # Part files in the order of the lines; a source may have several.
+    lines.repartitionByRange("source", "pos").sortWithinPartitions("source", "pos").drop("pos").write.partitionBy("source").text(path)
+    stored = scan_lines(spark, path, by=("source",))  # checkpointed
+    remove_path(spark, path)
+    filled = L.gap_fill(L.stamped_samples(materialize(L.parse_util_lines(stored, pos="line_no").drop("value")), pos="line_no"), pos="line_no")
+    return filled.select("source", F.round("t_s", 6).alias("t_s"), "gpu0", "gpu1", "gpu2", "gpu3")
+
+
 def field_log_lines(spark, sf_dir) -> DataFrame:
     """Network-counter lines ``time iface id rx tx`` rendered from events."""
     ev = table(spark, sf_dir, "events")
@@ -141,6 +153,7 @@ QUERIES = {
     "log_forward_fill": log_forward_fill,
     "gpu_gap_fill": gpu_gap_fill,
     "gpu_cycle_fill": gpu_cycle_fill,
+    "util_log_file": util_log_file,
     "field_log_series": field_log_series,
 }
 
@@ -202,6 +215,19 @@ c AS (SELECT source, cycle AS position, """ + ", ".join(
 x AS (SELECT h.source, t AS position, (stamp_ms - lo) / 1000.0 AS t_s FROM h JOIN b ON h.source = b.source WHERE fresh
       UNION ALL SELECT source, times, CAST((hi - lo) // 1000 + 1 AS DOUBLE) FROM b)"""
 
+GAP_SQL = f"""WITH {LOG_SQL},
+rd AS (SELECT source, stamp_line, stamp_ms,
+              coalesce(max(CASE WHEN gpu = 0 THEN util END), 0) AS gpu0,
+              coalesce(max(CASE WHEN gpu = 1 THEN util END), 0) AS gpu1,
+              coalesce(max(CASE WHEN gpu = 2 THEN util END), 0) AS gpu2,
+              coalesce(max(CASE WHEN gpu = 3 THEN util END), 0) AS gpu3
+       FROM f GROUP BY 1, 2, 3),
+b AS (SELECT source, min(stamp_ms) AS lo, max(stamp_ms) AS hi FROM rd GROUP BY source)
+SELECT rd.source, round((stamp_ms - lo) / 1000.0, 6) AS t_s, gpu0, gpu1, gpu2, gpu3
+FROM rd JOIN b ON rd.source = b.source
+UNION ALL
+SELECT source, CAST((hi - lo) // 1000 + 1 AS DOUBLE), 0, 0, 0, 0 FROM b"""
+
 SQL = {
     "stamp_bump_fine": f"""
 WITH RECURSIVE st AS MATERIALIZED (
@@ -220,18 +246,8 @@ SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS position, round(value, 6
 FROM events WHERE event_type IS NULL OR event_type <> 'purchase'""",
     "stamp_bump": f"WITH {LOG_SQL}\nSELECT source, line_no, raw_ms, adjusted_ms FROM a",
     "log_forward_fill": f"WITH {LOG_SQL}\nSELECT source, line_no, gpu, util, stamp_ms FROM f",
-    "gpu_gap_fill": f"""WITH {LOG_SQL},
-rd AS (SELECT source, stamp_line, stamp_ms,
-              coalesce(max(CASE WHEN gpu = 0 THEN util END), 0) AS gpu0,
-              coalesce(max(CASE WHEN gpu = 1 THEN util END), 0) AS gpu1,
-              coalesce(max(CASE WHEN gpu = 2 THEN util END), 0) AS gpu2,
-              coalesce(max(CASE WHEN gpu = 3 THEN util END), 0) AS gpu3
-       FROM f GROUP BY 1, 2, 3),
-b AS (SELECT source, min(stamp_ms) AS lo, max(stamp_ms) AS hi FROM rd GROUP BY source)
-SELECT rd.source, round((stamp_ms - lo) / 1000.0, 6) AS t_s, gpu0, gpu1, gpu2, gpu3
-FROM rd JOIN b ON rd.source = b.source
-UNION ALL
-SELECT source, CAST((hi - lo) // 1000 + 1 AS DOUBLE), 0, 0, 0, 0 FROM b""",
+    "gpu_gap_fill": GAP_SQL,
+    "util_log_file": GAP_SQL,
     "field_log_series": """
 WITH s AS (
   SELECT CASE event_type WHEN 'click' THEN 'eth0' ELSE 'eth1' END AS iface, ts, event_id,

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.scalar import WORD_SEP, strict_cast, strip
 from ..session import materialize
 
 
+# Characters of a batch of document chunks.
+CHUNK_BATCH = 4 << 20
+
+
 def quote_regex(sep: str) -> str:
     """Literal separator for ``split``, which takes a Java regular expression."""
     return re.escape(sep) if sep not in ("\t", " ") else sep
@@ -19,15 +27,17 @@ def quote_regex(sep: str) -> str:
 def scan_text(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line, column ``value``.
 
-    ``min_partitions`` asks for at least that many partitions: when the
-    file splits (sized by ``spark.sql.files.maxPartitionBytes``) are fewer,
-    the lines are spread round-robin. Line order is not kept either way,
-    as with the reference's minimum-split read.
+    ``min_partitions`` asks for at least that many input splits: Hadoop's
+    text input cuts the bytes of all files into splits of the total size by
+    that number, and lines stay in the split that holds their first byte. So
+    there is no exchange; a file format that cannot be cut (gzip) stays one
+    split a file.
     """
-    df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    if not min_partitions:
+        return spark.read.text(path)
+    lines = spark.sparkContext._jsc.textFile(path, min_partitions)
+    made = spark._jsparkSession.createDataset(lines.rdd(), spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(made.toDF(), spark)
 
 
 def parse_edges(lines: DataFrame, sep: str = "\t", comment: str | None = "#",
@@ -82,22 +92,38 @@ def field(idx: int, to: str | None = None, mode: str = "strict") -> Column:
     return raw if to is None else raw.try_cast(to)
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+# Split tables of up to so many rows are sent to every task.
+BROADCAST_SPLITS = 1 << 16
+
+
+def scan_lines(spark: SparkSession, path: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Text files as (file, line_no, value) with 0-based line numbers per file.
 
+    ``by`` names columns of the folders (``name=value``): the files of a
+    folder are then parts of one text, in the order of their names, and the
+    columns ``by`` stand in the place of ``file``.
+
     Lines stay where they are read: a task numbers the lines of its splits,
     and the counts of the splits (one row each) give every split its first
     number. The numbered lines are checkpointed, as the counts read them too.
+    The table of splits goes to every task while it is small (its rows are
+    counted); Spark chooses the join beyond that.
     """
+    whole = list(by) or ["file"]
     raw = materialize(spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        *by, F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mid"), "value"))
-    splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("file", "_split", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return raw.join(F.broadcast(offsets), ["file", "_split"]).select(
-        "file", (F.col("_before") + F.col("_mid") - F.col("_first")).alias("line_no"), "value")
+    splits = raw.groupBy(*by, "file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    # One row a split; a window holds the splits of one text.
+    before = Window.partitionBy(*whole).orderBy("file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(splits.select(
+        F.col("file").alias("_file"), F.col("_split").alias("_start"), "_first",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    small = offsets.count() <= BROADCAST_SPLITS
+    on = (F.col("file") == F.col("_file")) & (F.col("_split") == F.col("_start"))
+    return raw.join(F.broadcast(offsets) if small else offsets, on).select(
+        *whole, (F.col("_before") + F.col("_mid") - F.col("_first")).alias("line_no"), "value")
 
 
 def hms_to_ms(c: Column) -> Column:
@@ -113,6 +139,58 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def scan_document_chunks(spark: SparkSession, path: str, by: tuple[str, ...] = (), chunk_chars: int = 1 << 14,
+                         sep: str = " ") -> DataFrame:
+    """Whole documents as chunks: (file or ``by``, part, split, chunk, n_words, text).
+
+    Files are read as runs of text between ``sep``, so neither a document nor
+    a line is held whole, and a word that crosses the border of two input
+    splits comes whole from the split that it begins in. A task joins the runs
+    of a split to chunks of about ``chunk_chars``; chunks are whole words, in
+    the order (part, split, chunk) within their document, and ``n_words``
+    counts the words between runs of white space. ``by`` names columns of the
+    folders, as for ``scan_lines``; ``part`` is the file. Memory is bounded by
+    the chunk and by the longest run without ``sep``.
+    """
+    raw = spark.read.option("lineSep", sep).text(path).select(
+        *by, F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("split"), "value")
+    heads = len(by) + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunks():
+            now, held, size, number = None, [], 0, 0
+            for batch in batches:
+                for *head, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if held and (head != now or size >= chunk_chars):
+                        yield now, number, sep.join(held)
+                        held, size = [], 0
+                        number = number + 1 if head == now else 0
+                    elif head != now:
+                        number = 0
+                    now = head
+                    held.append(value)
+                    size += len(value) + 1
+            if held:
+                yield now, number, sep.join(held)
+
+        kept: list[tuple] = []
+        for head, number, text in chunks():
+            kept.append((*head, number, len(text.split()), text))
+            if len(kept) * chunk_chars >= CHUNK_BATCH:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in kept], schema)
+                kept = []
+        if kept:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in kept], schema)
+
+    names = [*by, "part", "split", "chunk", "n_words", "text"]
+    types = [raw.schema[c].dataType for c in raw.columns[:heads]]
+    schema = to_arrow_schema(StructType([StructField(n, t) for n, t in zip(
+        names, [*types, IntegerType(), IntegerType(), StringType()], strict=True)]))
+    ddl = ", ".join(f"`{n}` {t.simpleString()}" for n, t in zip(
+        names, [*types, IntegerType(), IntegerType(), StringType()], strict=True))
+    return raw.mapInArrow(run, ddl)
+
+
 # Layout of a kernel-summary row (profiler "kern_sum" text):
 # time %, total time (ns), instances, avg, median, min, max, stddev, name.
 KERNEL_FIELDS = ("pct", "total_ns", "instances", "avg_ns", "med_ns", "min_ns", "max_ns",
