@@ -88,7 +88,11 @@ def test_linked_sets_share_a_signature():
             np.bitwise_or.at(some.data, at + (place >> np.uint64(3)).astype(np.int64),
                              np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
         if len(b) > 1 and 100 * both >= 85 * (len(a) + len(b) - both) and both < max(len(a), len(b)):
-            assert len(np.intersect1d(signer.of(a)[0], signer.of(b)[0])), trial
+            of_a, of_b = (dict(zip(*(x.tolist() for x in signer.of(v)), strict=True)) for v in (a, b))
+            met = of_a.keys() & of_b.keys()
+            assert met, trial
+            # in one list at least the bounds of both leave room for what they share
+            assert any(min(of_a[k], of_b[k]) >= both for k in met), trial
 
 
 def test_sets_and_need():
@@ -127,6 +131,26 @@ def test_edited_copies_of_a_base_meet_through_it(spark):
     assert Counter(c for _, c in got.values())[500] > 60
 
 
+@pytest.mark.parametrize(("n", "threshold", "edits"), [(4, 85, 6), (5, 80, 6)])
+def test_copies_just_under_the_threshold(spark, n, threshold, edits):
+    """Edited copies of a base on both sides of the threshold, and copies of copies; few candidates are made."""
+    rng = random.Random(edits)
+    base = [f"v{rng.randint(0, 9000)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 240):
+        text = list(base) if i % 8 else rows[rng.randrange(len(rows))][1].split()
+        for k in rng.sample(range(10), edits + rng.randint(-2, 2)):
+            at = min(len(text) - 1, k * 20 + rng.randrange(16))
+            text[at:at + 1] = rng.choice([[f"e{i}_{k}"], [], [f"e{rng.randrange(5)}", "e"], [f"e{i}_{k}", "e"]])
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, n=n, threshold=threshold).collect()}
+    want = brute(rows, n, threshold)
+    assert got == want
+    sizes = Counter(c for _, c in want.values())
+    assert sizes[0] > 20 and sum(v == 1 for v in sizes.values()) > 20
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n "), (4, "a b"), (4, "a b"), (9, "A B"), (None, "a b"), (None, None),
             (7, "x " * 30_000)]

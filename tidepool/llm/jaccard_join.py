@@ -18,8 +18,15 @@ first in the order (a bitmap of fixed size tells) and are never sent: a set
 with enough of them cannot link at all. Candidates are not all pairs of a
 list: each member meets the list's most connected class first, linked classes
 become components, and only members of different components meet again. A
-list of near copies thus costs its length. Candidates whose shared prefixes
-rule the threshold out are dropped; all others are compared whole.
+list of near copies thus costs its length.
+
+What meets again carries its bounds. Every linked pair meets in the list of
+its first shared elements, and behind a place in its set a member can share no
+more than what is left of it. So the place tells the largest set that a member
+can link to there; the larger set of a pair looks for partners of the sizes
+that it can link to, and only members that can link to a set of at least their
+own size are there to be found. Near copies just under the threshold, with too
+many elements of their own to link to each other, so do not meet at all.
 """
 
 from __future__ import annotations
@@ -52,6 +59,9 @@ MOST_LIGHT = 400
 SMALLEST_HASHES = 1024
 LOOSE = 1 << 23
 
+# Parts of a component in the join that names its classes.
+COMPONENT_PARTS = 16
+
 
 def need(n: int, threshold: int) -> int:
     """Least overlap of a set of ``n`` with a set it links to."""
@@ -87,29 +97,35 @@ class Signer:
         self.repeated, self.ranks = repeated, ranks
         self.boundary, self.threshold = boundary, threshold
 
-    def of(self, elements: np.ndarray) -> tuple[np.ndarray, int]:
-        """Signatures (subsets have the top bit set) and the last element of the list prefix.
+    def of(self, elements: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures (subsets have the top bit set), and how much a pair that has them first can share.
 
         Elements become 63-bit numbers whose order is from rare to frequent:
         those of one class alone first, the others by the sketch. Signatures
-        with an element of the first kind meet nothing and are left out.
+        with an element of the first kind meet nothing and are left out. A
+        pair whose first shared element has place p here shares at most the
+        n - p elements from there on; one whose first two are at places p < q
+        at most n - q + 1.
         """
         n = len(elements)
         spare = n - need(n, self.threshold)
         shared = self.repeated.has(elements)
         alone = n - int(shared.sum())
         if alone > spare + 1:
-            return elements[:0], 0
+            return elements[:0], np.zeros(0, np.int64)
         held = elements[shared]
         rank = self.ranks[(held >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
         order = np.sort(((rank + np.uint64(1)) << np.uint64(56)) | (held >> np.uint64(8)))
-        last = int(order[spare - alone]) if alone <= spare else 0
+        listed = max(0, spare + 1 - alone)
         if n > self.boundary or n < 2:
-            return order[:max(0, spare + 1 - alone)], last
-        lists = order[:max(0, spare + 1 - alone)] if 100 * n >= self.threshold * (self.boundary + 1) else order[:0]
+            return order[:listed], n - alone - np.arange(len(order[:listed]))
+        if 100 * n < self.threshold * (self.boundary + 1):
+            listed = 0
+        lists = order[:listed]
         first, second = _pairs(min(spare + 2, n) - alone)
         subsets = mixed(order[first] * np.uint64(0x9E3779B97F4A7C15) + order[second]) | np.uint64(1 << 63)
-        return np.concatenate([lists, subsets]), last
+        return (np.concatenate([lists, subsets]),
+                np.concatenate([n - alone - np.arange(len(lists)), n - alone - second + 1]))
 
 
 @functools.lru_cache(maxsize=1024)
@@ -248,18 +264,18 @@ def choose_boundary(sizes: np.ndarray, list_length: float, threshold: int) -> in
 
 
 def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
-    """``sig, ck, n, last`` of the signatures that may repeat; equal sets of a task once."""
+    """``sig, ck, n, reach`` of the signatures that may repeat; equal sets of a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, kept, held = set(), [], 0
 
         def out():
-            sig, ck, size, last = zip(*kept, strict=True)
+            sig, ck, size, reach = zip(*kept, strict=True)
             counts = [len(x) for x in sig]
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.repeat(np.array(ck, np.int64), counts)),
                  pa.array(np.repeat(np.array(size, np.int32), counts)),
-                 pa.array(np.repeat(np.array(last, np.int64), counts))], names=["sig", "ck", "n", "last"])
+                 pa.array(np.concatenate(reach).astype(np.int32))], names=["sig", "ck", "n", "reach"])
 
         for _, elements in sets_of(batches, n):
             if len(elements) < 2:
@@ -268,9 +284,9 @@ def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
             if ck in seen:
                 continue
             seen.add(ck)
-            sigs, last = signer.value.of(elements)
+            sigs, reach = signer.value.of(elements)
             if len(sigs):
-                kept.append((sigs, ck, len(elements), last))
+                kept.append((sigs, ck, len(elements), reach))
                 held += len(sigs)
                 if held > 100_000:
                     yield out()
@@ -278,7 +294,7 @@ def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
         if kept:
             yield out()
 
-    return texts.mapInArrow(run, "sig bigint, ck bigint, n int, last bigint")
+    return texts.mapInArrow(run, "sig bigint, ck bigint, n int, reach int")
 
 
 def wanted_sets(texts: DataFrame, n: int, wanted) -> DataFrame:
@@ -317,6 +333,11 @@ def _sizes_fit(a: str, b: str, threshold: int):
     return (100 * F.least(a, b) >= threshold * F.greatest(a, b))
 
 
+def size_band(n):
+    """Bands of sizes, 16 to an octave."""
+    return F.floor(16 * F.log2(F.greatest(n, F.lit(1)))).cast("int")
+
+
 def verified(texts: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, threshold: int) -> DataFrame:
     """The pairs ``a, b`` of class keys whose whole sets reach the threshold."""
     spark = texts.sparkSession
@@ -362,10 +383,10 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     # The centre of a list is the member that has most neighbours over all its lists:
     # of edited copies of one text, the one that the others share most with.
     weight = listed.groupBy("ck").agg(F.sum("entries").alias("weight"))
-    weighed = materialize(listed.join(materialize(weight), "ck").select("sig", "ck", "n", "last", "weight"))
+    weighed = materialize(listed.join(materialize(weight), "ck").select("sig", "ck", "n", "reach", "weight"))
     centres = weighed.groupBy("sig").agg(F.max(F.struct("weight", "ck", "n")).alias("top"))
     members = materialize(weighed.join(materialize(centres), "sig").select(
-        "sig", "ck", "n", "last", F.col("top.ck").alias("first"), F.col("top.n").alias("first_n"),
+        "sig", "ck", "n", "reach", F.col("top.ck").alias("first"), F.col("top.n").alias("first_n"),
         F.col("top.weight").alias("first_weight")))
 
     # Each class against the centre of its lists that weighs most.
@@ -377,23 +398,24 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     # Members of one list that are still in different components.
     roots = components(links)
     rooted = members.join(roots, members.ck == roots.node, "left").select(
-        "sig", "ck", "n", "last", F.coalesce("root", "ck").alias("root"))
-    rooted = materialize(rooted)
+        "sig", "ck", "n", F.coalesce("root", "ck").alias("root"),
+        # The largest set that it can link to in this list.
+        (F.floor(F.col("reach") * F.lit(100 + threshold) / threshold) - F.col("n")).cast("int").alias("widest"))
+    least = F.ceil(F.col("n") * F.lit(threshold) / 100).cast("int")
+    rooted = materialize(rooted.where(F.col("widest") >= least))
     split = materialize(rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                         .where("lo < hi").select("sig"))
     rooted = materialize(rooted.join(split, "sig"))
-    a, b = (rooted.select(*[F.col(c).alias(f"{side}_{c}") if c != "sig" else F.col(c) for c in rooted.columns])
-            for side in "ab")
-    need_a, need_b = (F.ceil(F.lit(threshold) * F.col(f"{s}_n") / 100) for s in "ab")
-    overlap = F.ceil(F.lit(threshold) * (F.col("a_n") + F.col("b_n")) / (100 + threshold))
-    # What lies behind the prefix that ends first is all that the pair can share beyond its lists.
-    most = F.col("lists") + F.when(F.col("a_last") < F.col("b_last"), need_a - 1).otherwise(need_b - 1)
-    pairs = (a.join(b, "sig").where("a_root < b_root").where(_sizes_fit("a_n", "b_n", threshold))
-             .groupBy("a_ck", "b_ck")
-             .agg(F.sum((F.col("sig") >= 0).cast("int")).alias("lists"), F.min("sig").alias("least_sig"),
-                  *[F.first(c).alias(c) for c in ("a_n", "b_n", "a_last", "b_last")])
-             .where((F.col("least_sig") < 0) | (most >= overlap))
-             .select(F.col("a_ck").alias("a"), F.col("b_ck").alias("b")))
+    # The larger set looks for sets of the sizes that it can link to, by bands of sizes.
+    larger = rooted.select("sig", "n", "root", "widest", F.col("ck").alias("a"), F.explode(F.sequence(
+        size_band(least), size_band(F.least("n", "widest")))).alias("band"))
+    smaller = rooted.where("widest >= n").select(
+        "sig", size_band(F.col("n")).alias("band"), F.col("ck").alias("b"), F.col("root").alias("b_root"),
+        F.col("n").alias("b_n"), F.col("widest").alias("b_widest"))
+    fits = ((F.col("root") != F.col("b_root")) & (F.col("b_n") <= F.least("n", "widest")) & (F.col("n") <= F.col("b_widest"))
+            & _sizes_fit("n", "b_n", threshold))
+    pairs = (larger.join(smaller, ["sig", "band"]).where(fits)
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = verified(texts, materialize(pairs), classes, n, threshold)
     return docs, classes, links.unionAll(more)
 
@@ -416,11 +438,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows, classes, links = jaccard_links(texts, n, threshold)
     roots = components(links)
-    rooted = classes.join(roots, classes.ck == roots.node, "left").select(
-        "ck", "id", F.coalesce("root", "ck").alias("root"))
-    rooted = materialize(rooted)
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select(F.col("ck").alias("_ck"), "component_id"))
+    # Only linked classes need the least id of their component; one of many classes meets it in parts.
+    linked = materialize(roots.join(classes, roots.node == classes.ck).select("ck", "id", "root"))
+    least = linked.groupBy("root").agg(F.min("id").alias("component_id"))
+    part = F.pmod(F.xxhash64("ck"), F.lit(COMPONENT_PARTS)).alias("part")
+    least = least.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COMPONENT_PARTS - 1).cast("long"))))
+    named = linked.select("ck", "root", part).join(least, ["root", "part"]).select("ck", "component_id")
+    named = materialize(classes.join(named, "ck", "left").select(
+        F.col("ck").alias("_ck"), F.when(F.col("component_id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
     # Documents without a set get keys of their own, so that they do not meet in one task.
     key = F.coalesce("ck", F.xxhash64("id"))
     return (rows.withColumn("_ck", key).join(named, "_ck", "left")
