@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import table
@@ -23,13 +23,22 @@ from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.jaccard_join import jaccard_components
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.queries import tokenizer_path
+from tidepool.llm.row_filter import parted
 from tidepool.llm.toxicity import fit_toxicity, score_toxicity
-from tidepool.session import scratch_path
+from tidepool.session import materialize, scratch_path
 
 # Near duplicates: distinct five-word shingles, Jaccard similarity in hundredths.
 NEAR_WORDS, NEAR_THRESHOLD = 5, 80
 
 
+# A row is named by its id and a hash of its text: an id may be on rows of different texts.
+ROW_KEY = ["_id_key", "_hash"]
+
+
+def _row_key() -> dict[str, Column]:
+    return dict(zip(ROW_KEY, [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text")], strict=True))
+
+
 def _plain_names(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """The table with names that no operator uses for its results, and the way back."""
     names = [c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(docs.columns)]
@@ -51,19 +60,27 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the largest id."""
     plain, back = _plain_names(docs)
-    carry = {c: plain[c] for c in plain.columns if c != "doc_id"}
-    return back(exact_dedup(plain, carry=carry).where("kept"))
+    keyed = plain.withColumns(_row_key())
+    found = exact_dedup(plain, carry=_row_key())
+    # Rows that go, and how many of the same id and text stay (one, of repeated rows).
+    counted = found.groupBy(*ROW_KEY).agg(F.sum(F.col("kept").cast("int")).alias("_stay"), F.count(F.lit(1)).alias("_n"))
+    gone = materialize(counted.where("_stay < _n").select(*ROW_KEY, "_stay"))
+    others, named = parted(keyed, gone, ROW_KEY)
+    named = named.join(gone, ROW_KEY, "left")
+    stay = named.where("_stay is null").unionByName(named.where("_stay > 0").dropDuplicates(ROW_KEY))
+    return back(others.unionByName(stay.select(*others.columns)))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id."""
     plain, back = _plain_names(docs)
-    # An id may be on rows of different texts; each decides for itself.
-    plain = plain.withColumn("_hash", F.xxhash64("text"))
-    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_hash"))
-    found = jaccard_components(plain.select(row.alias("row"), "text"), "row", n=NEAR_WORDS, threshold=NEAR_THRESHOLD)
-    gone = found.where("row <> component_id").select("row.*").distinct()
-    return back(plain.join(gone, ["doc_id", "_hash"], "left_anti"))
+    # Each row decides for itself.
+    keyed = plain.withColumns(_row_key())
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", *ROW_KEY))
+    found = jaccard_components(keyed.select(row.alias("row"), "text"), "row", n=NEAR_WORDS, threshold=NEAR_THRESHOLD)
+    gone = materialize(found.where("row <> component_id").select(*[f"row.{c}" for c in ROW_KEY]).distinct())
+    others, named = parted(keyed, gone, ROW_KEY)
+    return back(others.unionByName(named.join(gone, ROW_KEY, "left_anti")))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
