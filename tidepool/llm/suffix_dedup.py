@@ -30,7 +30,7 @@ from tidepool.llm.words import mixed
 
 GRAM = 16
 CHUNK_BYTES = 4 << 20
-TASK_BYTES = 32 << 20
+TASK_BYTES = 20 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -273,7 +273,7 @@ PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("ids",
 
 
 def packed_row(bucket: int, ids: list, hs: list, starts: list, lengths: list, parts: list, data: bytes | None) -> tuple:
-    return (bucket, *[pack(np.array(x, np.int64)) for x in (ids, hs, starts, lengths)], pack(np.array(parts, np.uint8)),
+    return (bucket, *[pack(np.array(x, np.int64)) for x in (ids, hs, starts, lengths)], pack(np.array(parts, np.uint32)),
             data if data is None else zstandard.ZstdCompressor(level=3).compress(data))
 
 
@@ -282,7 +282,7 @@ def local_rows(texts: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
 
     A row holds segments of many texts, in the order of their bytes, which
     lie one after another in ``data``; the arrays tell whose they are, where
-    they start, how long they are and which part of the bucket sorts them.
+    they start, how long they are and 32 bits of their anchor's hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +320,7 @@ def local_rows(texts: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
                 chosen = np.flatnonzero(bitmap.value.has(anchor))
                 place = mixed(anchor[chosen]) >> np.uint64(20)
                 bucket = (place % np.uint64(buckets)).astype(np.int64)
-                part = (place // np.uint64(buckets) % np.uint64(PARTS)).astype(np.int64)
+                part = (place // np.uint64(buckets) & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 cuts = np.searchsorted(number[chosen], np.arange(len(chunk) + 1))
                 for i, (head, text) in enumerate(zip(heads, chunk, strict=True)):
                     own = slice(cuts[i], cuts[i + 1])
@@ -347,29 +347,41 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(segments):
-            """Spans that go of one part of a bucket: (content, id, h, start) of each segment."""
+            """Spans that go of one part of a bucket: (content, id, h, start, anchor) of each segment.
+
+            Windows of different contents can be equal only under one anchor:
+            a content that has its anchor to itself needs no sorting.
+            """
             known: dict[bytes, int] = {}
             least: list[int] = []
+            anchors: list[int] = []
             uses = []
-            for own, key, h, start in segments:
+            for own, key, h, start, anchor in segments:
                 k = known.setdefault(own, len(known))
                 if k == len(least):
                     least.append(key)
-                else:
-                    least[k] = min(least[k], key)
+                    anchors.append(anchor)
+                elif key < least[k]:
+                    least[k] = key
                 uses.append((key, h, start, k))
-            owners = least_owners(list(known), np.array(least, np.int64), size)
+            contents = list(known)
+            known.clear()
+            lengths = [len(x) for x in contents]
+            _, group, n = np.unique(np.array(anchors, np.int64), return_inverse=True, return_counts=True)
+            mixed_up = np.flatnonzero(n[group] > 1).tolist()
             # Runs of windows that go, for the owner of a segment; all others lose it whole.
-            runs = []
-            for k, own in enumerate(owners):
-                gone = np.flatnonzero(own < least[k])
-                cut = np.flatnonzero(np.diff(gone) > 1)
-                runs.append(list(zip(gone[np.append(0, cut + 1)].tolist(), (gone[np.append(cut, len(gone) - 1)] + size).tolist(),
-                                     strict=True)) if len(gone) else [])
+            runs: dict[int, list] = {}
+            if mixed_up:
+                owners = least_owners([contents[k] for k in mixed_up], np.array([least[k] for k in mixed_up], np.int64), size)
+                for k, own in zip(mixed_up, owners, strict=True):
+                    gone = np.flatnonzero(own < least[k])
+                    if len(gone):
+                        cut = np.flatnonzero(np.diff(gone) > 1)
+                        runs[k] = list(zip(gone[np.append(0, cut + 1)].tolist(),
+                                           (gone[np.append(cut, len(gone) - 1)] + size).tolist(), strict=True))
             out: dict[tuple[int, int], list[int]] = {}
             for key, h, start, k in uses:
-                spans = runs[k] if key == least[k] else [(0, len(owners[k]) + size - 1)]
-                for a, b in spans:
+                for a, b in runs.get(k, ()) if key == least[k] else ((0, lengths[k]),):
                     out.setdefault((key, h), []).extend((start + a, start + b))
             for (key, h), spans in out.items():
                 yield key, h, spans
@@ -380,10 +392,10 @@ def bucket_spans(rows: DataFrame, size: int, buckets: int) -> DataFrame:
                 text = zstandard.ZstdDecompressor().decompress(data)
                 lengths = unpack(lengths, np.int64)
                 ends = np.cumsum(lengths)
-                for part, key, h, start, a, b in zip(
-                        unpack(parts, np.uint8).tolist(), unpack(ids, np.int64).tolist(), unpack(hs, np.int64).tolist(),
+                for anchor, key, h, start, a, b in zip(
+                        unpack(parts, np.uint32).tolist(), unpack(ids, np.int64).tolist(), unpack(hs, np.int64).tolist(),
                         unpack(starts, np.int64).tolist(), (ends - lengths).tolist(), ends.tolist(), strict=True):
-                    by_part[part].append((text[a:b], key, h, start))
+                    by_part[anchor % PARTS].append((text[a:b], key, h, start, anchor))
             for k, segments in enumerate(by_part):
                 if segments:
                     yield from settle(segments)
