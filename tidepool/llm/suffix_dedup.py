@@ -30,7 +30,7 @@ from tidepool.llm.words import mixed
 
 GRAM = 16
 CHUNK_BYTES = 4 << 20
-TASK_BYTES = 20 << 20
+TASK_BYTES = 12 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -288,23 +288,28 @@ def local_rows(texts: DataFrame, size: int, bitmap, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def resolve(held):
             """Least document of each segment here; its copies in other documents go."""
-            least: dict[bytes, int] = {}
+            least: dict[bytes, list] = {}  # content -> least document, the one copy of the content that is kept
             for (key, _), text, segments in held:
                 for start, stop, _, _ in segments:
                     own = text[start:stop + size - 1]
-                    if least.get(own, NO_ID + 1) > key:
-                        least[own] = key
+                    found = least.get(own)
+                    if found is None:
+                        least[own] = [key, own]
+                    elif key < found[0]:
+                        found[0] = key
             sent: dict[int, list] = {}
             gone: list[tuple] = []
-            for (key, h), text, segments in held:
+            while held:
+                (key, h), text, segments = held.pop()
                 for start, stop, bucket, part in segments:
-                    own = text[start:stop + size - 1]
-                    if least[own] == key:
+                    best, own = least[text[start:stop + size - 1]]
+                    if best == key:
                         sent.setdefault(bucket, []).append((own, key, h, start, part))
                     elif gone and gone[-1][:2] == (key, h) and gone[-1][2] + gone[-1][3] >= start:
                         gone[-1] = (key, h, gone[-1][2], stop + size - 1 - gone[-1][2])
                     else:
                         gone.append((key, h, start, len(own)))
+            least.clear()
             for bucket in list(sent):
                 rows = sorted(sent.pop(bucket))
                 data, ids, hs, starts, parts = zip(*rows, strict=True)
