@@ -43,11 +43,6 @@ def seconds_between(a: str | Column, b: str | Column) -> Column:
     return (epoch_micros(b) - epoch_micros(a)) / F.lit(1e6)
 
 
-def ts_text(c: str | Column) -> Column:
-    """Fixed-width text form ``yyyy-MM-dd HH:mm:ss.SSSSSS``."""
-    return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-
-
 def argmax(arr: str | Column) -> Column:
     """0-based index of the largest element; the first one on ties."""
     a = col(arr)
