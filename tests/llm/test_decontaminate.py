@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from tidepool.llm.decontaminate import GAP, MATCH, MISMATCH, align, find_leaks, smith_waterman
+from tidepool.llm import decontaminate
+from tidepool.llm.decontaminate import GAP, MATCH, MISMATCH, align, drop_leaks, find_leaks, smith_waterman
 from tidepool.llm.words import ANY_WORD, PLAIN_WORD, WordHasher, ngram_hashes, plain_text
 
 
@@ -59,7 +60,7 @@ def planted(rng):
 def test_planted_copies_and_nothing_else(spark):
     docs, items, want = planted(random.Random(4))
     got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
-                     spark.createDataFrame(items, "item_id long, text string"), max_share=0.01).collect()
+                     spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
     hasher = WordHasher(PLAIN_WORD)
     for r in got:
@@ -104,12 +105,106 @@ def test_a_copy_with_words_put_in_is_found_from_one_seed(spark):
     assert (r.score, r.start_word, r.end_word) == ((2 * 24 - 10) / 48, 40, 40 + len(copy))
 
 
+def all_pairs(docs, items, least=0.5):
+    """Every item aligned to every whole document."""
+    hasher = WordHasher(PLAIN_WORD)
+    texts = [(k, hasher.of(plain_text(t or ""))) for k, t in docs]
+    out = {}
+    for item, text in items:
+        own = hasher.of(plain_text(text))
+        for doc, held in texts:
+            score = smith_waterman(own, held)[0] / (MATCH * len(own)) if len(own) > 2 else 0
+            if score >= least:
+                out[doc, item] = score
+    return out
+
+
+def every(step):
+    return lambda rng, t: [f"e{rng.random()}" if k % step == step - 1 else w for k, w in enumerate(t)]
+
+
+def at_random(rng, t):
+    share = rng.uniform(0.1, 0.35)
+    return [f"e{rng.random()}" if rng.random() < share else w for w in t]
+
+
+def dropped(rng, t):
+    return [w for w in t if rng.random() > 0.4]
+
+
+def put_in(rng, t):
+    return [x for w in t for x in ((w,) if rng.random() < 0.5 else (w, f"e{rng.random()}"))]
+
+
+def after_each(rng, t):
+    return [x for w in t for x in (w, f"e{rng.random()}")]
+
+
+@pytest.mark.parametrize("edit", [every(2), every(3), every(4), every(5), every(6), at_random, dropped, put_in, after_each],
+                         ids=["every2", "every3", "every4", "every5", "every6", "at_random", "dropped", "put_in", "after_each"])
+def test_no_copy_of_the_least_score_is_lost(spark, edit):
+    rng = random.Random(11)
+    items = [(i, " ".join(words(rng, rng.randint(3, 40)))) for i in range(40)]
+    docs = [(d, " ".join(words(rng, 20) + edit(rng, items[d % 40][1].split()) + words(rng, 20))) for d in range(80)]
+    docs += [(d, " ".join(words(rng, 200, 30))) for d in range(80, 100)]  # few words, many pairs
+    want = all_pairs(docs, items)
+    got = {(r.doc_id, r.item_id): r.score for r in find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_given_tables_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text")
+    want = all_pairs([tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()])
+    found = find_leaks(docs, items).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+    stay = {r.doc_id for r in drop_leaks(docs, items).collect()}
+    assert stay == {r.doc_id for r in docs.collect()} - {d for d, _ in want}
+
+
+def test_items_that_share_a_common_phrase_are_not_aligned_to_all_that_hold_it():
+    from tidepool.llm.decontaminate import STEPS, needed, pair_hashes
+
+    rng = random.Random(2)
+    hasher = WordHasher(PLAIN_WORD)
+    phrase = "which of the following is true"
+    items = [hasher.of(plain_text(phrase + " " + " ".join(words(rng, 20, 10**6)))) for _ in range(500)]
+    doc = hasher.of(plain_text(" ".join(words(rng, 50, 10**6) + phrase.split() + words(rng, 50, 10**6))))
+
+    def documents_with(texts, pairs):
+        return np.isin(pairs, np.concatenate([pair_hashes(doc, s) for s in STEPS])).astype(np.int64) * 1000
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontaminate, "_documents_with", documents_with)
+        index = decontaminate._rare_seeds(None, items, 0.5)
+    assert needed(26, 0.5) == 12
+    assert list(index.windows(doc, [pair_hashes(doc, s) for s in STEPS])) == []
+
+
+def test_hits_in_pieces_make_the_same_windows(monkeypatch):
+    from tidepool.llm.decontaminate import STEPS, SeedIndex, pair_hashes
+
+    rng = np.random.default_rng(5)
+    items = [rng.integers(0, 6, n).astype(np.uint64) for n in (5, 9, 20, 3)]
+    seeds = [(pair_hashes(w, s), i) for i, w in enumerate(items) for s in STEPS]
+    index = SeedIndex(items, np.concatenate([g for g, _ in seeds]), np.concatenate([np.full(len(g), i) for g, i in seeds]),
+                      np.concatenate([np.arange(len(g)) for g, _ in seeds]), 0.5)
+    doc = np.concatenate([p for i in range(12) for p in (items[i % 4][:6], np.full(90, 99, np.uint64))])
+    pairs = [pair_hashes(doc, s) for s in STEPS]
+    want = list(index.windows(doc, pairs))
+    assert len(want) > 4
+    for hits in (1, 7):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        assert list(index.windows(doc, pairs)) == want
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    from tidepool.llm import decontaminate
     docs, items, want = planted(random.Random(5))
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
     got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
-                     spark.createDataFrame(items, "item_id long, text string"), max_share=0.01).collect()
+                     spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
 
 
