@@ -55,6 +55,43 @@ def test_clearing_changes_nothing(monkeypatch):
     assert [trie.count(t) for t in texts] == want
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_words_beyond_the_longest_path(monkeypatch, seed):
+    rng = random.Random(seed)
+    pieces = Pieces.from_ranks(list(dict.fromkeys(
+        "".join(rng.choice(SPACE + "abc") for _ in range(rng.randint(1, 5))) for _ in range(30))))
+    words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    want = [PreTokenTrie(pieces).count(w) for w in words]
+    for longest in (1, 2, 7, 20):
+        monkeypatch.setattr(token_counts, "LONG_WORD", longest)
+        trie = PreTokenTrie(pieces)
+        assert [trie.count(w) for w in words] == want
+
+
+def test_a_very_long_word_makes_no_nodes():
+    import tracemalloc
+
+    pieces = Pieces.from_file(PATH)
+    word = "".join(random.Random(1).choices("QWxhZGRpbjpvcGVuIHNlc2FtZQ+/0123456789", k=300_000))
+    trie = PreTokenTrie(pieces)
+    tracemalloc.start()
+    n, tokens, _ = trie.count(word)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1 and tokens > 50_000
+    assert len(trie.score) <= token_counts.LONG_WORD + 1 and not trie.terminal
+    assert most < 3 * len(word)
+
+
+@pytest.mark.parametrize("space", [" ", "\n\t", "\x1c", "\x85", "\u00a0", "\u2003", "\u3000"])
+def test_long_texts_split_like_short_ones(monkeypatch, space):
+    pieces = Pieces.from_file(PATH)
+    text = space.join(["", "one", "two", "日本", "", "one", ""]) * 3
+    want = PreTokenTrie(pieces).count(text)
+    monkeypatch.setattr(token_counts, "LONG_TEXT", 4)
+    assert PreTokenTrie(pieces).count(text) == want and want[0] == len(text.split())
+
+
 def test_whole_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: r for r in count_tokens(docs, PATH).collect()}

@@ -8,13 +8,20 @@ once; the node where a pre-token ends stores its number of tokens, and a text
 is the sum over its pre-tokens. Nothing is shuffled, the vocabulary is the
 only thing that tasks are given, and a trie that reaches ``MAX_NODES`` is
 begun anew, which bounds a task's memory and changes no result.
+
+A pre-token of more than ``LONG_WORD`` characters (an encoded file, say)
+would be one long path that nothing shares. Only its beginning goes through
+the trie; behind it the same recurrence runs over the last scores alone, as
+many as the longest piece has characters, and no node is made.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+import re
+from collections import deque
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +31,10 @@ from tidepool.llm.common import in_batches
 
 SPACE = "▁"
 MAX_NODES = 1_000_000
+# Longest path of the trie, and texts whose words are looked for one by one.
+LONG_WORD = 512
+LONG_TEXT = 1 << 20
+WORD = re.compile(r"\S+")
 
 # Zipf-Mandelbrot offset of the piece probabilities by vocabulary order.
 OFFSET = 2.7
@@ -59,6 +70,26 @@ class Pieces:
                                        or model.is_unused(i))])
 
 
+    def step(self, word: str, i: int, scores: Sequence[float], counts: Sequence[int]) -> tuple[float, int]:
+        """Best score and least tokens up to character ``i``, from those up to each of the characters before it.
+
+        ``scores`` and ``counts`` end with those of the characters before
+        ``i`` and go back as far as the longest piece, or to the start.
+        """
+        size = len(word[i].encode("utf-8", "replace"))
+        best, count = scores[-1] + size * self.byte_score, counts[-1] + size
+        single = self.scores.get(word[i])
+        if single is not None:  # bytes stand in only for characters that have no piece
+            best, count = scores[-1] + single, counts[-1] + 1
+        for back in range(2, min(self.longest, i + 1) + 1):
+            piece = self.scores.get(word[i + 1 - back:i + 1])
+            if piece is not None:
+                whole = scores[-back] + piece
+                if whole > best or (whole == best and counts[-back] + 1 < count):
+                    best, count = whole, counts[-back] + 1
+        return best, count
+
+
 class PreTokenTrie:
     """Trie of pre-tokens with the best forward score and token count of every node."""
 
@@ -74,50 +105,49 @@ class PreTokenTrie:
     def add(self, word: str) -> tuple[int, float]:
         """Tokens and score of a pre-token, whose nodes are made where they are new."""
         node, path = 0, [0]
-        for i, letter in enumerate(word):
-            below = self.child.get((node, letter))
+        for i in range(min(len(word), LONG_WORD)):
+            below = self.child.get((node, word[i]))
             if below is None:
-                below = self._grow(node, word, i, path)
+                above = path[max(0, i + 1 - self.pieces.longest):]
+                score, tokens = self.pieces.step(word, i, [self.score[k] for k in above], [self.tokens[k] for k in above])
+                below = self.child[node, word[i]] = len(self.score)
+                self.score.append(score)
+                self.tokens.append(tokens)
             node = below
             path.append(node)
-        return self.tokens[node], self.score[node]
-
-    def _grow(self, node: int, word: str, i: int, path: list[int]) -> int:
-        known, score, tokens = self.pieces.scores, self.score, self.tokens
-        size = len(word[i].encode("utf-8", "replace"))
-        best, count = score[path[i]] + size * self.pieces.byte_score, tokens[path[i]] + size
-        single = known.get(word[i])
-        if single is not None:  # bytes stand in only for characters that have no piece
-            best, count = score[path[i]] + single, tokens[path[i]] + 1
-        for start in range(i - 1, max(-1, i - self.pieces.longest), -1):
-            piece = known.get(word[start:i + 1])
-            if piece is not None:
-                above = path[start]
-                whole = score[above] + piece
-                if whole > best or (whole == best and tokens[above] + 1 < count):
-                    best, count = whole, tokens[above] + 1
-        new = self.child[node, word[i]] = len(score)
-        score.append(best)
-        tokens.append(count)
-        return new
+        return self._beyond(word, path) if len(word) > LONG_WORD else (self.tokens[node], self.score[node])
+
+    def _beyond(self, word: str, path: list[int]) -> tuple[int, float]:
+        """The same for a word longer than any path: only its last scores are kept."""
+        last = path[-self.pieces.longest:]
+        scores = deque((self.score[k] for k in last), self.pieces.longest)
+        counts = deque((self.tokens[k] for k in last), self.pieces.longest)
+        for i in range(LONG_WORD, len(word)):
+            score, tokens = self.pieces.step(word, i, scores, counts)
+            scores.append(score)
+            counts.append(tokens)
+        return counts[-1], scores[-1]
 
     def count(self, text: str) -> tuple[int, int, float]:
         """Pre-tokens, tokens and score of a text."""
         get = self.terminal.get
-        words = text.split()
-        tokens, score = 0, 0.0
+        words = text.split() if len(text) <= LONG_TEXT else (w.group() for w in WORD.finditer(text))
+        n, tokens, score = 0, 0, 0.0
         for word in words:
             own = get(word)
             if own is None:
                 own = self._new(word)
+            n += 1
             tokens += own[0]
             score += own[1]
-        return len(words), tokens, score
+        return n, tokens, score
 
     def _new(self, word: str) -> tuple[int, float]:
         if len(self.score) > MAX_NODES:
             self.clear()
-        found = self.terminal[word] = self.add(SPACE + word)
+        found = self.add(SPACE + word)
+        if len(word) < LONG_WORD:
+            self.terminal[word] = found
         return found
 
 
@@ -129,7 +159,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     probability; of equally likely ones the shorter counts. Defined cases: a
     null, empty or blank text has no tokens and score 0; repeated rows are
     counted each; a null id stays null; an empty table gives an empty result;
-    other columns are ignored.
+    other columns are ignored. A very long text, or one very long word, is
+    counted whole and takes no memory beyond its own characters.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
