@@ -52,6 +52,11 @@ class Pieces:
     def __init__(self, scores: dict[str, float], byte_score: float):
         self.scores, self.byte_score = scores, byte_score
         self.longest = max(map(len, scores), default=1)
+        lengths: dict[str, set[int]] = {}
+        for piece in scores:
+            if len(piece) > 1:
+                lengths.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {end: sorted(found) for end, found in lengths.items()}  # by the last two characters
 
     @classmethod
     def from_ranks(cls, pieces: list[str]) -> Pieces:
@@ -70,23 +75,28 @@ class Pieces:
                                        or model.is_unused(i))])
 
 
-    def step(self, word: str, i: int, scores: Sequence[float], counts: Sequence[int]) -> tuple[float, int]:
-        """Best score and least tokens up to character ``i``, from those up to each of the characters before it.
+    def step(self, word: str, i: int, above: Sequence[int], scores: Sequence[float],
+             counts: Sequence[int]) -> tuple[float, int]:
+        """Best score and least tokens up to character ``i``, from those up to the characters before it.
 
-        ``scores`` and ``counts`` end with those of the characters before
-        ``i`` and go back as far as the longest piece, or to the start.
+        ``above`` says where in ``scores`` and ``counts`` these are: the last
+        for the character before ``i``, and so on back to the longest piece.
         """
+        known, last = self.scores, above[-1]
         size = len(word[i].encode("utf-8", "replace"))
-        best, count = scores[-1] + size * self.byte_score, counts[-1] + size
-        single = self.scores.get(word[i])
+        best, count = scores[last] + size * self.byte_score, counts[last] + size
+        single = known.get(word[i])
         if single is not None:  # bytes stand in only for characters that have no piece
-            best, count = scores[-1] + single, counts[-1] + 1
-        for back in range(2, min(self.longest, i + 1) + 1):
-            piece = self.scores.get(word[i + 1 - back:i + 1])
+            best, count = scores[last] + single, counts[last] + 1
+        for back in self.lengths.get(word[i - 1:i + 1] if i else "", ()):
+            if back > i + 1:
+                break
+            piece = known.get(word[i + 1 - back:i + 1])
             if piece is not None:
-                whole = scores[-back] + piece
-                if whole > best or (whole == best and counts[-back] + 1 < count):
-                    best, count = whole, counts[-back] + 1
+                start = above[-back]
+                whole = scores[start] + piece
+                if whole > best or (whole == best and counts[start] + 1 < count):
+                    best, count = whole, counts[start] + 1
         return best, count
 
 
@@ -108,8 +118,7 @@ class PreTokenTrie:
         for i in range(min(len(word), LONG_WORD)):
             below = self.child.get((node, word[i]))
             if below is None:
-                above = path[max(0, i + 1 - self.pieces.longest):]
-                score, tokens = self.pieces.step(word, i, [self.score[k] for k in above], [self.tokens[k] for k in above])
+                score, tokens = self.pieces.step(word, i, path, self.score, self.tokens)
                 below = self.child[node, word[i]] = len(self.score)
                 self.score.append(score)
                 self.tokens.append(tokens)
@@ -123,7 +132,7 @@ class PreTokenTrie:
         scores = deque((self.score[k] for k in last), self.pieces.longest)
         counts = deque((self.tokens[k] for k in last), self.pieces.longest)
         for i in range(LONG_WORD, len(word)):
-            score, tokens = self.pieces.step(word, i, scores, counts)
+            score, tokens = self.pieces.step(word, i, range(len(scores)), scores, counts)
             scores.append(score)
             counts.append(tokens)
         return counts[-1], scores[-1]
