@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import in_batches
+from tidepool.llm.common import in_batches, utf8_values
 from tidepool.llm.words import PLAIN_WORD, STEP, WordHasher, grouped, mixed, plain_text
 
 BLOCK_WORDS = 1 << 20
@@ -180,7 +180,7 @@ def _item_words(items: DataFrame, id_col: str, text_col: str, blocks: int, block
 
 def _text_words(batch: pa.RecordBatch, column: int, hasher: WordHasher) -> Iterator[np.ndarray]:
     """Word hashes of each text of a column; null texts have none."""
-    texts = (plain_text(t or "") for t in batch.column(column).to_pylist())
+    texts = (plain_text(str(t, "utf-8", "replace")) for t in utf8_values(batch.column(column)))
     for group in grouped(((t,) for t in texts), lambda row: row[0]):
         words, bounds = hasher.group([t for t, in group])
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
