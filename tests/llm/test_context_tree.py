@@ -70,25 +70,29 @@ def texts(rng, n, letters=b"abc d"):
     return [bytes(rng.choice(letters) for _ in range(rng.randint(0, 12))) + b"\xff" for _ in range(n)]
 
 
-def model(training, others, depth):
-    train, _ = ct.grams_of(training, depth)
-    other, _ = ct.grams_of(others, depth)
+def model(training, others, depth, hot=()):
+    """Log probabilities of all grams by trees of two buckets: contexts of two bytes, and of three below ``hot`` ones."""
     counts = ct.Counts()
-    counts.add(train, True)
-    counts.add(other, False)
+    for part, learn in ((training, True), (others, False)):
+        counts.add(ct.grams_of(part, depth)[0], learn)
     keys, n = counts.merge()
-    levels = ct.subtrees(keys, n.astype(float), depth, 2)
-    levels |= ct.top_levels(ct.summary(levels, 2))
-    return keys, levels
-
-
-@pytest.mark.parametrize("depth", [2, 3])
-def test_probabilities_match_plain_recursion(depth):
+    pairs = np.zeros(1 << 16, np.int64)
+    hot = np.array(sorted(hot), np.int64)
+    places = ct.Placement(pairs, hot, np.zeros(256 * len(hot), np.int64), 1)
+    trees = list(ct.bucket_trees(keys, n.astype(float), depth, places))
+    top = ct.top_levels([row for _, tree in trees for row in tree.summary()])
+    logs = np.zeros(len(keys))
+    for at, tree in trees:
+        logs[at] = tree.log10_bytes(top)
+    return dict(zip(keys.tolist(), logs.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("depth, hot", [(2, ""), (3, ""), (3, "ab"), (4, "ab"), (4, "abc d")])
+def test_probabilities_match_plain_recursion(depth, hot):
     rng = random.Random(depth)
     training, others = texts(rng, 9), texts(rng, 6, b"abcde ")
     brute = BruteTree(training, depth)
-    keys, levels = model(training, others, depth)
-    logs = dict(zip(keys.tolist(), ct.log10_bytes(keys, depth, levels).tolist(), strict=True))
+    logs = model(training, others, depth, {ord(a) << 8 | ord(b) for a in hot for b in hot})
     for t in training + others:
         data = b"\xff" * depth + t
         grams, _ = ct.grams_of([t], depth)
@@ -98,11 +102,57 @@ def test_probabilities_match_plain_recursion(depth):
 
 def test_bytes_after_a_context_sum_to_one():
     rng = random.Random(1)
-    _, levels = model(texts(rng, 20), [], 3)
-    for context in (b"abc", b"zzz", b"\xff\xff\xff", b" ab"):
-        grams, _ = ct.grams_of([context + bytes([s]) for s in range(256)], 3)
-        last = grams.reshape(256, 4)[:, 3]
-        assert (10 ** ct.log10_bytes(last, 3, levels)).sum() == pytest.approx(1)
+    asked = [context + bytes([s]) for context in (b"abc", b"zzz", b"\xff\xff\xff", b" ab") for s in range(256)]
+    logs = model(texts(rng, 20), asked, 3)
+    last = ct.grams_of(asked, 3)[0].reshape(-1, 256, 4)[:, :, 3]
+    for grams in last.tolist():
+        assert sum(10 ** logs[g] for g in grams) == pytest.approx(1)
+
+
+def test_contexts_are_dealt_evenly_and_hot_ones_by_three_bytes():
+    rng = np.random.default_rng(2)
+    pairs = np.zeros(1 << 16, np.int64)
+    pairs[rng.integers(0, 1 << 16, 3000)] = rng.integers(1, 40_000, 3000)
+    hot = np.array([7, 70, 700])
+    pairs[hot] = pairs.sum() // 3
+    triples = np.zeros(3 * 256, np.int64)
+    for i in range(3):
+        triples[i * 256:i * 256 + 200] = pairs[hot[i]] // 200
+    places = ct.Placement(pairs, hot, triples, 40)
+    keys = np.concatenate([np.repeat(np.arange(1 << 16), pairs // 1000) << 48,
+                           np.repeat(hot, 200) << 48 | np.tile(np.arange(200), 3) << 40]).astype(np.uint64)
+    assert places.is_hot(keys, 7).sum() >= 600
+    weights = np.zeros(places.buckets)
+    cold = ~places.is_hot(np.arange(1 << 16, dtype=np.uint64) << np.uint64(48), 7)
+    np.add.at(weights, places.pair[cold], pairs[cold])
+    np.add.at(weights, places.triple, triples)
+    assert weights.sum() == pytest.approx(pairs.sum(), rel=1e-3)
+    tasks = weights.reshape(40, -1).sum(axis=1)
+    assert tasks.max() < 1.1 * tasks.mean()
+    assert ((places.of(ct.GRAMS, keys, 7) >= 0) & (places.of(ct.GRAMS, keys, 7) < places.buckets)).all()
+
+
+def test_long_texts_are_read_in_parts(monkeypatch):
+    monkeypatch.setattr(ct, "BLOCK_TEXT", 20)
+    rng = random.Random(4)
+    vocabulary = ["a", "bcd", "efghijk", "x" * 30, "y" * 20, "y" * 21]
+    found = [ct.spelled(" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30))).encode())
+             for _ in range(60)] + [ct.spelled(b"x" * 30), ct.spelled(b"")]
+    hasher = ct.WordHasher(ct.ANY_WORD)
+
+    def hashes(text):
+        return [ct.word_hash(w) if len(w) > 20 else int(hasher.of(w)[0]) for w in text[:-1].split()] + [int(ct.END_HASH)]
+
+    for parts, of in ((ct.gram_parts(found, 3), lambda t: ct.grams_of([t], 3)[0].tolist()),
+                      (ct.token_parts(found, hasher), hashes)):
+        got = defaultdict(list)
+        for owners, keys, first in parts:
+            assert len(keys) <= 60
+            for owner, own in zip(owners, np.split(keys, first[1:]), strict=True):
+                got[owner] += own.tolist()
+        assert [got[i] for i in range(len(found))] == [of(t) for t in found]
+    sums = ct.summed(len(found), ct.token_parts(found, hasher), lambda keys: [np.ones(len(keys))])[0]
+    assert sums.tolist() == [len(hashes(t)) for t in found]
 
 
 def test_log_kt_and_packing():
@@ -131,9 +181,7 @@ def test_scores_of_a_corpus(spark):
     counts = Counter(w for i, ws in words.items() if not held[i] for w in ws)
     total, distinct = sum(counts.values()), len(counts)
     spelled = {i: b" ".join(ws[:-1]) + b"\xff" for i, ws in words.items()}
-    keys, levels = model([t for i, t in spelled.items() if not held[i]],
-                         [t for i, t in spelled.items() if held[i]], 3)
-    logs = dict(zip(keys.tolist(), ct.log10_bytes(keys, 3, levels).tolist(), strict=True))
+    logs = model([t for i, t in spelled.items() if not held[i]], [t for i, t in spelled.items() if held[i]], 3)
     assert set(got) == set(held)
     for i, ws in words.items():
         r = got[i]
@@ -162,3 +210,13 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     lone = score_texts(df, F.lit(True)).collect()
     assert [r.score for r in lone if r.doc_id == 1] == pytest.approx([-4 * math.log10(256)] * 2)
     assert score_texts(df.limit(0), F.lit(False)).collect() == []
+    extra = df.select("doc_id", "text", *[F.lit(1).alias(c) for c in ("batch", "keys", "held_out", "_id", "n", "data")])
+    assert [r.score for r in score_texts(extra, F.lit(True)).where("doc_id = 1").collect()] == [
+        r.score for r in lone if r.doc_id == 1]
+
+
+def test_depths_that_do_not_fit_raise(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for depth in (1, ct.MAX_DEPTH + 1):
+        with pytest.raises(ValueError, match="depth"):
+            score_texts(df, F.lit(False), depth=depth)

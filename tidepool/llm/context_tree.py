@@ -10,13 +10,18 @@ The probability of a byte depends only on the (depth + 1)-gram that ends with
 it, so Spark works on distinct grams:
 
 1. documents become batches of about ``BATCH_TEXT`` bytes (stored compressed);
-   a task sends each distinct gram of a batch once, to the bucket of its two
-   most recent context bytes. Nodes of depth 2 or more lie in one bucket;
-2. buckets weight their subtrees from the deepest contexts up. What depth 1
-   needs of them is summed by Spark into at most 65,280 rows;
-3. buckets go down again and give every gram its log probability, which goes
+   their contexts of two bytes are counted, and those of three bytes where two
+   hold more than ``HOT_SHARE`` of all places. These contexts are dealt to
+   buckets of about ``BUCKET_TEXT`` places each, in order, and the buckets to
+   the tasks, so that all have much the same to do;
+2. a task sends each distinct gram of a batch once, to the bucket of its
+   context. The nodes below a bucket's contexts lie in that bucket;
+3. buckets weight their subtrees from the deepest contexts up. What the nodes
+   above need of them is summed by Spark: for depth 1 at most 65,280 rows, for
+   hot contexts of depth 2 at most 255 each, of which there are 1 / HOT_SHARE;
+4. buckets go down again and give every gram its log probability, which goes
    back to the batches that asked, once each;
-4. a second pass over the batches adds up the probabilities of each text.
+5. a second pass over the batches adds up the probabilities of each text.
 
 Held-out texts add their grams with a count of zero. Word counts for the base
 score travel the same way, by the words' hashes. No step holds more than a
@@ -38,10 +43,14 @@ from tidepool.llm.common import in_batches, partitions, utf8_values
 from tidepool.llm.words import ANY_WORD, WordHasher, mixed, word_hash
 from tidepool.session import materialize
 
-DEPTH = 6
+DEPTH = 7
 END = 255
+MAX_DEPTH = 7  # a gram of eight bytes is one 64-bit number
 BATCH_TEXT = 32 << 20
 BLOCK_TEXT = 1 << 20
+BUCKET_TEXT = 2 << 20
+MOST_BUCKETS = 1 << 14
+HOT_SHARE = 1 / 512
 MERGE_KEYS = 4 << 20
 GRAMS, WORDS = 0, 1
 END_HASH = np.uint64(word_hash(b""))
@@ -86,21 +95,14 @@ class Level:
         self.stop = np.exp(self.kt - both)
 
 
-def decisions(symbols: np.ndarray, counts: np.ndarray, k: int) -> Level:
-    """Level of decision ``k`` from sorted (context, byte) ids and their counts."""
-    ids = symbols >> np.uint64(8 - k)
-    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, int)
-    bit = ((symbols >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-    n1 = np.add.reduceat(np.where(bit, counts, 0), first) if len(ids) else np.zeros(0)
-    n = np.add.reduceat(counts, first) if len(ids) else np.zeros(0)
-    return Level(ids[first], (n - n1).astype(float), n1.astype(float))
+def starts_of(ids: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, bool)
 
 
-def shorten(grams: np.ndarray, counts: np.ndarray, depth: int, to: int) -> tuple[np.ndarray, np.ndarray]:
-    """Grams with contexts of ``to`` bytes, sorted, and their counts."""
-    short = (grams >> np.uint64(8 * (depth - to + 1)) << np.uint64(8)) | (grams & np.uint64(255))
-    ids, at = np.unique(short, return_inverse=True)
-    return ids, np.bincount(at, counts, len(ids))
+def shorten(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted (context, byte) ids without the farthest context byte, and the place of each old one."""
+    short = (symbols >> np.uint64(16) << np.uint64(8)) | (symbols & np.uint64(255))
+    return np.unique(short, return_inverse=True)
 
 
 def parent_ids(ids: np.ndarray, k: int) -> np.ndarray:
@@ -108,74 +110,99 @@ def parent_ids(ids: np.ndarray, k: int) -> np.ndarray:
     return (ids >> np.uint64(8 + k) << np.uint64(k)) | (ids & np.uint64((1 << k) - 1))
 
 
-def subtrees(grams: np.ndarray, counts: np.ndarray, depth: int, down_to: int) -> dict[tuple[int, int], Level]:
-    """Weighted levels of all depths from ``depth`` to ``down_to`` over sorted grams."""
-    levels: dict[tuple[int, int], Level] = {}
-    for d in range(depth, down_to - 1, -1):
-        symbols, n = (grams, counts) if d == depth else shorten(grams, counts, depth, d)
-        for k in range(8):
-            level = levels[d, k] = decisions(symbols, n, k)
-            if d < depth:
-                below = levels[d + 1, k]
-                at = np.searchsorted(level.ids, parent_ids(below.ids, k))
-                level.mix(np.bincount(at, below.weighted, len(level.ids)))
-    return levels
+class Subtrees:
+    """Weighted nodes of the depths ``depth`` to ``root`` over sorted distinct grams with counts."""
 
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, root: int):
+        self.depth, self.root = depth, root
+        self.levels: dict[tuple[int, int], Level] = {}
+        self.node: dict[tuple[int, int], np.ndarray] = {}  # of each symbol
+        self.symbols, self.of_gram = {depth: grams}, {depth: None}
+        up, n = None, counts
+        for d in range(depth, root - 1, -1):
+            if d < depth:
+                self.symbols[d], up = shorten(self.symbols[d + 1])
+                n = np.bincount(up, n, len(self.symbols[d]))
+                below = self.of_gram[d + 1]
+                self.of_gram[d] = up if below is None else up[below]
+            symbols = self.symbols[d]
+            for k in range(8):
+                ids = symbols >> np.uint64(8 - k)
+                first = starts_of(ids)
+                node = self.node[d, k] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+                bit = ((symbols >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+                size = int(first.sum())
+                n1 = np.bincount(node, np.where(bit, n, 0), size)
+                level = self.levels[d, k] = Level(ids[first], np.bincount(node, n, size) - n1, n1)
+                if d < depth:
+                    child = self.levels[d + 1, k]
+                    at = node[up[starts_of(self.node[d + 1, k])]]
+                    level.mix(np.bincount(at, child.weighted, size))
+                    child.weighted = child.kt = child.ids = None  # not read again
+
+    def summary(self) -> list[tuple[int, int, int, float, float, float]]:
+        """What the nodes above the root's need: (depth, decision, id, n0, n1, log product of children)."""
+        rows = []
+        for k in range(8):
+            ids, *sums = parents(self.levels[self.root, k], k)
+            rows += zip([self.root - 1] * len(ids), [k] * len(ids), ids.tolist(),
+                        *[x.tolist() for x in sums], strict=True)
+        return rows
 
-def summary(levels: dict[tuple[int, int], Level], d: int) -> list[tuple[int, int, float, float, float]]:
-    """What the nodes of depth ``d - 1`` need: (decision, id, n0, n1, log product of children)."""
-    rows = []
-    for k in range(8):
-        level = levels[d, k]
-        ids, at = np.unique(parent_ids(level.ids, k), return_inverse=True)
-        sums = [np.bincount(at, x, len(ids)) for x in (level.n0, level.n1, level.weighted)]
-        rows += zip([k] * len(ids), ids.tolist(), *[s.tolist() for s in sums], strict=True)
-    return rows
-
+    def log10_bytes(self, top: dict[tuple[int, int], Level]) -> np.ndarray:
+        """log10 probability of each gram's last byte given the bytes before it.
 
-def top_levels(rows: list[tuple[int, int, float, float, float]]) -> dict[tuple[int, int], Level]:
-    """Levels of depth 1 and 0 from the summed ``summary`` rows of all buckets."""
+        A context without training counts leaves the estimate to the node above.
+        """
+        product = np.ones(len(self.symbols[self.depth]))
+        for k in range(8):
+            p, seen_below = None, None
+            for d in range(self.depth, -1, -1):
+                own = self.symbols[max(d, self.root)]
+                of_gram = self.of_gram[max(d, self.root)]
+                if d >= self.root:
+                    level, node = self.levels[d, k], self.node[d, k]
+                else:
+                    level = top[d, k]
+                    context = own >> np.uint64(8 * (self.root - d + 1))
+                    decided = (own & np.uint64(255)) >> np.uint64(8 - k)
+                    node = np.searchsorted(level.ids, (context << np.uint64(k)) | decided)
+                bit = ((own >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+                n0, n1 = level.n0[node], level.n1[node]
+                kt = (np.where(bit, n1, n0) + 0.5) / (n0 + n1 + 1)
+                seen, deeper = n0 + n1 > 0, 1 - level.stop[node]
+                if of_gram is not None:
+                    kt, seen, deeper = kt[of_gram], seen[of_gram], deeper[of_gram]
+                p = kt if p is None else np.where(seen_below, kt + deeper * (p - kt), kt)
+                seen_below = seen
+            product *= p
+        return np.log10(product)
+
+
+def parents(level: Level, k: int) -> tuple[np.ndarray, ...]:
+    """The nodes above those of a level: ids, n0, n1 and log products of children."""
+    ids, at = np.unique(parent_ids(level.ids, k), return_inverse=True)
+    return ids, *[np.bincount(at, x, len(ids)) for x in (level.n0, level.n1, level.weighted)]
+
+
+def top_levels(rows: list[tuple[int, int, int, float, float, float]]) -> dict[tuple[int, int], Level]:
+    """Levels of depth 1 and 0, and of depth 2 for hot contexts, from the ``summary`` rows of all buckets."""
     levels = {}
     for k in range(8):
-        own = sorted((r[1], r[2], r[3], r[4]) for r in rows if r[0] == k)
-        ids = np.array([r[0] for r in own], np.uint64)
-        n0, n1, below = (np.array([r[j] for r in own], float) for j in (1, 2, 3))
-        one = levels[1, k] = Level(ids, n0, n1)
-        one.mix(below)
-        roots, at = np.unique(parent_ids(ids, k), return_inverse=True)
-        zero = levels[0, k] = Level(roots, *[np.bincount(at, x, len(roots)) for x in (n0, n1)])
-        zero.mix(np.bincount(at, one.weighted, len(roots)))
+        above = None
+        for d in (2, 1, 0):
+            own = np.array([r[2:] for r in rows if r[0] == d and r[1] == k], float).reshape(-1, 4)
+            known = [own[:, 0].astype(np.uint64), own[:, 1], own[:, 2], own[:, 3]]
+            if above is not None:
+                known = [np.concatenate(x) for x in zip(known, above, strict=True)]
+            ids, at = np.unique(known[0], return_inverse=True)
+            n0, n1, below = (np.bincount(at, x, len(ids)) for x in known[1:])
+            level = levels[d, k] = Level(ids, n0, n1)
+            level.mix(below)
+            above = parents(level, k)
     return levels
 
 
-def log10_bytes(grams: np.ndarray, depth: int, levels: dict[tuple[int, int], Level]) -> np.ndarray:
-    """log10 probability of each gram's last byte given the bytes before it.
-
-    A context without training counts leaves the estimate to the node above.
-    """
-    out = np.zeros(len(grams))
-    for k in range(8):
-        bit = ((grams >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-        p, seen_below = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-        for d in range(depth, -1, -1):
-            level = levels[d, k]
-            if not len(level.ids):
-                continue
-            context = grams >> np.uint64(8 * (depth - d + 1))
-            decided = (grams & np.uint64(255)) >> np.uint64(8 - k)
-            ids = (context << np.uint64(k)) | decided
-            at = np.minimum(np.searchsorted(level.ids, ids), len(level.ids) - 1)
-            n0, n1 = level.n0[at], level.n1[at]
-            seen = (level.ids[at] == ids) & (n0 + n1 > 0)
-            kt = (np.where(bit, n1, n0) + 0.5) / (n0 + n1 + 1)
-            stop = level.stop[at]
-            here = np.where(seen_below, stop * kt + (1 - stop) * p, kt)
-            p = np.where(seen, here, p)
-            seen_below |= seen
-        out += np.log10(p)
-    return out
-
-
 # ---- texts as grams ---------------------------------------------------------
 
 def spelled(text: bytes) -> bytes:
@@ -183,10 +210,14 @@ def spelled(text: bytes) -> bytes:
     return b" ".join(text.lower().split()) + b"\xff"
 
 
-def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of texts (contexts start as END bytes) and where each text's begin."""
+def grams_of(texts: list[bytes], depth: int, before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of texts and where each text's begin.
+
+    Contexts start as the last bytes ``before`` each text, or as END bytes.
+    """
     pad = b"\xff" * depth
-    data = np.frombuffer(b"".join(pad + t for t in texts), np.uint8).astype(np.uint64)
+    joined = b"".join(p + t for p, t in zip(before or [pad] * len(texts), texts, strict=True))
+    data = np.frombuffer(joined, np.uint8).astype(np.uint64)
     gram = np.zeros(len(data) - depth if len(data) else 0, np.uint64)
     # The most recent context byte comes first, the predicted byte last.
     for j in range(1, depth + 1):
@@ -200,6 +231,86 @@ def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return gram[inside], np.cumsum(sizes) - sizes
 
 
+def gram_parts(texts: list[bytes], depth: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Grams of texts, of some BLOCK_TEXT bytes at a time: the numbers of the texts, grams, where each begins."""
+    owners, parts, before, size = [], [], [], 0
+    pad = b"\xff" * depth
+    for i, text in enumerate(texts):
+        for at in range(0, len(text), BLOCK_TEXT):
+            owners.append(i)
+            parts.append(text[at:at + BLOCK_TEXT])
+            before.append(text[at - depth:at] if at else pad)
+            size += len(parts[-1])
+            if size >= BLOCK_TEXT:
+                yield owners, *grams_of(parts, depth, before)
+                owners, parts, before, size = [], [], [], 0
+    if parts:
+        yield owners, *grams_of(parts, depth, before)
+
+
+def word_parts(text: bytes) -> Iterator[bytes]:
+    """A spelled text's words in parts of at most BLOCK_TEXT bytes, or of one longer word."""
+    at, last = 0, len(text) - 1  # without the end
+    while last - at > BLOCK_TEXT:
+        cut = text.rfind(b" ", at, at + BLOCK_TEXT)
+        if cut <= at:
+            cut = text.find(b" ", at, last)
+            if cut < 0:
+                break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:last]
+
+
+def token_parts(texts: list[bytes], hasher: WordHasher) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Hashes of the words of texts and of one end each, some BLOCK_TEXT bytes at a time, like ``gram_parts``.
+
+    A word longer than that is hashed apart.
+    """
+    owners, parts, size = [], [], 0
+
+    def hashed():
+        words, bounds = hasher.group(parts)
+        ends = np.flatnonzero(np.diff(owners, append=len(texts)))  # parts that end a text
+        if owners[-1] == open_text:
+            ends = ends[:-1]
+        before = np.searchsorted(ends, np.arange(len(parts)))
+        return owners, np.insert(words, bounds[1:][ends], END_HASH), bounds[:-1] + before
+
+    for i, text in enumerate(texts):
+        open_text = i
+        for part in word_parts(text):
+            if len(part) > BLOCK_TEXT:
+                if parts:
+                    yield hashed()
+                    owners, parts, size = [], [], 0
+                yield [i], np.array([word_hash(part)], np.uint64), np.zeros(1, np.int64)
+                continue
+            owners.append(i)
+            parts.append(part)
+            size += len(part)
+            if size >= BLOCK_TEXT:
+                yield hashed()
+                owners, parts, size = [], [], 0
+        if not owners or owners[-1] != i:  # its last part has gone
+            owners.append(i)
+            parts.append(b"")
+        open_text = None
+    if parts:
+        yield hashed()
+
+
+def summed(texts: int, parts: Iterator[tuple[list[int], np.ndarray, np.ndarray]], values) -> list[np.ndarray]:
+    """Sums over the parts of each text of ``values(keys)``, a list of arrays."""
+    sums = None
+    for owners, keys, first in parts:
+        found = values(keys)
+        sums = sums or [np.zeros(texts) for _ in found]
+        for total, value in zip(sums, found, strict=True):
+            np.add.at(total, owners, np.add.reduceat(value, first))
+    return sums
+
+
 # ---- packed arrays ----------------------------------------------------------
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -248,9 +359,36 @@ class Counts:
         return self.keys[0], self.counts[0]
 
 
-def bucket_of(space: int, keys: np.ndarray, depth: int, buckets: int) -> np.ndarray:
-    own = mixed(keys >> np.uint64(8 * (depth - 1)) if space == GRAMS else keys)
-    return ((own >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+class Placement:
+    """Buckets of contexts: by two bytes, by three where two are hot. At most 2^16 + 256 / HOT_SHARE entries."""
+
+    def __init__(self, pairs: np.ndarray, hot: np.ndarray, triples: np.ndarray, tasks: int):
+        """From the places counted by context: all 2^16 ``pairs``, ``hot`` pairs, and 256 ``triples`` for each."""
+        total = int(pairs.sum())
+        self.per_task = -(-min(total // BUCKET_TEXT, MOST_BUCKETS) // tasks) or 1
+        self.buckets, self.tasks = self.per_task * tasks, tasks
+        weight = np.concatenate([pairs, triples]).astype(float)
+        weight[hot] = 0
+        order = np.argsort(np.concatenate([np.arange(1 << 16) << 8, (hot[:, None] << 8 | np.arange(256)).ravel()]),
+                           kind="stable")
+        middle = np.cumsum(weight[order]) - weight[order] / 2
+        bucket = np.empty(len(weight), np.int32)
+        bucket[order] = np.minimum(middle * self.buckets / max(total, 1), self.buckets - 1)
+        self.pair, self.triple = bucket[:1 << 16], bucket[1 << 16:]
+        self.pair[hot] = -1 - np.arange(len(hot))
+
+    def is_hot(self, grams: np.ndarray, depth: int) -> np.ndarray:
+        return self.pair[(grams >> np.uint64(8 * (depth - 1))).astype(np.int64)] < 0
+
+    def of(self, space: int, keys: np.ndarray, depth: int) -> np.ndarray:
+        if space == WORDS:
+            return ((mixed(keys) >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
+        bucket = self.pair[(keys >> np.uint64(8 * (depth - 1))).astype(np.int64)].astype(np.int64)
+        at = np.flatnonzero(bucket < 0)
+        if len(at):
+            third = (keys[at] >> np.uint64(8 * (depth - 2))) & np.uint64(255)
+            bucket[at] = self.triple[(-1 - bucket[at]) * 256 + third.astype(np.int64)]
+        return bucket
 
 
 # ---- Spark jobs -------------------------------------------------------------
@@ -302,13 +440,46 @@ def block_texts(sizes: list[int], data: bytes) -> list[bytes]:
     return [whole[e - n:e] for e, n in zip(ends, sizes, strict=True)]
 
 
-def block_tokens(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of the texts, each followed by one end (the empty word), and each text's first."""
-    words, bounds = hasher.group([text[:-1] for text in texts])
-    return np.insert(words, bounds[1:], END_HASH), bounds[:-1] + np.arange(len(texts))
+def place_counts(blocks: DataFrame, hot: np.ndarray | None = None) -> np.ndarray:
+    """Places of all texts by the two bytes before, or by three for the ``hot`` pairs."""
+    size = 1 << 16 if hot is None else 256 * len(hot)
+    schema = pa.schema([("context", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(size, np.int64)
+        number = np.full(1 << 16, -1, np.int64)
+        if hot is not None:
+            number[hot] = np.arange(len(hot))
+        for batch in batches:
+            for row in batch.to_pylist():
+                whole = zstandard.ZstdDecompressor().decompress(row["data"])
+                for at in range(0, len(whole), BLOCK_TEXT):  # the first of a text go by the text before, as weights may
+                    data = np.frombuffer(b"\xff\xff\xff" + whole[at:at + BLOCK_TEXT], np.uint8)
+                    pair = (data[2:-1].astype(np.uint16) << np.uint16(8)) | data[1:-2]
+                    if hot is None:
+                        found += np.bincount(pair, minlength=size)
+                    else:
+                        of_hot = number[pair]
+                        in_hot = of_hot >= 0
+                        found += np.bincount(of_hot[in_hot] * 256 + data[:-3][in_hot], minlength=size)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], schema=schema)
+
+    rows = blocks.select("data").mapInArrow(run, "context bigint, n bigint").groupBy("context").agg(
+        F.sum("n").alias("n"))
+    out = np.zeros(size, np.int64)
+    for context, n in rows.collect():  # at most 65,536, or 256 / HOT_SHARE
+        out[context] = n
+    return out
+
+
+def placement(blocks: DataFrame, depth: int, tasks: int) -> Placement:
+    pairs = place_counts(blocks)
+    hot = np.flatnonzero(pairs > pairs.sum() * HOT_SHARE) if depth > 2 else np.zeros(0, np.int64)
+    return Placement(pairs, hot, place_counts(blocks, hot) if len(hot) else np.zeros(0, np.int64), tasks)
 
 
-def batch_keys(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
+def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
     """Distinct keys of each batch with training counts, dealt by bucket: ``bucket, space, batch, keys, counts``."""
     schema = pa.schema([("bucket", pa.int64()), ("space", pa.int32()), ("batch", pa.int64()),
                         ("keys", pa.binary()), ("counts", pa.binary())])
@@ -320,7 +491,7 @@ def batch_keys(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
         def flush():
             for space, counts in enumerate(found):
                 keys, n = counts.merge()
-                bucket = bucket_of(space, keys, depth, buckets)
+                bucket = places.of(space, keys, depth)
                 order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
                 for at in np.split(order, cuts):
@@ -340,15 +511,18 @@ def batch_keys(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
                     for held in (False, True):
                         part = [t for t, h in zip(texts, row["held"], strict=True) if h == held]
                         if part:
-                            found[GRAMS].add(grams_of(part, depth)[0], not held)
-                            found[WORDS].add(block_tokens(part, hasher)[0], not held)
+                            for _, keys, _ in gram_parts(part, depth):
+                                found[GRAMS].add(keys, not held)
+                            for _, keys, _ in token_parts(part, hasher):
+                                found[WORDS].add(keys, not held)
             if found:
                 yield from flush()
 
         yield from in_batches(rows(), schema, weight=lambda r: len(r[3]) + len(r[4]))
 
     keyed = blocks.mapInArrow(run, "bucket bigint, space int, batch bigint, keys binary, counts binary")
-    return materialize(keyed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "space"))
+    task = F.floor(F.col("bucket") / places.per_task).cast("int")
+    return materialize(keyed.repartitionById(places.tasks, task).sortWithinPartitions("bucket", "space"))
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]], np.ndarray, np.ndarray]]:
@@ -376,29 +550,39 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tup
         yield whole()
 
 
-def tree_top(keyed: DataFrame, depth: int) -> tuple[dict[tuple[int, int], Level], int, int]:
-    """Levels of depth 1 and 0, and the number of training tokens and of distinct ones."""
-    schema = pa.schema([("k", pa.int32()), ("id", pa.int64()), ("n0", pa.float64()), ("n1", pa.float64()),
-                        ("below", pa.float64())])
+def bucket_trees(keys: np.ndarray, n: np.ndarray, depth: int, places: Placement) -> Iterator[tuple[np.ndarray, Subtrees]]:
+    """The trees of a bucket's grams: those below contexts of two bytes, and of three; with the places of the grams."""
+    hot = places.is_hot(keys, depth)
+    for root, at in ((2, np.flatnonzero(~hot)), (3, np.flatnonzero(hot))):
+        if len(at):
+            yield at, Subtrees(keys[at], n[at], depth, root)
+
+
+def tree_top(keyed: DataFrame, depth: int, places: Placement) -> tuple[dict[tuple[int, int], Level], int, int]:
+    """Levels above those of the buckets, and the number of training tokens and of distinct ones."""
+    schema = pa.schema([("d", pa.int32()), ("k", pa.int32()), ("id", pa.int64()), ("n0", pa.float64()),
+                        ("n1", pa.float64()), ("below", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for space, _, _, keys, n in by_bucket(batches):
                 if space == WORDS:
-                    yield 8, 0, float(n.sum()), float((n > 0).sum()), 0.0
+                    yield -1, 0, 0, float(n.sum()), float((n > 0).sum()), 0.0
                 else:
-                    yield from summary(subtrees(keys, n, depth, 2), 2)
+                    for _, tree in bucket_trees(keys, n, depth, places):
+                        yield from tree.summary()
 
         yield from in_batches(rows(), schema)
 
-    sums = keyed.mapInArrow(run, "k int, id bigint, n0 double, n1 double, below double").groupBy("k", "id").agg(
-        F.sum("n0"), F.sum("n1"), F.sum("below"))
-    rows = [tuple(r) for r in sums.collect()]  # 256 * 255 nodes of depth 1 at most, and one of totals
-    tokens = next((r for r in rows if r[0] == 8), (8, 0, 0.0, 0.0, 0.0))
-    return top_levels([r for r in rows if r[0] != 8]), int(tokens[2]), int(tokens[3])
+    sums = keyed.mapInArrow(run, "d int, k int, id bigint, n0 double, n1 double, below double").groupBy(
+        "d", "k", "id").agg(F.sum("n0"), F.sum("n1"), F.sum("below"))
+    # 256 * 255 nodes of depth 1 at most, 255 / HOT_SHARE of depth 2, and one row of totals.
+    rows = [tuple(r) for r in sums.collect()]
+    tokens = next((r for r in rows if r[0] == -1), (-1, 0, 0, 0.0, 0.0, 0.0))
+    return top_levels([r for r in rows if r[0] != -1]), int(tokens[3]), int(tokens[4])
 
 
-def batch_answers(keyed: DataFrame, depth: int, top: dict[tuple[int, int], Level]) -> DataFrame:
+def batch_answers(keyed: DataFrame, depth: int, places: Placement, top: dict[tuple[int, int], Level]) -> DataFrame:
     """For each batch its keys again with log10 probabilities (grams) or training counts (words)."""
     schema = pa.schema([("batch", pa.int64()), ("space", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
@@ -407,7 +591,9 @@ def batch_answers(keyed: DataFrame, depth: int, top: dict[tuple[int, int], Level
             for space, _, asked, keys, n in by_bucket(batches):
                 values = n
                 if space == GRAMS:
-                    values = log10_bytes(keys, depth, subtrees(keys, n, depth, 2) | top)
+                    values = np.zeros(len(keys))
+                    for at, tree in bucket_trees(keys, n, depth, places):
+                        values[at] = tree.log10_bytes(top)
                 for number, own in asked:
                     at = np.searchsorted(keys, unpack_keys(own))
                     yield number, space, own, pack_plain(values[at].astype(np.float64 if space else np.float32))
@@ -447,16 +633,22 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     of that spelling. Defined cases: a null or empty text is its end alone;
     repeated rows count and are scored each; a null id stays null (and a null
     ``held_out`` counts as false); without training texts every byte has
-    probability 1/256; an empty table gives an empty result; other columns
-    are ignored.
+    probability 1/256; an empty table gives an empty result; other columns,
+    whatever their names, are ignored; nothing depends on the order of rows,
+    so ties do not arise. A very long text is read some ``BLOCK_TEXT`` bytes
+    at a time, besides its bytes and words themselves. ``depth`` is 2 to
+    ``MAX_DEPTH``; others raise.
     """
+    if not 2 <= depth <= MAX_DEPTH:
+        raise ValueError(f"depth {depth} is not in 2 to {MAX_DEPTH}")
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     buckets = partitions(spark)
     blocks = text_blocks(docs, id_col, text_col, held_out)
-    keyed = batch_keys(blocks, depth, buckets)
-    top, total, distinct = tree_top(keyed, depth)
-    answers = batch_answers(keyed, depth, top)
+    places = placement(blocks, depth, buckets)
+    keyed = batch_keys(blocks, depth, places)
+    top, total, distinct = tree_top(keyed, depth, places)
+    answers = batch_answers(keyed, depth, places, top)
     floor = total + smoothing * (distinct + 1)
 
     asked = answers.select(
@@ -471,6 +663,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(ANY_WORD)
         number, known = None, None
+
+        def token_values(keys):
+            counts = known[WORDS].of(keys)
+            return [np.ones(len(keys)), (counts > 0).astype(float), np.log10((counts + smoothing) / floor)]
+
         for batch in batches:
             id_field = batch.schema.field("ids").type.value_type
             for row in batch.to_pylist():
@@ -480,17 +677,13 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                     known[row["space"]].add(row["keys"], row["values"], np.float64 if row["space"] else np.float32)
                     continue
                 spelling = block_texts(row["sizes"], row["data"])
-                gram, first = grams_of(spelling, depth)
-                score = np.add.reduceat(known[GRAMS].of(gram), first)
-                token, first = block_tokens(spelling, hasher)
-                counts = known[WORDS].of(token)
-                base = np.add.reduceat(np.log10((counts + smoothing) / floor), first)
-                n = np.diff(np.append(first, len(token)))
+                many = len(spelling)
+                score, = summed(many, gram_parts(spelling, depth), lambda keys: [known[GRAMS].of(keys)])
+                n, n_known, base = summed(many, token_parts(spelling, hasher), token_values)
                 size = np.array(row["sizes"], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], id_field), pa.array(row["held"], pa.bool_()), pa.array(n),
-                     pa.array(np.add.reduceat((counts > 0).astype(np.int64), first)),
-                     pa.array(np.full(len(n), total, np.int64)), pa.array(base), pa.array(score), pa.array(size),
+                    [pa.array(row["ids"], id_field), pa.array(row["held"], pa.bool_()), pa.array(n.astype(np.int64)),
+                     pa.array(n_known.astype(np.int64)), pa.array(np.full(many, total, np.int64)), pa.array(base), pa.array(score), pa.array(size),
                      pa.array(-score * np.log2(10) / size)],
                     names=["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
                            "n_bytes", "bits_per_byte"])
