@@ -20,8 +20,10 @@ it, so Spark works on distinct grams:
    above need of them is summed by Spark: for depth 1 at most 65,280 rows, for
    hot contexts of depth 2 at most 255 each, of which there are 1 / HOT_SHARE;
 4. buckets go down again and give every gram its log probability, which goes
-   back to the batches that asked, once each;
-5. a second pass over the batches adds up the probabilities of each text.
+   back to the batches that asked, once each and without the gram: a batch
+   finds its own grams again, in the same order;
+5. with these a second pass over the batches adds up the probabilities of each
+   text.
 
 Held-out texts add their grams with a count of zero. Word counts for the base
 score travel the same way, by the words' hashes. No step holds more than a
@@ -479,6 +481,26 @@ def placement(blocks: DataFrame, depth: int, tasks: int) -> Placement:
     return Placement(pairs, hot, place_counts(blocks, hot) if len(hot) else np.zeros(0, np.int64), tasks)
 
 
+def gather(found: tuple[Counts, Counts], row: dict, depth: int, hasher: WordHasher) -> None:
+    """Adds the grams and words of a block to those of its batch."""
+    texts = block_texts(row["sizes"], row["data"])
+    for held in (False, True):
+        part = [t for t, h in zip(texts, row["held"], strict=True) if h == held]
+        for _, keys, _ in gram_parts(part, depth):
+            found[GRAMS].add(keys, not held)
+        for _, keys, _ in token_parts(part, hasher):
+            found[WORDS].add(keys, not held)
+
+
+def dealt(found: tuple[Counts, Counts], depth: int, places: Placement) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """A batch's distinct keys by space, in the order of their buckets: space, buckets, keys, counts."""
+    for space, counts in enumerate(found):
+        keys, n = counts.merge()
+        bucket = places.of(space, keys, depth)
+        order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
+        yield space, bucket[order], keys[order], n[order]
+
+
 def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
     """Distinct keys of each batch with training counts, dealt by bucket: ``bucket, space, batch, keys, counts``."""
     schema = pa.schema([("bucket", pa.int64()), ("space", pa.int32()), ("batch", pa.int64()),
@@ -489,12 +511,8 @@ def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
         number, found = None, None
 
         def flush():
-            for space, counts in enumerate(found):
-                keys, n = counts.merge()
-                bucket = places.of(space, keys, depth)
-                order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                for at in np.split(order, cuts):
+            for space, bucket, keys, n in dealt(found, depth, places):
+                for at in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(bucket)) + 1):
                     if len(at):
                         yield (int(bucket[at[0]]), space, number, pack_keys(keys[at]),
                                pack_plain(n[at].astype(np.uint32)))
@@ -507,14 +525,7 @@ def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
                         if found:
                             yield from flush()
                         number, found = row["batch"], (Counts(), Counts())
-                    texts = block_texts(row["sizes"], row["data"])
-                    for held in (False, True):
-                        part = [t for t, h in zip(texts, row["held"], strict=True) if h == held]
-                        if part:
-                            for _, keys, _ in gram_parts(part, depth):
-                                found[GRAMS].add(keys, not held)
-                            for _, keys, _ in token_parts(part, hasher):
-                                found[WORDS].add(keys, not held)
+                    gather(found, row, depth, hasher)
             if found:
                 yield from flush()
 
@@ -583,12 +594,12 @@ def tree_top(keyed: DataFrame, depth: int, places: Placement) -> tuple[dict[tupl
 
 
 def batch_answers(keyed: DataFrame, depth: int, places: Placement, top: dict[tuple[int, int], Level]) -> DataFrame:
-    """For each batch its keys again with log10 probabilities (grams) or training counts (words)."""
-    schema = pa.schema([("batch", pa.int64()), ("space", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
+    """For each batch and bucket log10 probabilities (grams) or training counts (words), in the order of the keys."""
+    schema = pa.schema([("batch", pa.int64()), ("space", pa.int32()), ("bucket", pa.int64()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for space, _, asked, keys, n in by_bucket(batches):
+            for space, bucket, asked, keys, n in by_bucket(batches):
                 values = n
                 if space == GRAMS:
                     values = np.zeros(len(keys))
@@ -596,27 +607,24 @@ def batch_answers(keyed: DataFrame, depth: int, places: Placement, top: dict[tup
                         values[at] = tree.log10_bytes(top)
                 for number, own in asked:
                     at = np.searchsorted(keys, unpack_keys(own))
-                    yield number, space, own, pack_plain(values[at].astype(np.float64 if space else np.float32))
+                    yield number, space, bucket, pack_plain(values[at].astype(np.float64 if space else np.float32))
 
-        yield from in_batches(rows(), schema, weight=lambda r: len(r[2]) + len(r[3]))
+        yield from in_batches(rows(), schema, weight=lambda r: len(r[3]))
 
-    return keyed.mapInArrow(run, "batch bigint, space int, keys binary, values binary")
+    return keyed.mapInArrow(run, "batch bigint, space int, bucket bigint, values binary")
 
 
 class Answers:
-    """The values of a batch's keys."""
-
-    def __init__(self):
-        self.keys, self.values, self.index = [], [], None
+    """The values of a batch's keys, from its buckets' answers and the keys in the same order."""
 
-    def add(self, keys: bytes, values: bytes, dtype) -> None:
-        self.keys.append(unpack_keys(keys))
-        self.values.append(unpack_plain(values, dtype))
+    def __init__(self, answers: list[tuple[int, bytes]], keys: np.ndarray, dtype):
+        self.index = pd.Index(keys)
+        parts = [unpack_plain(values, dtype) for _, values in sorted(answers, key=lambda a: a[0])]
+        self.all = np.concatenate([np.zeros(0), *parts])
+        if len(self.all) != len(keys):
+            raise RuntimeError(f"{len(self.all)} answers to {len(keys)} keys of a batch")
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        if self.index is None:
-            self.index = pd.Index(np.concatenate(self.keys))
-            self.all = np.concatenate(self.values).astype(np.float64)
         return self.all[self.index.get_indexer(keys)]
 
 
@@ -652,42 +660,56 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     floor = total + smoothing * (distinct + 1)
 
     asked = answers.select(
-        "batch", F.lit(0).alias("kind"), "space", "keys", "values", F.lit(None).cast(f"array<{id_type}>").alias("ids"),
+        "batch", F.lit(0).alias("kind"), "space", "bucket", "values", F.lit(None).cast(f"array<{id_type}>").alias("ids"),
         F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("array<bigint>").alias("sizes"),
         F.lit(None).cast("binary").alias("data"))
     texts = blocks.select(
-        "batch", F.lit(1).alias("kind"), F.lit(0).alias("space"), F.lit(None).cast("binary").alias("keys"),
+        "batch", F.lit(1).alias("kind"), F.lit(0).alias("space"), F.lit(0).cast("bigint").alias("bucket"),
         F.lit(None).cast("binary").alias("values"), "ids", "held", "sizes", "data")
     rows = asked.unionAll(texts).repartition(buckets, "batch").sortWithinPartitions("batch", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(ANY_WORD)
-        number, known = None, None
-
-        def token_values(keys):
-            counts = known[WORDS].of(keys)
-            return [np.ones(len(keys)), (counts > 0).astype(float), np.log10((counts + smoothing) / floor)]
-
-        for batch in batches:
-            id_field = batch.schema.field("ids").type.value_type
-            for row in batch.to_pylist():
-                if row["batch"] != number:
-                    number, known = row["batch"], (Answers(), Answers())
-                if row["kind"] == 0:
-                    known[row["space"]].add(row["keys"], row["values"], np.float64 if row["space"] else np.float32)
-                    continue
+        number, answered, held_blocks, id_field = None, ([], []), [], None
+
+        def scored():
+            """A batch's texts, from its answers and its (compressed) blocks."""
+            found = (Counts(), Counts())
+            for row in held_blocks:
+                gather(found, row, depth, hasher)
+            grams, words = (Answers(answered[space], keys, np.float64 if space else np.float32)
+                            for space, _, keys, _ in dealt(found, depth, places))
+            del found
+
+            def token_values(keys):
+                counts = words.of(keys)
+                return [np.ones(len(keys)), (counts > 0).astype(float), np.log10((counts + smoothing) / floor)]
+
+            for row in held_blocks:
                 spelling = block_texts(row["sizes"], row["data"])
                 many = len(spelling)
-                score, = summed(many, gram_parts(spelling, depth), lambda keys: [known[GRAMS].of(keys)])
+                score, = summed(many, gram_parts(spelling, depth), lambda keys: [grams.of(keys)])
                 n, n_known, base = summed(many, token_parts(spelling, hasher), token_values)
                 size = np.array(row["sizes"], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], id_field), pa.array(row["held"], pa.bool_()), pa.array(n.astype(np.int64)),
-                     pa.array(n_known.astype(np.int64)), pa.array(np.full(many, total, np.int64)), pa.array(base), pa.array(score), pa.array(size),
-                     pa.array(-score * np.log2(10) / size)],
+                     pa.array(n_known.astype(np.int64)), pa.array(np.full(many, total, np.int64)), pa.array(base),
+                     pa.array(score), pa.array(size), pa.array(-score * np.log2(10) / size)],
                     names=["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
                            "n_bytes", "bits_per_byte"])
 
+        for batch in batches:
+            id_field = batch.schema.field("ids").type.value_type
+            for row in batch.to_pylist():
+                if row["batch"] != number:
+                    yield from scored()
+                    number, answered, held_blocks = row["batch"], ([], []), []
+                if row["kind"] == 0:
+                    answered[row["space"]].append((row["bucket"], row["values"]))
+                else:
+                    held_blocks.append(row)
+        yield from scored()
+
     return rows.mapInArrow(
         run, f"_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double, n_bytes bigint, bits_per_byte double").withColumnRenamed("_id", id_col)
