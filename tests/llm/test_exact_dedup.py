@@ -48,6 +48,14 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark):
     assert [r.keep_id for r in empty] == [None, None] and sum(r.kept for r in empty) == 1
 
 
+def test_very_long_texts_that_differ_at_their_end(spark):
+    long = "Lorem é " * 250_000
+    rows = [(1, long + "a"), (2, long + "A"), (3, long + "b"), (4, long + "a" * 2), (5, long.lower() + "a")]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in
+           exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (5, 3, False), 2: (5, 3, False), 5: (5, 3, True), 3: (3, 1, True), 4: (4, 1, True)}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup(df).collect() == []

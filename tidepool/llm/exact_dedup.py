@@ -62,7 +62,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     largest id of the equal texts and ``group_size`` their number of rows.
     Defined cases: a null text counts as empty, and all empty texts are
     equal; a null id is the smallest id; of repeated rows (same id, equal
-    text) exactly one is kept; an empty table gives an empty result; other
+    text) exactly one is kept, whichever comes first; a very long text is
+    compared whole, however long a beginning it shares, and held as one value
+    of its row; an empty table gives an empty result; other
     columns of the input are ignored unless named in ``carry`` (output name
     to expression over the input's columns).
     """
