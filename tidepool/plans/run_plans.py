@@ -243,7 +243,18 @@ def _shares(rows: DataFrame, name: str) -> DataFrame:
     return per_stage.select("TP_PP", "stage", r6(F.col("us") / whole, "share"))
 
 
+def minutes_without_output(spark, sf_dir) -> DataFrame:
+    """Minutes of each order as a run, without its open lines as the output phase; quantities are seconds."""
+    seconds = F.col("l_quantity").cast("double")
+    runs = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum(seconds).alias("total_s"),
+        F.sum(F.when(F.col("l_linestatus") == "O", seconds).otherwise(0.0)).alias("output_s"))
+    return runs.select("l_orderkey", "total_s", "output_s",
+                       r6(R.minutes_excluding("total_s", "output_s"), "minutes"))
+
+
 QUERIES = {
+    "minutes_without_output": minutes_without_output,
     "throughput_bars": throughput_bars,
     "latency_vs_throughput": latency_vs_throughput,
     "stage_share_union": stage_share_union,
@@ -308,6 +319,11 @@ def _stage_select() -> str:
 
 
 SQL = {
+    "minutes_without_output": """
+WITH r AS (SELECT l_orderkey, sum(CAST(l_quantity AS DOUBLE)) AS total_s,
+                  sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS DOUBLE) ELSE 0.0 END) AS output_s
+           FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, total_s, output_s, round((total_s - output_s) / 60.0, 6) AS minutes FROM r""",
     "run_summary": f"""WITH {RUNS_SQL},
 d AS (
   SELECT batch_size,
