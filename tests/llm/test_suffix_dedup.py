@@ -139,3 +139,23 @@ def test_edges(spark):
     assert result(remove_repeats(df)) == brute(rows, 50)
     assert remove_repeats(df.limit(0)).collect() == []
     assert merged_spans([[5, 9, 0, 2], [2, 3, 8, 12]]) == [(0, 3), (5, 12)]
+
+
+def test_texts_are_cut_in_runs_that_fit_a_cache():
+    import pyarrow as pa
+
+    from tidepool.llm import suffix_dedup
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randint(0, 9000))) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["h", "text"])
+    runs = list(suffix_dedup.text_chunks(iter([batch]), 1, suffix_dedup.CHUNK_BYTES))
+    assert max(8 * sum(map(len, run)) for _, run in runs) <= 2 << 20  # bytes of one array of numbers
+    assert [t for _, run in runs for t in run] == [t.encode() for t in texts]
+
+
+def test_masked_words_end_at_their_first_zero():
+    from tidepool.llm.suffix_dedup import masked
+    rng = random.Random(6)
+    words = [bytes(rng.choice([0, 1, 2, 128, 255]) for _ in range(8)) for _ in range(3000)]
+    got = masked(np.array([int.from_bytes(w) for w in words], np.uint64)).tolist()
+    assert got == [int.from_bytes(w.split(b"\0")[0].ljust(8, b"\0")) for w in words]

@@ -29,7 +29,8 @@ from tidepool.llm.repeats import KEYED_DDL, bits_for, pack, place_rows, repeated
 from tidepool.llm.words import mixed
 
 GRAM = 16
-CHUNK_BYTES = 4 << 20
+# Texts that are cut into segments together: their arrays of numbers stay in a core's cache.
+CHUNK_BYTES = 1 << 18
 TASK_BYTES = 12 << 20
 NO_ID = (1 << 63) - 1
 
@@ -138,20 +139,26 @@ def _induce(entries: np.ndarray, text: np.ndarray, small: np.ndarray, heads: np.
 
 def masked(words: np.ndarray) -> np.ndarray:
     """Words with all bytes behind their first zero byte zero too."""
-    out = words.copy()
-    alive = np.ones(len(words), bool)
+    # Few words have a zero byte: a borrow into the top bit of a byte that had none tells.
+    rows = np.flatnonzero((words - np.uint64(0x0101010101010101)) & ~words & np.uint64(0x8080808080808080))
+    part = words[rows]
+    alive = np.ones(len(rows), bool)
     for k in range(8):
         shift = np.uint64(56 - 8 * k)
-        alive &= (words >> shift) & np.uint64(255) != 0
-        out[~alive] &= ~(np.uint64(255) << shift)
+        alive &= (part >> shift) & np.uint64(255) != 0
+        part[~alive] &= ~(np.uint64(255) << shift)
+    out = words.copy()
+    out[rows] = part
     return out
 
 
 def common_prefix(a: np.ndarray, b: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
     """Whether the suffixes at ``a`` and ``b`` share their first ``size`` bytes."""
-    same = np.ones(len(a), bool)
+    rows = np.arange(len(a))  # those that are equal so far
     for at in [*range(0, size - 7, 8), size - 8]:
-        same &= words[a + at] == words[b + at]
+        rows = rows[words[a[rows] + at] == words[b[rows] + at]]
+    same = np.zeros(len(a), bool)
+    same[rows] = True
     return same
 
 
