@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -139,6 +141,52 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def changes(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before (at its own place; the first never does)."""
+    after, before = column[1:], column[:-1]
+    differs = pc.fill_null(pc.not_equal(after, before), False).to_numpy(zero_copy_only=False)
+    nulls = column.is_null().to_numpy(zero_copy_only=False)
+    return np.concatenate([[False], differs | (nulls[1:] != nulls[:-1])])
+
+
+def joined_runs(batches: Iterator[pa.RecordBatch], chunk_chars: int, sep: str) -> Iterator[tuple[list, int, str]]:
+    """(head, number, text) of chunks of the last column's values, which have the same head in all other columns.
+
+    A chunk ends with the value that fills it. Values are counted, cut and
+    joined as columns, none by itself.
+    """
+    def joined(held):
+        values = pa.concat_arrays(held).cast(pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays([0, len(values)], values), sep)[0].as_py()
+
+    now, held, size, number = None, [], 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        *marks, values = batch.columns
+        cuts = np.flatnonzero(np.any([changes(c) for c in marks], axis=0)).tolist()
+        sizes = np.cumsum(pc.utf8_length(values).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        for at, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            head = [c[at].as_py() for c in marks]
+            if head != now:
+                if held:
+                    yield now, number, joined(held)
+                now, held, size, number = head, [], 0, 0
+            while at < end:
+                if held and size >= chunk_chars:
+                    yield now, number, joined(held)
+                    held, size, number = [], 0, number + 1
+                before = int(sizes[at - 1]) if at else 0
+                # As many as it takes to fill the chunk, one at least.
+                stop = int(np.searchsorted(sizes, before + chunk_chars - size)) + 1
+                stop = min(end, max(stop, at + 1))
+                held.append(values.slice(at, stop - at))
+                size += int(sizes[stop - 1]) - before
+                at = stop
+    if held:
+        yield now, number, joined(held)
+
+
 def scan_document_chunks(spark: SparkSession, path: str, by: tuple[str, ...] = (), chunk_chars: int = 1 << 14,
                          sep: str = " ") -> DataFrame:
     """Whole documents as chunks: (file or ``by``, part, split, chunk, n_words, text).
@@ -157,24 +205,8 @@ def scan_document_chunks(spark: SparkSession, path: str, by: tuple[str, ...] = (
     heads = len(by) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def chunks():
-            now, held, size, number = None, [], 0, 0
-            for batch in batches:
-                for *head, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    if held and (head != now or size >= chunk_chars):
-                        yield now, number, sep.join(held)
-                        held, size = [], 0
-                        number = number + 1 if head == now else 0
-                    elif head != now:
-                        number = 0
-                    now = head
-                    held.append(value)
-                    size += len(value) + 1
-            if held:
-                yield now, number, sep.join(held)
-
         kept: list[tuple] = []
-        for head, number, text in chunks():
+        for head, number, text in joined_runs(batches, chunk_chars, sep):
             kept.append((*head, number, len(text.split()), text))
             if len(kept) * chunk_chars >= CHUNK_BATCH:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in kept], schema)
