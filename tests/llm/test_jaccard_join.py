@@ -187,3 +187,61 @@ def test_repeated_bitmap(spark):
     assert isinstance(bitmap, Bitmap) and bitmap.has(keys[:50]).all() and bitmap.has(keys[100:150]).all()
     assert bitmap.has(keys[200:]).mean() < 0.02
     assert bits_for(0) == 16 and bits_for(10**12) == 28
+
+
+def test_signatures_that_none_shares_do_not_travel(spark):
+    rows = [(k, k, 9, 8) for k in range(2000)] + [(k, -k - 1, 9, 8) for k in range(0, 2000, 40)]
+    signed = spark.createDataFrame(rows, "sig long, ck long, n int, reach int").repartition(3)
+    got = [tuple(r) for r in jaccard_join.meeting(signed).collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(rows)
+    assert {r for r in rows if r[0] % 40 == 0} <= set(got)
+    assert len(got) < 500
+    assert jaccard_join.meeting(signed.where("sig < 0")).count() == 0
+
+
+def test_centres_too_far_away_are_not_read(spark, monkeypatch):
+    """Texts of two halves, each of which another text has too: neighbours meet, but have no room for a link."""
+    halves = [" ".join(f"h{i}w{k}" for k in range(40)) for i in range(61)]
+    rows = [(i, f"{halves[i]} {halves[i + 1]}") for i in range(60)] + [(99, f"{halves[7]} {halves[8]} end")]
+    asked = []
+    whole = jaccard_join.verified
+
+    def spy(texts, pairs, *rest):
+        asked.append(pairs.count())
+        return whole(texts, pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "verified", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, n=4, threshold=85).collect()}
+    assert got == brute(rows, 4, 85)
+    assert got[99][1] == 7
+    assert asked[0] < 45
+
+
+def test_one_document_signs_for_its_copies(spark, monkeypatch):
+    """Copies in many tasks meet nothing, so no signature of theirs comes through."""
+    rng = random.Random(8)
+    texts = [" ".join(f"t{i}w{rng.randrange(999)}" for _ in range(40)) for i in range(12)]
+    rows = [(100 * c + i, t) for i, t in enumerate(texts) for c in range(8)]
+    counts = []
+    whole = jaccard_join.meeting
+
+    def spy(signed):
+        counts.append(signed.count())
+        found = whole(signed)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "meeting", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, n=4, threshold=85).collect()}
+    assert got == brute(rows, 4, 85)
+    assert counts[0] and counts[1] < counts[0] / 10
+
+
+def test_documents_that_are_not_wanted_stay(spark):
+    copies = spark.createDataFrame([(k, k) for k in range(500)], "ck long, id long").localCheckpoint()
+    bitmap = jaccard_join.copies_bitmap(copies)
+    keys = np.array([jaccard_join.copy_key(k, k) for k in range(20_500)], np.uint64)
+    named = bitmap.has(keys)
+    assert named[:500].all() and named[500:].sum() < 100

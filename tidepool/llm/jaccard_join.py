@@ -263,8 +263,9 @@ def choose_boundary(sizes: np.ndarray, list_length: float, threshold: int) -> in
     return best
 
 
-def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
-    """``sig, ck, n, reach`` of the signatures that may repeat; equal sets of a task once."""
+def signatures(texts: DataFrame, n: int, signer, chosen) -> DataFrame:
+    """``sig, ck, n, reach`` of the signatures that may repeat, of the documents that the bitmap of
+    ``copy_key`` names; equal sets of a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, kept, held = set(), [], 0
@@ -277,11 +278,11 @@ def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
                  pa.array(np.repeat(np.array(size, np.int32), counts)),
                  pa.array(np.concatenate(reach).astype(np.int32))], names=["sig", "ck", "n", "reach"])
 
-        for _, elements in sets_of(batches, n):
+        for key, elements in sets_of(batches, n):
             if len(elements) < 2:
                 continue
             ck = class_key(elements)
-            if ck in seen:
+            if ck in seen or not chosen.value.has(np.array([copy_key(ck, key)], np.uint64))[0]:
                 continue
             seen.add(ck)
             sigs, reach = signer.value.of(elements)
@@ -297,6 +298,35 @@ def signatures(texts: DataFrame, n: int, signer) -> DataFrame:
     return texts.mapInArrow(run, "sig bigint, ck bigint, n int, reach int")
 
 
+def meeting(signed: DataFrame) -> DataFrame:
+    """The rows of ``signed`` (it is stored) but most of those whose signature no other row has."""
+
+    def keys(batch: pa.RecordBatch) -> np.ndarray:
+        return mixed(batch.column(0).to_numpy().view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            loose, held = [], 0
+            for batch in batches:
+                loose.append(keys(batch))
+                held += len(loose[-1])
+                if held > LOOSE:
+                    yield from place_rows(np.concatenate(loose), bits)
+                    loose, held = [], 0
+            if held:
+                yield from place_rows(np.concatenate(loose), bits)
+
+        yield from in_batches(rows(), KEYED, weight=lambda r: len(r[1]))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.has(keys(batch))))
+
+    bits = bits_for(signed.count(), most=27)
+    shared = signed.sparkSession.sparkContext.broadcast(repeated(signed.select("sig").mapInArrow(run, KEYED_DDL), bits))
+    return signed.mapInArrow(chosen, signed.schema)
+
+
 def wanted_sets(texts: DataFrame, n: int, wanted) -> DataFrame:
     """``ck, elements`` of the documents that the bitmap of ``copy_key`` names."""
 
@@ -315,8 +345,13 @@ def wanted_sets(texts: DataFrame, n: int, wanted) -> DataFrame:
     return texts.mapInArrow(run, "ck bigint, elements array<bigint>")
 
 
-def copies_bitmap(copies: DataFrame, bits: int) -> Bitmap:
-    """Bitmap of the ``copy_key`` of rows ``ck, id``."""
+def copies_bitmap(copies: DataFrame) -> Bitmap:
+    """Bitmap of the ``copy_key`` of rows ``ck, id`` (they are stored).
+
+    All documents are looked up, and one that it names by mistake sends its
+    whole set: with 32 places to a key, about one in a thousand does.
+    """
+    bits = bits_for(8 * copies.count(), most=27)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,6 +368,11 @@ def _sizes_fit(a: str, b: str, threshold: int):
     return (100 * F.least(a, b) >= threshold * F.greatest(a, b))
 
 
+def _reach_fits(a: str, b: str, reach_a: str, reach_b: str, threshold: int):
+    """Whether sets of sizes ``a`` and ``b`` can link if they share no more than either ``reach``."""
+    return F.least(reach_a, reach_b) * F.lit(100 + threshold) >= threshold * (F.col(a) + F.col(b))
+
+
 def size_band(n):
     """Bands of sizes, 16 to an octave."""
     return F.floor(16 * F.log2(F.greatest(n, F.lit(1)))).cast("int")
@@ -343,8 +383,7 @@ def verified(texts: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, thr
     spark = texts.sparkSession
     ends = pairs.select(F.col("a").alias("ck")).unionAll(pairs.select(F.col("b").alias("ck"))).distinct()
     copies = materialize(ends.join(classes, "ck").select("ck", "id"))
-    bitmap = copies_bitmap(copies, bits_for(copies.count()))
-    sets = wanted_sets(texts, n, spark.sparkContext.broadcast(bitmap))
+    sets = wanted_sets(texts, n, spark.sparkContext.broadcast(copies_bitmap(copies)))
     left = sets.select(F.col("ck").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("ck").alias("b"), F.col("elements").alias("eb"))
     both = F.size(F.array_intersect("ea", "eb"))
@@ -375,7 +414,9 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
         boundary = choose_boundary(unpack(found[SIZES][0][1], np.int64), total / kinds, threshold)
     signer = spark.sparkContext.broadcast(Signer(shared.value, ranks, boundary, threshold))
 
-    signed = materialize(signatures(texts, n, signer))
+    # Copies of one set in other tasks make its elements look shared, so one document signs for all.
+    chosen = spark.sparkContext.broadcast(copies_bitmap(classes))
+    signed = meeting(materialize(signatures(texts, n, signer, chosen)))
     lists = materialize(signed.groupBy("sig").agg(F.min("ck").alias("lo"), F.max("ck").alias("hi"),
                                                   F.count("*").alias("entries"))
                         .where("lo < hi").select("sig", "entries"))
@@ -384,13 +425,14 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
     # of edited copies of one text, the one that the others share most with.
     weight = listed.groupBy("ck").agg(F.sum("entries").alias("weight"))
     weighed = materialize(listed.join(materialize(weight), "ck").select("sig", "ck", "n", "reach", "weight"))
-    centres = weighed.groupBy("sig").agg(F.max(F.struct("weight", "ck", "n")).alias("top"))
+    centres = weighed.groupBy("sig").agg(F.max(F.struct("weight", "ck", "n", "reach")).alias("top"))
     members = materialize(weighed.join(materialize(centres), "sig").select(
         "sig", "ck", "n", "reach", F.col("top.ck").alias("first"), F.col("top.n").alias("first_n"),
-        F.col("top.weight").alias("first_weight")))
+        F.col("top.reach").alias("first_reach"), F.col("top.weight").alias("first_weight")))
 
-    # Each class against the centre of its lists that weighs most.
+    # Each class against the centre that weighs most, of the lists whose places leave room for a link.
     stars = (members.where("ck <> first").where(_sizes_fit("n", "first_n", threshold))
+             .where(_reach_fits("n", "first_n", "reach", "first_reach", threshold))
              .groupBy("ck").agg(F.max(F.struct("first_weight", "first")).alias("best"))
              .select(F.col("best.first").alias("a"), F.col("ck").alias("b")))
     links = verified(texts, materialize(stars), classes, n, threshold)
