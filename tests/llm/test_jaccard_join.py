@@ -1,13 +1,16 @@
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidepool.llm import jaccard_join
 from tidepool.llm.components import components
 from tidepool.llm.jaccard_join import Signer, choose_boundary, jaccard_components, need, shingle_sets
-from tidepool.llm.repeats import Bitmap, bits_for, place_rows, repeated
+from tidepool.llm.repeats import Bitmap, bits_for, place_rows, repeated, unpack, unpack_sorted
 from tidepool.llm.words import ANY_WORD, WordHasher, mixed
 
 
@@ -189,6 +192,94 @@ def test_repeated_bitmap(spark):
     assert bits_for(0) == 16 and bits_for(10**12) == 28
 
 
+def peak_mb(rows):
+    """Most that reading ``rows`` holds at once, in MB, and the rows."""
+    tracemalloc.start()
+    try:
+        out = list(rows)
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_places_of_many_keys_take_little_memory():
+    keys = np.random.default_rng(3).integers(0, 2**64, 1_000_000, dtype=np.uint64)
+    keys[:1000] = keys[-1000:]
+    most, rows = peak_mb(place_rows(keys, 22))
+    assert most < 30  # the keys are 8 MB more
+    once, twice = ({}, {})
+    for key, data in rows:
+        (twice if data[0] else once).setdefault(key, []).extend(unpack_sorted(data[1:], np.uint32).tolist())
+    for which, own in enumerate((keys, mixed(keys))):
+        at, n = np.unique(own >> np.uint64(42), return_counts=True)
+        for found, want in ((once, at[n == 1]), (twice, at[n > 1])):
+            got = [(k & 63) << 16 | p for k in sorted(found) if k >> 6 == which for p in found[k]]
+            assert got == want.tolist()
+    assert list(place_rows(keys[:0], 22)) == []
+
+
+class Scan:
+    """Stands for a frame ``id, text``; keeps the function that reads it."""
+
+    schema = [SimpleNamespace(dataType=SimpleNamespace(simpleString=lambda: "bigint"))]
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def test_scans_of_many_words_take_little_memory(monkeypatch):
+    rng = np.random.default_rng(4)
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string())])
+
+    def batches():
+        for i in range(60):
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([" ".join(map(str, rng.integers(0, 9**9, 50_000)))])],
+                                             schema=schema)
+
+    scan = Scan()
+    jaccard_join.documents_and_places(scan, 4, 24)
+    most, rows = peak_mb(scan.run(batches()))
+    assert sum(b.column(2).drop_null().__len__() for b in rows) == 60
+    assert most < 130  # 3,000,000 words
+
+    every = Bitmap(24)
+    every.data[:] = 255
+    monkeypatch.setattr(jaccard_join, "folded", lambda *a: SimpleNamespace(collect=lambda: []))
+    jaccard_join.set_statistics(scan, 4, SimpleNamespace(value=every))
+    most, rows = peak_mb(scan.run(batches()))
+    assert most < 100
+    found = dict(r for b in rows for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    assert unpack(found[jaccard_join.TOTAL << 32], np.int64).tolist() == [60 * 49_997]
+    assert sum(unpack(found[k], np.int64).sum() for k in range(jaccard_join.SKETCH_SLICES)) == 60 * 49_997
+
+
+def test_statistics_are_exact(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(0, 700))) for _ in range(200)]
+    sets = list(shingle_sets([t.encode() for t in texts], WordHasher(ANY_WORD), 4))
+    some = Bitmap(16)
+    some.data[:] = np.random.default_rng(1).integers(0, 256, len(some.data)).astype(np.uint8)
+    scan = Scan()
+    monkeypatch.setattr(jaccard_join, "folded", lambda *a: SimpleNamespace(collect=lambda: []))
+    jaccard_join.set_statistics(scan, 4, SimpleNamespace(value=some))
+    rows = [r for b in scan.run(iter([pa.RecordBatch.from_pydict({"id": list(range(200)), "text": texts})]))
+            for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    found, whole = dict(rows), np.concatenate(sets)
+    whole = whole[some.has(whole)]
+    width = (1 << jaccard_join.SKETCH_BITS) // jaccard_join.SKETCH_SLICES
+    counts = np.concatenate([unpack(found[k], np.int64) for k in range(jaccard_join.SKETCH_SLICES)])
+    assert len(counts) == width * jaccard_join.SKETCH_SLICES
+    assert (counts == np.bincount((whole >> np.uint64(64 - jaccard_join.SKETCH_BITS)).astype(np.int64),
+                                  minlength=len(counts))).all()
+    assert (unpack(found[jaccard_join.SMALLEST << 32], np.uint64)
+            == np.unique(whole)[:jaccard_join.SMALLEST_HASHES]).all()
+    assert unpack(found[jaccard_join.TOTAL << 32], np.int64).tolist() == [len(whole)]
+    sizes = np.bincount([len(s) for s in sets if 0 < len(s) <= jaccard_join.MOST_LIGHT],
+                        minlength=jaccard_join.MOST_LIGHT + 1)
+    assert (unpack(found[jaccard_join.SIZES << 32], np.int64) == sizes).all()
+
+
 def test_signatures_that_none_shares_do_not_travel(spark):
     rows = [(k, k, 9, 8) for k in range(2000)] + [(k, -k - 1, 9, 8) for k in range(0, 2000, 40)]
     signed = spark.createDataFrame(rows, "sig long, ck long, n int, reach int").repartition(3)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -127,3 +128,20 @@ def test_labels_of_other_rows_do_not_matter_and_edges(spark):
     assert {r.score for r in score_toxicity(docs.limit(3), field).collect()} == {0.5}
     assert score_toxicity(docs.limit(0), field).collect() == []
     assert field.weights.shape == (DIMS,) and text_words("É a-B".encode()) == ["É".encode(), b"a", b"b"]
+
+
+def test_a_text_that_is_kept_is_sent_once(spark):
+    rng = np.random.default_rng(8)
+    field = Field(rng.normal(0, 2, DIMS).astype(np.float32), np.zeros((2, 2)), np.array([-1.0, 0.5, 0.3, 0.1]))
+    rows = [(k, t, k * 2) for k, t in enumerate(["some words here", None, "", "Other words, and\nmore", "x"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other long")
+    plain = {r.doc_id: r for r in score_toxicity(df, field).collect()}
+    kept = score_toxicity(df, field, keep=["other", "text"])
+    got = {r.doc_id: r for r in kept.collect()}
+    assert {k: (r.score, r.predicted, r.spans) for k, r in got.items()} == {
+        k: (r.score, r.predicted, r.spans) for k, r in plain.items()}
+    assert [(k, got[k].text, got[k].other) for k in sorted(got)] == rows
+    assert not re.search(r"\b_text#", kept._jdf.queryExecution().analyzed().toString())
+    coded = df.select("doc_id", df.text.cast("binary").alias("text"))
+    assert {r.doc_id: r.score for r in score_toxicity(coded, field, keep=["text"]).collect()} == {
+        k: r.score for k, r in plain.items()}

@@ -57,7 +57,8 @@ SKETCH, SIZES, SMALLEST, TOTAL = 0, 1, 2, 3
 # cost far more than lists.
 MOST_LIGHT = 400
 SMALLEST_HASHES = 1024
-LOOSE = 1 << 23
+# Keys that a task holds before their places are sent: with what sorts them some 50 MB.
+LOOSE = 1 << 21
 
 # Parts of a component in the join that names its classes.
 COMPONENT_PARTS = 16
@@ -191,37 +192,36 @@ def set_statistics(texts: DataFrame, n: int, repeated_elements) -> dict[int, lis
     width = (1 << SKETCH_BITS) // SKETCH_SLICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)  # of one task
         sizes = np.zeros(MOST_LIGHT + 1, np.int64)
-        least, loose, held, total = np.zeros(0, np.uint64), [], 0, 0
-
-        def keep():
-            nonlocal least, loose, held
-            whole = np.concatenate(loose)
-            whole = whole[repeated_elements.value.has(whole)]
-            counts[:] += np.bincount((whole >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
-                                     minlength=len(counts))
-            small = np.partition(whole, SMALLEST_HASHES * 64)[:SMALLEST_HASHES * 64] if (
-                len(whole) > SMALLEST_HASHES * 64) else whole
-            least = distinct(np.concatenate([least, small]))[:SMALLEST_HASHES]
-            held, loose = 0, []
-            return len(whole)
+        least, small, held, total = np.zeros(0, np.uint64), [], 0, 0
+
+        def lowest():
+            return distinct(np.concatenate([least, *small]))[:SMALLEST_HASHES]
 
         for _, elements in sets_of(batches, n):
-            if len(elements):
-                loose.append(elements)
-                held += len(elements)
-                if len(elements) <= MOST_LIGHT:
-                    sizes[len(elements)] += 1
-                if held > LOOSE:
-                    total += keep()
-        if loose:
-            total += keep()
+            if not len(elements):
+                continue
+            if len(elements) <= MOST_LIGHT:
+                sizes[len(elements)] += 1
+            shared = elements[repeated_elements.value.has(elements)]
+            total += len(shared)
+            np.add.at(counts, (shared >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
+            # Elements of a set are sorted: no more of them than are asked for can be among the least.
+            shared = shared[:SMALLEST_HASHES]
+            if len(least) == SMALLEST_HASHES:
+                shared = shared[:np.searchsorted(shared, least[-1])]
+            if len(shared):
+                small.append(shared.copy())
+                held += len(shared)
+                if held > 64 * SMALLEST_HASHES:
+                    least, small, held = lowest(), [], 0
         if sizes.any() or total:
-            rows = [(SKETCH << 32 | k, pack(counts[k * width:(k + 1) * width])) for k in range(SKETCH_SLICES)]
-            rows += [(SIZES << 32, pack(sizes)), (SMALLEST << 32, pack(least)),
-                     (TOTAL << 32, pack(np.array([total])))]
-            yield from in_batches(rows, KEYED)
+            rows = ((SKETCH << 32 | k, pack(counts[k * width:(k + 1) * width].astype(np.int64)))
+                    for k in range(SKETCH_SLICES))
+            others = [(SIZES << 32, pack(sizes)), (SMALLEST << 32, pack(lowest())),
+                      (TOTAL << 32, pack(np.array([total])))]
+            yield from in_batches(itertools.chain(rows, others), KEYED)
 
     def add(state, data):
         kind, value = state
@@ -263,11 +263,12 @@ def choose_boundary(sizes: np.ndarray, list_length: float, threshold: int) -> in
     return best
 
 
-def signatures(texts: DataFrame, n: int, signer, chosen) -> DataFrame:
+def signatures(texts: DataFrame, n: int, repeated_elements, order, chosen) -> DataFrame:
     """``sig, ck, n, reach`` of the signatures that may repeat, of the documents that the bitmap of
-    ``copy_key`` names; equal sets of a task once."""
+    ``copy_key`` names; equal sets of a task once. ``order``: what a Signer takes but the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(repeated_elements.value, *order.value)
         seen, kept, held = set(), [], 0
 
         def out():
@@ -285,7 +286,7 @@ def signatures(texts: DataFrame, n: int, signer, chosen) -> DataFrame:
             if ck in seen or not chosen.value.has(np.array([copy_key(ck, key)], np.uint64))[0]:
                 continue
             seen.add(ck)
-            sigs, reach = signer.value.of(elements)
+            sigs, reach = signer.of(elements)
             if len(sigs):
                 kept.append((sigs, ck, len(elements), reach))
                 held += len(sigs)
@@ -412,11 +413,11 @@ def jaccard_links(texts: DataFrame, n: int, threshold: int) -> tuple[DataFrame,
         least = unpack(found[SMALLEST][0][1], np.uint64)
         kinds = len(least) if len(least) < SMALLEST_HASHES else (len(least) - 1) * 2.0**64 / float(least[-1])
         boundary = choose_boundary(unpack(found[SIZES][0][1], np.int64), total / kinds, threshold)
-    signer = spark.sparkContext.broadcast(Signer(shared.value, ranks, boundary, threshold))
+    order = spark.sparkContext.broadcast((ranks, boundary, threshold))
 
     # Copies of one set in other tasks make its elements look shared, so one document signs for all.
     chosen = spark.sparkContext.broadcast(copies_bitmap(classes))
-    signed = meeting(materialize(signatures(texts, n, signer, chosen)))
+    signed = meeting(materialize(signatures(texts, n, shared, order, chosen)))
     lists = materialize(signed.groupBy("sig").agg(F.min("ck").alias("lo"), F.max("ck").alias("hi"),
                                                   F.count("*").alias("entries"))
                         .where("lo < hi").select("sig", "entries"))

@@ -20,6 +20,8 @@ from tidepool.llm.common import in_batches, partitions
 from tidepool.llm.words import mixed
 
 SLICE_BITS = 6
+# Keys whose places are computed together.
+PLACE_KEYS = 1 << 16
 MIN_BITS, MAX_BITS = 16, 28
 
 KEYED = pa.schema([("key", pa.int64()), ("data", pa.binary())])
@@ -55,12 +57,19 @@ def place_rows(keys: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
     """(slice, places) rows of a task's keys; a key given twice counts twice."""
     width = bits - SLICE_BITS
     inner = np.uint32((1 << width) - 1)
-    for which, own_keys in enumerate((keys, mixed(keys))):
-        places, n = np.unique((own_keys >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
+    places = np.empty(len(keys), np.uint32)
+    for which in (0, 1):
+        for at in range(0, len(keys), PLACE_KEYS):
+            part = keys[at:at + PLACE_KEYS]
+            places[at:at + PLACE_KEYS] = (mixed(part) if which else part) >> np.uint64(64 - bits)
+        places.sort()
         cuts = np.searchsorted(places, np.arange(1, 1 << SLICE_BITS, dtype=np.int64) << width)
-        for k, (own, count) in enumerate(zip(np.split(places, cuts), np.split(n, cuts), strict=True)):
+        for k, own in enumerate(np.split(places, cuts)):  # equal places are in one slice
+            new = np.ones(len(own), bool)
+            new[1:] = own[1:] != own[:-1]
+            own, again = own[new], np.append(~new[1:], False)[new]
             for often in (False, True):
-                part = own[(count > 1) == often] & inner
+                part = own[again == often] & inner
                 if len(part):
                     yield which << SLICE_BITS | k, bytes([often]) + pack_sorted(part)
 

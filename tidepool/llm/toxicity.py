@@ -45,7 +45,7 @@ MARKING = (4, 5, 6, 7)
 
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
 CACHE_WORDS = 200_000
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 18
 LIMIT = 30.0
 
 
@@ -377,16 +377,19 @@ def score_toxicity(docs: DataFrame, field: Field, id_col: str = "doc_id", text_c
     pass on, others are ignored.
     """
     keep = keep or []
+    # A text that is kept is sent to the tasks once.
+    once = text_col in keep and docs.schema[text_col].dataType.simpleString() == "string"
+    at = 1 + keep.index(text_col) if once else 0
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(field)
         for batch in batches:
-            values = list(utf8_values(batch.column(0))) if spans else None
-            for first, texts in blocks(batch, 0):
+            values = list(utf8_values(batch.column(at))) if spans else None
+            for first, texts in blocks(batch, at):
                 summary, marginals = tagger.tag(texts)
                 score = field.score(summary)
-                cols = [*batch.slice(first, len(texts)).columns[1:], pa.array(score),
+                cols = [*batch.slice(first, len(texts)).columns[0 if once else 1:], pa.array(score),
                         pa.array((score >= threshold).astype(np.int32))]
                 if spans:
                     cols.append(pa.array([_spans(values[first + i], p) for i, p in enumerate(marginals)], span_type))
@@ -399,7 +402,8 @@ def score_toxicity(docs: DataFrame, field: Field, id_col: str = "doc_id", text_c
              "score double, predicted int"]
     if spans:
         types.append("spans array<struct<start: bigint, end: bigint, probability: double>>")
-    out = docs.select(F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"), *chosen)
+    text = [] if once else [F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text")]
+    out = docs.select(*text, *chosen)
     return out.mapInArrow(run, ", ".join(types)).toDF(
         id_col, *keep, "score", "predicted", *(["spans"] if spans else []))
 

@@ -11,8 +11,9 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
 
-# Texts that are hashed together, up to this many bytes (or one longer text).
-GROUP_BYTES = 1 << 20
+# Texts that are hashed together, up to this many bytes (or one longer text);
+# the arrays that hash them take about 50 bytes to a byte.
+GROUP_BYTES = 1 << 19
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
