@@ -1,4 +1,6 @@
+import glob
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -215,6 +217,24 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
         r.score for r in lone if r.doc_id == 1]
 
 
+def test_grams_are_stored_once(spark):
+    sc = spark.sparkContext
+    local = os.path.dirname(os.path.dirname(sc._temp_dir))
+
+    def shuffled():
+        return {f: os.path.getsize(f) for f in glob.glob(f"{local}/blockmgr-*/*/shuffle_*.data")}
+
+    blocks = ct.text_blocks(spark.createDataFrame(corpus(300), "doc_id long, text string").repartition(3),
+                            "doc_id", "text", F.col("doc_id") % 10 == 0)
+    places = ct.placement(blocks, 3, 4)
+    before = shuffled()
+    keyed = ct.batch_keys(blocks, 3, places)
+    left = sum(size for f, size in shuffled().items() if f not in before)
+    stored = keyed.agg(F.sum(F.octet_length("keys") + F.octet_length("counts"))).first()[0]
+    assert 0 < stored and left < stored / 4
+    assert keyed.agg(F.countDistinct("batch")).first()[0] == 3
+
+
 def test_depths_that_do_not_fit_raise(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     for depth in (1, ct.MAX_DEPTH + 1):

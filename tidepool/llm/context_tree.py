@@ -480,7 +480,10 @@ def placement(blocks: DataFrame, depth: int, tasks: int) -> Placement:
 
 
 def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
-    """Distinct keys of each batch with training counts, dealt by bucket: ``bucket, space, batch, keys, counts``."""
+    """Distinct keys of each batch with training counts, dealt by bucket: ``bucket, space, batch, keys, counts``.
+
+    Checkpointed; the shuffle files, as large, are removed.
+    """
     schema = pa.schema([("bucket", pa.int64()), ("space", pa.int32()), ("batch", pa.int64()),
                         ("keys", pa.binary()), ("counts", pa.binary())])
 
@@ -522,7 +525,10 @@ def batch_keys(blocks: DataFrame, depth: int, places: Placement) -> DataFrame:
 
     keyed = blocks.mapInArrow(run, "bucket bigint, space int, batch bigint, keys binary, counts binary")
     task = F.floor(F.col("bucket") / places.per_task).cast("int")
-    return materialize(keyed.repartitionById(places.tasks, task).sortWithinPartitions("bucket", "space"))
+    dealt = keyed.repartitionById(places.tasks, task).sortWithinPartitions("bucket", "space")
+    kept = materialize(dealt)
+    dealt.rdd.cleanShuffleDependencies(blocking=True)
+    return kept
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]], np.ndarray, np.ndarray]]:
